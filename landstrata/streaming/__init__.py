@@ -1,0 +1 @@
+"""Nothing here: every table this library lays out is bounded, so there is no streaming operator."""
