@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 CELLS = 65535.0  # 16 bits per axis
@@ -30,7 +30,7 @@ def _two_level_table() -> list[int]:
     return table
 
 
-_TABLE = "array(" + ",".join(str(v) for v in _two_level_table()) + ")"
+_TABLE = ",".join(str(v) for v in _two_level_table())
 
 
 def grid_cell(value: Column, low: Column, high: Column) -> Column:
@@ -42,7 +42,7 @@ def grid_cell(value: Column, low: Column, high: Column) -> Column:
 
 def curve_index(x: Column, y: Column) -> Column:
     """Index along the curve of integer cells (x, y). Eight table look-ups, no loop, no Python."""
-    table = F.expr(_TABLE)
+    table = F.split(F.lit(_TABLE), ",").cast("array<int>")  # folded to one literal when planned
     orientation, index = F.lit(0), F.lit(0).cast("bigint")
     for shift in range(14, -1, -2):
         xb = F.shiftright(x, shift).bitwiseAND(3)
@@ -53,8 +53,13 @@ def curve_index(x: Column, y: Column) -> Column:
     return index
 
 
-def curve_key(x: Column, y: Column, extent: dict[str, Column]) -> Column:
-    """Curve index of point (x, y) in `extent` (its xmin, ymin, xmax, ymax columns)."""
-    return curve_index(
-        grid_cell(x, extent["xmin"], extent["xmax"]), grid_cell(y, extent["ymin"], extent["ymax"])
+def with_curve_index(df: DataFrame, x: Column, y: Column, extent: dict[str, Column], name: str) -> DataFrame:
+    """Adds the curve index of point (x, y) in `extent` (its xmin, ymin, xmax, ymax columns). The
+    cells are columns of their own first, as the index refers to each many times."""
+    cells = df.withColumns(
+        {
+            "_cell_x": grid_cell(x, extent["xmin"], extent["xmax"]),
+            "_cell_y": grid_cell(y, extent["ymin"], extent["ymax"]),
+        }
     )
+    return cells.withColumn(name, curve_index(F.col("_cell_x"), F.col("_cell_y"))).drop("_cell_x", "_cell_y")

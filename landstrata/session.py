@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 # A side is broadcast only when it has been counted and holds at most this many (narrow) rows.
@@ -63,8 +63,15 @@ def materialise(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def materialise_observing(df: DataFrame, **measures: Column) -> tuple[DataFrame, dict]:
+    """`materialise`, with aggregates taken on the way in the same job."""
+    seen = Observation()
+    stored = materialise(df.observe(seen, *(value.alias(name) for name, value in measures.items())))
+    return stored, seen.get
+
+
 def small_side(df: DataFrame, limit: int = BROADCAST_ROWS) -> tuple[DataFrame, bool]:
     """Materialise a summary table; hint a broadcast only if its counted size allows it."""
-    stored = materialise(df)
-    fits = stored.count() <= limit
+    stored, seen = materialise_observing(df, rows=F.count(F.lit(1)))
+    fits = seen["rows"] <= limit
     return (F.broadcast(stored) if fits else stored), fits
