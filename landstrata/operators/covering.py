@@ -27,15 +27,15 @@ def shape_bytes(geometry: str) -> Column:
     return F.coalesce(F.octet_length(geometry), F.lit(0)).cast("bigint")
 
 
-def attribute_eighths(df: DataFrame, geometry: str | None) -> Column:
-    """Estimated columnar bytes of a row without its shape, in 1/8 byte (an integer).
+def attribute_eighths(df: DataFrame, *without: str) -> Column:
+    """Estimated columnar bytes of a row (without its shape, say), in 1/8 byte (an integer).
 
     Fixed widths as stored, text as its octets plus a 4-byte offset, a struct as the sum of its
     fields, one bit for each nullable column.
     """
     total = F.lit(0).cast("bigint")
     for field in df.schema.fields:
-        if field.name != geometry:
+        if field.name not in without:
             total = total + _width_eighths(F.col(f"`{field.name}`"), field.dataType)
             total = total + F.lit(1 if field.nullable else 0)
     return total

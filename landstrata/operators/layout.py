@@ -38,8 +38,9 @@ class LayoutOptions:
         return [self.group_bytes, self.group_bytes // 2, self.group_bytes // 4]
 
 
-def measure(df: DataFrame, key: str, tie: list[str], geometry: str) -> DataFrame:
+def measure(df: DataFrame, key: str, tie: list[str], geometry: str, keep_key: bool = True) -> DataFrame:
     """The narrow columns a layout needs, stored: the shapes themselves are read once, here."""
+    without = [geometry] if keep_key else [geometry, key]
     bbox_width = 8 * 32
     covered = covering.with_covering(df, geometry)
     return materialise(
@@ -49,7 +50,7 @@ def measure(df: DataFrame, key: str, tie: list[str], geometry: str) -> DataFrame
             "bbox",
             "geometry_kind",
             covering.shape_bytes(geometry).alias("wkb_bytes"),
-            (covering.attribute_eighths(df, geometry) + bbox_width).alias("attribute_eighths"),
+            (covering.attribute_eighths(df, *without) + bbox_width).alias("attribute_eighths"),
         )
     )
 
