@@ -37,7 +37,8 @@ def grid_cell(value: Column, low: Column, high: Column) -> Column:
     """Cell 0..65535 of a coordinate in an extent; 0 on an extent of no width, null for null."""
     scaled = F.floor((value - low) * (F.lit(CELLS) / (high - low)))
     held = F.greatest(F.lit(0), F.least(F.lit(int(CELLS)), scaled))
-    return F.when(high > low, held).when(value.isNotNull(), F.lit(0)).cast("int")
+    # greatest and least skip nulls, so a missing coordinate is set apart first.
+    return F.when(value.isNotNull(), F.when(high > low, held).otherwise(0)).cast("int")
 
 
 def curve_index(x: Column, y: Column) -> Column:
