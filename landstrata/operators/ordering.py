@@ -97,7 +97,7 @@ def with_position(df: DataFrame, keys: list[str], order: list[Column]) -> DataFr
     return positions(in_order(df, order), keys).drop("row_at")
 
 
-def draw_order(df: DataFrame, geometry: str, tie: list[str] | None = None) -> list[Column]:
+def draw_order(geometry: Column | str, tie: list[str] | None = None) -> list[Column]:
     """Largest box first, then its sides, then a digest of the shape: a total order on shapes."""
     digest = F.md5(geometry).asc()
     sides = [F.col(f"bbox.{s}").asc() for s in boxes.SIDES]

@@ -208,17 +208,22 @@ def level_title(spark, sf_dir):
 
 @query(
     "stac_type",
-    """SELECT table_name, column_name AS name, CASE data_type WHEN 'VARCHAR' THEN 'varchar' WHEN 'BIGINT' THEN 'bigint'
-       WHEN 'INTEGER' THEN 'integer' WHEN 'DOUBLE' THEN 'double' WHEN 'TIMESTAMP' THEN 'timestamp' END AS type
-       FROM (SELECT 'orders' AS table_name, column_name, column_type AS data_type FROM (DESCRIBE orders)
+    """SELECT table_name, column_name AS name, CASE column_type WHEN 'VARCHAR' THEN 'varchar' WHEN 'BIGINT' THEN 'bigint'
+       WHEN 'INTEGER' THEN 'integer' WHEN 'DOUBLE' THEN 'double' WHEN 'TIMESTAMP' THEN 'timestamp' END AS type, rows
+       FROM (SELECT 'orders' AS table_name, column_name, column_type FROM (DESCRIBE orders)
              UNION ALL SELECT 'lineitem', column_name, column_type FROM (DESCRIBE lineitem)
-             UNION ALL SELECT 'documents', column_name, column_type FROM (DESCRIBE documents)) q""",
+             UNION ALL SELECT 'documents', column_name, column_type FROM (DESCRIBE documents)) q
+       JOIN (SELECT 'orders' AS table_name, count(*) AS rows FROM orders UNION ALL SELECT 'lineitem', count(*) FROM lineitem
+             UNION ALL SELECT 'documents', count(*) FROM documents) r USING (table_name)""",
 )
 def stac_type(spark, sf_dir):
+    """Column list and row count of each table, as an item states them."""
     listed = None
     for name in ("orders", "lineitem", "documents"):
-        rows = codes.catalog_columns(table(spark, sf_dir, name)).select(F.lit(name).alias("table_name"), "name", "type")
-        listed = rows if listed is None else listed.unionByName(rows)
+        rows = table(spark, sf_dir, name)
+        columns = codes.catalog_columns(rows).select(F.lit(name).alias("table_name"), "name", "type")
+        stated = columns.crossJoin(F.broadcast(aggregates.layer_count(rows)))
+        listed = stated if listed is None else listed.unionByName(stated)
     return listed
 
 
