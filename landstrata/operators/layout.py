@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from landstrata.functions import boxes
 from landstrata.operators import aggregates, covering
 from landstrata.operators.cuts import cut_groups
-from landstrata.operators.ordering import attach, in_order, is_large, layout_order, positions, with_curve_key
+from landstrata.operators.ordering import in_order, is_large, layout_order, with_curve_key
 from landstrata.session import materialise, materialise_observing, small_side
 
 MAX_GROUP_ROWS = 150_000
@@ -143,15 +143,14 @@ def group_boxes(groups: DataFrame, keys: list[str]) -> DataFrame:
     )
 
 
-def order_check(placed: DataFrame, groups: DataFrame, row_keys: list[str], keys: list[str]) -> DataFrame:
+def order_check(placed: DataFrame, groups: DataFrame, keys: list[str]) -> DataFrame:
     """`ok` per layout: the rows' order and the row groups both pass, where they are enough to test."""
-    row_test = order_test(chunk_boxes(placed, row_keys), row_keys)
-    row_test = row_test.select(*row_keys, F.col("passes").alias("rows_ok"))
-    group_test = order_test(group_boxes(groups, keys), keys)
-    group_test = group_test.select(*keys, F.col("passes").alias("groups_ok"))
-    layouts = groups.select(*keys, *(k for k in row_keys if k not in keys)).distinct()
+    row_test = order_test(chunk_boxes(placed, keys), keys).select(*keys, F.col("passes").alias("rows_ok"))
+    group_test = order_test(group_boxes(groups, keys), keys).select(*keys, F.col("passes").alias("groups_ok"))
     return (
-        layouts.join(row_test, row_keys, "left")
+        groups.select(*keys)
+        .distinct()
+        .join(row_test, keys, "left")
         .join(group_test, keys, "left")
         .na.fill(True, ["rows_ok", "groups_ok"])
         .withColumn("ok", F.col("rows_ok") & F.col("groups_ok"))
@@ -164,70 +163,80 @@ def ordered_rows(costed: DataFrame, key: str, tie: list[str], fraction: float |
     return in_order(flagged, layout_order([key, *more], tie))
 
 
+def try_layouts(
+    costed: DataFrame, key: str, tie: list[str], options: LayoutOptions, attempts: list[tuple[int, int, float]]
+) -> tuple[DataFrame, DataFrame, int]:
+    """Cuts the rows for each attempt (number, budget, fraction) and checks their order.
+
+    Returns the cut rows and one verdict per partition and attempt, both with `attempt`, and the
+    number of verdicts that fail. The order depends on the fraction only, so attempts that differ in
+    their budget share a sort.
+    """
+    unit = covering.COST_UNIT
+    fractions = sorted({fraction for _, _, fraction in attempts}, reverse=True)
+    tried = costed
+    if len(fractions) > 1:
+        tries = F.explode(F.array(*(F.lit(fraction) for fraction in fractions)))
+        tried = costed.withColumn("fraction", tries)
+    else:
+        tried = costed.withColumn("fraction", F.lit(fractions[0]))
+    ordered = ordered_rows(tried, key, tie, F.col("fraction"), "fraction")
+    rows = None
+    for budget in sorted({budget for _, budget, _ in attempts}, reverse=True):
+        numbers = {fraction: number for number, size, fraction in attempts if size == budget}
+        numbered = F.coalesce(*(F.when(F.col("fraction") == f, F.lit(n)) for f, n in numbers.items()))
+        mine = ordered.where(F.col("fraction").isin(list(numbers))).withColumns(
+            {"attempt": numbered, "budget": F.lit(budget * unit).cast("bigint")}
+        )
+        cut = cut_groups(mine, [key, "fraction"], options.group_rows, options.file_bytes * unit)
+        rows = cut if rows is None else rows.unionByName(cut)
+    keys = [key, "attempt"]
+    rows = materialise(rows.drop("curve", "span", "size", "fraction"))
+    groups = materialise(aggregates.group_stats(rows, *keys))
+    verdicts, seen = materialise_observing(order_check(rows, groups, keys), failing=F.count_if(~F.col("ok")))
+    return rows, verdicts, seen["failing"]
+
+
 def layout_search(costed: DataFrame, key: str, tie: list[str], options: LayoutOptions) -> tuple[DataFrame, DataFrame]:
     """Chooses each partition's layout: (rows with their groups, one verdict per partition).
 
     Attempts are numbered budgets outer (b, b/2, b/4), fractions inner (f, f/2, f/4, f/8); the first
-    that passes the order check is kept, else the first attempt. Most partitions pass at once, so
-    every partition is tried at attempt 0 and only those that fail are tried at the others, all
-    together, on narrow rows. The order depends on the fraction only: four sorts serve all attempts.
+    that passes the order check is kept, else the first attempt. They are tried in three rounds: the
+    first attempt, the other fractions, the smaller budgets. A round takes only the partitions that
+    have not passed, all together, and only their narrow rows; most partitions need one round.
     """
-    unit, fractions, budgets = covering.COST_UNIT, options.fractions(), options.budgets()
-    file_cost = options.file_bytes * unit
-
-    def cut(ordered: DataFrame, keys: list[str]) -> DataFrame:
-        return cut_groups(ordered, keys, options.group_rows, file_cost)
-
-    def attempt(ordered: DataFrame, budget_no: int, keys: list[str]) -> DataFrame:
-        rows = cut(ordered.withColumn("budget", F.lit(budgets[budget_no] * unit)), keys)
-        number = F.lit(budget_no * len(fractions)) + F.col("fraction_no")
-        return aggregates.group_stats(rows, key, "fraction_no").withColumn("attempt", number.cast("int"))
-
-    plain = [c for c in costed.columns]
-    row_keys, keys = [key, "fraction_no"], [key, "attempt"]
-    first = ordered_rows(costed.withColumn("fraction_no", F.lit(0)), key, tie, fractions[0])
-    start = cut(first.withColumn("budget", F.lit(budgets[0] * unit)), row_keys)
-    start = materialise(start.withColumn("attempt", F.lit(0)))
-    groups = materialise(aggregates.group_stats(start, key, "attempt", "fraction_no"))
-    verdicts, seen = materialise_observing(
-        order_check(start, groups, row_keys, keys), layouts=F.count(F.lit(1)), failing=F.count_if(~F.col("ok"))
-    )
-    retry = None
-    if seen["failing"]:
-        side, _ = small_side(verdicts.where("not ok").select(key))
-        tries = F.explode(F.array(*(F.struct(F.lit(i), F.lit(f)) for i, f in enumerate(fractions)))).alias("_try")
-        spread = costed.join(side, key, "left_semi").select(*plain, tries)
-        spread = spread.select(*plain, F.col("_try.col1").alias("fraction_no"), F.col("_try.col2").alias("fraction"))
-        retry = ordered_rows(spread, key, tie, F.col("fraction"), "fraction_no").drop("fraction")
-        later = [attempt(retry.where("fraction_no > 0"), 0, row_keys)] if len(fractions) > 1 else []
-        later += [attempt(retry, number, row_keys) for number in (1, 2)]
-        tried = later[0]
-        for more in later[1:]:
-            tried = tried.unionByName(more)
-        tried = materialise(tried)
-        verdicts = materialise(
-            verdicts.unionByName(order_check(positions(retry, row_keys), tried, row_keys, keys))
-        )
-    chosen = materialise(
-        verdicts.groupBy(key)
-        .agg(
-            F.coalesce(F.min(F.when(F.col("ok"), F.col("attempt"))), F.lit(0)).alias("attempt"),
-            F.bool_or("ok").alias("order_ok"),
-        )
-        .select(
-            key,
-            "attempt",
-            "order_ok",
-            F.get(F.array(*map(F.lit, fractions)), F.expr(f"attempt % {len(fractions)}")).alias("large_fraction"),
-            F.get(F.array(*map(F.lit, budgets)), F.expr(f"attempt div {len(fractions)}").cast("int")).cast("bigint").alias("group_bytes"),
-            F.expr(f"attempt % {len(fractions)}").alias("fraction_no"),
-        )
+    fractions, budgets = options.fractions(), options.budgets()
+    attempts = [
+        (i * len(fractions) + j, budget, fraction)
+        for i, budget in enumerate(budgets)
+        for j, fraction in enumerate(fractions)
+    ]
+    rounds = [attempts[:1], attempts[1 : len(fractions)], attempts[len(fractions) :]]
+    laid, verdicts, open_rows = [], None, costed
+    for tried in rounds:
+        if not tried:
+            continue
+        rows, found, failing = try_layouts(open_rows, key, tie, options, tried)
+        laid.append(rows)
+        verdicts = found if verdicts is None else verdicts.unionByName(found)
+        if not failing:
+            break
+        passed = verdicts.groupBy(key).agg(F.bool_or("ok").alias("passed"))
+        side, _ = small_side(passed.where("not passed").select(key))
+        open_rows = costed.join(side, key, "left_semi")
+    number = F.coalesce(F.min(F.when(F.col("ok"), F.col("attempt"))), F.lit(0)).alias("attempt")
+    chosen = verdicts.groupBy(key).agg(number, F.bool_or("ok").alias("order_ok"))
+    inner, outer = F.expr(f"attempt % {len(fractions)}"), F.expr(f"attempt div {len(fractions)}").cast("int")
+    chosen = chosen.withColumns(
+        {
+            "large_fraction": F.get(F.array(*map(F.lit, fractions)), inner),
+            "group_bytes": F.get(F.array(*map(F.lit, budgets)), outer).cast("bigint"),
+        }
     )
-    rows = start
-    if retry is not None:
-        pick = chosen.select(key, "fraction_no", "attempt", (F.col("group_bytes") * unit).alias("budget"))
-        again, _ = small_side(pick.where("attempt > 0"))
-        kept = attach(retry, pick.where("attempt > 0"), row_keys)
-        rows = start.join(again.select(key), key, "left_anti").unionByName(cut(kept, row_keys))
-        rows = materialise(rows)
-    return rows.select(key, *tie, "bbox", "cost", "is_large", "position", "group_id", "file_no", "group_head"), chosen
+    side, _ = small_side(chosen)
+    rows = laid[0]
+    for more in laid[1:]:
+        rows = rows.unionByName(more)
+    if len(laid) > 1:
+        rows = rows.join(side.select(key, "attempt"), [key, "attempt"])
+    return rows.select(key, *tie, "bbox", "cost", "is_large", "position", "group_id", "file_no", "group_head"), side

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from landstrata.functions import boxes, codes, fixed
 from landstrata.operators import aggregates, checks, layout
 from landstrata.operators.layout import LayoutOptions
-from landstrata.session import materialise
+from landstrata.session import materialise, ship
 from landstrata.sources import catalog, documents, files, inventory, layers, writer
 from landstrata.sources.documents import CollectionSpec
 
@@ -57,6 +57,7 @@ def write_layer(
     """
     key, tie, spec = layer.key, list(layer.tie), layer.spec
     rows = layer.rows
+    ship(rows.sparkSession)
     duplicates = None
     if layer.code:
         audit = materialise(aggregates.key_audit(rows, layer.code, layer.digits))

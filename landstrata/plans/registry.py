@@ -11,7 +11,7 @@ from landstrata.operators import layout
 from landstrata.operators.layout import LayoutOptions
 from landstrata.plans import build
 from landstrata.plans.features import features, shaped_features
-from landstrata.session import fresh_folder
+from landstrata.session import fresh_folder, ship
 from landstrata.sources.documents import CollectionSpec
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -23,7 +23,7 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
     def register(function: Query) -> Query:
         if name in QUERIES:
             raise KeyError(name)
-        QUERIES[name] = function
+        QUERIES[name] = lambda spark, sf_dir: function(ship(spark), sf_dir)
         if sql is not None:
             SQL[name] = sql
         return function

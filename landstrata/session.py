@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import shutil
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -28,9 +30,24 @@ def local_session(cores: int | str = "*", partitions: int = 8, **settings: str)
         builder = builder.config(name.replace("__", "."), value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
+    return ship(spark)
+
+
+def ship(spark: SparkSession) -> SparkSession:
+    """Sends this package to the Python workers, once per application, as `--py-files` would."""
+    context = spark.sparkContext
+    if context.applicationId not in _SHIPPED:
+        package = Path(__file__).resolve().parent
+        archive = Path(tempfile.mkdtemp(prefix="landstrata-package-")) / package.name
+        shutil.make_archive(str(archive), "zip", package.parent, package.name)
+        context.addPyFile(f"{archive}.zip")
+        _SHIPPED.add(context.applicationId)
     return spark
 
 
+_SHIPPED: set[str] = set()
+
+
 def shared_root(spark: SparkSession) -> str:
     """The folder every executor can reach: the session's checkpoint directory.
 
