@@ -183,17 +183,18 @@ def _follow(batches: Iterator[pa.RecordBatch], max_rows: int) -> Iterator[pa.Rec
 
 
 def _cut(batches: Iterator[pa.RecordBatch], max_rows: int, file_cost: int) -> Iterator[pa.RecordBatch]:
-    """Pass 3: group and file number of every row, from the state its span starts with."""
-    span, spent, held, large, group, passed, began = None, 0, 0, None, -1, 0, 0
+    """Pass 3: group and file number of every row, from the state on the first row of its span."""
+    spent, held, large, group, passed, began = 0, 0, None, -1, 0, 0
     for batch in batches:
-        names = ["first_at", "cost", "is_large", "budget", "cost_before", *ENTRY]
-        ids, costs, flags, budgets, before, open_cost, open_rows, open_large, groups = _columns(batch, *names)
-        group_ids, files, heads = (np.zeros(len(ids), t) for t in (np.int64, np.int64, bool))
-        for a, z in _runs(ids) if len(ids) else ():
-            if ids[a] != span:
-                span, spent, held, group = int(ids[a]), int(open_cost[a]), int(open_rows[a]), int(groups[a]) - 1
-                large = bool(open_large[a]) if held else None
-                passed, began = int(before[a]), int(before[a]) - spent
+        costs, flags, budgets = _columns(batch, "cost", "is_large", "budget")
+        states = batch.column("_state")
+        group_ids, files, heads = (np.zeros(len(costs), t) for t in (np.int64, np.int64, bool))
+        fresh = np.flatnonzero(states.is_valid().to_numpy(zero_copy_only=False))
+        edges = np.unique(np.concatenate([[0], fresh, [len(costs)]])).astype(np.int64).tolist()
+        for a, z in zip(edges[:-1], edges[1:]):
+            if states[a].is_valid:
+                spent, held, open_large, groups, passed = map(int, states[a].as_py().split(","))
+                large, group, began = bool(open_large) if held else None, groups - 1, passed - spent
             running, flip = _block(costs[a:z], flags[a:z], large)
             size, budget, at = z - a, int(budgets[a]), 0
             starts, began_at = [], [began]
@@ -215,9 +216,10 @@ def _cut(batches: Iterator[pa.RecordBatch], max_rows: int, file_cost: int) -> It
             group, began = group + len(starts), began_at[-1]
             spent, held = spent + int(running[size] - running[at]), held + size - at
             passed, large = passed + int(running[size]), bool(flags[z - 1])
+        kept = batch.select([name for name in batch.schema.names if name != "_state"])
         yield pa.RecordBatch.from_arrays(
-            [*batch.columns, pa.array(group_ids), pa.array(files), pa.array(heads)],
-            [*batch.schema.names, "group_id", "file_no", "group_head"],
+            [*kept.columns, pa.array(group_ids), pa.array(files), pa.array(heads)],
+            [*kept.schema.names, "group_id", "file_no", "group_head"],
         )
 
 
@@ -252,11 +254,16 @@ def cut_groups(ordered: DataFrame, keys: list[str], max_rows: int, file_cost: in
     state = spans.join(entry, "first_at")
     state = state.select(*grouping, "slice", "first_at", "rows_before", "cost_before", *ENTRY)
     rows = with_spans(ordered, state, grouping)
-    rows = rows.withColumn("position", F.col("row_at") - F.col("first_at") + F.col("rows_before"))
-    schema = f"{_ddl(rows)}, group_id bigint, file_no bigint, group_head boolean"
-    return rows.mapInArrow(partial(_cut, max_rows=max_rows, file_cost=file_cost), schema).drop(
-        "row_at", "slice", "first_at", "rows_before", "cost_before", *ENTRY
+    # Text, as a mostly null text column is much cheaper to hand over than a mostly null list.
+    numbers = ("open_cost", "open_rows", F.col("open_large").cast("int"), "groups_before", "cost_before")
+    entered = F.concat_ws(",", *(F.col(c) if isinstance(c, str) else c for c in numbers))
+    rows = (
+        rows.withColumn("position", F.col("row_at") - F.col("first_at") + F.col("rows_before"))
+        .withColumn("_state", F.when(F.col("row_at") == F.col("first_at"), entered))
+        .drop("row_at", "slice", "first_at", "rows_before", "cost_before", *ENTRY)
     )
+    schema = f"{_ddl(rows.drop('_state'))}, group_id bigint, file_no bigint, group_head boolean"
+    return rows.mapInArrow(partial(_cut, max_rows=max_rows, file_cost=file_cost), schema)
 
 
 _OUTLOOK_TYPE_COLUMNS = ["first_large", "last_large", "flip", *_OUTLOOK_LISTS]

@@ -69,15 +69,20 @@ def write_layer(
     checks.not_null_key_guard(measures, key)
     extent = materialise(layout.measured_extent(measures, key))
     placed, chosen = layout.layout_search(layout.costed_rows(measures, extent, key), key, tie, options)
-    groups = writer.write_clustered(
-        rows, placed, extent, key, tie, spec.geometry, target, spec.hive_key, options, layer.crs, layer.keep_key
+    planned = materialise(
+        placed.groupBy(key).agg(
+            F.count(F.lit(1)).alias("rows"),
+            F.count_if("group_head").alias("row_groups"),
+            F.count_if("is_large").alias("large_rows"),
+            F.count_distinct(F.when(F.col("group_head"), F.col("file_no"))).alias("files"),
+        )
     )
-    planned = placed.groupBy(key).agg(
-        F.count(F.lit(1)).alias("rows"),
-        F.count_if("group_head").alias("row_groups"),
-        F.count_if("is_large").alias("large_rows"),
+    expected = planned.agg(F.coalesce(F.sum("files"), F.lit(1))).first()[0]
+    # Several tasks per file expected, so that few files share a task by chance.
+    tasks = min(3 * expected, 4 * int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    groups = writer.write_clustered(
+        rows, placed, extent, key, tie, spec.geometry, target, spec.hive_key, options, layer.crs, layer.keep_key, tasks
     )
-    planned = materialise(planned)
     read_back = checks.readback_check(groups, planned.withColumnRenamed(key, "part"))
     checks.refuse(read_back.where("not agrees"), f"{spec.id}: written rows or groups differ from the plan")
     total = extent.agg(F.sum("rows").alias("rows"))
@@ -114,7 +119,7 @@ def partition_facts(
         F.when(F.count(F.lit(1)) == 1, F.first("sha256")).alias("sha256"),
     )
     return (
-        extent.join(planned.drop("rows"), key)
+        extent.join(planned.drop("rows", "files"), key)
         .join(chosen.select(key, "large_fraction", "group_bytes", "order_ok"), key)
         .join(sums.withColumnRenamed("part", key), key)
         .select(
