@@ -34,7 +34,7 @@ def not_null_key_guard(df: DataFrame, key: str) -> DataFrame:
 def count_reconcile(parts: DataFrame, source_rows: DataFrame) -> DataFrame:
     """One row: rows of all partitions, rows of the source, and whether they agree."""
     total = parts.agg(F.coalesce(F.sum("rows"), F.lit(0)).alias("partition_rows"))
-    return total.crossJoin(F.broadcast(source_rows.select(F.col("rows").alias("source_rows")))).withColumn(
+    return total.withColumn("source_rows", source_rows.select("rows").scalar()).withColumn(
         "agrees", F.col("partition_rows") == F.col("source_rows")
     )
 

@@ -78,20 +78,18 @@ def access_status(records: DataFrame, *by: str) -> DataFrame:
 def pixels(points: DataFrame, extent: DataFrame, x: str, y: str, long_side: int = 504, margin: int = 4) -> DataFrame:
     """Web Mercator pixel of each point in a picture of the extent, its long side `long_side` pixels.
 
-    `extent` is one row (a global aggregate), so it can be sent to every task.
+    `extent` is one row (a global aggregate), used as a scalar.
     """
-    one = extent.select(
-        F.radians("xmin").alias("_x0"),
-        F.radians("xmax").alias("_x1"),
-        boxes.mercator_y(F.col("ymin")).alias("_y0"),
-        boxes.mercator_y(F.col("ymax")).alias("_y1"),
-    )
-    one = one.withColumn("_scale", F.lit(float(long_side)) / F.greatest(F.col("_x1") - F.col("_x0"), F.col("_y1") - F.col("_y0"), F.lit(1e-9)))
-    height = F.greatest(F.lit(8), F.floor((F.col("_y1") - F.col("_y0")) * F.col("_scale")) + 2 * margin)
-    placed = points.crossJoin(F.broadcast(one))
+    x0, x1 = F.radians("xmin").alias("x0"), F.radians("xmax").alias("x1")
+    y0, y1 = boxes.mercator_y(F.col("ymin")).alias("y0"), boxes.mercator_y(F.col("ymax")).alias("y1")
+    frame = extent.select(F.struct(x0, x1, y0, y1).alias("frame"))
+    placed = points.withColumn("_frame", frame.scalar())
+    width, height = F.col("_frame.x1") - F.col("_frame.x0"), F.col("_frame.y1") - F.col("_frame.y0")
+    scale = F.lit(float(long_side)) / F.greatest(width, height, F.lit(1e-9))
+    tall = F.greatest(F.lit(8), F.floor(height * scale) + 2 * margin)
     return placed.withColumns(
         {
-            "pixel_x": F.lit(float(margin)) + (F.radians(x) - F.col("_x0")) * F.col("_scale"),
-            "pixel_y": height - F.lit(float(margin)) - (boxes.mercator_y(F.col(y)) - F.col("_y0")) * F.col("_scale"),
+            "pixel_x": F.lit(float(margin)) + (F.radians(x) - F.col("_frame.x0")) * scale,
+            "pixel_y": tall - F.lit(float(margin)) - (boxes.mercator_y(F.col(y)) - F.col("_frame.y0")) * scale,
         }
-    ).drop("_x0", "_x1", "_y0", "_y1", "_scale")
+    ).drop("_frame")

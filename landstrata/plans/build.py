@@ -103,7 +103,7 @@ def write_layer(
     )
     facts = partition_facts(spec, extent, planned, chosen, written, key)
     if duplicates is not None:
-        facts = facts.crossJoin(F.broadcast(duplicates))
+        facts = facts.withColumn("duplicate_codes", duplicates.scalar())
     return Published(materialise(layer.label(facts, "value")), written, groups)
 
 

@@ -222,7 +222,7 @@ def stac_type(spark, sf_dir):
     for name in ("orders", "lineitem", "documents"):
         rows = table(spark, sf_dir, name)
         columns = codes.catalog_columns(rows).select(F.lit(name).alias("table_name"), "name", "type")
-        stated = columns.crossJoin(F.broadcast(aggregates.layer_count(rows)))
+        stated = columns.withColumn("rows", aggregates.layer_count(rows).scalar())
         listed = stated if listed is None else listed.unionByName(stated)
     return listed
 

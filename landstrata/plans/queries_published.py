@@ -93,7 +93,7 @@ def scan_catalogs(spark, sf_dir):
     """Child catalogs, with the items found below each."""
     root, _ = published(spark, sf_dir)
     items = catalog.scan_items(spark, f"{root}/units-1").agg(F.count(F.lit(1)).alias("items"))
-    return catalog.scan_catalogs(spark, root).crossJoin(F.broadcast(items))
+    return catalog.scan_catalogs(spark, root).withColumn("items", items.scalar())
 
 
 @query(
@@ -301,7 +301,7 @@ def write_root(spark, sf_dir):
     raw = spark.read.option("multiLine", "true").schema(catalog.CATALOG_TYPE).json(f"{root}/catalog.json")
     links = raw.select(F.explode("links").alias("l")).select("l.rel", "l.href", "l.title").where("rel = 'child'")
     rows = catalog.scan_items(spark, f"{root}/units-1").agg(F.sum("rows").alias("rows"))
-    return links.crossJoin(F.broadcast(rows))
+    return links.withColumn("rows", rows.scalar())
 
 
 # ---- checks ------------------------------------------------------------------------------------

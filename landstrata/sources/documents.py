@@ -245,8 +245,7 @@ def manifest_document(
     entries = F.collect_list(F.struct("path", F.struct("bytes", "sha256").alias("file")))
     listed = inventory.agg(F.map_from_entries(F.array_sort(entries)).alias("files"))
     totals = manifest_totals(inventory).select(F.struct("parquet_files", "parquet_bytes").alias("totals"))
-    # Three one-row tables side by side.
-    one = collections.crossJoin(F.broadcast(listed)).crossJoin(F.broadcast(totals))
+    one = collections.withColumns({"files": listed.scalar(), "totals": totals.scalar()})
     given = {name: value for name, value in parameters.items()}
     source_type = "array<map<string,string>>"
     document = _json(

@@ -8,7 +8,6 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyarrow import fs as pafs
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 CHUNK = 8 * 1024 * 1024
 
@@ -74,10 +73,3 @@ def rename(spark: SparkSession, source: str, target: str) -> None:
 def delete(spark: SparkSession, path: str) -> None:
     system, target = hadoop(spark, path)
     system.delete(target, True)
-
-
-def relative_path(root: str, column: str = "path"):
-    """The part of a listed file's path below `root`."""
-    body = root.split(":", 1)[-1].rstrip("/") if ":" in root else root.rstrip("/")
-    body = "/" + body.lstrip("/")
-    return F.expr(f"substring({column}, locate('{body}/', {column}) + {len(body) + 1})")

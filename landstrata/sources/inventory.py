@@ -6,6 +6,7 @@ import hashlib
 from collections.abc import Iterator
 
 import pyarrow as pa
+from pyarrow import fs as pafs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,17 +14,45 @@ from landstrata.sources import files
 
 
 def list_files(spark: SparkSession, root: str) -> DataFrame:
-    """(path below the root, bytes, uri) of every file; contents are not read."""
-    listed = (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", "true")
-        .load(root)
-        .select(F.col("path").alias("uri"), F.col("length").alias("bytes"))
-    )
-    return listed.select(files.relative_path(root, "uri").alias("path"), "bytes", "uri")
-
+    """(path below the root, bytes) of every file, hidden and empty ones too; contents are not read.
 
-def file_inventory(spark: SparkSession, root: str, exclude: tuple[str, ...] = (), tasks: int | None = None) -> DataFrame:
+    Spark's own file sources leave out empty files and names that begin with `_` or `.`, so the
+    listing is done here: the first levels of folders on the driver, everything below them by tasks.
+    """
+    system, base = files.filesystem(root)
+    wanted = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    folders, found = [""], []
+    for _ in range(3):
+        if not folders or len(folders) >= wanted:
+            break
+        below = []
+        for folder in folders:
+            for info in system.get_file_info(pafs.FileSelector(f"{base}/{folder}".rstrip("/"))):
+                path = info.path[len(base) :].lstrip("/")
+                if info.type == pafs.FileType.Directory:
+                    below.append(path)
+                else:
+                    found.append((path, info.size))
+        folders = below
+    listed = spark.createDataFrame(found, "path string, bytes bigint")
+    if not folders:
+        return listed
+    tops = spark.createDataFrame([(f,) for f in folders], "folder string").repartition(min(len(folders), wanted))
+
+    def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        system, base = files.filesystem(root)
+        for batch in batches:
+            for folder in batch.column("folder").to_pylist():
+                infos = system.get_file_info(pafs.FileSelector(f"{base}/{folder}", recursive=True))
+                kept = [i for i in infos if i.type == pafs.FileType.File]
+                paths = pa.array([i.path[len(base) :].lstrip("/") for i in kept], pa.string())
+                sizes = pa.array([i.size for i in kept], pa.int64())
+                yield pa.RecordBatch.from_arrays([paths, sizes], ["path", "bytes"])
+
+    return listed.unionByName(tops.mapInArrow(walk, "path string, bytes bigint"))
+
+
+def file_inventory(spark: SparkSession, root: str, exclude: tuple[str, ...] = ()) -> DataFrame:
     """(path, bytes, sha256) of every file under `root`, except files with an excluded name.
 
     Paths are dealt out to tasks, and each file is hashed in chunks, so neither many files nor a
@@ -32,20 +61,23 @@ def file_inventory(spark: SparkSession, root: str, exclude: tuple[str, ...] = ()
     listed = list_files(spark, root)
     if exclude:
         listed = listed.where(~F.element_at(F.split("path", "/"), -1).isin(list(exclude)))
-    spread = tasks or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return listed.repartition(spread, "uri").mapInArrow(_hash_files, "path string, bytes bigint, sha256 string")
 
+    def hash_files(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        system, base = files.filesystem(root)
+        for batch in batches:
+            found = [files.digest(system, f"{base}/{path}") for path in batch.column("path").to_pylist()]
+            sizes, digests = zip(*found) if found else ((), ())
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("path"), pa.array(sizes, pa.int64()), pa.array(digests, pa.string())],
+                ["path", "bytes", "sha256"],
+            )
 
-def _hash_files(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        found = []
-        for uri in batch.column("uri").to_pylist():
-            found.append(files.digest(*files.filesystem(uri)))
-        sizes, digests = zip(*found) if found else ((), ())
-        yield pa.RecordBatch.from_arrays(
-            [batch.column("path"), pa.array(sizes, pa.int64()), pa.array(digests, pa.string())],
-            ["path", "bytes", "sha256"],
-        )
+    return dealt_out(listed).mapInArrow(hash_files, "path string, bytes bigint, sha256 string")
+
+
+def dealt_out(listed: DataFrame) -> DataFrame:
+    """Paths spread over tasks, each path's work being large."""
+    return listed.repartition(int(listed.sparkSession.conf.get("spark.sql.shuffle.partitions")), "path")
 
 
 def path_order(path: Column) -> Column:
