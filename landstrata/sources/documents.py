@@ -1,7 +1,8 @@
 """Catalog documents made from tables: one row (path, text) per document.
 
-A document lists partitions or files. Those lists are counted first; a document that would list more
-than DOCUMENT_ENTRIES is refused, and the same content is always there as a table (`files`, `groups`).
+A document lists partitions or files. Those lists are counted first, as they are collected into one
+row: a million entries are about 200 MB of text, and a million files of the default size hold 1 PB.
+A table that has more files is written with larger ones (`LayoutOptions.file_bytes`).
 """
 
 from __future__ import annotations
@@ -15,7 +16,7 @@ from pyspark.sql import functions as F
 from landstrata.functions import boxes, codes, fixed
 from landstrata.operators.checks import CheckFailed
 
-DOCUMENT_ENTRIES = 100_000
+DOCUMENT_ENTRIES = 1_000_000
 
 
 @dataclass(frozen=True)
@@ -79,7 +80,7 @@ def check_entries(table: DataFrame, what: str, by: str | None = None) -> None:
     counted = table.groupBy(by).count() if by else table.groupBy().count()
     over = counted.where(F.col("count") > DOCUMENT_ENTRIES).limit(1).collect()
     if over:
-        raise CheckFailed(f"{what} would list {over[0]['count']:,} entries; use its table instead")
+        raise CheckFailed(f"{what} would list {over[0]['count']:,} entries; write larger files")
 
 
 def item_documents(facts: DataFrame, files: DataFrame, spec: CollectionSpec, columns: list[dict]) -> DataFrame:
