@@ -31,6 +31,11 @@ def not_null_key_guard(df: DataFrame, key: str) -> DataFrame:
     return df
 
 
+def unsafe_keys(extent: DataFrame, key: str) -> DataFrame:
+    """Partition values that cannot be a folder name as they are: empty, or with a reserved character."""
+    return extent.select(key).where((F.col(key) == "") | F.col(key).rlike(r"""[\x00-\x1f\x7f"#%'*/:=?\\{\[\]^]"""))
+
+
 def count_reconcile(parts: DataFrame, source_rows: DataFrame) -> DataFrame:
     """One row: rows of all partitions, rows of the source, and whether they agree."""
     total = parts.agg(F.coalesce(F.sum("rows"), F.lit(0)).alias("partition_rows"))

@@ -169,3 +169,9 @@ def test_null_key_guard(spark):
 def test_paths():
     for uri in ("/a/b", "file:/a/b", "file:///a/b"):
         assert files.filesystem(uri)[1] == "/a/b"
+
+
+def test_unsafe_keys(spark):
+    values = ["UT", "a b", "a/b", "", "a=b", "a%b", "a]b", "a\\b", "a\nb", "a-b_c.d"]
+    df = spark.createDataFrame([(v,) for v in values], "k string")
+    assert {r.k for r in checks.unsafe_keys(df, "k").collect()} == set(values) - {"UT", "a b", "a-b_c.d"}
