@@ -166,3 +166,40 @@ def test_search_retries(spark, many_tasks):
         assert [r.group_id for r in placed] == groups
     assert seen["never"] == (0, False)
     assert len({a for a, _ in seen.values()}) >= 3, seen
+
+
+def test_odd_partitions(spark):
+    """One row, one box many times, points on a line, all rows over the budget, fraction 0 or not."""
+    made = {
+        "one": [(0, 0, 2, 1)],
+        "same": [(0, 0, 1, 1)] * 6,
+        "line": [(i, 0, i, 0) for i in range(210)],
+        "half": [(i % 7, i % 5, i % 7 + 3.5, i % 5 + 0.1) for i in range(40)],
+    }
+    rows = [(k, i, *map(float, b), 50 + i % 3) for k, found in made.items() for i, b in enumerate(found)]
+    measures = spark.createDataFrame(
+        rows, "part_key string, fid long, xmin double, ymin double, xmax double, ymax double, wkb_bytes long"
+    ).select(
+        "part_key", "fid", F.struct(*boxes.SIDES).alias("bbox"), F.lit("Polygon").alias("geometry_kind"), "wkb_bytes",
+        F.lit(80).cast("bigint").alias("attribute_eighths"),
+    )
+    costed = layout.costed_rows(measures, layout.measured_extent(measures, "part_key"), "part_key")
+    for options in (
+        layout.LayoutOptions(group_bytes=40), layout.LayoutOptions(group_bytes=122, group_rows=2),
+        layout.LayoutOptions(group_bytes=400, group_rows=5, large_fraction=0.0),
+    ):
+        laid, chosen = layout.layout_search(costed, "part_key", ["fid"], options)
+        picked = {r.part_key: r for r in chosen.collect()}
+        got = {}
+        for r in laid.collect():
+            got.setdefault(r.part_key, []).append(r)
+        source = {}
+        for r in costed.collect():
+            source.setdefault(r.part_key, []).append(r)
+        for key, mine in source.items():
+            mine.sort(key=lambda r: (r.curve, r.fid))
+            attempt, order, groups, ok = slow.search([(r["size"], r.cost, box_of(r)) for r in mine], options, 1024)
+            placed = sorted(got[key], key=lambda r: r.position)
+            assert (picked[key].attempt, picked[key].order_ok) == (attempt, ok), (key, options)
+            assert [r.fid for r in placed] == [mine[i].fid for i in order]
+            assert [r.group_id for r in placed] == groups
