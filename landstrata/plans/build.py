@@ -168,21 +168,26 @@ def build_dataset(
     updated = updated or now()
     staging = writer.staging_folder(target)
     published: dict[str, Published] = {}
-    for layer in layers_:
-        done = write_layer(layer, f"{staging}/{layer.spec.id}", options, only, boxless_groups)
-        write_collection(layer, done, staging, updated)
-        published[layer.spec.id] = done
-    names = [(i, layer.spec.id, layer.spec.title) for i, layer in enumerate(layers_)]
-    children = spark.createDataFrame(names, "position int, name string, title string")
-    materialise(files.write_documents(documents.catalog_document(children, catalog_id, title, description, updated), staging))
-    facts = None
-    for done in published.values():
-        facts = done.facts if facts is None else facts.unionByName(done.facts, allowMissingColumns=True)
-    listed = materialise(inventory.file_inventory(spark, staging, exclude=("manifest.json",)))
-    parameters = {**asdict(options), "only": ",".join(only) if only else None}
-    manifest = documents.manifest_document(facts, listed, kind, updated, parameters, list(sources))
-    materialise(files.write_documents(manifest, staging))
-    files.rename(spark, staging, target)
+    try:
+        for layer in layers_:
+            done = write_layer(layer, f"{staging}/{layer.spec.id}", options, only, boxless_groups)
+            write_collection(layer, done, staging, updated)
+            published[layer.spec.id] = done
+        names = [(i, layer.spec.id, layer.spec.title) for i, layer in enumerate(layers_)]
+        children = spark.createDataFrame(names, "position int, name string, title string")
+        top = documents.catalog_document(children, catalog_id, title, description, updated)
+        materialise(files.write_documents(top, staging))
+        facts = None
+        for done in published.values():
+            facts = done.facts if facts is None else facts.unionByName(done.facts, allowMissingColumns=True)
+        listed = materialise(inventory.file_inventory(spark, staging, exclude=("manifest.json",)))
+        parameters = {**asdict(options), "only": ",".join(only) if only else None}
+        manifest = documents.manifest_document(facts, listed, kind, updated, parameters, list(sources))
+        materialise(files.write_documents(manifest, staging))
+        files.rename(spark, staging, target)
+    except Exception:
+        files.delete(spark, staging)  # ours alone, and nothing else refers to it
+        raise
     return published
 
 

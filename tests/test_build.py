@@ -165,3 +165,10 @@ def test_watershed_layer(spark, sf, tmp_path):
     assert found.count() == 1
     plan = formatted(found)
     assert "PartitionFilters: [isnotnull(huc2" in plan
+
+
+def test_failed_build_leaves_nothing(spark, sf, tmp_path):
+    rows = shaped_features(spark, sf).withColumn("part_key", F.lit("a/b"))
+    with pytest.raises(checks.CheckFailed, match="cannot name a folder"):
+        build.build_dataset(spark, "units", [feature_layer(rows)], str(tmp_path / "out"), "x", "x", "x")
+    assert list(tmp_path.iterdir()) == []
