@@ -5,8 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from landstrata.session import materialise
-
 CONTENT_LIMIT = 5_000_000  # larger files are compared by size only
 
 
@@ -133,10 +131,3 @@ def schema_agree(items: DataFrame) -> DataFrame:
 def order_report(facts: DataFrame) -> DataFrame:
     """Which layout each partition got, and whether its order passed."""
     return facts.select("value", "large_fraction", "group_bytes", "large_rows", "order_ok")
-
-
-def store_and_refuse(checked: DataFrame, bad, message: str) -> DataFrame:
-    """Keeps a check's result and refuses its bad rows."""
-    stored = materialise(checked)
-    refuse(stored.where(bad), message)
-    return stored

@@ -53,10 +53,3 @@ def item_pruned(layer: DataFrame, items: DataFrame, key: str, area: tuple[float,
         return layer.where(F.col(key).isin([r.value for r in few]) & boxes.intersects(area))
     side = F.broadcast(values) if values.count() <= BROADCAST_ROWS else values
     return layer.where(boxes.intersects(area)).join(side.withColumnRenamed("value", key), key, "left_semi")
-
-
-def large_rows(rows: DataFrame, fraction: float) -> DataFrame:
-    """Rows whose larger side exceeds a share of their partition's (`size`, `span`)."""
-    from landstrata.operators.ordering import is_large
-
-    return rows.where(is_large(F.col("size"), F.col("span"), fraction))

@@ -68,6 +68,7 @@ def write_layer(
     measures = layout.measure(rows, key, tie, spec.geometry, layer.keep_key)
     checks.not_null_key_guard(measures, key)
     extent = materialise(layout.measured_extent(measures, key))
+    checks.refuse(extent.groupBy().count().where("count = 0"), f"{spec.id}: the layer is empty")
     checks.refuse(checks.unsafe_keys(extent, key), f"{spec.id}: values of {key} that cannot name a folder")
     placed, chosen = layout.layout_search(layout.costed_rows(measures, extent, key), key, tie, options)
     planned = materialise(

@@ -142,6 +142,8 @@ def test_refusals(spark, sf, tmp_path):
         build.write_layer(layer, str(tmp_path / "a"), LayoutOptions())
     with pytest.raises(ValueError, match="unknown part_key"):
         build.write_layer(feature_layer(rows), str(tmp_path / "b"), LayoutOptions(), only=["00", "zz"])
+    with pytest.raises(checks.CheckFailed, match="layer is empty"):
+        build.write_layer(feature_layer(rows.where("fid < 0")), str(tmp_path / "d"), LayoutOptions())
     with pytest.raises(ValueError, match="capped"):
         LayoutOptions(group_rows=150_001)
     coded = build.Layer(rows, feature_layer(rows).spec, "part_key", ("fid",), codes.with_region_label, code="huc12", digits=11)

@@ -1,13 +1,12 @@
 import random
 
 import numpy as np
-import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from landstrata.functions import boxes
-from landstrata.operators import aggregates, cuts, layout, ordering
-from landstrata.plans.features import features, shaped_features
+from landstrata.operators import cuts, layout, ordering
+from landstrata.plans.features import features
 
 import slow
 
