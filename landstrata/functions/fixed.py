@@ -35,8 +35,17 @@ LEVEL_NAMES = {
     12: "subwatersheds", 14: "", 16: "",
 }
 
-# Levels that are delineated in part of the country only.
+# Levels that are delineated in part of the country only, and what their descriptions say about it.
 PARTIAL_LEVELS = (14, 16)
+PARTIAL_NOTE = (
+    "This level covers a part of the country: units exist where a state has subdivided its subwatersheds. "
+    "Where there is none, the area was not divided that far; the 12-digit units cover everything."
+)
+
+# The agency's pages on its two datasets, and on the terms its data may be used under.
+PROTECTED_AREAS_PAGE = "https://www.usgs.gov/programs/gap-analysis-project/science/pad-us-data-overview"
+WATERSHEDS_PAGE = "https://www.usgs.gov/national-hydrography/watershed-boundary-dataset"
+USGS_TERMS = "https://www.usgs.gov/information-policies-and-instructions/copyrights-and-credits"
 
 # Schema addresses and media types of the catalog documents.
 STAC_VERSION = "1.1.0"
@@ -60,7 +69,7 @@ CATALOG_TYPES = {
     "timestamp": "timestamp",
 }
 BBOX_TYPE = "struct(xmin double, ymin double, xmax double, ymax double)"
-BBOX_DESCRIPTION = "Per-feature bounding box, the GeoParquet 1.1 covering."
+BBOX_DESCRIPTION = "West, south, east and north side of the feature; readers skip row groups by it."
 
 # EPSG:4269 (NAD83 longitude, latitude) as PROJJSON.
 EPSG_4269 = {

@@ -95,43 +95,140 @@ def shape_facts(shape: bytes | None) -> tuple | None:
     return (*placed, kind, has_z)
 
 
-def _simple_polygons(shapes: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """Rows that are flat little-endian polygons of one ring, and their boxes, without a row loop."""
-    offsets = np.frombuffer(shapes.buffers()[1], dtype=np.int32)[shapes.offset : shapes.offset + len(shapes) + 1]
-    data = np.frombuffer(shapes.buffers()[2] or b"", dtype=np.uint8)
-    starts, lengths = offsets[:-1].astype(np.int64), np.diff(offsets)
-    simple = np.flatnonzero((lengths >= 13 + 16) & ((lengths - 13) % 16 == 0))
-    heads = data[starts[simple, None] + np.arange(13)] if len(simple) else np.empty((0, 13), np.uint8)
-    fixed = np.frombuffer(struct.pack("<BII", 1, 3, 1), dtype=np.uint8)
-    points = (lengths[simple] - 13) // 16
-    fit = (heads[:, :9] == fixed).all(axis=1) & (heads[:, 9:].copy().view("<u4").ravel() == points)
-    simple, points = simple[fit], points[fit]
-    if not len(simple):
-        return simple, np.empty((0, 4))
-    first = np.concatenate([[0], np.cumsum(points)[:-1]])
-    within = np.arange(points.sum()) - np.repeat(first, points)
-    at = np.repeat(starts[simple] + 13, points) + 16 * within
-    xy = data[at[:, None] + np.arange(16)].view("<f8")
-    low = np.minimum.reduceat(xy, first, axis=0)
-    high = np.maximum.reduceat(xy, first, axis=0)
-    whole = ~(np.isnan(low).any(axis=1))
-    return simple[whole], np.hstack([low, high])[whole]
+# Rows walked together; when fewer are left, each is read by itself.
+FEW = 16
+
+
+class _Walk:
+    """Reads the headers of all shapes of a batch in step: the n-th part or ring of every row at once.
+
+    `runs` gathers where rows have points: (row, offset, points, ordinates of a point, little-endian).
+    Rows that are null, malformed, collections, or the last few with many parts are left to `shape_facts`.
+    """
+
+    def __init__(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray):
+        self.data, self.ends = data, ends
+        self.runs: list[tuple[np.ndarray, ...]] = []
+        n = len(starts)
+        self.at = starts.copy()
+        self.little, self.width = np.zeros(n, bool), np.zeros(n, np.int64)
+        self.fit = ends > starts
+        self.kind, self.has_z = self._headers(np.flatnonzero(self.fit))
+        self.fit &= (self.kind >= 1) & (self.kind <= 6)
+
+    def _numbers(self, rows: np.ndarray) -> np.ndarray:
+        """The four-byte number at each row's place, which moves on; rows that end before it are unfit."""
+        at = self.at[rows]
+        inside = at + 4 <= self.ends[rows]
+        self.fit[rows[~inside]] = False
+        at = np.where(inside, at, 0)
+        bytes_ = [self.data[at + k].astype(np.int64) if inside.any() else np.zeros(len(rows), np.int64) for k in range(4)]
+        low = bytes_[0] | bytes_[1] << 8 | bytes_[2] << 16 | bytes_[3] << 24
+        high = bytes_[3] | bytes_[2] << 8 | bytes_[1] << 16 | bytes_[0] << 24
+        self.at[rows] += 4
+        return np.where(self.little[rows], low, high)
+
+    def _headers(self, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Kind and Z of the shape at each row's place; sets byte order and width, and moves on."""
+        kind, has_z = np.zeros(len(self.at), np.int64), np.zeros(len(self.at), bool)
+        inside = self.at[rows] < self.ends[rows]
+        self.fit[rows[~inside]] = False
+        rows = rows[inside]
+        if not len(rows):
+            return kind, has_z
+        self.little[rows] = self.data[self.at[rows]] == 1
+        self.at[rows] += 1
+        code = self._numbers(rows)
+        iso = (code & 0x0FFFFFFF) // 1000
+        has_z[rows] = (code & Z_BIT != 0) | (iso == 1) | (iso == 3)
+        has_m = (code & M_BIT != 0) | (iso == 2) | (iso == 3)
+        self.at[rows] += np.where(code & SRID_BIT != 0, 4, 0)
+        self.width[rows] = 2 + has_z[rows] + has_m
+        kind[rows] = (code & 0x0FFFFFFF) % 1000
+        return kind, has_z
+
+    def _run(self, rows: np.ndarray, points: np.ndarray) -> None:
+        size = points * self.width[rows] * 8
+        inside = self.at[rows] + size <= self.ends[rows]
+        self.fit[rows[~inside]] = False
+        kept = inside & (points > 0)
+        own = rows[kept]
+        self.runs.append((own, self.at[own], points[kept], self.width[own], self.little[own]))
+        self.at[rows] += np.where(inside, size, 0)
+
+    def walk(self) -> None:
+        parts, rings = np.zeros(len(self.at), np.int64), np.zeros(len(self.at), np.int64)
+        inner = np.where(self.kind <= 3, self.kind, self.kind - 3)  # what a part is
+        several = np.flatnonzero(self.fit & (self.kind > 3))
+        parts[several] = self._numbers(several)
+        single = np.flatnonzero(self.fit & (self.kind <= 3))
+        self._begin(single, inner, rings)
+        while True:
+            open_ = self.fit & ((parts > 0) | (rings > 0))
+            if open_.sum() < FEW:
+                self.fit &= ~open_
+                return
+            ring = np.flatnonzero(open_ & (rings > 0))
+            rings[ring] -= 1
+            self._run(ring, self._numbers(ring))
+            part = np.flatnonzero(self.fit & (rings == 0) & (parts > 0))
+            parts[part] -= 1
+            kind, _ = self._headers(part)
+            self.fit[part] &= kind[part] == inner[part]
+            self._begin(part[self.fit[part]], inner, rings)
+
+    def _begin(self, rows: np.ndarray, inner: np.ndarray, rings: np.ndarray) -> None:
+        """After a header: a point has its run at once, a line one run to come, a polygon its rings."""
+        point = rows[inner[rows] == 1]
+        self._run(point, np.ones(len(point), np.int64))
+        rings[rows[inner[rows] == 2]] = 1
+        polygon = rows[inner[rows] == 3]
+        rings[polygon] = self._numbers(polygon)
+
+    def boxes(self) -> np.ndarray:
+        """Lowest and highest x and y of every row; infinite where it has no point. A point counts if both
+        its ordinates are numbers."""
+        out = np.empty((len(self.at), 4))
+        out[:] = NOWHERE
+        if not self.runs:
+            return out
+        row, at, points, width, little = (np.concatenate(x) for x in zip(*self.runs))
+        group = (at % 8) * 8 + width * 2 + little
+        for found in np.unique(group):
+            own = np.flatnonzero(group == found)
+            shift, order = int(at[own[0]] % 8), "<f8" if little[own[0]] else ">f8"
+            words = self.data[shift : shift + (len(self.data) - shift) // 8 * 8].view(order)
+            ends = np.cumsum(points[own])
+            first = ends - points[own]
+            step = int(width[own[0]])
+            place = np.repeat((at[own] - shift) // 8 - first * step, points[own]) + np.arange(ends[-1]) * step
+            x, y = words[place].astype("f8", copy=False), words[place + 1].astype("f8", copy=False)
+            lost = np.isnan(x) | np.isnan(y)
+            for side, values, reduce, none in ((0, x, np.minimum, np.inf), (1, y, np.minimum, np.inf), (2, x, np.maximum, -np.inf), (3, y, np.maximum, -np.inf)):
+                values = np.where(lost, none, values) if lost.any() else values
+                reduce.at(out[:, side], row[own], reduce.reduceat(values, first))
+        return out
 
 
 def _batch_facts(shapes: pa.Array) -> pa.Array:
     if isinstance(shapes, pa.ChunkedArray):
         shapes = shapes.combine_chunks()
     shapes = shapes.cast(pa.binary())
-    rows, boxes = _simple_polygons(shapes) if len(shapes) else (np.empty(0, int), np.empty((0, 4)))
-    columns = [np.full(len(shapes), np.nan) for _ in range(4)]
-    placed = np.zeros(len(shapes), bool)
-    kinds, has_z = np.empty(len(shapes), object), np.zeros(len(shapes), bool)
-    for column, values in zip(columns, boxes.T):
-        column[rows] = values
-    placed[rows] = True
-    kinds[rows] = KINDS[3]
-    done = np.zeros(len(shapes), bool)
-    done[rows] = True
+    n = len(shapes)
+    kinds, has_z, placed = np.empty(n, object), np.zeros(n, bool), np.zeros(n, bool)
+    columns = [np.full(n, np.nan) for _ in range(4)]
+    done = np.zeros(n, bool)
+    if n and shapes.buffers()[2] is not None and shapes.buffers()[2].size:
+        offsets = np.frombuffer(shapes.buffers()[1], dtype=np.int32)[shapes.offset : shapes.offset + n + 1].astype(np.int64)
+        walk = _Walk(np.frombuffer(shapes.buffers()[2], dtype=np.uint8), offsets[:-1], offsets[1:])
+        walk.walk()
+        done = walk.fit & shapes.is_valid().to_numpy(zero_copy_only=False)
+        found = walk.boxes()
+        placed = done & (found[:, 0] <= found[:, 2])
+        for column, values in zip(columns, found.T):
+            column[placed] = values[placed]
+        kinds[done] = np.array([KINDS.get(k) for k in range(8)], object)[walk.kind[done]]
+        has_z = walk.has_z & done
     for row in np.flatnonzero(~done):
         facts = shape_facts(shapes[int(row)].as_py())
         if facts is not None:

@@ -61,10 +61,12 @@ def group_stats(rows: DataFrame, key: str, *extra: str) -> DataFrame:
 
 
 def collection_rollup(items: DataFrame, collection: str = "collection") -> DataFrame:
-    """Per collection: rows, files, and the union of the boxes clamped to valid coordinates."""
+    """Per collection: rows, files, and the union of the boxes clamped to valid coordinates. An item
+    is one file unless `files` says how many it has."""
+    files = F.sum("files") if "files" in items.columns else F.count(F.lit(1))
     united = items.groupBy(collection).agg(
         F.sum("rows").alias("rows"),
-        F.count(F.lit(1)).alias("files"),
+        files.alias("files"),
         F.struct(*boxes.union_aggregates()).alias("bbox"),
     )
     return united.withColumn("bbox", boxes.clamp_wgs84("bbox"))

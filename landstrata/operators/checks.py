@@ -5,8 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-CONTENT_LIMIT = 5_000_000  # larger files are compared by size only
-
 
 class CheckFailed(ValueError):
     """A table, a build or a catalog is not what it has to be."""
@@ -25,7 +23,7 @@ def null_keys(df: DataFrame, key: str) -> DataFrame:
 
 
 def not_null_key_guard(df: DataFrame, key: str) -> DataFrame:
-    refuse(null_keys(df, key).where("null_keys > 0"), f"rows without {key}; decide where they go first")
+    refuse(null_keys(df, key).where("null_keys > 0"), f"{key} is null in some rows, which so belong to no partition")
     return df
 
 
@@ -75,13 +73,15 @@ def source_pin(found: DataFrame, pins: DataFrame, name: str, allow_unpinned: boo
     )
 
 
-def manifest_vs_listing(manifest: DataFrame, listing: DataFrame, limit: int = CONTENT_LIMIT) -> DataFrame:
-    """Manifest entries that are missing, have another size, or (small files) other content."""
+def manifest_vs_listing(manifest: DataFrame, listing: DataFrame, limit: int | None = None) -> DataFrame:
+    """Manifest entries that are missing, have another size or other content. With a `limit`, the
+    content of files of that size or more is not compared."""
     live = listing.select("path", F.col("bytes").alias("live_bytes"), F.col("sha256").alias("live_sha256"))
+    compared = F.lit(True) if limit is None else F.col("bytes") < limit
     reason = (
         F.when(F.col("live_bytes").isNull(), "missing")
         .when(F.col("live_bytes") != F.col("bytes"), "bytes differ")
-        .when((F.col("bytes") < limit) & ~F.col("live_sha256").eqNullSafe(F.col("sha256")), "sha256 differs")
+        .when(compared & ~F.col("live_sha256").eqNullSafe(F.col("sha256")), "sha256 differs")
     )
     return manifest.join(live, "path", "left").withColumn("problem", reason).where(F.col("problem").isNotNull())
 
@@ -128,6 +128,6 @@ def schema_agree(items: DataFrame) -> DataFrame:
     return items.groupBy("collection").agg(F.count_distinct("columns").alias("schemas"))
 
 
-def order_report(facts: DataFrame) -> DataFrame:
+def order_report(facts: DataFrame, key: str = "value") -> DataFrame:
     """Which layout each partition got, and whether its order passed."""
-    return facts.select("value", "large_fraction", "group_bytes", "large_rows", "order_ok")
+    return facts.select(key, "large_fraction", "group_bytes", "large_rows", "row_groups", "order_ok")

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from landstrata.functions import boxes
-from landstrata.session import BROADCAST_ROWS
+from landstrata.session import BROADCAST_ROWS, materialise_observing
 
 
 def _meets(area: tuple[float, float, float, float]):
@@ -47,9 +47,8 @@ def item_pruned(layer: DataFrame, items: DataFrame, key: str, area: tuple[float,
     The few partition values become a filter on the key, so other files are not listed as input.
     More values than a filter can hold are joined instead, which also prunes at run time.
     """
-    values = partitions_meeting(items, area).select("value").distinct()
-    few = values.limit(1001).collect()
-    if len(few) <= 1000:
-        return layer.where(F.col(key).isin([r.value for r in few]) & boxes.intersects(area))
-    side = F.broadcast(values) if values.count() <= BROADCAST_ROWS else values
+    values, seen = materialise_observing(partitions_meeting(items, area).select("value").distinct(), rows=F.count(F.lit(1)))
+    if seen["rows"] <= 1000:
+        return layer.where(F.col(key).isin([r.value for r in values.collect()]) & boxes.intersects(area))
+    side = F.broadcast(values) if seen["rows"] <= BROADCAST_ROWS else values
     return layer.where(boxes.intersects(area)).join(side.withColumnRenamed("value", key), key, "left_semi")

@@ -10,7 +10,7 @@ from landstrata.operators import aggregates, ordering
 from landstrata.operators.layout import LayoutOptions
 from landstrata.plans.check_sql import compose
 from landstrata.plans.features import features
-from landstrata.plans.registry import KEY, TIE, query
+from landstrata.plans.registry import KEY, TIE, published, query
 from landstrata.session import fresh_folder
 from landstrata.sources import layers, writer
 
@@ -37,7 +37,8 @@ W, S, E, N = AREA
     ),
 )
 def box_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = layers.scan_all(spark, write_simple(spark, sf_dir)).where(boxes.intersects(AREA))
+    root, _ = published(spark, sf_dir)
+    found = layers.scan_all(spark, f"{root}/units-1/units").where(boxes.intersects(AREA))
     return found.groupBy(KEY).agg(
         F.count(F.lit(1)).alias("units"),
         F.sum(F.col("area_km2").cast("decimal(18,2)")).cast("double").alias("area"),

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from landstrata.functions import boxes
-from landstrata.operators import aggregates, covering, cuts, layout, ordering, pruning
+from landstrata.operators import aggregates, checks, covering, cuts, layout, ordering, pruning
 from landstrata.operators.layout import LayoutOptions
 from landstrata.plans.check_sql import VARIED, attempts, compose, curve, cut, mean_cost, search_attempts, verdict
 from landstrata.plans.features import features, table
@@ -221,7 +221,7 @@ def order_report(spark, sf_dir):
     """Which layout each partition got, and whether its order passed."""
     rows, chosen = searched(spark, sf_dir)
     counts = rows.groupBy(KEY).agg(F.count_if("is_large").alias("large_rows"), F.count_if("group_head").alias("row_groups"))
-    return chosen.join(counts, KEY).select(KEY, "order_ok", "large_fraction", "group_bytes", "large_rows", "row_groups")
+    return checks.order_report(chosen.join(counts, KEY), KEY)
 
 
 @query(

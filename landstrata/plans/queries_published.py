@@ -11,7 +11,7 @@ from landstrata.plans.check_sql import compose, curve, cut, extent, mean_cost, s
 from landstrata.plans.features import features, shaped_features, table
 from landstrata.plans.flagship import write_simple
 from landstrata.plans.queries_columns import CORRUPT_SQL, _values, corrupt_codes
-from landstrata.plans.registry import GEOMETRY, GROUP_BYTES, KEY, flat, published, query, units_layer
+from landstrata.plans.registry import GEOMETRY, GROUP_BYTES, KEY, ONLY, flat, published, published_levels, query, units_layer
 from landstrata.session import materialise
 from landstrata.sources import catalog, documents, footers, inventory, layers
 
@@ -127,7 +127,7 @@ def partition_eq(spark, sf_dir):
 @query("code_prefix_lookup", compose(f"SELECT fid, part_key, huc12, {SIDES} FROM features WHERE huc12 = (SELECT max(huc12) FROM features)"))
 def code_prefix_lookup(spark, sf_dir):
     rows = layers.scan_all(spark, units(spark, sf_dir))
-    last = features(spark, sf_dir).agg(F.max("huc12").alias("code")).first().code
+    last = features(spark, sf_dir).agg(F.max("huc12").alias("code")).scalar()
     return flat(layers.code_lookup(rows, KEY, "huc12", last), "fid", KEY, "huc12")
 
 
@@ -304,6 +304,61 @@ def write_root(spark, sf_dir):
     return links.withColumn("rows", rows.scalar())
 
 
+# ---- two levels of units, some regions ---------------------------------------------------------
+
+LEVEL_ROWS = f"""SELECT 'hu12' AS collection, part_key AS value, count(*) AS rows FROM features WHERE part_key IN {tuple(ONLY)} GROUP BY part_key
+  UNION ALL SELECT 'hu14', part_key, count(*) FROM features WHERE part_key IN {tuple(ONLY)} AND part_key < '10' GROUP BY part_key"""
+# The columns of the levels' files: the key in the path is none of them.
+LEVEL_COLUMNS = [
+    (level, i, name, kind)
+    for level in (12, 14)
+    for i, (name, kind) in enumerate(
+        [("tnmid", "varchar")]
+        + ([("huc12", "varchar"), ("area_km2", "double")] if level == 12 else [("area_km2", "double")])
+        + [("geometry", "geometry")]
+        + ([("huc14", "varchar")] if level == 14 else [])
+        + [("bbox", fixed.BBOX_TYPE)]
+    )
+]
+
+
+@query("only_levels", compose(LEVEL_ROWS))
+def only_levels(spark, sf_dir):
+    """Partitions of a build of two levels for which two regions were wanted."""
+    return catalog.scan_items(spark, published_levels(spark, sf_dir)).select("collection", "value", "rows")
+
+
+@query(
+    "item_columns",
+    compose(
+        f"""SELECT collection, value, CAST(place AS INTEGER) AS place, name, type FROM ({LEVEL_ROWS}) l
+            JOIN (VALUES {", ".join(f"('hu{n}', {i}, '{name}', '{kind}')" for n, i, name, kind in LEVEL_COLUMNS)}) c(level, place, name, type) ON level = collection"""
+    ),
+)
+def item_columns(spark, sf_dir):
+    """Names and types of the files' columns as each item lists them."""
+    items = catalog.scan_items(spark, published_levels(spark, sf_dir))
+    listed = items.select("collection", "value", F.posexplode(F.from_json("columns", "array<struct<name: string, type: string>>")).alias("place", "c"))
+    return listed.select("collection", "value", "place", "c.name", "c.type")
+
+
+@query(
+    "manifest_parameters",
+    f"""SELECT CAST({GROUP_BYTES} AS BIGINT) AS row_group_bytes, CAST(100000 AS BIGINT) AS max_rows_per_group, CAST(9 AS INTEGER) AS zstd_level,
+        CAST(0.5 AS DOUBLE) AS large_feature_fraction_start, '1.1.0, WKB, bbox covering' AS geoparquet, '{",".join(ONLY)}' AS only_values,
+        true AS says_order, count(*) AS rows FROM orders JOIN customer ON o_custkey = c_custkey WHERE lpad(CAST(c_nationkey AS VARCHAR), 2, '0') IN {tuple(ONLY)}""",
+)
+def manifest_parameters(spark, sf_dir):
+    """What a build was told, in the types it was told in, and the rows of the coarser level."""
+    target = published_levels(spark, sf_dir)
+    told = spark.read.option("multiLine", "true").schema(catalog.MANIFEST_TYPE).json(f"{target}/manifest.json").select("parameters.*")
+    rows = catalog.scan_items(spark, target).where("collection = 'hu12'").agg(F.sum("rows").alias("rows"))
+    return told.select(
+        "row_group_bytes", "max_rows_per_group", "zstd_level", "large_feature_fraction_start", "geoparquet", F.col("only").alias("only_values"),
+        (F.length("sort") > 0).alias("says_order"),
+    ).withColumn("rows", rows.scalar())
+
+
 # ---- checks ------------------------------------------------------------------------------------
 
 
@@ -330,7 +385,9 @@ def readback_check(spark, sf_dir):
 @query("stats_present", compose(f"SELECT g.part_key, count(*) AS row_groups, count(*) FILTER (WHERE xmin IS NULL) AS without FROM {KEPT} GROUP BY g.part_key", *LAID))
 def stats_present(spark, sf_dir):
     groups = footers.scan_footers(spark, units(spark, sf_dir)).withColumn("part_key", F.substring("path", 10, 2))
-    return groups.groupBy("part_key").agg(F.count(F.lit(1)).alias("row_groups"), F.count_if(~F.col("has_min_max")).alias("without"))
+    missing = checks.stats_missing(groups).groupBy("part_key").agg(F.count(F.lit(1)).alias("without"))
+    counted = groups.groupBy("part_key").agg(F.count(F.lit(1)).alias("row_groups")).join(missing, "part_key", "left")
+    return counted.select("part_key", "row_groups", F.coalesce("without", F.lit(0).cast("bigint")).alias("without"))
 
 
 @query(
@@ -391,14 +448,14 @@ def live_documents(spark, sf_dir):
     f"""SELECT path, problem FROM (
           SELECT CAST(d.doc_id AS VARCHAR) AS path, CASE WHEN live_bytes IS NULL THEN 'missing'
                  WHEN live_bytes <> octet_length(encode(text)) THEN 'bytes differ'
-                 WHEN octet_length(encode(text)) < 2000 AND live_sha256 <> sha256(text) THEN 'sha256 differs' END AS problem
+                 WHEN live_sha256 <> sha256(text) THEN 'sha256 differs' END AS problem
           FROM documents d LEFT JOIN ({LIVE_SQL}) l USING (doc_id)) q WHERE problem IS NOT NULL""",
 )
 def manifest_vs_listing(spark, sf_dir):
     """Documents as a manifest, against a listing that lacks some and has others changed."""
     manifest = document_files(spark, sf_dir).withColumn("path", F.element_at(F.split("path", "/"), -1))
     live = live_documents(spark, sf_dir).withColumn("path", F.col("doc_id").cast("string"))
-    return checks.manifest_vs_listing(manifest, live, 2000).select("path", "problem")
+    return checks.manifest_vs_listing(manifest, live).select("path", "problem")
 
 
 @query(

@@ -5,9 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from landstrata.functions import boxes, codes
-from landstrata.operators import layout
 from landstrata.operators.layout import LayoutOptions
 from landstrata.plans import build
 from landstrata.plans.features import features, shaped_features
@@ -71,15 +71,26 @@ def published(spark: SparkSession, sf_dir: str) -> tuple[str, build.Published]:
     return shared("published", spark, sf_dir, make)
 
 
-def costed(spark: SparkSession, sf_dir: str, rows: DataFrame, name: str) -> DataFrame:
-    """Layout columns of a shaped table, measured once per session and input."""
+ONLY = ["03", "16"]
+
+
+def published_levels(spark: SparkSession, sf_dir: str) -> str:
+    """A dataset of two levels of units, of which two regions are wanted and the finer level has one."""
 
     def make():
-        measures = layout.measure(rows, KEY, TIE, GEOMETRY)
-        extent = layout.measured_extent(measures, KEY)
-        return layout.costed_rows(measures, extent, KEY)
+        target = f"{fresh_folder(spark, 'levels')}/levels"
+        rows = shaped_features(spark, sf_dir).select(
+            F.col("fid").alias("objectid"), F.concat(F.lit("T"), "fid").alias("tnmid"), "huc12", "area_km2", F.col(GEOMETRY).alias("shape")
+        )
+        fine = rows.where("substring(huc12, 1, 2) < '10'").withColumn("huc14", F.concat("huc12", F.lit("01"))).drop("huc12")
+        levels = [build.watershed_units(r, n, "2026-09-02", "2026-09-02T00:00:00Z") for r, n in ((rows, 12), (fine, 14))]
+        build.build_dataset(
+            spark, "levels", levels, target, "levels", "Levels", "Two levels", LayoutOptions(group_bytes=GROUP_BYTES), ONLY,
+            updated="2026-01-02T00:00:00Z", boxless_groups=True,
+        )
+        return target
 
-    return shared(f"costed {name}", spark, sf_dir, make)
+    return shared("levels", spark, sf_dir, make)
 
 
 def flat(df: DataFrame, *columns: str) -> DataFrame:
@@ -87,4 +98,4 @@ def flat(df: DataFrame, *columns: str) -> DataFrame:
     return df.select(*columns, *(f"bbox.{s}" for s in boxes.SIDES))
 
 
-__all__ = ["QUERIES", "SQL", "features", "query", "published", "costed", "flat", "units_layer"]
+__all__ = ["QUERIES", "SQL", "features", "query", "published", "published_levels", "flat", "units_layer"]

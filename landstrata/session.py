@@ -10,8 +10,9 @@ from pathlib import Path
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-# A side is broadcast only when it has been counted and holds at most this many (narrow) rows.
+# A side is broadcast only when it has been counted and holds at most this many rows and bytes.
 BROADCAST_ROWS = 200_000
+BROADCAST_BYTES = 64 * 1024 * 1024
 
 
 def local_session(cores: int | str = "*", partitions: int = 8, **settings: str) -> SparkSession:
@@ -88,7 +89,10 @@ def materialise_observing(df: DataFrame, **measures: Column) -> tuple[DataFrame,
 
 
 def small_side(df: DataFrame, limit: int = BROADCAST_ROWS) -> tuple[DataFrame, bool]:
-    """Materialise a summary table; hint a broadcast only if its counted size allows it."""
-    stored, seen = materialise_observing(df, rows=F.count(F.lit(1)))
-    fits = seen["rows"] <= limit
+    """Materialise a summary table; hint a broadcast only if its counted size allows it. A column
+    counts as 16 bytes, a text or binary one with its length."""
+    long = [F.coalesce(F.octet_length(f.name), F.lit(0)) for f in df.schema.fields if f.dataType.simpleString() in ("string", "binary")]
+    width = sum(long, F.lit(16 * len(df.columns)))
+    stored, seen = materialise_observing(df, rows=F.count(F.lit(1)), bytes=F.sum(width))
+    fits = seen["rows"] <= limit and (seen["bytes"] or 0) <= BROADCAST_BYTES
     return (F.broadcast(stored) if fits else stored), fits

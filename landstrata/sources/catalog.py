@@ -24,7 +24,9 @@ VERSIONS_TYPE = (
     "assets: map<string, struct<sha256: string, size_bytes: bigint, href: string>>, changes: array<string>>>"
 )
 MANIFEST_TYPE = (
-    "kind string, built string, files map<string, struct<bytes: bigint, sha256: string>>, "
+    "kind string, built string, parameters struct<row_group_bytes: bigint, max_rows_per_group: bigint, zstd_level: int, "
+    "file_bytes: bigint, large_feature_fraction_start: double, sort: string, geoparquet: string, only: string, skipped: array<string>>, "
+    "files map<string, struct<bytes: bigint, sha256: string>>, "
     "totals struct<parquet_files: bigint, parquet_bytes: bigint>, "
     "collections map<string, array<struct<value: string, rows: bigint, row_groups: bigint, "
     "max_row_group_uncompressed: bigint, portolan_ordering_check: boolean>>>"

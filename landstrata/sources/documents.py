@@ -1,22 +1,26 @@
-"""Catalog documents made from tables: one row (path, text) per document.
+"""Catalog documents made from tables, as sorted pieces of text that a task streams to their file.
 
-A document lists partitions or files. Those lists are counted first, as they are collected into one
-row: a million entries are about 200 MB of text, and a million files of the default size hold 1 PB.
-A table that has more files is written with larger ones (`LayoutOptions.file_bytes`).
+A document lists partitions or files, of which there can be any number. So no list is ever one row: a
+document is rows (path, section, name, text), and `files.write_documents` writes them in that order, with
+commas between the entries of a list. What a document says beside its lists is one small JSON text, cut
+where the lists go.
 """
 
 from __future__ import annotations
 
 import json
+import re
 from dataclasses import dataclass, field
+from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from landstrata.functions import boxes, codes, fixed
-from landstrata.operators.checks import CheckFailed
+from landstrata.operators import aggregates
 
-DOCUMENT_ENTRIES = 1_000_000
+PIECE_TYPE = "path string, section int, name string, text string"
+_MARK = r'"@@[a-z]+[0-9]*@@"'
 
 
 @dataclass(frozen=True)
@@ -38,172 +42,171 @@ class CollectionSpec:
     version_message: str = "Initial build"
     base_url: str = ""
     license: str = "other"
+    license_url: str = ""
+    license_title: str = "Terms of use"
 
 
-def _json(columns: list[Column], keep_null: bool = False) -> Column:
-    return F.to_json(F.struct(*columns), {"ignoreNullFields": "false" if keep_null else "true"})
+class Listed(NamedTuple):
+    """Entries (name, text) of one list or map, in the order of their names, and what stands around them."""
 
+    entries: DataFrame
+    opens: str = ""
+    closes: str = ""
 
-def _text(value: str, name: str) -> Column:
-    return F.lit(value).alias(name)
 
+def _mark(name: str) -> str:
+    return f"@@{name}@@"
 
-def _texts(values, name: str) -> Column:
-    listed = F.array(*map(F.lit, values)) if values else F.array().cast("array<string>")
-    return listed.alias(name)
 
+def _quoted(text: Column) -> Column:
+    """A text as JSON."""
+    inside = F.to_json(F.array(text))
+    return F.substring(inside, F.lit(2), F.length(inside) - 2)
 
-def _link(rel: str, href: Column | str, kind: str, title: Column | str | None = None) -> Column:
-    as_column = lambda v: v if isinstance(v, Column) else F.lit(v).cast("string")
-    return F.struct(
-        F.lit(rel).alias("rel"), as_column(href).alias("href"), F.lit(kind).alias("type"), as_column(title).alias("title")
-    )
+
+def _pieces(spark: SparkSession, path: str, skeleton: dict, lists: dict[str, Listed]) -> DataFrame:
+    """One document: its JSON text, cut at the marks, with a list's entries at each."""
+    text = json.dumps(skeleton, ensure_ascii=False, separators=(",", ":"))
+    order = [m[3:-3] for m in re.findall(_MARK, text)]
+    parts = re.split(_MARK, text)
+    around = [Listed(None)] + [lists[name] for name in order] + [Listed(None)]
+    own = [(path, 2 * i, "", around[i].closes + part + around[i + 1].opens) for i, part in enumerate(parts)]
+    out = spark.createDataFrame(own, PIECE_TYPE)
+    for i, name in enumerate(order):
+        out = out.unionByName(lists[name].entries.select(F.lit(path).alias("path"), F.lit(2 * i + 1).alias("section"), "name", "text"))
+    return out
+
+
+def _fixed(spark: SparkSession, *texts: str) -> DataFrame:
+    """Entries whose text is known, in the order given."""
+    return spark.createDataFrame([(f"{i:04d}", text) for i, text in enumerate(texts)], "name string, text string")
 
 
-def _columns_literal(columns: list[dict]) -> Column:
-    kind = "array<struct<name:string,type:string,description:string>>"
-    return F.from_json(F.lit(json.dumps(columns)), kind)
+def _link(rel: str, href: str, kind: str, title: str | None = None) -> str:
+    link = {"rel": rel, "href": href, "type": kind, "title": title}
+    return json.dumps({k: v for k, v in link.items() if v is not None}, ensure_ascii=False, separators=(",", ":"))
 
 
-def column_list(layer: DataFrame, spec: CollectionSpec) -> list[dict]:
-    """The layer's columns with catalog types; schema metadata, so it fits on the driver."""
-    rows = codes.catalog_columns(layer, spec.column_descriptions).orderBy("position").collect()
+def _link_column(rel: str, href: Column, kind: str, title: Column) -> Column:
+    return F.to_json(F.struct(F.lit(rel).alias("rel"), href.alias("href"), F.lit(kind).alias("type"), title.alias("title")))
+
+
+def column_list(written: DataFrame, spec: CollectionSpec) -> list[dict]:
+    """The columns of the files with catalog types; schema metadata, so it fits on the driver."""
+    rows = codes.catalog_columns(written, spec.column_descriptions).orderBy("position").collect()
     return [{k: v for k, v in r.asDict().items() if k != "position" and v is not None} for r in rows]
 
 
-def _providers(spec: CollectionSpec) -> Column:
-    kind = "array<struct<name:string,url:string,roles:array<string>>>"
-    return F.from_json(F.lit(json.dumps(list(spec.providers))), kind).alias("providers")
+def _item_id(spec: CollectionSpec) -> Column:
+    return F.concat(F.lit(f"{spec.hive_key}="), "value")
 
 
-def check_entries(table: DataFrame, what: str, by: str | None = None) -> None:
-    counted = table.groupBy(by).count() if by else table.groupBy().count()
-    over = counted.where(F.col("count") > DOCUMENT_ENTRIES).limit(1).collect()
-    if over:
-        raise CheckFailed(f"{what} would list {over[0]['count']:,} entries; write larger files")
+def _item_path(spec: CollectionSpec) -> Column:
+    return F.concat(F.lit(f"{spec.id}/"), _item_id(spec), F.lit("/"), _item_id(spec), F.lit(".json"))
 
 
 def item_documents(facts: DataFrame, files: DataFrame, spec: CollectionSpec, columns: list[dict]) -> DataFrame:
-    """One catalog record per partition: (collection, value, title, path, text)."""
-    check_entries(files, "an item", "part")
+    """One catalog record per partition. A partition without a box has no `bbox` and a null geometry."""
     name = F.regexp_extract("path", r"([^/]+)\.parquet$", 1)
     asset = F.struct(
         F.concat(F.lit("./"), name, F.lit(".parquet")).alias("href"),
-        _text(fixed.PARQUET_TYPE, "type"),
+        F.lit(fixed.PARQUET_TYPE).alias("type"),
         F.concat("label", F.lit(" (GeoParquet)")).alias("title"),
-        _texts(["data"], "roles"),
+        F.array(F.lit("data")).alias("roles"),
         F.col("bytes").alias("file:size"),
         codes.multihash(F.col("sha256")).alias("file:checksum"),
-        _text(spec.crs_code, "proj:code"),
+        F.lit(spec.crs_code).alias("proj:code"),
     )
     labels = facts.select(F.col("value").alias("part"), "label")
-    assets = (
-        files.join(labels, "part")
-        .groupBy("part")
-        .agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct(name.alias("key"), asset.alias("value"))))).alias("assets"))
+    assets = files.join(labels, "part").withColumn("value", F.col("part")).select(
+        _item_path(spec).alias("path"), F.lit(1).alias("section"), name.alias("name"),
+        F.concat(_quoted(name), F.lit(":"), F.to_json(asset)).alias("text"),
     )
-    box = boxes.clamp_wgs84("bbox")
-    rows = facts.join(assets, F.col("value") == F.col("part")).withColumn("bbox", box)
-    title = F.concat(F.lit(f"{spec.title}: "), "label")
-    item_id = F.concat(F.lit(f"{spec.hive_key}="), "value")
-    document = _json(
-        [
-            _text("Feature", "type"),
-            _text(fixed.STAC_VERSION, "stac_version"),
-            _texts([fixed.FILE_SCHEMA, fixed.TABLE_SCHEMA, fixed.PROJ_SCHEMA], "stac_extensions"),
-            item_id.alias("id"),
-            _text(spec.id, "collection"),
-            F.struct(_text("Polygon", "type"), F.array(boxes.ring("bbox")).alias("coordinates")).alias("geometry"),
-            boxes.as_list("bbox").alias("bbox"),
-            F.struct(
-                title.alias("title"),
-                _text(spec.datetime, "datetime"),
-                F.col("value").alias(spec.hive_key),
-                F.col("rows").alias("table:row_count"),
-                _text(spec.geometry, "table:primary_geometry"),
-                _columns_literal(columns).alias("table:columns"),
-            ).alias("properties"),
-            F.array(
-                _link("root", "../../../catalog.json", fixed.JSON_TYPE),
-                _link("parent", "../collection.json", fixed.JSON_TYPE),
-                _link("collection", "../collection.json", fixed.JSON_TYPE),
-            ).alias("links"),
-            F.col("assets"),
-        ]
+
+    rows = facts.withColumn("bbox", boxes.clamp_wgs84("bbox"))
+    placed = F.col("bbox.xmin").isNotNull()
+    shape = F.to_json(F.struct(F.lit("Polygon").alias("type"), F.array(boxes.ring("bbox")).alias("coordinates")))
+    links = [
+        _link("root", "../../../catalog.json", fixed.JSON_TYPE), _link("parent", "../collection.json", fixed.JSON_TYPE),
+        _link("collection", "../collection.json", fixed.JSON_TYPE),
+    ]
+    properties = F.to_json(
+        F.struct(
+            F.concat(F.lit(f"{spec.title}: "), "label").alias("title"),
+            F.lit(spec.datetime).alias("datetime"),
+            F.col("value").alias(spec.hive_key),
+            F.col("rows").alias("table:row_count"),
+            F.lit(spec.geometry).alias("table:primary_geometry"),
+            F.from_json(F.lit(json.dumps(columns)), "array<struct<name:string,type:string,description:string>>").alias("table:columns"),
+        )
     )
-    path = F.concat(F.lit(f"{spec.id}/"), item_id, F.lit("/"), item_id, F.lit(".json"))
-    return rows.select(F.lit(spec.id).alias("collection"), "value", title.alias("title"), path.alias("path"), document.alias("text"))
+    said = lambda value: json.dumps(value, ensure_ascii=False, separators=(",", ":"))
+    head = F.concat(
+        F.lit(f'{{"type":"Feature","stac_version":{said(fixed.STAC_VERSION)},"stac_extensions":{said([fixed.FILE_SCHEMA, fixed.TABLE_SCHEMA, fixed.PROJ_SCHEMA])},"id":'),
+        _quoted(_item_id(spec)), F.lit(f',"collection":{said(spec.id)},"geometry":'), F.when(placed, shape).otherwise("null"),
+        F.when(placed, F.concat(F.lit(',"bbox":'), F.to_json(boxes.as_list("bbox")))).otherwise(""),
+        F.lit(',"properties":'), properties, F.lit(f',"links":[{",".join(links)}],"assets":{{'),
+    )
+    ends = F.explode(F.array(F.struct(F.lit(0).alias("section"), head.alias("text")), F.struct(F.lit(2).alias("section"), F.lit("}}").alias("text"))))
+    around = rows.select(_item_path(spec).alias("path"), ends.alias("x"))
+    return around.select("path", "x.section", F.lit("").alias("name"), "x.text").unionByName(assets)
 
 
 def collection_document(facts: DataFrame, spec: CollectionSpec, columns: list[dict], updated: str) -> DataFrame:
     """One record for the collection: column list, totals, united box, links to its items."""
-    check_entries(facts, "a collection")
-    item_id = F.concat(F.lit(f"{spec.hive_key}="), "value")
-    item = _link(
-        "item", F.concat(F.lit("./"), item_id, F.lit("/"), item_id, F.lit(".json")), fixed.GEOJSON_TYPE,
-        F.concat(F.lit(f"{spec.title}: "), "label"),
+    spark = facts.sparkSession
+    rollup = aggregates.collection_rollup(facts)
+    value = lambda text: Listed(rollup.select(F.lit("").alias("name"), text.alias("text")))
+    href = F.concat(F.lit("./"), _item_id(spec), F.lit("/"), _item_id(spec), F.lit(".json"))
+    item = _link_column("item", href, fixed.GEOJSON_TYPE, F.concat(F.lit(f"{spec.title}: "), "label"))
+    before = _fixed(spark, _link("root", "../../catalog.json", fixed.JSON_TYPE), _link("parent", "../catalog.json", fixed.JSON_TYPE))
+    after = ([_link("via", spec.via, "text/html", "Original source")] if spec.via else []) + (
+        [_link("license", spec.license_url, "text/html", spec.license_title)] if spec.license_url else []
     )
-    united = facts.agg(
-        F.sum("rows").alias("rows"),
-        F.sum("files").alias("files"),
-        F.struct(*boxes.union_aggregates()).alias("bbox"),
-        F.transform(F.array_sort(F.collect_list(F.struct("value", item.alias("item")))), lambda e: e["item"]).alias("items"),
-    ).withColumn("bbox", boxes.clamp_wgs84("bbox"))
+    links = before.select(F.concat(F.lit("0"), "name").alias("name"), "text")
+    links = links.unionByName(facts.select(F.concat(F.lit("1"), "value").alias("name"), item.alias("text")))
+    if after:
+        links = links.unionByName(_fixed(spark, *after).select(F.concat(F.lit("2"), "name").alias("name"), "text"))
     glob = f"{spec.base_url.rstrip('/')}/{spec.id}" if spec.base_url else "."
-    key = F.struct(_text(spec.hive_key, "name"), _text("string", "type"), _text(spec.key_description, "description"))
-    temporal = F.array(F.array(F.lit(spec.datetime), F.lit(None).cast("string")))
-    schemas = [fixed.CATALOG_SCHEMA, fixed.PARTITION_SCHEMA, fixed.FILE_SCHEMA, fixed.TABLE_SCHEMA, fixed.PROJ_SCHEMA]
-    document = _json(
-        [
-            _text("Collection", "type"),
-            _text(fixed.STAC_VERSION, "stac_version"),
-            _texts(schemas, "stac_extensions"),
-            _text(spec.id, "id"),
-            _text(spec.title, "title"),
-            _text(spec.description, "description"),
-            _text(spec.license, "license"),
-            _texts(spec.keywords, "keywords"),
-            _providers(spec),
-            F.struct(
-                F.struct(F.array(boxes.as_list("bbox")).alias("bbox")).alias("spatial"),
-                F.struct(temporal.alias("interval")).alias("temporal"),
-            ).alias("extent"),
-            _columns_literal(columns).alias("table:columns"),
-            _text(spec.geometry, "table:primary_geometry"),
-            F.col("rows").alias("table:row_count"),
-            _text("hive", "partition:scheme"),
-            _text("attribute", "partition:strategy"),
-            F.array(key).alias("partition:keys"),
-            F.col("files").alias("partition:file_count"),
-            _text(f"{glob}/{spec.hive_key}=*/*.parquet", "partition:glob"),
-            F.concat(
-                F.array(
-                    _link("root", "../../catalog.json", fixed.JSON_TYPE), _link("parent", "../catalog.json", fixed.JSON_TYPE)
-                ),
-                F.col("items"),
-                F.array(_link("via", spec.via, "text/html", "Original source")) if spec.via else F.array().cast("array<struct<rel:string,href:string,type:string,title:string>>"),
-            ).alias("links"),
-            _text(updated, "updated"),
-        ]
-    )
-    return united.select(F.lit(f"{spec.id}/collection.json").alias("path"), document.alias("text"))
+    skeleton = {
+        "type": "Collection",
+        "stac_version": fixed.STAC_VERSION,
+        "stac_extensions": [fixed.CATALOG_SCHEMA, fixed.PARTITION_SCHEMA, fixed.FILE_SCHEMA, fixed.TABLE_SCHEMA, fixed.PROJ_SCHEMA],
+        "id": spec.id,
+        "title": spec.title,
+        "description": spec.description,
+        "license": spec.license,
+        "keywords": list(spec.keywords),
+        "providers": list(spec.providers),
+        "extent": {"spatial": {"bbox": _mark("bbox")}, "temporal": {"interval": [[spec.datetime, None]]}},
+        "table:columns": columns,
+        "table:primary_geometry": spec.geometry,
+        "table:row_count": _mark("rows"),
+        "partition:scheme": "hive",
+        "partition:strategy": "attribute",
+        "partition:keys": [{"name": spec.hive_key, "type": "string", "description": spec.key_description}],
+        "partition:file_count": _mark("files"),
+        "partition:glob": f"{glob}/{spec.hive_key}=*/*.parquet",
+        "links": _mark("links"),
+        "updated": updated,
+    }
+    united = F.when(F.col("bbox.xmin").isNotNull(), F.to_json(F.array(boxes.as_list("bbox")))).otherwise("[]")
+    lists = {"bbox": value(united), "rows": value(F.col("rows").cast("string")), "files": value(F.col("files").cast("string")), "links": Listed(links, "[", "]")}
+    return _pieces(spark, f"{spec.id}/collection.json", skeleton, lists)
 
 
 def versions_document(files: DataFrame, spec: CollectionSpec, created: str) -> DataFrame:
     """Version 1.0.0 of the collection: its files with digests and sizes, and their sorted paths."""
-    check_entries(files, "a versions document")
-    entry = F.struct("sha256", F.col("bytes").alias("size_bytes"), F.col("path").alias("href"))
-    listed = files.agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("path", entry)))).alias("assets"))
-    version = F.struct(
-        _text("1.0.0", "version"),
-        _text(created, "created"),
-        F.lit(False).alias("breaking"),
-        _text(spec.version_message, "message"),
-        F.col("assets"),
-        F.array_sort(F.map_keys("assets")).alias("changes"),
-    )
-    document = _json([_text("1.0.0", "spec_version"), _text("1.0.0", "current_version"), F.array(version).alias("versions")])
-    return listed.select(F.lit(f"{spec.id}/versions.json").alias("path"), document.alias("text"))
+    entry = F.to_json(F.struct("sha256", F.col("bytes").alias("size_bytes"), F.col("path").alias("href")))
+    assets = files.select(F.col("path").alias("name"), F.concat(_quoted(F.col("path")), F.lit(":"), entry).alias("text"))
+    changes = files.select(F.col("path").alias("name"), _quoted(F.col("path")).alias("text"))
+    version = {
+        "version": "1.0.0", "created": created, "breaking": False, "message": spec.version_message,
+        "assets": _mark("assets"), "changes": _mark("changes"),
+    }
+    skeleton = {"spec_version": "1.0.0", "current_version": "1.0.0", "versions": [version]}
+    lists = {"assets": Listed(assets, "{", "}"), "changes": Listed(changes, "[", "]")}
+    return _pieces(files.sparkSession, f"{spec.id}/versions.json", skeleton, lists)
 
 
 def manifest_totals(inventory: DataFrame) -> DataFrame:
@@ -215,14 +218,14 @@ def manifest_totals(inventory: DataFrame) -> DataFrame:
 
 
 def partition_summary(facts: DataFrame) -> DataFrame:
-    """What a manifest keeps of each partition's facts."""
+    """What a manifest keeps of each partition's facts; no box where the partition has none."""
     return facts.select(
         "collection",
         "value",
         "rows",
         "bytes",
         "sha256",
-        boxes.as_list("bbox").alias("bbox"),
+        F.when(F.col("bbox.xmin").isNotNull(), boxes.as_list("bbox")).alias("bbox"),
         "geometry_types",
         "empty_geometries",
         F.col("large_fraction").alias("large_feature_fraction"),
@@ -235,57 +238,36 @@ def partition_summary(facts: DataFrame) -> DataFrame:
 
 
 def manifest_document(
-    facts: DataFrame, inventory: DataFrame, kind: str, built: str, parameters: dict, sources: list[dict]
+    facts: DataFrame, inventory: DataFrame, kind: str, built: str, parameters: dict, sources: list[dict], collections: list[str]
 ) -> DataFrame:
-    """Facts, parameters, every file's digest, totals."""
-    check_entries(inventory, "a manifest")
+    """Facts of the named collections' partitions, parameters and sources as given, every file's digest, totals."""
     summary = partition_summary(facts)
-    fields = [c for c in summary.columns if c != "collection"]
-    per = summary.groupBy("collection").agg(F.array_sort(F.collect_list(F.struct(*fields))).alias("parts"))
-    collections = per.agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("collection", "parts")))).alias("collections"))
-    entries = F.collect_list(F.struct("path", F.struct("bytes", "sha256").alias("file")))
-    listed = inventory.agg(F.map_from_entries(F.array_sort(entries)).alias("files"))
-    totals = manifest_totals(inventory).select(F.struct("parquet_files", "parquet_bytes").alias("totals"))
-    one = collections.withColumns({"files": listed.scalar(), "totals": totals.scalar()})
-    given = {name: value for name, value in parameters.items()}
-    source_type = "array<map<string,string>>"
-    document = _json(
-        [
-            _text("partitioned-geoparquet", "format"),
-            F.lit(2).alias("version"),
-            _text(kind, "kind"),
-            _text(built, "built"),
-            F.from_json(F.lit(json.dumps([{k: str(v) for k, v in s.items()} for s in sources])), source_type).alias("sources"),
-            F.from_json(F.lit(json.dumps({k: str(v) for k, v in given.items()})), "map<string,string>").alias("parameters"),
-            F.col("collections"),
-            F.col("files"),
-            F.col("totals"),
-        ]
-    )
-    return one.select(F.lit("manifest.json").alias("path"), document.alias("text"))
+    kept = F.to_json(F.struct(*(c for c in summary.columns if c != "collection")))
+    said = summary.select("collection", F.col("value").alias("name"), kept.alias("text"))
+    lists = {f"part{i}": Listed(said.where(F.col("collection") == c).drop("collection"), "[", "]") for i, c in enumerate(collections)}
+    entry = F.concat(_quoted(F.col("path")), F.lit(":"), F.to_json(F.struct("bytes", "sha256")))
+    lists["files"] = Listed(inventory.select(F.col("path").alias("name"), entry.alias("text")), "{", "}")
+    totals = manifest_totals(inventory)
+    lists["totals"] = Listed(totals.select(F.lit("").alias("name"), F.to_json(F.struct("parquet_files", "parquet_bytes")).alias("text")))
+    skeleton = {
+        "format": "partitioned-geoparquet", "version": 2, "kind": kind, "built": built, "sources": sources, "parameters": parameters,
+        "collections": {c: _mark(f"part{i}") for i, c in enumerate(collections)}, "files": _mark("files"), "totals": _mark("totals"),
+    }
+    return _pieces(inventory.sparkSession, "manifest.json", skeleton, lists)
 
 
 def catalog_document(children: DataFrame, catalog_id: str, title: str, description: str, updated: str, root: bool = False) -> DataFrame:
     """A catalog over its children (`name`, `title`), in the order of their names or `position`."""
-    check_entries(children, "a catalog")
-    place = "position" if "position" in children.columns else "name"
+    spark = children.sparkSession
+    place = F.format_string("%010d", "position") if "position" in children.columns else F.col("name")
     file_name = "catalog.json" if root else "collection.json"
-    child = _link("child", F.concat(F.lit("./"), "name", F.lit(f"/{file_name}")), fixed.JSON_TYPE, F.col("title"))
-    listed = children.agg(
-        F.transform(F.array_sort(F.collect_list(F.struct(place, child.alias("child")))), lambda e: e["child"]).alias("children")
-    )
+    child = _link_column("child", F.concat(F.lit("./"), "name", F.lit(f"/{file_name}")), fixed.JSON_TYPE, F.col("title"))
     up = "./catalog.json" if root else "../catalog.json"
-    own = [_link("root", up, fixed.JSON_TYPE)] + ([] if root else [_link("parent", up, fixed.JSON_TYPE)])
-    document = _json(
-        [
-            _text("Catalog", "type"),
-            _text(fixed.STAC_VERSION, "stac_version"),
-            _texts([fixed.CATALOG_SCHEMA], "stac_extensions"),
-            _text(catalog_id, "id"),
-            _text(title, "title"),
-            _text(description, "description"),
-            F.concat(F.array(*own), F.col("children")).alias("links"),
-            _text(updated, "updated"),
-        ]
-    )
-    return listed.select(F.lit("catalog.json").alias("path"), document.alias("text"))
+    own = _fixed(spark, _link("root", up, fixed.JSON_TYPE), *([] if root else [_link("parent", up, fixed.JSON_TYPE)]))
+    links = own.select(F.concat(F.lit("0"), "name").alias("name"), "text")
+    links = links.unionByName(children.select(F.concat(F.lit("1"), place).alias("name"), child.alias("text")))
+    skeleton = {
+        "type": "Catalog", "stac_version": fixed.STAC_VERSION, "stac_extensions": [fixed.CATALOG_SCHEMA], "id": catalog_id, "title": title,
+        "description": description, "links": _mark("links"), "updated": updated,
+    }
+    return _pieces(spark, "catalog.json", skeleton, {"links": Listed(links, "[", "]")})

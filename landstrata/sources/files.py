@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import partial
 
 import pyarrow as pa
 from pyarrow import fs as pafs
@@ -31,25 +32,46 @@ def digest(system: pafs.FileSystem, path: str) -> tuple[int, str]:
     return total, running.hexdigest()
 
 
-def write_documents(documents: DataFrame, root: str) -> DataFrame:
-    """Writes rows (path, text) as files under `root`, in parallel; returns (path, bytes).
+def write_documents(pieces: DataFrame, root: str) -> DataFrame:
+    """Writes pieces (path, section, name, text) as files under `root`; returns (path, bytes).
 
-    Writing the same text to the same name again is harmless, so a repeated task is too.
+    A document is its pieces by section and name; between two pieces of an odd section goes a comma.
+    Documents are dealt out to tasks by path, and a task streams one piece after the other, so neither
+    many documents nor a long one has to fit in memory. Writing the same text to the same name again is
+    harmless, so a repeated task is too.
     """
-
-    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        system, base = filesystem(root)
-        for batch in batches:
-            sizes = []
-            for path, text in zip(batch.column("path").to_pylist(), batch.column("text").to_pylist()):
-                body, target = text.encode("utf-8"), f"{base}/{path}"
-                system.create_dir(target.rsplit("/", 1)[0], recursive=True)
-                with system.open_output_stream(target) as stream:
-                    stream.write(body)
-                sizes.append(len(body))
-            yield pa.RecordBatch.from_arrays([batch.column("path"), pa.array(sizes, pa.int64())], ["path", "bytes"])
-
-    return documents.select("path", "text").mapInArrow(write, "path string, bytes bigint")
+    tasks = int(pieces.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = pieces.select("path", "section", "name", "text").repartition(tasks, "path").sortWithinPartitions("path", "section", "name")
+    return rows.mapInArrow(partial(_stream_documents, root=root), "path string, bytes bigint")
+
+
+def _stream_documents(batches: Iterator[pa.RecordBatch], root: str) -> Iterator[pa.RecordBatch]:
+    system, base = filesystem(root)
+    path, section, stream, done = None, None, None, []
+    for batch in batches:
+        columns = (batch.column(c).to_pylist() for c in ("path", "section", "text"))
+        for own, part, text in zip(*columns):
+            if own != path:
+                if stream is not None:
+                    done.append((path, stream.tell()))
+                    stream.close()
+                path, section = own, None
+                system.create_dir(f"{base}/{path}".rsplit("/", 1)[0], recursive=True)
+                stream = system.open_output_stream(f"{base}/{path}")
+            stream.write((("," if part % 2 and part == section else "") + text).encode("utf-8"))
+            section = part
+        if done:
+            yield _sizes(done)
+            done = []
+    if stream is not None:
+        done.append((path, stream.tell()))
+        stream.close()
+        yield _sizes(done)
+
+
+def _sizes(done: list[tuple[str, int]]) -> pa.RecordBatch:
+    paths, sizes = zip(*done)
+    return pa.RecordBatch.from_arrays([pa.array(paths, pa.string()), pa.array(sizes, pa.int64())], ["path", "bytes"])
 
 
 def hadoop(spark: SparkSession, path: str):
@@ -63,6 +85,12 @@ def exists(spark: SparkSession, path: str) -> bool:
     return system.exists(target)
 
 
+def renames_at_once(spark: SparkSession, path: str) -> bool:
+    """Whether a folder there takes a new name in one step; object stores copy every object instead."""
+    _, target = hadoop(spark, path)
+    return (target.toUri().getScheme() or "file") in ("file", "hdfs", "viewfs", "abfs", "abfss")
+
+
 def rename(spark: SparkSession, source: str, target: str) -> None:
     system, old = hadoop(spark, source)
     _, new = hadoop(spark, target)

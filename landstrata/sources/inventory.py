@@ -10,6 +10,7 @@ from pyarrow import fs as pafs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from landstrata.session import materialise_observing
 from landstrata.sources import files
 
 
@@ -17,39 +18,31 @@ def list_files(spark: SparkSession, root: str) -> DataFrame:
     """(path below the root, bytes) of every file, hidden and empty ones too; contents are not read.
 
     Spark's own file sources leave out empty files and names that begin with `_` or `.`, so the
-    listing is done here: the first levels of folders on the driver, everything below them by tasks.
+    listing is done here, by tasks: all folders of one level at a time, each folder in one call. What
+    was found is stored, and the driver learns only how many folders come next.
     """
-    system, base = files.filesystem(root)
-    wanted = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    folders, found = [""], []
-    for _ in range(3):
-        if not folders or len(folders) >= wanted:
-            break
-        below = []
-        for folder in folders:
-            for info in system.get_file_info(pafs.FileSelector(f"{base}/{folder}".rstrip("/"))):
-                path = info.path[len(base) :].lstrip("/")
-                if info.type == pafs.FileType.Directory:
-                    below.append(path)
-                else:
-                    found.append((path, info.size))
-        folders = below
-    listed = spark.createDataFrame(found, "path string, bytes bigint")
-    if not folders:
-        return listed
-    tops = spark.createDataFrame([(f,) for f in folders], "folder string").repartition(min(len(folders), wanted))
 
     def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         system, base = files.filesystem(root)
         for batch in batches:
-            for folder in batch.column("folder").to_pylist():
-                infos = system.get_file_info(pafs.FileSelector(f"{base}/{folder}", recursive=True))
-                kept = [i for i in infos if i.type == pafs.FileType.File]
-                paths = pa.array([i.path[len(base) :].lstrip("/") for i in kept], pa.string())
-                sizes = pa.array([i.size for i in kept], pa.int64())
-                yield pa.RecordBatch.from_arrays([paths, sizes], ["path", "bytes"])
-
-    return listed.unionByName(tops.mapInArrow(walk, "path string, bytes bigint"))
+            for folder in batch.column("path").to_pylist():
+                infos = system.get_file_info(pafs.FileSelector(f"{base}/{folder}".rstrip("/")))
+                for a in range(0, len(infos), 10_000):
+                    some = infos[a : a + 10_000]
+                    paths = pa.array([i.path[len(base) :].lstrip("/") for i in some], pa.string())
+                    kinds = pa.array([i.type == pafs.FileType.Directory for i in some], pa.bool_())
+                    yield pa.RecordBatch.from_arrays([paths, pa.array([i.size for i in some], pa.int64()), kinds], ["path", "bytes", "folder"])
+
+    folders, found, more = spark.createDataFrame([("",)], "path string"), None, 1
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    while more:
+        dealt = folders.select("path").repartition(min(more, tasks), "path")
+        listed = dealt.mapInArrow(walk, "path string, bytes bigint, folder boolean")
+        level, seen = materialise_observing(listed, folders=F.count_if("folder"))
+        kept = level.where("not folder").select("path", "bytes")
+        found = kept if found is None else found.unionByName(kept)
+        folders, more = level.where("folder"), seen["folders"]
+    return found
 
 
 def file_inventory(spark: SparkSession, root: str, exclude: tuple[str, ...] = ()) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from landstrata.functions import boxes, codes
@@ -38,10 +38,11 @@ def units_in_box(
     return scan_all(spark, collection).where((F.col(key) == value) & test).select(*columns)
 
 
-def code_lookup(layer: DataFrame, key: str, code_column: str, code: str) -> DataFrame:
-    """A unit by its code. The partition is implied by the code, which the planner cannot know, so
-    the filter on the key is added here and one file is read."""
-    return layer.where((F.col(key) == code[:2]) & (F.col(code_column) == code))
+def code_lookup(layer: DataFrame, key: str, code_column: str, code: str | Column) -> DataFrame:
+    """A unit by its code, which may be a scalar subquery. The partition is implied by the code, which
+    the planner cannot know, so the filter on the key is added here and one partition is read."""
+    wanted = F.lit(code) if isinstance(code, str) else code
+    return layer.where((F.col(key) == codes.region_of(wanted)) & (F.col(code_column) == wanted))
 
 
 def only(layer: DataFrame, key: str, values: list[str], known: DataFrame | None = None) -> DataFrame:
@@ -52,7 +53,3 @@ def only(layer: DataFrame, key: str, values: list[str], known: DataFrame | None
     if unknown:
         raise ValueError(f"unknown {key} values: {sorted(r[0] for r in unknown)}")
     return layer.where(F.col(key).isin(list(values)))
-
-
-def with_region(df: DataFrame, code: str, name: str = "huc2") -> DataFrame:
-    return df.withColumn(name, codes.region_of(code))

@@ -138,7 +138,7 @@ def test_immutable(spark, built):
 def test_refusals(spark, sf, tmp_path):
     rows = shaped_features(spark, sf)
     layer = feature_layer(rows.withColumn("part_key", F.when(F.col("fid") != 7, F.col("part_key"))))
-    with pytest.raises(checks.CheckFailed, match="decide where they go"):
+    with pytest.raises(checks.CheckFailed, match="belong to no partition"):
         build.write_layer(layer, str(tmp_path / "a"), LayoutOptions())
     with pytest.raises(ValueError, match="unknown part_key"):
         build.write_layer(feature_layer(rows), str(tmp_path / "b"), LayoutOptions(), only=["00", "zz"])
@@ -174,3 +174,73 @@ def test_failed_build_leaves_nothing(spark, sf, tmp_path):
     with pytest.raises(checks.CheckFailed, match="cannot name a folder"):
         build.build_dataset(spark, "units", [feature_layer(rows)], str(tmp_path / "out"), "x", "x", "x")
     assert list(tmp_path.iterdir()) == []
+
+
+def test_places_files_without_moving_them(spark, sf, tmp_path, monkeypatch):
+    """On stores without a rename: files stay where they were written, and strays are deleted."""
+    monkeypatch.setattr(files, "renames_at_once", lambda *_: False)
+    stray = tmp_path / "out" / "units" / "part_key=03" / "data-stray.parquet"
+    rows = shaped_features(spark, sf)
+    real = build.writer._keep_reported
+
+    def with_stray(written, target):
+        stray.write_bytes(b"left by a task that was lost")
+        return real(written, target)
+
+    monkeypatch.setattr(build.writer, "_keep_reported", with_stray)
+    done = build.build_dataset(
+        spark, "units", [feature_layer(rows)], str(tmp_path / "out"), "x", "x", "x", LayoutOptions(group_bytes=BUDGET), boxless_groups=True
+    )["units"]
+    there = {str(p.relative_to(tmp_path / "out" / "units")) for p in (tmp_path / "out").rglob("*.parquet")}
+    assert there == {r.path for r in done.files.select("path").collect()} and len(there) == 25
+    assert layers.scan_all(spark, str(tmp_path / "out" / "units")).count() == 1500
+    assert json.loads((tmp_path / "out" / "manifest.json").read_text())["totals"]["parquet_files"] == 25
+
+
+def test_partition_without_a_box(spark, sf, tmp_path):
+    rows = shaped_features(spark, sf).withColumn("part_key", F.when(F.col("geometry").isNull(), "none").otherwise("some"))
+    build.build_dataset(spark, "units", [feature_layer(rows)], str(tmp_path / "out"), "x", "x", "x", boxless_groups=True)
+    none, some = (json.loads((tmp_path / "out" / "units" / f"part_key={v}" / f"part_key={v}.json").read_text()) for v in ("none", "some"))
+    assert none["geometry"] is None and "bbox" not in none
+    assert some["geometry"]["type"] == "Polygon" and len(some["bbox"]) == 4
+    geo = json.loads(pq.ParquetFile(tmp_path / "out" / "units" / "part_key=none" / "data.parquet").metadata.metadata[b"geo"])
+    assert "bbox" not in geo["columns"]["geometry"]
+    parts = json.loads((tmp_path / "out" / "manifest.json").read_text())["collections"]["units"]
+    assert ["bbox" in p for p in parts] == [False, True] and all(len(p["sha256"]) == 64 for p in parts)
+
+
+def test_wanted_values_over_layers(spark, sf, tmp_path):
+    rows = shaped_features(spark, sf)
+    one = feature_layer(rows)
+    spec = CollectionSpec(**{**vars(one.spec), "id": "few"})
+    few = build.Layer(rows.where("part_key < '05'"), spec, "part_key", ("fid",), codes.with_region_label)
+    with pytest.raises(ValueError, match="unknown partition values: ..zz"):
+        build.build_dataset(spark, "units", [one, few], str(tmp_path / "a"), "x", "x", "x", only=["07", "zz"])
+    assert list(tmp_path.iterdir()) == []
+    done = build.build_dataset(spark, "units", [one, few], str(tmp_path / "b"), "x", "x", "x", only=["07"], boxless_groups=True)
+    assert list(done) == ["units"] and not (tmp_path / "b" / "few").exists()
+    assert json.loads((tmp_path / "b" / "manifest.json").read_text())["parameters"]["skipped"] == ["few"]
+
+
+def test_documents_are_streamed_by_many_tasks(spark, tmp_path):
+    """Documents of many pieces, dealt out by path; a list's entries in order, with commas between them."""
+    pieces = spark.range(3000).selectExpr(
+        "concat('d', id % 40, '.json') as path", "1 as section", "lpad(cast(id as string), 5, '0') as name", "cast(id as string) as text"
+    )
+    ends = spark.range(40).selectExpr("concat('d', id, '.json') as path", "explode(array(0, 2)) as section", "'' as name").selectExpr("*", "if(section = 0, '[', ']') as text")
+    out = files.write_documents(pieces.unionByName(ends), str(tmp_path))
+    assert "collect_list" not in formatted(out)
+    done = {r.path: r.bytes for r in out.collect()}
+    assert out.withColumn("task", F.spark_partition_id()).select("task").distinct().count() > 1
+    for k in range(40):
+        text = (tmp_path / f"d{k}.json").read_text()
+        assert json.loads(text) == list(range(k, 3000, 40)) and len(text) == done[f"d{k}.json"]
+
+
+def test_published_layers_say_their_terms(spark, sf):
+    rows = shaped_features(spark, sf).select(F.col("fid").alias("objectid"), F.concat(F.lit("T"), "fid").alias("tnmid"), F.col("huc12").alias("huc14"), F.col("geometry").alias("shape"))
+    layer = build.watershed_units(rows, 14, "2026-09-02", "2026-09-02T00:00:00Z")
+    assert "part of the country" in layer.spec.description and layer.spec.via.startswith("https://www.usgs.gov/") and layer.spec.license_url
+    assert build.written_columns(layer).columns == ["tnmid", "huc14", "geometry", "bbox"]
+    areas = build.protected_areas(rows.select(F.col("objectid").alias("OBJECTID"), F.lit("UT").alias("State_Nm"), F.col("shape").alias("SHAPE")))
+    assert build.written_columns(areas).columns == ["OBJECTID", "State_Nm", "SHAPE", "bbox"] and areas.spec.via

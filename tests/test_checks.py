@@ -36,8 +36,10 @@ def test_manifest_compares_small_files_by_content(spark):
     schema = "path string, bytes bigint, sha256 string"
     manifest = spark.createDataFrame([("big", 6_000_000, "x"), ("small", 10, "x"), ("gone", 1, "x"), ("short", 9, "x"), ("same", 1, "x")], schema)
     live = spark.createDataFrame([("big", 6_000_000, "y"), ("small", 10, "y"), ("short", 8, "x"), ("same", 1, "x"), ("more", 1, "x")], schema)
-    found = {(r.path, r.problem) for r in checks.manifest_vs_listing(manifest, live).collect()}
+    found = {(r.path, r.problem) for r in checks.manifest_vs_listing(manifest, live, 5_000_000).collect()}
     assert found == {("small", "sha256 differs"), ("gone", "missing"), ("short", "bytes differ")}
+    whole = {(r.path, r.problem) for r in checks.manifest_vs_listing(manifest, live).collect()}
+    assert whole == found | {("big", "sha256 differs")}
 
 
 def test_source_pin(spark):

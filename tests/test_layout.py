@@ -47,8 +47,9 @@ def test_cut_equals_row_by_row(spark, many_tasks, seed):
     got = run_cut(spark, rows, budget, max_rows, file_cost=500)
     for key in got:
         mine = [r for r in rows if r[0] == key]
-        want = slow.greedy_groups([r[2] for r in mine], [r[3] for r in mine], budget, max_rows)
+        want = slow.cut([r[2] for r in mine], [r[3] for r in mine], budget, max_rows)
         assert [r.group_id for r in got[key]] == want
+        assert not slow.cut_faults([r[2] for r in mine], [r[3] for r in mine], budget, max_rows, want)
         assert [r.position for r in got[key]] == list(range(len(mine)))
         # a file takes whole groups, by the cost before the group
         before, files, heads = 0, {}, []
@@ -75,7 +76,7 @@ def test_cut_passes_over_blocks():
         for a in range(0, n, block):
             look.add(costs[a : a + block], large[a : a + block], budget, max_rows)
         for i, start in enumerate(look.starts):
-            groups = slow.greedy_groups(costs[start:], large[start:], budget, max_rows)
+            groups = slow.cut(costs[start:], large[start:], budget, max_rows)
             assert look.begun[i] == groups[-1] + 1
             last = [c for c, g in zip(costs[start:], groups) if g == groups[-1]]
             assert (look.spent[i], look.held[i]) == (sum(last), len(last))
@@ -110,7 +111,7 @@ def test_search_equals_row_by_row(spark, sf, many_tasks, options):
     assert set(got) == set(source)
     for key, mine in source.items():
         mine.sort(key=lambda r: (r.curve is None, r.curve or 0, r.fid))
-        attempt, order, groups, ok = slow.search([(r["size"], r.cost, box_of(r)) for r in mine], options, 1024)
+        attempt, order, groups, ok = slow.chosen_layout([(r["size"], r.cost, box_of(r)) for r in mine], options, 1024)
         assert (picked[key].attempt, picked[key].order_ok) == (attempt, ok), key
         placed = sorted(got[key], key=lambda r: r.position)
         assert [r.fid for r in placed] == [mine[i].fid for i in order]
@@ -158,7 +159,7 @@ def test_search_retries(spark, many_tasks):
         if key == "empty":  # no box at all: one run of groups in id order, nothing to check
             assert [r.fid for r in placed] == [r.fid for r in mine] and picked[key].attempt == 0
             continue
-        attempt, order, groups, ok = slow.search([(r["size"], r.cost, box_of(r)) for r in mine], options, 1024)
+        attempt, order, groups, ok = slow.chosen_layout([(r["size"], r.cost, box_of(r)) for r in mine], options, 1024)
         seen[key] = (attempt, ok)
         assert (picked[key].attempt, picked[key].order_ok) == (attempt, ok), key
         assert [r.fid for r in placed] == [mine[i].fid for i in order]
@@ -197,7 +198,7 @@ def test_odd_partitions(spark):
             source.setdefault(r.part_key, []).append(r)
         for key, mine in source.items():
             mine.sort(key=lambda r: (r.curve, r.fid))
-            attempt, order, groups, ok = slow.search([(r["size"], r.cost, box_of(r)) for r in mine], options, 1024)
+            attempt, order, groups, ok = slow.chosen_layout([(r["size"], r.cost, box_of(r)) for r in mine], options, 1024)
             placed = sorted(got[key], key=lambda r: r.position)
             assert (picked[key].attempt, picked[key].order_ok) == (attempt, ok), (key, options)
             assert [r.fid for r in placed] == [mine[i].fid for i in order]

@@ -1,5 +1,7 @@
+import random
 import struct
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -127,3 +129,42 @@ def test_random_rectangles_round_trip(spark):
         assert (r.f.xmin, r.f.ymin, r.f.xmax, r.f.ymax) == (r.xmin, r.ymin, r.xmax, r.ymax)
         assert r.f.kind == (None if r.xmin is None else "Polygon")
     assert len(rows) == 500
+
+
+def test_walk_equals_reading_one_by_one():
+    """Batches of random shapes of every kind, both byte orders, Z and M, some cut off or null."""
+    rng = random.Random(11)
+
+    def points(n, width):
+        return [tuple(rng.choice([rng.uniform(-9, 9), rng.uniform(-9, 9), float("nan")] if rng.random() < 0.05 else [rng.uniform(-9, 9)]) for _ in range(width)) for _ in range(n)]
+
+    def shape(kind, depth=0):
+        order, extra = rng.choice("<>"), rng.choice([0, 1000, 2000, 3000])
+        width = {0: 2, 1000: 3, 2000: 3, 3000: 4}[extra]
+        start = head(kind + extra, order)
+        if kind == 1:
+            return start + struct.pack(order + f"{width}d", *points(1, width)[0])
+        if kind == 2:
+            return start + ring(points(rng.randint(0, 5), width), order, width)
+        n = rng.randint(0, 4)
+        if kind == 3:
+            return start + struct.pack(order + "I", n) + b"".join(ring(points(rng.randint(0, 6), width), order, width) for _ in range(n))
+        parts = b"".join(shape(kind - 3 if kind < 7 else rng.randint(1, 7 if depth < 2 else 3), depth + 1) for _ in range(n))
+        return start + struct.pack(order + "I", n) + parts
+
+    for _ in range(20):
+        shapes = [None if rng.random() < 0.05 else shape(rng.choice([1, 2, 3, 3, 4, 5, 6, 6, 6, 7])) for _ in range(rng.randint(0, 150))]
+        got = wkb._batch_facts(pa.array([None, *shapes], pa.binary())[1:]).to_pylist()
+        for row, facts in zip(shapes, got):
+            want = wkb.shape_facts(row) or (None,) * 6
+            assert tuple(facts[n] for n in ("xmin", "ymin", "xmax", "ymax", "kind", "has_z")) == want
+    for cut in (3, 8, 12, 40):
+        with pytest.raises(ValueError, match="not a well-known-binary shape"):
+            wkb._batch_facts(pa.array([POLYGON] * 40 + [BIG[:cut]], pa.binary()))
+
+
+def test_multipolygons_are_walked_together(monkeypatch):
+    """No row of a batch of ordinary multipolygons is read by itself."""
+    shape = head(6) + struct.pack("<I", 2) + POLYGON + head(3) + struct.pack("<I", 2) + ring(SQUARE) + ring(SQUARE)
+    monkeypatch.setattr(wkb, "shape_facts", None)
+    assert set(wkb._batch_facts(pa.array([shape] * 100, pa.binary())).field("kind").to_pylist()) == {"MultiPolygon"}
