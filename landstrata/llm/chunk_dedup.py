@@ -42,12 +42,12 @@ def repeated_spans(docs: DataFrame, min_words: int = MIN_WORDS, key: str = "doc_
     """
     ship(docs.sparkSession)
     docs = docs.select(F.col(key).cast("bigint").alias("doc_id"), F.col(text).alias("text")).where("doc_id is not null")
-    chunks = docs.mapInArrow(_chunks, "digest long, doc_id long, start long, size int, words int")
+    chunks = docs.mapInArrow(_chunks, "digest long, doc_id long, start long, size int, words int, again boolean")
 
-    # Counted per task before they are shuffled; the first of equal chunks is the smallest.
-    firsts = chunks.groupBy("digest").agg(F.min(F.struct("doc_id", "start")).alias("first"), F.max(F.struct("doc_id", "start")).alias("last"))
-    firsts = firsts.where("first <> last").select("digest", F.col("first.doc_id").alias("kept_in"), F.col("first.start").alias("kept_at"))
-    copies = chunks.join(firsts, "digest").where("doc_id <> kept_in or start <> kept_at")
+    # Counted per task before they are shuffled. The smallest document keeps its first copy.
+    firsts = chunks.groupBy("digest").agg(F.min("doc_id").alias("kept_in"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
+    copies = chunks.join(firsts, "digest").where("doc_id <> kept_in or again")
+    copies = copies.select("doc_id", "start", "size", "words", "kept_in").repartition("doc_id")
     copies = copies.groupBy("doc_id", "start").agg(F.max("size").alias("size"), F.max("words").alias("words"), F.max("kept_in").alias("kept_in"))
 
     order = Window.partitionBy("doc_id").orderBy("start")
@@ -133,5 +133,9 @@ def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             own = np.searchsorted(offsets, starts, side="right") - 1
             words = np.maximum(np.searchsorted(at, ends) - np.searchsorted(at, starts), (ends - starts) // INNER)
             digests = span_hashes(BYTE_VALUES[data], starts, ends)
-            columns = [pa.array(digests.view(np.int64)), batch.column("doc_id").take(pa.array(a + own)), pa.array(starts - offsets[own]), pa.array((ends - starts).astype(np.int32)), pa.array(words.astype(np.int32))]
-            yield pa.RecordBatch.from_arrays(columns, ["digest", "doc_id", "start", "size", "words"])
+            # Whether the same chunk is earlier in its text: by text and digest, then by place.
+            order = np.lexsort((digests, own))
+            again = np.zeros(len(digests), dtype=bool)
+            again[order[1:]] = (digests[order[1:]] == digests[order[:-1]]) & (own[order[1:]] == own[order[:-1]])
+            columns = [pa.array(digests.view(np.int64)), batch.column("doc_id").take(pa.array(a + own)), pa.array(starts - offsets[own]), pa.array((ends - starts).astype(np.int32)), pa.array(words.astype(np.int32)), pa.array(again)]
+            yield pa.RecordBatch.from_arrays(columns, ["digest", "doc_id", "start", "size", "words", "again"])
