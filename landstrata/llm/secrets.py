@@ -85,7 +85,7 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
 
 def dense_windows(run: str, threshold: float, width: int = WIDTH) -> list[tuple[int, int]]:
     """Spans of `run` covered by windows whose entropy is at least `threshold`, by incremental counts."""
-    weight = [c * math.log2(c) if c else 0.0 for c in range(width + 1)]
+    weight = [c * math.log2(c) if c else 0.0 for c in range(width + 2)]
     counts: dict[str, int] = {}
     total, out = 0.0, []
     limit = (math.log2(width) - threshold) * width + 1e-9  # entropy = log2(width) - total / width
