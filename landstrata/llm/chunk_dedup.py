@@ -1,6 +1,6 @@
 """Substring deduplication by content-defined chunks.
 
-A gear rolling hash over the last 32 bytes decides at each word's start whether a chunk begins there,
+A gear rolling hash over the last 16 bytes decides at each word's start whether a chunk begins there,
 so cuts depend on nearby text only and meet again soon after an insertion. Inside words longer than 64
 bytes (and in scripts without blanks) every character may begin a chunk, at a lower rate. Equal chunks
 are found by digest; the first one in order of (document, position) is kept. Neighbouring repeated chunks
@@ -20,11 +20,11 @@ from pyspark.sql.window import Window
 from landstrata.llm.text import BLANK, BYTE_VALUES, seeds, slices, span_hashes, utf8
 from landstrata.session import ship
 
-WINDOW = 32  # bytes that the rolling hash looks back on
+WINDOW = 16  # bytes that the rolling hash looks back on
 WORD_RATE = 2  # a chunk begins at one of 2**WORD_RATE words
 INNER_RATE = 5  # and at one of 2**INNER_RATE characters far inside a word
 INNER = 64  # bytes from the word's start on which count as far
-MIN_WORDS = 16
+MIN_WORDS = 12
 
 _GEAR = seeds(256, 101).astype(np.uint32)
 
