@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from landstrata.llm import bpe, chunk_dedup, langid, licences, minhash, ngram_join, packing, pii, search, secrets
+from landstrata.llm import bpe, check_sql, chunk_dedup, langid, licences, minhash, ngram_join, packing, pii, search, secrets
 
 # Key of the surrogates in the registered query; a real run brings its own.
 SURROGATE_KEY = "landstrata"
@@ -91,3 +91,9 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     model = langid.learn(docs.where(~langid.held_out()))
     return langid.predict(docs.select("doc_id", "text", langid.held_out().alias("held_out")), model).drop("text")
+
+
+# The others have no SQL: tokenizers, rolling hashes, keyed digests, sketches and learned models. Tests
+# compare them with brute-force versions, the library's own results, or held-out labels.
+SQL["op2_ngram_jaccard_join"] = check_sql.component_ids(4, (85, 100))
+SQL["op5_license_scan"] = check_sql.license_scan()
