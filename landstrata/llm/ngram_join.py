@@ -4,12 +4,14 @@ The global order is that of the n-grams' 64-bit hashes. It is cut into fragments
 ranges, many or few by the size of the sets. Two sets that are similar enough differ in at most k
 n-grams, so of more than k fragments that hold something at least one is the same in both: every
 document sends one digest for each of its fragments, and documents that share one become
-candidates. Candidates meet in groups of bounded blocks; there the overlaps are counted fragment by
-fragment and summed for each pair, which decides exactly.
+candidates. Candidates meet in groups of bounded blocks, first with the sizes of 256 fragments only:
+the smaller sizes of two sets bound their overlap from above, and who cannot link in a block leaves it.
+The others meet there again with their n-grams; the overlaps are counted fragment by fragment and
+summed for each pair, which decides exactly.
 
 A link is never lost: all pairs of one bucket of equal fragments are pairs of the group of the
 bucket's smallest document. Of a group that fills several blocks, each block is joined in itself
-and with the group's first document; then only documents that this left apart meet the other blocks.
+and with the group's first document; then only documents that this left apart meet the others.
 """
 
 from __future__ import annotations
@@ -19,7 +21,7 @@ from functools import partial
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -27,10 +29,15 @@ from landstrata.llm.components import components
 from landstrata.llm.text import lists, mix, ragged, shingles, slices, utf8, word_hashes
 from landstrata.session import materialise, materialise_observing, ship
 
-# Mean number of documents of one block of a large group; two blocks meet in one step.
+# Mean number of documents of one block of a large group, and of one cell of it, two of which meet in one step.
 BLOCK = 96
+CELL = 512
 # Up to so many document ids are broadcast, as sorted 64-bit numbers, to pick out candidates.
 BROADCAST_IDS = 2_000_000
+# Fragments whose sizes bound an overlap.
+PROFILE_BITS = 8
+PROFILE = 1 << PROFILE_BITS
+FULL = 255
 # Columns of one fragment when overlaps are counted.
 FRAGMENT = 2048
 
@@ -76,54 +83,57 @@ def _links(spark, docs: DataFrame, stats: DataFrame, classes: DataFrame, width:
 
     sizes = pairs.groupBy("pivot").agg(F.count(F.lit(1)).alias("size")).withColumn("blocks", F.ceil(F.col("size") / BLOCK))
     members = pairs.join(sizes, "pivot").withColumn("block", F.pmod(F.xxhash64("member"), "blocks"))
-    members = materialise(members.select("pivot", "member", "blocks", "block"))
-    sets = _sets(spark, docs, members, width)
+    members = materialise(members.select("pivot", "member", "size", "blocks", "block"))
 
     # Every block in itself, with the group's first document.
     one = members.select("pivot", F.col("block").alias("i"), F.col("block").alias("j"), F.col("member").alias("doc_id"), F.lit(0).alias("side"))
     lead = members.select("pivot", F.col("block").alias("i"), F.col("block").alias("j"), F.col("pivot").alias("doc_id"), F.lit(0).alias("side"))
-    linked = materialise(_joined(one.unionByName(lead.distinct()), sets, threshold))
+    linked = materialise(_joined(spark, docs, one.unionByName(lead.distinct()), width, threshold))
 
-    # Of groups with more blocks: those that are apart from the first document meet all other blocks.
+    # Of groups with more blocks: those that are apart from the first document meet all others, in larger cells.
     large = members.where("blocks > 1")
     if large.isEmpty():
         return linked
     label = components(linked)
     large = large.join(label.withColumnsRenamed({"node": "member", "component": "mine"}), "member", "left")
     large = large.join(label.withColumnsRenamed({"node": "pivot", "component": "theirs"}), "pivot", "left")
-    large = large.withColumn("apart", ~F.coalesce("mine", "member").eqNullSafe(F.coalesce("theirs", "pivot")))
-    large = materialise(large.select("pivot", "member", "blocks", "block", "apart"))
-    held = large.where("apart").select("pivot", F.col("block").alias("i")).distinct()
-    left = large.where("apart").withColumn("j", F.explode(_others())).selectExpr("pivot", "block as i", "j", "member as doc_id", "1 as side")
-    right = large.join(held, "pivot").where("i <> block").selectExpr("pivot", "i", "block as j", "member as doc_id", "2 as side")
-    return linked.unionByName(materialise(_joined(left.unionByName(right), sets, threshold)))
-
-
-def _others() -> Column:
-    return F.filter(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1), lambda j: j != F.col("block"))
-
-
-def _sets(spark, docs: DataFrame, members: DataFrame, width: int) -> DataFrame:
-    """(doc_id, hashes) of the candidates, one row each, in shared storage.
-
-    The candidates' ids are broadcast if there are few; otherwise their texts are found by a join.
+    apart = ~F.coalesce("mine", "member").eqNullSafe(F.coalesce("theirs", "pivot"))
+    cells = F.ceil(F.col("size") / CELL)
+    large = large.select("pivot", "member", apart.alias("apart"), cells.alias("cells"), F.pmod(F.xxhash64("member"), cells).alias("cell"))
+    large = materialise(large)
+    held = large.where("apart").select("pivot", F.col("cell").alias("i")).distinct()
+    every = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("cells") - 1))
+    left = large.where("apart").withColumn("j", every).selectExpr("pivot", "cell as i", "j", "member as doc_id", "1 as side")
+    right = large.join(held, "pivot").selectExpr("pivot", "i", "cell as j", "member as doc_id", "2 as side")
+    return linked.unionByName(materialise(_joined(spark, docs, left.unionByName(right), width, threshold)))
+
+
+def _with(spark, docs: DataFrame, placed: DataFrame, width: int, schema: str) -> DataFrame:
+    """`placed` with its documents' n-grams (`hashes`), or with how many they have and the sizes of their
+    fragments (`n`, `profile`), as `schema` says.
+
+    The documents' ids are broadcast if there are few; otherwise their texts are found by a join.
     """
-    ids = members.select(F.explode(F.array("pivot", "member")).alias("doc_id")).distinct()
-    ids, seen = materialise_observing(ids, rows=F.count(F.lit(1)))
+    ids, seen = materialise_observing(placed.select("doc_id").distinct(), rows=F.count(F.lit(1)))
     wanted = None
     if seen["rows"] <= BROADCAST_IDS:
         wanted = spark.sparkContext.broadcast(np.sort(ids.toPandas()["doc_id"].to_numpy(dtype=np.int64)))
     else:
         docs = docs.join(ids, "doc_id", "left_semi")
-    return docs.mapInArrow(partial(_hashes, width=width, wanted=wanted), "doc_id long, hashes array<long>")
+    return placed.join(docs.mapInArrow(partial(_arrays, width=width, wanted=wanted, profile="profile" in schema), schema), "doc_id")
 
 
-def _joined(placed: DataFrame, sets: DataFrame, threshold: tuple[int, int]) -> DataFrame:
+def _joined(spark, docs: DataFrame, placed: DataFrame, width: int, threshold: tuple[int, int]) -> DataFrame:
     """Links (a, b) within blocks: what is placed at one (pivot, i, j) meets there and nowhere else."""
     at = ["pivot", "i", "j"]
-    rows = placed.join(sets, "doc_id").select(*at, "side", "doc_id", "hashes")
-    rows = rows.repartition(*at).sortWithinPartitions(*at, "doc_id", "side")
-    return rows.mapInArrow(partial(_block_links, threshold=threshold), "a long, b long")
+
+    def met(rows: DataFrame, use, columns: list[str], schema: str) -> DataFrame:
+        rows = rows.select(*at, "side", "doc_id", *columns).repartition(*at).sortWithinPartitions(*at, "doc_id", "side")
+        return rows.mapInArrow(partial(_by_block, use=partial(use, threshold=threshold)), schema)
+
+    sized = _with(spark, docs, placed, width, "doc_id long, n int, profile binary")
+    left = materialise(met(sized, _possible, ["n", "profile"], "pivot long, i long, j long, side int, doc_id long"))
+    return met(_with(spark, docs, left, width, "doc_id long, hashes array<long>"), _linked, ["hashes"], "a long, b long")
 
 
 # ---- inside a task -------------------------------------------------------------------------------
@@ -158,7 +168,7 @@ def _sizes(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordB
             yield pa.RecordBatch.from_arrays([ids, pa.array(np.diff(edges)), pa.array(digests, pa.binary())], ["doc_id", "n_shingles", "digest"])
 
 
-def _hashes(batches: Iterator[pa.RecordBatch], width: int, wanted) -> Iterator[pa.RecordBatch]:
+def _arrays(batches: Iterator[pa.RecordBatch], width: int, wanted, profile: bool) -> Iterator[pa.RecordBatch]:
     done: set[int] = set()  # a repeated row is one document
     for batch in batches:
         ids = batch.column("doc_id").to_numpy()
@@ -167,7 +177,14 @@ def _hashes(batches: Iterator[pa.RecordBatch], width: int, wanted) -> Iterator[p
             chosen[k] = ids[k] not in done
             done.add(ids[k])
         for own, hashes, edges in _shingled(batch, width, chosen):
-            yield pa.RecordBatch.from_arrays([own, lists(hashes.view(np.int64), edges, pa.int64())], ["doc_id", "hashes"])
+            if profile:
+                at = np.repeat(np.arange(len(own)) * PROFILE, np.diff(edges)) + (hashes >> np.uint64(64 - PROFILE_BITS)).astype(np.int64)
+                counts = np.minimum(np.bincount(at, minlength=len(own) * PROFILE), FULL).astype(np.uint8)
+                rows = [row.tobytes() for row in counts.reshape(len(own), PROFILE)]
+                sizes = pa.array(np.diff(edges).astype(np.int32))
+                yield pa.RecordBatch.from_arrays([own, sizes, pa.array(rows, pa.binary())], ["doc_id", "n", "profile"])
+            else:
+                yield pa.RecordBatch.from_arrays([own, lists(hashes.view(np.int64), edges, pa.int64())], ["doc_id", "hashes"])
 
 
 def schemes(largest: int, threshold: tuple[int, int]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -235,7 +252,10 @@ def _signatures(batches: Iterator[pa.RecordBatch], width: int, threshold: tuple[
 
 
 def overlaps(hashes: np.ndarray, edges: np.ndarray, left: np.ndarray, right: np.ndarray) -> np.ndarray:
-    """Sizes of the intersections of the sets `left` with the sets `right`, fragment by fragment."""
+    """Sizes of the intersections of the sets `left` with other sets `right`, fragment by fragment.
+
+    N-grams of one set only are left out first, so what a set has in common with itself is not told.
+    """
     owner = np.repeat(np.arange(len(edges) - 1), np.diff(edges))
     order = np.argsort(hashes, kind="stable")
     hashes, owner = hashes[order], owner[order]
@@ -254,9 +274,9 @@ def overlaps(hashes: np.ndarray, edges: np.ndarray, left: np.ndarray, right: np.
     return out
 
 
-def _block_links(batches: Iterator[pa.RecordBatch], threshold: tuple[int, int]) -> Iterator[pa.RecordBatch]:
-    """Rows come sorted by (pivot, i, j); one such block is at hand at a time."""
-    rest, last = None, None
+def _by_block(batches: Iterator[pa.RecordBatch], use) -> Iterator[pa.RecordBatch]:
+    """Rows come sorted by (pivot, i, j); `use` gets one such block at a time."""
+    rest = None
     for batch in batches:
         table = pa.Table.from_batches([batch])
         if rest is not None:
@@ -265,25 +285,52 @@ def _block_links(batches: Iterator[pa.RecordBatch], threshold: tuple[int, int])
         cuts = np.flatnonzero((at[:, 1:] != at[:, :-1]).any(axis=0)) + 1
         edges = [0, *cuts.tolist()]
         for a, b in zip(edges[:-1], edges[1:]):
-            yield _linked(table.slice(a, b - a), threshold)
+            yield use(table.slice(a, b - a))
         rest = table.slice(edges[-1]).combine_chunks()
-        last = rest
-    if last is not None and len(last):
-        yield _linked(last, threshold)
+    if rest is not None and len(rest):
+        yield use(rest)
 
 
-def _linked(block: pa.Table, threshold: tuple[int, int]) -> pa.RecordBatch:
-    """Links that connect what the block's links connect: every document with the smallest it reaches."""
-    num, den = threshold
-    column = block.column("hashes").combine_chunks()
+def _column(block: pa.Table, name: str) -> tuple[np.ndarray, np.ndarray]:
+    """All values of a list column, and where the rows' lists begin and the last ends."""
+    column = block.column(name).combine_chunks()
     if isinstance(column, pa.ChunkedArray):
         column = column.chunk(0)
     edges = column.offsets.to_numpy().astype(np.int64)
-    hashes = column.values.to_numpy()[edges[0] : edges[-1]].view(np.uint64)
-    edges, sizes = edges - edges[0], np.diff(edges)
-    ids, side = block.column("doc_id").to_numpy(), block.column("side").to_numpy()
+    return column.values.to_numpy()[edges[0] : edges[-1]], edges - edges[0]
+
+
+def _sides(block: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """The rows that meet and the rows they meet: all with all, or one block with the other."""
+    side = block.column("side").to_numpy()
     left = np.flatnonzero(side != 2)
-    right = left if not side.any() else np.flatnonzero(side == 2)
+    return left, (left if not side.any() else np.flatnonzero(side == 2))
+
+
+def _possible(block: pa.Table, threshold: tuple[int, int]) -> pa.RecordBatch:
+    """The rows of a block that may link there, by the sizes of their fragments."""
+    num, den = threshold
+    profiles = np.frombuffer(b"".join(block.column("profile").to_pylist()), dtype=np.uint8).reshape(-1, PROFILE)
+    profiles = np.where(profiles == FULL, 1 << 20, profiles.astype(np.int32))  # a full byte stands for any size
+    sizes = block.column("n").to_numpy().astype(np.int64)
+    ids, (left, right) = block.column("doc_id").to_numpy(), _sides(block)
+    kept = np.zeros(len(ids), dtype=bool)
+    for x in left.tolist():
+        fit = right[(ids[right] != ids[x]) & (np.minimum(sizes[right], sizes[x]) * den >= np.maximum(sizes[right], sizes[x]) * num)]
+        most = np.minimum(np.minimum(profiles[fit], profiles[x]).sum(axis=1, dtype=np.int64), np.minimum(sizes[fit], sizes[x]))
+        fit = fit[most * den >= (sizes[fit] + sizes[x] - most) * num]
+        kept[fit] = True
+        kept[x] |= len(fit) > 0
+    table = block.select(["pivot", "i", "j", "side", "doc_id"]).filter(pa.array(kept)).combine_chunks()
+    return pa.RecordBatch.from_arrays([c.combine_chunks() for c in table.columns], table.schema.names)
+
+
+def _linked(block: pa.Table, threshold: tuple[int, int]) -> pa.RecordBatch:
+    """Links that connect what the block's links connect: every document with the smallest it reaches."""
+    num, den = threshold
+    values, edges = _column(block, "hashes")
+    hashes, sizes = values.view(np.uint64), np.diff(edges)
+    ids, (left, right) = block.column("doc_id").to_numpy(), _sides(block)
     common = overlaps(hashes, edges, left, right)
     union = sizes[left][:, None] + sizes[right][None, :] - common
     x, y = np.nonzero((common * den >= union * num) & (common > 0))

@@ -49,6 +49,7 @@ def test_equals_all_pairs(spark, seed, sizes, copies, width, threshold):
 def test_large_groups_in_several_blocks(spark, monkeypatch):
     """Chains of near copies over many small blocks, with the candidates found by a join."""
     monkeypatch.setattr(ngram_join, "BLOCK", 4)
+    monkeypatch.setattr(ngram_join, "CELL", 7)
     monkeypatch.setattr(ngram_join, "BROADCAST_IDS", 0)
     rng = random.Random(5)
     base = [f"w{i}" for i in range(60)]
@@ -57,9 +58,15 @@ def test_large_groups_in_several_blocks(spark, monkeypatch):
         texts[k] = " ".join(base)
         at = rng.randrange(len(base))
         base[at] = f"x{k}"
+    first = [f"v{i}" for i in range(150)]
+    for k in range(100, 190):  # near copies of one text, and some of theirs
+        own = texts[rng.choice(range(101, k))].split() if k > 150 else list(first)
+        for _ in range(rng.randint(1, 7)):
+            own[rng.randrange(len(own))] = f"y{k}{rng.random()}"
+        texts[k] = " ".join(own if k > 100 else first)
     want = brute.groups(texts, 4, 85, 100)
     assert found(spark, texts, width=4, threshold=(85, 100)) == want
-    assert len({c for _, c in want.values()}) < 10
+    assert 3 < len({c for _, c in want.values()}) < 90
 
 
 def test_odd_rows(spark):
