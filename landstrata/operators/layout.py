@@ -68,11 +68,9 @@ def measured_extent(measures: DataFrame, key: str) -> DataFrame:
 
 def costed_rows(measures: DataFrame, extent: DataFrame, key: str) -> DataFrame:
     """Rows with curve key, size and cost, ready to be ordered."""
-    side, _ = small_side(extent.select(key, "rows", "empty_geometries", "attribute_cost"))
     cost = F.col("wkb_bytes") * covering.COST_UNIT + F.col("attribute_cost")
     return (
-        with_curve_key(measures, extent, key)
-        .join(side, key)
+        with_curve_key(measures, extent, key, "rows", "empty_geometries", "attribute_cost")
         .withColumn("size", boxes.larger_side())
         .withColumn("cost", cost.cast("bigint"))
         .drop("attribute_cost", "wkb_bytes", "attribute_eighths", "geometry_kind")

@@ -55,3 +55,9 @@ def shaped_features(spark: SparkSession, sf_dir: str) -> DataFrame:
         .withColumn("geometry", wkb.rectangle_column(*sides))
         .drop("bbox", "wkb_bytes")
     )
+
+
+def ringed_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The features with shapes of the size that published boundaries have, some 3 KB of several rings."""
+    sides = [F.col(f"bbox.{s}") for s in boxes.SIDES]
+    return features(spark, sf_dir).withColumn("geometry", wkb.ringed_column(*sides)).drop("bbox", "wkb_bytes")
