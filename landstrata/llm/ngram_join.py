@@ -4,7 +4,7 @@ The global order is that of the n-grams' 64-bit hashes. It is cut into fragments
 ranges, many or few by the size of the sets. Two sets that are similar enough differ in at most k
 n-grams, so of more than k fragments that hold something at least one is the same in both: every
 document sends one digest for each of its fragments, and documents that share one become
-candidates. Candidates meet in groups of bounded blocks, first with the sizes of 256 fragments only:
+candidates. Candidates meet in groups of bounded blocks, first with the sizes of fragments only:
 the smaller sizes of two sets bound their overlap from above, and who cannot link in a block leaves it.
 The others meet there again with their n-grams; the overlaps are counted fragment by fragment and
 summed for each pair, which decides exactly.
@@ -34,9 +34,8 @@ BLOCK = 96
 CELL = 512
 # Up to so many document ids are broadcast, as sorted 64-bit numbers, to pick out candidates.
 BROADCAST_IDS = 2_000_000
-# Fragments whose sizes bound an overlap.
-PROFILE_BITS = 8
-PROFILE = 1 << PROFILE_BITS
+# Binary logarithms of the numbers of fragments whose sizes bound overlaps, first few, then many for who is left.
+PROFILES = (8, 11)
 FULL = 255
 # Columns of one fragment when overlaps are counted.
 FRAGMENT = 2048
@@ -108,9 +107,9 @@ def _links(spark, docs: DataFrame, stats: DataFrame, classes: DataFrame, width:
     return linked.unionByName(materialise(_joined(spark, docs, left.unionByName(right), width, threshold)))
 
 
-def _with(spark, docs: DataFrame, placed: DataFrame, width: int, schema: str) -> DataFrame:
-    """`placed` with its documents' n-grams (`hashes`), or with how many they have and the sizes of their
-    fragments (`n`, `profile`), as `schema` says.
+def _with(spark, docs: DataFrame, placed: DataFrame, width: int, bits: int | None = None) -> DataFrame:
+    """`placed` with its documents' n-grams (`hashes`), or with how many they have and the sizes of
+    2**bits fragments (`n`, `profile`).
 
     The documents' ids are broadcast if there are few; otherwise their texts are found by a join.
     """
@@ -120,7 +119,8 @@ def _with(spark, docs: DataFrame, placed: DataFrame, width: int, schema: str) ->
         wanted = spark.sparkContext.broadcast(np.sort(ids.toPandas()["doc_id"].to_numpy(dtype=np.int64)))
     else:
         docs = docs.join(ids, "doc_id", "left_semi")
-    return placed.join(docs.mapInArrow(partial(_arrays, width=width, wanted=wanted, profile="profile" in schema), schema), "doc_id")
+    schema = "doc_id long, hashes array<long>" if bits is None else "doc_id long, n int, profile binary"
+    return placed.join(docs.mapInArrow(partial(_arrays, width=width, wanted=wanted, bits=bits), schema), "doc_id")
 
 
 def _joined(spark, docs: DataFrame, placed: DataFrame, width: int, threshold: tuple[int, int]) -> DataFrame:
@@ -131,9 +131,10 @@ def _joined(spark, docs: DataFrame, placed: DataFrame, width: int, threshold: tu
         rows = rows.select(*at, "side", "doc_id", *columns).repartition(*at).sortWithinPartitions(*at, "doc_id", "side")
         return rows.mapInArrow(partial(_by_block, use=partial(use, threshold=threshold)), schema)
 
-    sized = _with(spark, docs, placed, width, "doc_id long, n int, profile binary")
-    left = materialise(met(sized, _possible, ["n", "profile"], "pivot long, i long, j long, side int, doc_id long"))
-    return met(_with(spark, docs, left, width, "doc_id long, hashes array<long>"), _linked, ["hashes"], "a long, b long")
+    for bits in PROFILES:
+        sized = _with(spark, docs, placed, width, bits)
+        placed = materialise(met(sized, _possible, ["n", "profile"], "pivot long, i long, j long, side int, doc_id long"))
+    return met(_with(spark, docs, placed, width), _linked, ["hashes"], "a long, b long")
 
 
 # ---- inside a task -------------------------------------------------------------------------------
@@ -168,7 +169,7 @@ def _sizes(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordB
             yield pa.RecordBatch.from_arrays([ids, pa.array(np.diff(edges)), pa.array(digests, pa.binary())], ["doc_id", "n_shingles", "digest"])
 
 
-def _arrays(batches: Iterator[pa.RecordBatch], width: int, wanted, profile: bool) -> Iterator[pa.RecordBatch]:
+def _arrays(batches: Iterator[pa.RecordBatch], width: int, wanted, bits: int | None) -> Iterator[pa.RecordBatch]:
     done: set[int] = set()  # a repeated row is one document
     for batch in batches:
         ids = batch.column("doc_id").to_numpy()
@@ -177,10 +178,10 @@ def _arrays(batches: Iterator[pa.RecordBatch], width: int, wanted, profile: bool
             chosen[k] = ids[k] not in done
             done.add(ids[k])
         for own, hashes, edges in _shingled(batch, width, chosen):
-            if profile:
-                at = np.repeat(np.arange(len(own)) * PROFILE, np.diff(edges)) + (hashes >> np.uint64(64 - PROFILE_BITS)).astype(np.int64)
-                counts = np.minimum(np.bincount(at, minlength=len(own) * PROFILE), FULL).astype(np.uint8)
-                rows = [row.tobytes() for row in counts.reshape(len(own), PROFILE)]
+            if bits is not None:
+                at = np.repeat(np.arange(len(own)) << bits, np.diff(edges)) + (hashes >> np.uint64(64 - bits)).astype(np.int64)
+                counts = np.minimum(np.bincount(at, minlength=len(own) << bits), FULL).astype(np.uint8)
+                rows = [row.tobytes() for row in counts.reshape(len(own), 1 << bits)]
                 sizes = pa.array(np.diff(edges).astype(np.int32))
                 yield pa.RecordBatch.from_arrays([own, sizes, pa.array(rows, pa.binary())], ["doc_id", "n", "profile"])
             else:
@@ -310,8 +311,8 @@ def _sides(block: pa.Table) -> tuple[np.ndarray, np.ndarray]:
 def _possible(block: pa.Table, threshold: tuple[int, int]) -> pa.RecordBatch:
     """The rows of a block that may link there, by the sizes of their fragments."""
     num, den = threshold
-    profiles = np.frombuffer(b"".join(block.column("profile").to_pylist()), dtype=np.uint8).reshape(-1, PROFILE)
-    profiles = np.where(profiles == FULL, 1 << 20, profiles.astype(np.int32))  # a full byte stands for any size
+    profiles = np.frombuffer(b"".join(block.column("profile").to_pylist()), dtype=np.uint8).reshape(block.num_rows, -1)
+    profiles = np.where(profiles == FULL, 1 << 30, profiles.astype(np.int32))  # a full byte stands for any size
     sizes = block.column("n").to_numpy().astype(np.int64)
     ids, (left, right) = block.column("doc_id").to_numpy(), _sides(block)
     kept = np.zeros(len(ids), dtype=bool)
