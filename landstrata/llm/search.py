@@ -4,6 +4,8 @@ Statistics (documents, their mean length, document frequencies) are counted over
 score does not depend on the shard. A shard is a part of a task's rows; its index holds postings of the
 terms that the queries of the block ask for. Queries come in blocks of bounded size, each broadcast
 once, and every shard returns its best k for each query; the best k of those are the best k of all.
+Queries of few terms skip postings by block-max WAND; those of many, such as whole texts, of which
+hardly any posting can be skipped, sum all postings of their terms as arrays.
 """
 
 from __future__ import annotations
@@ -25,7 +27,9 @@ from landstrata.llm.text import SLICE_BYTES, slices, utf8, word_hashes
 from landstrata.session import materialise, ship
 
 K1, B = 1.2, 0.75
-QUERIES = 50_000  # queries of a block; a block's terms and weights are some 16 bytes for each term
+QUERIES = 50_000  # queries of a block at most
+TERMS = 4_000_000  # and terms of all its queries, of some 16 bytes each; a query is never split
+FEW = 16  # terms up to which a query goes by WAND
 POSTINGS = 2_000_000  # a shard is closed when it holds as many
 SPAN = 64  # postings under one block maximum
 
@@ -57,15 +61,17 @@ def statistics(docs: DataFrame, text: str = "text") -> tuple[DataFrame, int, flo
     return table.where("term is not null").select("term", "df"), n, terms / n if n and terms else 1.0
 
 
-def telling_terms(queries: DataFrame, df: DataFrame, n: int, terms: int = 16, key: str = "doc_id", text: str = "text") -> DataFrame:
+def telling_terms(queries: DataFrame, df: DataFrame, n: int, terms: int | None = 16, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(query_id, term, weight): a text's `terms` terms of the largest weight, tf * idf; ties by term.
 
-    The whole text is read. A text with fewer distinct terms asks for all of them.
+    The whole text is read. A text with fewer distinct terms asks for all of them, and so does any with None.
     """
     rows = queries.select(F.col(key).cast("bigint").alias("query_id"), F.col(text).alias("text")).where("query_id is not null")
     asked = rows.mapInArrow(_query_terms, "query_id long, term long, tf long").distinct().join(df, "term")
     idf = F.log(1 + (F.lit(float(n)) - F.col("df") + 0.5) / (F.col("df") + 0.5))
     weighed = asked.select("query_id", "term", (F.col("tf") * idf).alias("weight"))
+    if terms is None:
+        return weighed
     order = Window.partitionBy("query_id").orderBy(F.desc("weight"), "term")
     return weighed.withColumn("place", F.row_number().over(order)).where(F.col("place") <= terms).drop("place")
 
@@ -81,7 +87,8 @@ def search(docs: DataFrame, asked: DataFrame, mean: float, k: int = 10, key: str
     spark = ship(docs.sparkSession)
     rows = docs.select(F.col(key).cast("bigint").alias("doc_id"), F.col(text).alias("text")).where("doc_id is not null")
     asked = materialise(asked)
-    blocks = max(1, -(-asked.select(F.count_distinct("query_id")).first()[0] // QUERIES))
+    size = asked.agg(F.count_distinct("query_id").alias("queries"), F.count(F.lit(1)).alias("terms")).first()
+    blocks = max(1, -(-size.queries // QUERIES), -(-size.terms // TERMS))
     found = None
     for b in range(blocks):
         own = asked.where(F.pmod(F.xxhash64("query_id"), F.lit(blocks)) == b).orderBy("query_id", "term").toPandas()
@@ -216,6 +223,17 @@ def best_of(lists: list[tuple[Postings, float]], k: int) -> list[tuple[float, in
     return sorted(((s, -p) for s, p in heap), key=lambda x: (-x[0], x[1]))
 
 
+def best_of_sums(places: list[np.ndarray], impacts: list[np.ndarray], weights: list[float], docs: int, k: int) -> list[tuple[float, int]]:
+    """What `best_of` returns, from all postings of all terms; a place's sum is taken in the same order of terms."""
+    if not places:
+        return []
+    scores = np.bincount(np.concatenate(places), np.concatenate([i * w for i, w in zip(impacts, weights)]), minlength=docs)
+    least = np.partition(scores, docs - k)[docs - k] if docs > k else 0.0
+    at = np.flatnonzero((scores >= least) & (scores > 0))
+    at = at[np.lexsort((at, -scores[at]))[:k]]
+    return list(zip(scores[at].tolist(), at.tolist()))
+
+
 class Shard:
     """Postings of the wanted terms, gathered until the shard is searched."""
 
@@ -254,15 +272,18 @@ class Shard:
         rows: list[tuple] = []
         ids = ids[order]
         bounds, weights = self.block.bounds.tolist(), self.block.weights.tolist()
+        edges, slots, wide = edges.tolist(), self.slots.tolist(), place.astype(np.intp)
         for q, query in enumerate(self.block.ids.tolist()):
-            lists = []
-            for x in range(bounds[q], bounds[q + 1]):
-                s = int(self.slots[x])
-                if edges[s] < edges[s + 1]:
-                    if s not in known:
-                        known[s] = Postings(place[edges[s] : edges[s + 1]], impact[edges[s] : edges[s + 1]])
-                    lists.append((known[s], weights[x]))
-            rows += [(query, int(ids[p]), score) for score, p in best_of(lists, k)]
+            held = [(edges[slots[x]], edges[slots[x] + 1], x) for x in range(bounds[q], bounds[q + 1])]
+            held = [h for h in held if h[0] < h[1]]
+            if len(held) > FEW:
+                best = best_of_sums([wide[a:b] for a, b, _ in held], [impact[a:b] for a, b, _ in held], [weights[x] for _, _, x in held], len(ids), k)
+            else:
+                for a, b, x in held:
+                    if slots[x] not in known:
+                        known[slots[x]] = Postings(place[a:b], impact[a:b])
+                best = best_of([(known[slots[x]], weights[x]) for _, _, x in held], k)
+            rows += [(query, int(ids[p]), score) for score, p in best]
         for a in range(0, len(rows), 100_000):
             yield pa.RecordBatch.from_pydict(dict(zip(("query_id", "doc_id", "score"), map(list, zip(*rows[a : a + 100_000])))))
 

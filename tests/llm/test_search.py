@@ -6,7 +6,7 @@ from pathlib import Path
 import numpy as np
 import pytest
 
-from landstrata.llm import search
+from landstrata.llm import queries, search
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 import brute  # noqa: E402
@@ -56,6 +56,38 @@ def test_documents(spark, monkeypatch):
         assert [s for _, s in got[key]] == pytest.approx([s for _, s in rows])
 
 
+def test_query_asks_for_whole_texts(spark, monkeypatch):
+    """The registered query against brute force over all terms of each query row, in several blocks and shards."""
+    monkeypatch.setattr(search, "POSTINGS", 50_000)
+    monkeypatch.setattr(search, "TERMS", 1000)
+    got = collections.defaultdict(list)
+    for r in sorted(queries.op8_exact_topk_search(spark, "/root/testdata/sf0.01").collect(), key=lambda r: (r.query_id, r.rank)):
+        got[r.query_id].append((r.doc_id, r.score))
+    texts = {r.doc_id: r.text for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").collect()}
+    words = {k: collections.Counter(brute.re.findall(rb"[a-z0-9\x80-\xff]+", t.encode().translate(brute.LOWER))) for k, t in texts.items()}
+    counted = collections.Counter(t for c in words.values() for t in c)
+    asked = {k: {t: tf * brute.idf(len(texts), counted[t]) for t, tf in words[k].items()} for k in texts if k % 100 == 0}
+    assert max(map(len, asked.values())) > 100
+    want = brute.bm25(texts, asked, 10)
+    assert set(got) == set(want)
+    for key, rows in want.items():
+        assert [k for k, _ in got[key]] == [k for k, _ in rows]
+        assert [s for _, s in got[key]] == pytest.approx([s for _, s in rows])
+
+
+def test_sums_are_what_wand_finds():
+    rng = random.Random(5)
+    for _ in range(300):
+        k, docs = rng.choice([1, 3, 10]), rng.choice([5, 20, 500])
+        places, impacts, weights = [], [], []
+        for _ in range(rng.randint(0, 30)):
+            places.append(np.array(sorted(rng.sample(range(docs), rng.randint(1, docs))), dtype=np.intp))
+            impacts.append(np.array([rng.choice([0.5, 1.0, rng.random() * 2]) for _ in places[-1]]))
+            weights.append(rng.choice([0.1, 1.0, 3.0]))
+        lists = [(search.Postings(p, i), w) for p, i, w in zip(places, impacts, weights)]
+        assert search.best_of_sums(places, impacts, weights, docs, k) == search.best_of(lists, k)
+
+
 def test_odd_rows(spark):
     rows = [(5, "alpha beta"), (3, "Alpha, BETA!"), (7, None), (8, ""), (None, "alpha"), (5, "alpha beta"), (9, "gamma " * 100_000), (10, "...")]
     docs = spark.createDataFrame([(*r, "x", 1) for r in rows], SCHEMA)
