@@ -2,14 +2,16 @@
 
 A gear rolling hash over the last 16 bytes decides at each word's start whether a chunk begins there,
 so cuts depend on nearby text only and meet again soon after an insertion. Inside words longer than 64
-bytes (and in scripts without blanks) every character may begin a chunk, at a lower rate. Equal chunks
-are found by digest; the first one in order of (document, position) is kept. Neighbouring repeated chunks
-of a document make a run, and a run of `min_words` words or more is a repeated passage.
+bytes (and in scripts without blanks) every character may begin a chunk, at a lower rate. From each
+chunk on, the fewest chunks that span `min_words` words make a window. Equal windows are found by digest,
+so they repeat as a whole; the first one in order of (document, position) is kept. Repeated windows of a
+document that overlap or touch make a repeated passage.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -32,33 +34,34 @@ _GEAR = seeds(256, 101).astype(np.uint32)
 def repeated_spans(docs: DataFrame, min_words: int = MIN_WORDS, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(key, start, end, words, kept_in): repeated passages, in bytes of the text's UTF-8, end exclusive.
 
-    `kept_in` lists the documents that hold the kept first copies of the passage's chunks, ascending.
+    `kept_in` lists the documents that hold the kept first copies of the passage's windows, ascending.
     A document may repeat itself. A word that is longer than 64 bytes counts as one for every 64 bytes.
-    Passages lie apart and ascend; those of fewer than `min_words` words are left out. How much of a
-    repeated passage is found: all but the words before its first cut and after its last, about ten.
+    Passages lie apart and ascend; each is made of stretches of `min_words` words or more that occur as
+    they are in one document of `kept_in`. How much of a repeated passage is found: all but the words
+    before its first cut and after its last, about ten.
 
     Null or empty texts have no chunks. Rows with a null key are left out. Repeated rows are one
     document. An empty table gives an empty result. Other columns are not looked at.
     """
     ship(docs.sparkSession)
     docs = docs.select(F.col(key).cast("bigint").alias("doc_id"), F.col(text).alias("text")).where("doc_id is not null")
-    chunks = docs.mapInArrow(_chunks, "digest long, doc_id long, start long, size int, words int, again boolean")
+    windows = docs.mapInArrow(partial(_windows, min_words=min_words), "digest long, doc_id long, start int, size int, before int, words int, again boolean")
 
     # Counted per task before they are shuffled. The smallest document keeps its first copy.
-    firsts = chunks.groupBy("digest").agg(F.min("doc_id").alias("kept_in"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
-    copies = chunks.join(firsts, "digest").where("doc_id <> kept_in or again")
-    copies = copies.select("doc_id", "start", "size", "words", "kept_in").repartition("doc_id")
-    copies = copies.groupBy("doc_id", "start").agg(F.max("size").alias("size"), F.max("words").alias("words"), F.max("kept_in").alias("kept_in"))
+    firsts = windows.groupBy("digest").agg(F.min("doc_id").alias("kept_in"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
+    copies = windows.join(firsts, "digest").where("doc_id <> kept_in or again")
+    copies = copies.select("doc_id", "start", (F.col("start") + F.col("size")).alias("end"), "before", (F.col("before") + F.col("words")).alias("after"), "kept_in").repartition("doc_id")
+    copies = copies.groupBy("doc_id", "start").agg(F.max("end").alias("end"), F.min("before").alias("before"), F.max("after").alias("after"), F.max("kept_in").alias("kept_in"))
 
     order = Window.partitionBy("doc_id").orderBy("start")
-    apart = F.coalesce(F.lag(F.col("start") + F.col("size")).over(order) != F.col("start"), F.lit(True))
-    runs = copies.withColumn("apart", apart.cast("int"))
+    reached = F.max("end").over(order.rowsBetween(Window.unboundedPreceding, -1))
+    runs = copies.withColumn("apart", F.coalesce(F.col("start") > reached, F.lit(True)).cast("int"))
     runs = runs.withColumn("run", F.sum("apart").over(order.rowsBetween(Window.unboundedPreceding, 0)))
     spans = runs.groupBy("doc_id", "run").agg(
-        F.min("start").alias("start"), F.max(F.col("start") + F.col("size")).alias("end"),
-        F.sum("words").alias("words"), F.array_sort(F.collect_set("kept_in")).alias("kept_in"),
+        F.min("start").cast("bigint").alias("start"), F.max("end").cast("bigint").alias("end"),
+        (F.max("after") - F.min("before")).cast("bigint").alias("words"), F.array_sort(F.collect_set("kept_in")).alias("kept_in"),
     )
-    return spans.where(F.col("words") >= min_words).select(F.col("doc_id").alias(key), "start", "end", "words", "kept_in")
+    return spans.select(F.col("doc_id").alias(key), "start", "end", "words", "kept_in")
 
 
 def without_repeats(docs: DataFrame, min_words: int = MIN_WORDS, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -121,7 +124,8 @@ def cuts(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return np.flatnonzero(begins), words
 
 
-def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _windows(batches: Iterator[pa.RecordBatch], min_words: int) -> Iterator[pa.RecordBatch]:
+    """Of every chunk, the window that begins with it: the fewest chunks of its text that span `min_words` words."""
     for batch in batches:
         everything, bounds = utf8(batch.column("text"))
         for a, b in slices(np.diff(bounds)):
@@ -131,11 +135,19 @@ def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             starts, at = cuts(data, offsets)
             ends = np.append(starts[1:], len(data))
             own = np.searchsorted(offsets, starts, side="right") - 1
-            words = np.maximum(np.searchsorted(at, ends) - np.searchsorted(at, starts), (ends - starts) // INNER)
+            held = np.maximum(np.searchsorted(at, ends) - np.searchsorted(at, starts), (ends - starts) // INNER)
+            reached = np.cumsum(held)  # words up to the end of each chunk
+            before = reached - held
+            last = np.searchsorted(reached, before + min_words)
+            whole = np.flatnonzero(last < len(starts))
+            whole = whole[own[last[whole]] == own[whole]]
+            last = last[whole]
+            starts, ends, words = starts[whole], ends[last], reached[last] - before[whole]
+            before, own = before[whole] - before[np.searchsorted(own, own[whole])], own[whole]
             digests = span_hashes(BYTE_VALUES[data], starts, ends)
-            # Whether the same chunk is earlier in its text: by text and digest, then by place.
+            # Whether the same window is earlier in its text: by text and digest, then by place.
             order = np.lexsort((digests, own))
             again = np.zeros(len(digests), dtype=bool)
             again[order[1:]] = (digests[order[1:]] == digests[order[:-1]]) & (own[order[1:]] == own[order[:-1]])
-            columns = [pa.array(digests.view(np.int64)), batch.column("doc_id").take(pa.array(a + own)), pa.array(starts - offsets[own]), pa.array((ends - starts).astype(np.int32)), pa.array(words.astype(np.int32)), pa.array(again)]
-            yield pa.RecordBatch.from_arrays(columns, ["digest", "doc_id", "start", "size", "words", "again"])
+            numbers = [pa.array(x.astype(np.int32)) for x in (starts - offsets[own], ends - starts, before, words)]
+            yield pa.RecordBatch.from_arrays([pa.array(digests.view(np.int64)), batch.column("doc_id").take(pa.array(a + own)), *numbers, pa.array(again)], ["digest", "doc_id", "start", "size", "before", "words", "again"])

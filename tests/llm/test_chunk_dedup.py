@@ -92,6 +92,26 @@ def test_scripts_without_blanks(spark, joint):
         dict(rows)[2].encode()[r.start : r.end].decode()  # whole characters
 
 
+def test_chunks_of_unrelated_documents_are_not_stitched(spark):
+    """Of a small vocabulary, short chunks are in many documents; what is cut repeats as stretches of 12 words."""
+    rng = random.Random(6)
+    vocabulary = [words(rng, 1) for _ in range(30)]
+    some = lambda n: " ".join(rng.choice(vocabulary) for _ in range(n))
+    passage = some(60)
+    rows = [(k, some(60)) for k in range(400)] + [(1000, f"{some(30)} {passage} {some(30)}"), (1001, f"{some(30)} {passage} {some(30)}")]
+    texts = dict(rows)
+    found = chunk_dedup.repeated_spans(frame(spark, rows)).collect()
+    assert 1001 in {r.doc_id for r in found}
+    for r in found:
+        cut = texts[r.doc_id].encode()[r.start : r.end].decode().split()
+        held = [f" {texts[k]} " for k in r.kept_in]
+        covered = set()
+        for i in range(len(cut) - chunk_dedup.MIN_WORDS + 1):
+            if any(f" {' '.join(cut[i : i + chunk_dedup.MIN_WORDS])} " in t for t in held):
+                covered.update(range(i, i + chunk_dedup.MIN_WORDS))
+        assert covered == set(range(len(cut)))
+
+
 def test_odd_rows(spark):
     rng = random.Random(5)
     text = words(rng, 200)
