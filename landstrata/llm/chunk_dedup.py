@@ -2,7 +2,8 @@
 
 A gear rolling hash over the last 16 bytes decides at each word's start whether a chunk begins there,
 so cuts depend on nearby text only and meet again soon after an insertion. Inside words longer than 64
-bytes (and in scripts without blanks) every character may begin a chunk, at a lower rate. From each
+bytes every character may begin a chunk, at a lower rate. So may every character of a script without
+blanks, wherever it is, and two of them count as a word. From each
 chunk on, the fewest chunks that span `min_words` words make a window. Equal windows are found by digest,
 so they repeat as a whole; the first one in order of (document, position) is kept. Repeated windows of a
 document that overlap or touch make a repeated passage.
@@ -26,16 +27,24 @@ WINDOW = 16  # bytes that the rolling hash looks back on
 WORD_RATE = 2  # a chunk begins at one of 2**WORD_RATE words
 INNER_RATE = 5  # and at one of 2**INNER_RATE characters far inside a word
 INNER = 64  # bytes from the word's start on which count as far
+DENSE_RATE = 3  # and at one of 2**DENSE_RATE characters of a script without blanks
 MIN_WORDS = 12
 
 _GEAR = seeds(256, 101).astype(np.uint32)
 
+# First two bytes of characters of scripts without blanks: Thai, Lao and Tibetan, Myanmar and Khmer, kana and Han
+# with their punctuation, and the planes of rarer Han characters.
+_DENSE = np.zeros(1 << 16, dtype=bool)
+for _a, _b in ((0xE0B8, 0xE0BF), (0xE180, 0xE182), (0xE19E, 0xE19F), (0xE380, 0xE9BF), (0xEFA4, 0xEFAB), (0xEFBD, 0xEFBE), (0xF0A0, 0xF0BF)):
+    _DENSE[_a : _b + 1] = True
+
 
 def repeated_spans(docs: DataFrame, min_words: int = MIN_WORDS, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(key, start, end, words, kept_in): repeated passages, in bytes of the text's UTF-8, end exclusive.
 
     `kept_in` lists the documents that hold the kept first copies of the passage's windows, ascending.
-    A document may repeat itself. A word that is longer than 64 bytes counts as one for every 64 bytes.
+    A document may repeat itself. A word that is longer than 64 bytes counts as one for every 64 bytes,
+    and two characters of a script without blanks count as one word.
     Passages lie apart and ascend; each is made of stretches of `min_words` words or more that occur as
     they are in one document of `kept_in`. How much of a repeated passage is found: all but the words
     before its first cut and after its last, about ten.
@@ -86,6 +95,13 @@ def without_repeats(docs: DataFrame, min_words: int = MIN_WORDS, key: str = "doc
 # ---- inside a task -------------------------------------------------------------------------------
 
 
+def dense(data: np.ndarray) -> np.ndarray:
+    """Whether a character of a script without blanks begins at each byte."""
+    out = np.zeros(len(data), dtype=bool)
+    out[:-1] = _DENSE[(data[:-1].astype(np.uint16) << np.uint16(8)) | data[1:]]
+    return out
+
+
 def cuts(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Where chunks begin, ascending, and where words do. A text that is not empty begins with a chunk."""
     sizes = np.diff(offsets)
@@ -121,6 +137,8 @@ def cuts(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]
         a, b = edges[k] + INNER, edges[k + 1]
         at = a + np.flatnonzero(((data[a:b] & 0xC0) != 0x80) & ink[a:b])
         begins[at[before(at) >> np.uint32(32 - INNER_RATE) == 0]] = True
+    at = np.flatnonzero(dense(data))
+    begins[at[before(at) >> np.uint32(32 - DENSE_RATE) == 0]] = True
     return np.flatnonzero(begins), words
 
 
@@ -135,15 +153,21 @@ def _windows(batches: Iterator[pa.RecordBatch], min_words: int) -> Iterator[pa.R
             starts, at = cuts(data, offsets)
             ends = np.append(starts[1:], len(data))
             own = np.searchsorted(offsets, starts, side="right") - 1
-            held = np.maximum(np.searchsorted(at, ends) - np.searchsorted(at, starts), (ends - starts) // INNER)
-            reached = np.cumsum(held)  # words up to the end of each chunk
+            # In parts of a word, so that chunks shorter than one add up: INNER a word, half as many a dense character.
+            each = dense(data)
+            parts = each * (INNER // 2)
+            parts[at[~each[at]]] = INNER
+            plain = np.append(0, np.cumsum(parts))
+            held = np.maximum(plain[ends] - plain[starts], ends - starts)
+            reached = np.cumsum(held)  # up to the end of each chunk
             before = reached - held
-            last = np.searchsorted(reached, before + min_words)
+            last = np.searchsorted(reached, before + min_words * INNER)
             whole = np.flatnonzero(last < len(starts))
             whole = whole[own[last[whole]] == own[whole]]
             last = last[whole]
             starts, ends, words = starts[whole], ends[last], reached[last] - before[whole]
             before, own = before[whole] - before[np.searchsorted(own, own[whole])], own[whole]
+            before, words = before // INNER, (before + words) // INNER - before // INNER
             digests = span_hashes(BYTE_VALUES[data], starts, ends)
             # Whether the same window is earlier in its text: by text and digest, then by place.
             order = np.lexsort((digests, own))

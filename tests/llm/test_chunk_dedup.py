@@ -92,6 +92,27 @@ def test_scripts_without_blanks(spark, joint):
         dict(rows)[2].encode()[r.start : r.end].decode()  # whole characters
 
 
+@pytest.mark.parametrize("first, last", [(0x4E00, 0x9FA0), (0x3041, 0x3096), (0x0E01, 0x0E2E), (0x1780, 0x17B3)])
+def test_short_passages_in_scripts_without_blanks(spark, first, last):
+    """Passages of 100 characters, some fifty words, in texts with and without a blank now and then."""
+    rng = random.Random(first)
+    some = lambda n: "".join(chr(rng.randint(first, last)) for _ in range(n))
+    rows, passages = [], {}
+    for k in range(0, 200, 2):
+        passage = some(100) if k % 4 else " ".join(some(20) for _ in range(5))
+        passages[k + 1] = passage
+        rows += [(k + i, some(rng.randint(30, 200)) + passage + some(rng.randint(30, 200))) for i in range(2)]
+    rows += [(1000 + k, some(400)) for k in range(40)]
+    texts = dict(rows)
+    spans = chunk_dedup.repeated_spans(frame(spark, rows)).collect()
+    found = {r.doc_id for r in spans}
+    assert found <= set(passages) and len(found) >= 0.97 * len(passages)
+    for r in spans:
+        cut = texts[r.doc_id].encode()[r.start : r.end].decode()
+        assert cut in passages[r.doc_id] and abs(len(cut.replace(" ", "")) / 2 - r.words) <= 1
+    assert sum(len(texts[r.doc_id].encode()[r.start : r.end].decode()) for r in spans) > 0.7 * sum(map(len, passages.values()))
+
+
 def test_chunks_of_unrelated_documents_are_not_stitched(spark):
     """Of a small vocabulary, short chunks are in many documents; what is cut repeats as stretches of 12 words."""
     rng = random.Random(6)
