@@ -13,7 +13,7 @@ sys.path.insert(0, str(Path(__file__).resolve().parent))
 
 from landstrata.llm import chunk_dedup, langid, ngram_join, packing, pii  # noqa: E402
 from landstrata.llm.queries import SURROGATE_KEY, documents, tokenizer  # noqa: E402
-from landstrata.session import fresh_folder  # noqa: E402
+from landstrata.session import fresh_folder, materialise, small_side  # noqa: E402
 
 LEAST_SCORE = 0.5  # a language less likely than all others together is not accepted
 
@@ -35,9 +35,15 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
     A document that is repeated as a whole row is kept once; one without an id or without words stays.
     """
-    groups = ngram_join.component_ids(docs).where("doc_id <> component_id").select("doc_id").distinct()
-    kept = docs.join(groups, "doc_id", "left_anti").select(*docs.columns)
-    return kept
+    copies = ngram_join.component_ids(docs).where("doc_id <> component_id").select("doc_id").distinct()
+    copies = materialise(copies.withColumn("copy", F.lit(True)))
+    # Only rows whose id is there again are compared as a whole.
+    repeated = docs.where("doc_id is not null").groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("doc_id")
+    repeated = repeated.join(copies, "doc_id", "left_anti").withColumn("copy", F.lit(False))
+    apart, _ = small_side(copies.unionByName(repeated))
+    kept = docs.join(apart, "doc_id", "left_anti").select(*docs.columns)
+    again = docs.join(apart.where("not copy"), "doc_id", "left_semi").select(*docs.columns).dropDuplicates()
+    return kept.unionByName(again)
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -67,6 +67,17 @@ def test_stages_against_plain_evaluations(spark, sf):
     check(after, {r.doc_id: r.text for r in before})
 
 
+def test_repeated_rows_are_kept_once(spark, sf):
+    docs = queries.documents(spark, sf).where("doc_id < 40")
+    odd = spark.createDataFrame([(None, "one two three four five six", "en", "s", 27), (901, "", "en", "s", 0), (902, None, "en", "s", None)], docs.schema)
+    rows = docs.unionByName(odd)
+    twice = rows.unionByName(rows).unionByName(docs.where("doc_id < 5"))
+    once = corpus_pipeline.drop_near_copies(spark, rows, sf).collect()
+    got = corpus_pipeline.drop_near_copies(spark, twice, sf).collect()
+    assert sorted(map(tuple, (r for r in got if r.doc_id is not None)), key=str) == sorted(map(tuple, (r for r in once if r.doc_id is not None)), key=str)
+    assert sum(r.doc_id is None for r in got) == 2 and sum(r.doc_id is None for r in once) == 1 and {901, 902} <= {r.doc_id for r in got}
+
+
 def test_run(spark, sf):
     out = corpus_pipeline.run(spark, sf)
     assert out.columns == ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"]
