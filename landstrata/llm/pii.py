@@ -1,7 +1,8 @@
 """Personal data: keyed surrogates of the same type and format, in SQL functions only.
 
 Found values are e-mail addresses, telephone and card numbers, IPv4 addresses, identity numbers, IBANs,
-and names after a form of address. Every distinct value of a kind gets one surrogate in the whole table
+and names after a form of address: any number of words, initials and particles, each word a value of its
+own, and the same words wherever else the document has them. Every distinct value of a kind gets one surrogate in the whole table
 (coreference), made from a keyed digest: digits become digits, letters become letters of the same case,
 the rest stays; names become names of the same gender and script. Surrogates that two values would
 share, or that occur as a value themselves, are made again until all differ.
@@ -15,6 +16,7 @@ from pyspark.sql import functions as F
 from landstrata.session import materialise, materialise_observing
 
 KINDS = ("email", "phone", "card", "ip", "identity", "iban", "name")
+MENTION = "mention"  # a proper word outside the values found
 ROUNDS = 64  # a round settles all but a small share of the values left; more would mean a full space
 
 # Forms of address by gender and language.
@@ -36,9 +38,15 @@ _IDENTITY = r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])"
 _PHONE = r"(?<![\d+])(?:\+\d{1,3}[ .-]?)?(?:\(\d{2,4}\)[ .-]?|\d{2,4}[ .-])\d{3,4}[ .-]?\d{3,4}(?!\d)|(?<![\d+])\+\d{8,15}(?!\d)"
 _IBAN = rf"(?<![{_WORD}])[A-Z]{{2}}\d{{2}}(?: ?[A-Z0-9]{{4}}){{3,7}}(?: ?[A-Z0-9]{{1,3}})?(?![{_WORD}])"
 _TITLE = "|".join((*MALE, *FEMALE, *NEUTRAL))
-_NAME = rf"(?:(?<=(?<![{_WORD}])(?:{_TITLE})\.? )|(?<=(?<![{_WORD}])(?:{_TITLE})\.? \p{{Lu}}\p{{L}}{{1,30}} ))\p{{Lu}}\p{{L}}++"
+# A name's word: hyphens and apostrophes belong to it, but for an English genitive's.
+_PROPER = r"\p{Lu}[\p{L}\p{M}]*+(?:-\p{Lu}[\p{L}\p{M}]*+|['’](?!s(?!\p{L}))[\p{L}\p{M}]++)*+"
+_NAMED = rf"(?:\p{{Lu}}\.(?:-?\p{{Lu}}\.)*+|{_PROPER})"
+_SINGLE = rf"(?!(?:{_TITLE})(?!\p{{L}}))(?![{_WORD}._%+-]++@){_NAMED}"
+_PARTICLE = r"(?:(?:van|von|vom|de|del|della|der|den|des|di|da|do|dos|das|du|la|le|el|al|bin|ibn|ben|ter|ten|zu|zum|zur|af|av|y|e) )"
+_NAME = rf"(?<=(?<![{_WORD}])(?:{_TITLE})\.? ){_PARTICLE}*+{_SINGLE}(?: {_PARTICLE}*+{_SINGLE})*+"
+_MENTION = rf"(?<![{_WORD}]){_PROPER}(?![{_WORD}])"
 # What a value begins with is asked first: looking back for a form of address at every character is slow.
-ANY = rf"{_ADDRESS}|(?=[\d+(])(?:{_IP}|{_CARD}|{_IDENTITY}|{_PHONE})|(?=[A-Z]{{2}}\d){_IBAN}|(?=\p{{Lu}})(?<= ){_NAME}"
+ANY = rf"{_ADDRESS}|(?=[\d+(])(?:{_IP}|{_CARD}|{_IDENTITY}|{_PHONE})|(?=[A-Z]{{2}}\d){_IBAN}|(?<= )(?=\p{{Lu}}|{_PARTICLE}){_NAME}"
 
 
 def replaced(docs: DataFrame, secret: str, text: str = "text") -> DataFrame:
@@ -57,34 +65,62 @@ def replaced(docs: DataFrame, secret: str, text: str = "text") -> DataFrame:
     parts = F.split(F.col(text), ANY, -1)
     values = F.regexp_extract_all(F.col(text), F.lit(ANY), F.lit(0))
     held = docs.select(*columns).where(hit).withColumns({"__parts": parts, "__values": values})
-    held = materialise(held.withColumn("__kinds", F.transform("__values", lambda v, i: _kind(v, i))).withColumn("__row", F.monotonically_increasing_id()))
-    said = held.select("__row", F.posexplode(F.arrays_zip(F.col("__kinds").alias("kind"), F.col("__values").alias("value"))).alias("place", "x"))
+    held = held.withColumn("__kinds", F.transform("__values", lambda v, i: _kind(v, i)))
+    held = held.withColumn("__said", _said()).drop("__parts", "__values", "__kinds").withColumn("__row", F.monotonically_increasing_id())
+    held = materialise(held.withColumn("__before", F.col("__said.before")))
+    said = held.select("__row", F.posexplode(F.transform("__said", lambda x: x.dropFields("before"))).alias("place", "x"))
     said = said.select("__row", "place", "x.kind", "x.value")
 
-    known = surrogates(said.select("kind", "value").distinct(), secret)
-    new = said.join(known, ["kind", "value"]).groupBy("__row").agg(F.array_sort(F.collect_list(F.struct("place", "surrogate"))).alias("__new"))
-    out = held.join(new, "__row")
-    whole = F.array_join(F.zip_with("__parts", F.col("__new.surrogate"), lambda part, s: F.concat(part, F.coalesce(s, F.lit("")))), "")
-    count = lambda k: F.size(F.filter("__kinds", lambda x: x.startswith(k))).cast("bigint").alias(f"n_{k}")
-    return out.select(*(whole.alias(c) if c == text else F.col(c) for c in columns), *map(count, KINDS)).unionByName(clean)
+    # Other words are names if the document has them as such, but not initials.
+    names = said.where("startswith(kind, 'name-') and length(value) > 1").groupBy("__row", "value").agg(F.min("kind").alias("named"))
+    others = said.where(F.col("kind") == MENTION).join(names, ["__row", "value"], "left").withColumn("kind", F.col("named")).drop("named")
+    said = said.where(F.col("kind").isNull() | (F.col("kind") != MENTION)).unionByName(others)
+    known = surrogates(said.where("kind is not null").select("kind", "value").distinct(), secret)
+    new = said.join(known, ["kind", "value"], "left").withColumn("surrogate", F.coalesce("surrogate", "value"))
+    counts = [F.count_if(F.col("kind").startswith(k)).alias(f"n_{k}") for k in KINDS]
+    new = new.groupBy("__row").agg(F.array_sort(F.collect_list(F.struct("place", "surrogate"))).alias("__new"), *counts)
+    out = held.drop("__said").join(new, "__row")
+    whole = F.array_join(F.zip_with("__before", F.col("__new.surrogate"), lambda part, s: F.concat(part, s)), "")
+    return out.select(*(whole.alias(c) if c == text else F.col(c) for c in columns), *(f"n_{k}" for k in KINDS)).unionByName(clean)
+
+
+def _cut(text: Column, pattern: str, use) -> Column:
+    """`use(before, match, last)` of every match of a pattern, and of the rest with an empty match."""
+    parts, found = F.split(text, pattern, -1), F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
+    return F.transform(F.arrays_zip(parts.alias("a"), found.alias("b")), lambda x, i: use(x["a"], x["b"], i + 1 >= F.size(found)))
+
+
+def _said() -> Column:
+    """(before, value, kind) of the text in order: a name is taken apart into its words, and the text of a
+    document with names into its other proper words, which may be mentions. The end is an empty value."""
+    one = lambda before, value, kind: F.struct(before.alias("before"), F.coalesce(value, F.lit("")).alias("value"), kind.cast("string").alias("kind"))
+    named = F.exists("__kinds", lambda k: k.startswith("name-"))
+
+    def pieces(part: Column, i: Column) -> Column:
+        value, kind = F.get(F.col("__values"), i), F.get(F.col("__kinds"), i)
+        free = _cut(part, _MENTION, lambda a, b, _: one(a, b, F.when(b.isNotNull(), MENTION)))
+        free = F.when(named, free).otherwise(F.array(one(part, F.lit(""), F.lit(None))))
+        script = lambda word: F.when(word.rlike(r"\p{IsCyrillic}"), "cyrillic").otherwise("latin")
+        part_of = lambda b, last: F.concat_ws("-", F.when(last, "name-family").otherwise(kind), script(b))
+        words = _cut(value, _NAMED, lambda a, b, last: one(a, b, F.when(b.isNotNull(), part_of(b, last))))
+        whole = F.when(kind.startswith("name-"), words).otherwise(F.array(one(F.lit(""), value, kind)))
+        return F.concat(free, whole)
+
+    return F.flatten(F.transform("__parts", pieces))
 
 
 def _kind(value: Column, place: Column) -> Column:
-    """The kind of the value found at `place`; a name's kind says its part, its gender and its script."""
+    """The kind of the value found at `place`; that of a name says its form of address's gender."""
     before = F.get(F.col("__parts"), place)
     title = F.regexp_extract(before, rf"({_TITLE})\.? $", 1)
     gender = F.when(title.isin(*MALE), "male").when(title.isin(*FEMALE), "female").otherwise("neutral")
-    follows = F.get(F.col("__parts"), place + 1) == " "
-    script = F.when(value.rlike(r"\p{IsCyrillic}"), "cyrillic").otherwise("latin")
-    another = follows & F.coalesce(F.get(F.col("__values"), place + 1).rlike(r"^\p{Lu}\p{L}+$"), F.lit(False))
-    part = F.when((title != "") & another, gender).otherwise("family")
     digits = F.length(F.regexp_replace(value, r"\D", ""))
     return (
         F.when(value.contains("@"), "email")
         .when(value.rlike(rf"^{_OCTET}(\.{_OCTET}){{3}}$"), "ip")
         .when(value.rlike(r"^\d{3}-\d{2}-\d{4}$"), "identity")
         .when(value.rlike(r"^[A-Z]{2}\d{2}"), "iban")
-        .when(value.rlike(r"^\p{L}"), F.concat_ws("-", F.lit("name"), part, script))
+        .when(value.rlike(r"^\p{L}"), F.concat_ws("-", F.lit("name"), gender))
         .when((digits >= 13) & ~value.startswith("+") & ~value.startswith("("), "card")
         .otherwise("phone")
     )

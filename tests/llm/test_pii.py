@@ -45,6 +45,34 @@ def test_one_text(spark):
     assert all(0 <= int(x) <= 255 for x in ip.split(".")) and luhn(card) and card[0] == "4" and shape(card) == shape("4111 1111 1111 1111")
 
 
+NAMES = {
+    "Mr. John Michael Smith left.": "John Michael Smith", "Dr. J. Smith left": "J. Smith", "Mrs. O'Brien left": "O'Brien", "Mr. Jean-Pierre Dupont left": "Jean-Pierre Dupont",
+    "Prof. Dr. J.R. Tolkien's book": "J.R. Tolkien", "Herr Ludwig van Beethoven kam": "Ludwig Beethoven", "Herr von Goethe kam": "Goethe", "Господин Иван Петрович Сидоров пришёл": "Иван Петрович Сидоров",
+}
+
+
+def test_names_of_any_form(spark):
+    texts = list(NAMES)
+    out = {r.doc_id: r for r in pii.replaced(frame(spark, list(enumerate(texts))), "key").collect()}
+    for k, text in enumerate(texts):
+        names = NAMES[text].split()
+        pattern, rest = "", text
+        for name in names:
+            before, _, rest = rest.partition(name)
+            pattern += re.escape(before) + r"([\w]+)"
+        m = re.fullmatch(pattern + re.escape(rest), out[k].text)
+        assert m and not set(m.groups()) & set(names) and out[k].n_name == len(names), (text, out[k].text)
+
+
+def test_later_mentions_are_replaced_alike(spark):
+    rows = [(1, "Smith waited. Mr. John Smith came. John Smith said so, Smith's dog too; Smithson and smith did not."), (2, "John and Smith are not named here; a.b@example.com")]
+    out = {r.doc_id: r for r in pii.replaced(frame(spark, rows), "key").collect()}
+    m = re.fullmatch(r"(\w+) waited\. Mr\. (\w+) (\w+) came\. (\w+) (\w+) said so, (\w+)'s dog too; Smithson and smith did not\.", out[1].text)
+    first, given, family, *later = m.groups()
+    assert {given, family}.isdisjoint({"John", "Smith"}) and first == family and later == [given, family, family] and out[1].n_name == 6
+    assert out[2].text.startswith("John and Smith are not named here; ") and out[2].n_name == 0
+
+
 def test_rows_and_columns_stay(spark):
     rows = [(1, TEXT), (2, None), (2, ""), (2, ""), (3, CLEAN), (None, "mail x.y@example.com " * 2), (4, "10.0.0.1 Mr Smith " * 20_000), (4, "10.0.0.1")]
     out = pii.replaced(frame(spark, rows), "key")
