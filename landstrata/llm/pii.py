@@ -1,6 +1,6 @@
 """Personal data: keyed surrogates of the same type and format, in SQL functions only.
 
-Found values are e-mail addresses, telephone and card numbers, IPv4 addresses, identity numbers, IBANs,
+Found values are e-mail addresses, telephone and card numbers, IP addresses, identity numbers, IBANs,
 and names after a form of address: any number of words, initials and particles, each word a value of its
 own, and the same words wherever else the document has them. Every distinct value of a kind gets one surrogate in the whole table
 (coreference), made from a keyed digest: digits become digits, letters become letters of the same case,
@@ -33,9 +33,32 @@ _WORD = r"\p{L}\p{N}"
 _ADDRESS = rf"(?<![{_WORD}._%+-])[{_WORD}._%+-]++@[{_WORD}-]++(?:\.[{_WORD}-]++)++"
 _OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
 _IP = rf"(?<![\d.]){_OCTET}(?:\.{_OCTET}){{3}}(?!\.?\d)"
-_CARD = r"(?<![\d+])\d{4}[ -]?\d{4}[ -]?\d{4}[ -]?\d{1,7}(?!\d)"
+_HEX = r"[0-9A-Fa-f]{1,4}"
+_IP6 = (
+    rf"(?<![{_WORD}:.])(?=[0-9A-Fa-f:]*\d)(?:(?:{_HEX}:){{7}}{_HEX}|(?:{_HEX}:){{2,6}}(?::{_HEX}){{1,5}}|{_HEX}:(?::{_HEX}){{2,6}}"
+    rf"|[0-9A-Fa-f]{{3,4}}::{_HEX}|(?:{_HEX}:){{3,7}}:|::{_HEX}(?::{_HEX}){{1,6}})(?![{_WORD}:])(?!\.\d)"
+)
+_CARD = r"(?<![\d+])(?:\d{4}[ -]?\d{4}[ -]?\d{4}[ -]?\d{1,7}|3[47]\d{2}[ -]\d{6}[ -]\d{5}|3[0689]\d{2}[ -]\d{6}[ -]\d{4})(?!\d)"
 _IDENTITY = r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])"
-_PHONE = r"(?<![\d+])(?:\+\d{1,3}[ .-]?)?(?:\(\d{2,4}\)[ .-]?|\d{2,4}[ .-])\d{3,4}[ .-]?\d{3,4}(?!\d)|(?<![\d+])\+\d{8,15}(?!\d)"
+# Digits in groups of thousands are an amount: behind one or two digits, or with a last group of zeros.
+_END = r"(?![ .-]?\d)"
+_AMOUNT = "|".join(
+    rf"(?<!\d)\d{{1,2}}(?:{sep}\d{{3}}){{2,}}{_END}|(?<!\d)\d{{3}}(?:{sep}\d{{3}})*{sep}000{_END}|(?<=(?<!\d)\d{{1,2}}{sep})\d{{3}}(?:{sep}\d{{3}})+{_END}"
+    for sep in (" ", r"\.", "\u00a0", "\u202f")
+)
+# By country: Russia, France, the others with a code in groups of any sizes (8 to 15 digits), France and
+# Russia without one, and the usual groups of 2 to 4, 3 or 4, and 3 or 4 digits.
+_PHONE = (
+    r"(?<![\d+])(?:"
+    r"\+7[ .-]?\(?\d{3}\)?[ .-]?\d{3}[ .-]?\d{2}[ .-]?\d{2}(?!\d)"
+    r"|\+33[ .-]?(?:\(0\)[ .-]?)?\d(?:[ .-]?\d{2}){4}(?!\d)"
+    r"|\+1[ .-]?(?:\(\d{3}\)|\d{3})[ .-]?\d{3}[ .-]?\d{4}(?!\d)"
+    r"|\+(?=[2-9](?:[ ().-]{0,2}\d){7})\d{1,3}(?:[ .-]?(?:\(\d{1,5}\)|\d{1,12}(?!\d))){1,5}+"
+    r"|0[1-9](?:[ .-]\d{2}){4}(?![ .-]?\d)"
+    r"|8[ -]?(?:\(\d{3,5}\)|\d{3})[ -]?\d{2,3}[ -]\d{2}[ -]\d{2}(?![ -]?\d)"
+    rf"|(?!{_AMOUNT})(?:\+\d{{1,3}}[ .-]?)?(?:\(\d{{2,4}}\)[ .-]?|\d{{2,4}}[ .-])\d{{3,4}}[ .-]?\d{{3,4}}(?!\d)"
+    r"|\+\d{8,15}(?!\d))"
+)
 _IBAN = rf"(?<![{_WORD}])[A-Z]{{2}}\d{{2}}(?: ?[A-Z0-9]{{4}}){{3,7}}(?: ?[A-Z0-9]{{1,3}})?(?![{_WORD}])"
 _TITLE = "|".join((*MALE, *FEMALE, *NEUTRAL))
 # A name's word: hyphens and apostrophes belong to it, but for an English genitive's.
@@ -46,7 +69,7 @@ _PARTICLE = r"(?:(?:van|von|vom|de|del|della|der|den|des|di|da|do|dos|das|du|la|
 _NAME = rf"(?<=(?<![{_WORD}])(?:{_TITLE})\.? ){_PARTICLE}*+{_SINGLE}(?: {_PARTICLE}*+{_SINGLE})*+"
 _MENTION = rf"(?<![{_WORD}]){_PROPER}(?![{_WORD}])"
 # What a value begins with is asked first: looking back for a form of address at every character is slow.
-ANY = rf"{_ADDRESS}|(?=[\d+(])(?:{_IP}|{_CARD}|{_IDENTITY}|{_PHONE})|(?=[A-Z]{{2}}\d){_IBAN}|(?<= )(?=\p{{Lu}}|{_PARTICLE}){_NAME}"
+ANY = rf"{_ADDRESS}|(?=[0-9A-Fa-f:]{{1,4}}:){_IP6}|(?=[\d+(])(?:{_IP}|{_CARD}|{_IDENTITY}|{_PHONE})|(?=[A-Z]{{2}}\d){_IBAN}|(?<= )(?=\p{{Lu}}|{_PARTICLE}){_NAME}"
 
 
 def replaced(docs: DataFrame, secret: str, text: str = "text") -> DataFrame:
@@ -118,6 +141,7 @@ def _kind(value: Column, place: Column) -> Column:
     return (
         F.when(value.contains("@"), "email")
         .when(value.rlike(rf"^{_OCTET}(\.{_OCTET}){{3}}$"), "ip")
+        .when(value.rlike("^[0-9A-Fa-f:]*:[0-9A-Fa-f:]*$"), "ip6")
         .when(value.rlike(r"^\d{3}-\d{2}-\d{4}$"), "identity")
         .when(value.rlike(r"^[A-Z]{2}\d{2}"), "iban")
         .when(value.rlike(r"^\p{L}"), F.concat_ws("-", F.lit("name"), gender))
@@ -169,12 +193,14 @@ def surrogate(secret: str) -> Column:
     kept = F.length("value") - F.length(label)
     email = F.concat(F.substring(spelt, F.lit(1), kept), label)
     octets = F.array_join(F.transform(F.sequence(F.lit(0), F.lit(3)), lambda i: F.pmod(number(i), F.lit(254)) + 1), ".")
+    hexadecimal = lambda c, i: F.when(c == ":", c).when(F.col("value").rlike("[A-F]"), pick("0123456789ABCDEF", i)).otherwise(pick("0123456789abcdef", i))
+    ip6 = F.array_join(F.transform(chars, hexadecimal), "")
     iban = F.concat(F.substring(F.col("value"), 1, 2), F.substring(spelt, F.lit(3), F.length("value")))
     plus = F.regexp_extract("value", r"^\+\d{1,3}(?=\D)", 0)  # a country's code stays
     phone = F.concat(plus, F.substring(spelt, F.length(plus) + 1, F.length("value")))
     card = _checked(F.concat(F.substring(F.col("value"), 1, 1), F.substring(spelt, F.lit(2), F.length("value"))))
     return (
-        F.when(F.col("kind") == "email", email).when(F.col("kind") == "ip", octets).when(F.col("kind") == "iban", iban)
+        F.when(F.col("kind") == "email", email).when(F.col("kind") == "ip", octets).when(F.col("kind") == "ip6", ip6).when(F.col("kind") == "iban", iban)
         .when(F.col("kind") == "phone", phone).when(F.col("kind") == "card", card)
         .when(F.col("kind").startswith("name-"), _name(number)).otherwise(spelt)
     )

@@ -51,6 +51,30 @@ NAMES = {
 }
 
 
+NUMBERS = {
+    "phone": [
+        "06 12 34 56 78", "+33 6 12 34 56 78", "+33 1 23 45 67 89", "01.23.45.67.89", "+7 (495) 123-45-67", "8 (495) 123-45-67", "+1 (415) 555-1234", "415-555-1234",
+        "+44 20 7946 0958", "+49 30 901820", "+49 (30) 9018 2012", "+34 612 345 678", "612 345 678", "+39 06 1234 5678", "+81 3-1234-5678", "+4915112345678",
+    ],
+    "card": ["3782 822463 10005", "378282246310005", "4111 1111 1111 1111", "3056 930902 5904"],
+    "ip": ["2001:0db8:85a3:0000:0000:8a2e:0370:7334", "fe80::1ff:fe23:4567:890a", "2001:db8::1", "fe80::1", "192.168.1.254"],
+}
+AMOUNTS = ["10 000 000 people", "1 000 000 000 people", "250 000 000 people", "12.345.678 euros", "1 234 567 890 people", "at 10:30:15", "std::vector", "aa:bb:cc", "12 345 678"]
+
+
+def test_numbers_by_country(spark):
+    rows = [(kind, v) for kind, values in NUMBERS.items() for v in values] + [(None, v) for v in AMOUNTS]
+    out = {r.doc_id: r for r in pii.replaced(frame(spark, [(k, f"call {v}, now") for k, (_, v) in enumerate(rows)]), "key").collect()}
+    for k, (kind, value) in enumerate(rows):
+        new = out[k].text.removeprefix("call ").removesuffix(", now")
+        assert {x for x in pii.KINDS if out[k][f"n_{x}"]} == ({kind} if kind else set()), (value, new)
+        assert (new == value) == (kind is None) and sum(out[k][f"n_{x}"] for x in pii.KINDS) == bool(kind)
+        if kind in ("phone", "card"):
+            assert shape(new) == shape(value) and (kind == "phone" or luhn(new))
+        elif kind == "ip" and ":" in value:
+            assert re.sub("[0-9a-f]", "0", new) == re.sub("[0-9a-f]", "0", value)
+
+
 def test_names_of_any_form(spark):
     texts = list(NAMES)
     out = {r.doc_id: r for r in pii.replaced(frame(spark, list(enumerate(texts))), "key").collect()}
