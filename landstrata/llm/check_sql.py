@@ -65,3 +65,50 @@ nearest AS (
 SELECT o.doc_id, o.path, coalesce(o.licence, n.licence) AS licence, o.score,
        CASE WHEN o.licence IS NOT NULL THEN 'own' WHEN n.licence IS NOT NULL THEN 'inherited' END AS origin, CASE WHEN o.licence IS NULL THEN n.directory END AS directory
 FROM own o LEFT JOIN nearest n ON n.folder = o.folder AND n.place = 1"""
+
+
+def _crc32(digits: str) -> str:
+    """The unsigned CRC-32 of a short text: one byte after the other, bit by bit."""
+    byte = "list_reduce(list_prepend(xor(c, b), range(8)), lambda v, _: xor(v >> 1, CASE WHEN v & 1 = 1 THEN 3988292384 ELSE 0 END))"
+    ascii_codes = f"list_transform(string_split({digits}, ''), lambda s: CAST(ascii(s) AS BIGINT))"
+    return f"xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), {ascii_codes}), lambda c, b: {byte}), 4294967295)"
+
+
+def prefix_trie() -> str:
+    """Every beginning of every rebuilt conversation as a list of turns; every node meets all its ancestors."""
+    return f"""
+WITH ids AS (SELECT c, c - c % 5 AS leader, CASE WHEN c % 5 = 0 THEN 0 ELSE {_crc32('CAST(c AS VARCHAR)')} % 9 END AS h FROM (SELECT DISTINCT conv_id AS c FROM conversations WHERE conv_id IS NOT NULL) q),
+turns AS MATERIALIZED (
+  SELECT conv_id AS c, said, n_bytes, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, mark) - 1 AS at
+  FROM (SELECT conv_id, turn, CAST(octet_length(encode(coalesce(role, ''))) AS VARCHAR) || ':' || coalesce(role, '') || coalesce(text, '') AS said,
+               octet_length(encode(coalesce(text, ''))) AS n_bytes, sha256(said) AS mark FROM conversations WHERE conv_id IS NOT NULL) q),
+rebuilt AS (
+  SELECT i.c, t.said, t.n_bytes, t.at AS place FROM ids i JOIN turns t ON t.c = i.leader AND t.at < i.h
+  UNION ALL SELECT i.c, t.said, t.n_bytes, 1000 + t.at FROM ids i JOIN turns t ON t.c = i.c AND t.at >= i.h),
+paths AS MATERIALIZED (SELECT i.c, coalesce(list(sha256(said) ORDER BY place) FILTER (said IS NOT NULL), []) AS path, coalesce(list(n_bytes ORDER BY place) FILTER (said IS NOT NULL), []) AS sizes
+                       FROM ids i LEFT JOIN rebuilt r ON r.c = i.c GROUP BY i.c),
+begun AS MATERIALIZED (SELECT c, unnest(list_transform(range(0, len(path) + 1), lambda d: {{'depth': d, 'node': path[1:d], 'up': path[1:d - 1], 'n_bytes': CASE WHEN d = 0 THEN 0 ELSE sizes[d] END}}), recursive := true) FROM paths),
+nodes AS MATERIALIZED (SELECT node, any_value(depth) AS depth, any_value(CASE WHEN depth > 0 THEN up END) AS up, min(c) AS conv_id, count(*) AS n_convs, any_value(n_bytes) AS n_bytes FROM begun GROUP BY node),
+children AS (SELECT up AS node, count(*) AS n FROM nodes WHERE depth > 0 GROUP BY up),
+above AS (SELECT n.node, unnest(list_transform(range(0, n.depth + 1), lambda d: n.node[1:d])) AS node_above FROM nodes n),
+sums AS (SELECT node_above AS node, sum((n_convs - 1) * n_bytes) AS saved, count(*) FILTER (k.n IS NULL) AS leaves
+         FROM above a JOIN nodes n ON n.node = a.node LEFT JOIN children k ON k.node = a.node GROUP BY node_above),
+ends AS (SELECT path AS node, sha256(string_agg(CAST(c AS VARCHAR), ',' ORDER BY c)) AS digest FROM paths GROUP BY path)
+SELECT n.conv_id, n.depth, p.conv_id AS parent_conv_id, n.n_convs, coalesce(k.n, 0) AS n_children, s.leaves AS n_leaves, CAST(s.saved AS BIGINT) AS saved_tokens, coalesce(e.digest, sha256('')) AS ends_sha256
+FROM nodes n LEFT JOIN nodes p ON p.node = n.up LEFT JOIN children k ON k.node = n.node JOIN sums s ON s.node = n.node LEFT JOIN ends e ON e.node = n.node"""
+
+
+def fill_in_middle() -> str:
+    """Tokens as lists; the restored text is the text itself."""
+    group = ", ".join(f"CAST('0x' || substr(sha256('1:' || coalesce(CAST(doc_id AS VARCHAR), '')), {8 * k + 1}, 8) AS BIGINT) AS h{k + 1}" for k in range(4))
+    return f"""
+WITH given AS (SELECT doc_id, coalesce(text, '') AS said, regexp_extract_all(said, '[A-Za-z]+|[^A-Za-z]') AS tokens, CAST(len(tokens) AS BIGINT) AS n, {group} FROM documents),
+cut AS (SELECT *, array_to_string(tokens[1:least(h1 % (n + 1), h2 % (n + 1))], '') AS prefix,
+               array_to_string(tokens[least(h1 % (n + 1), h2 % (n + 1)) + 1:greatest(h1 % (n + 1), h2 % (n + 1))], '') AS middle,
+               array_to_string(tokens[greatest(h1 % (n + 1), h2 % (n + 1)) + 1:], '') AS suffix,
+               CASE WHEN said = '' OR contains(said, '<P>') OR contains(said, '<S>') OR contains(said, '<M>') OR h3 % 100 >= 90 THEN 'plain'
+                    WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM given)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(prefix) END AS prefix_chars, CASE WHEN form <> 'plain' THEN length(middle) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN said WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+       sha256(said) AS restored_sha256
+FROM cut"""

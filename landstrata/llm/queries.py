@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from landstrata.llm import bpe, check_sql, chunk_dedup, langid, licences, minhash, ngram_join, packing, pii, search, secrets
+from landstrata.llm import bpe, check_sql, chunk_dedup, fim, langid, licences, minhash, ngram_join, packing, pii, prefix_trie, search, secrets
 
 # Key of the surrogates in the registered query; a real run brings its own.
 SURROGATE_KEY = "landstrata"
@@ -93,7 +93,25 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.predict(docs.select("doc_id", "text", langid.held_out().alias("held_out")), model).drop("text")
 
 
+@registered
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    given = spark.read.parquet(f"{sf_dir}/conversations.parquet")
+    found = prefix_trie.trie(prefix_trie.rebuilt(prefix_trie.turns(given)), given.select("conv_id"))
+    nothing = F.sha2(F.lit(b""), 256)
+    named = found.nodes.join(prefix_trie.end_digests(found.ends), prefix_trie.NODE, "left")
+    return named.withColumn("ends_sha256", F.coalesce("ends_sha256", nothing)).drop("x", "y")
+
+
+@registered
+def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    changed = fim.restored(fim.rearranged(documents(spark, sf_dir)))
+    digests = [F.sha2(F.col(c).cast("binary"), 256).alias(f"{c}_sha256") for c in ("output", "restored")]
+    return changed.select("doc_id", "n", "form", "prefix_chars", "middle_chars", *digests)
+
+
 # The others have no SQL: tokenizers, rolling hashes, keyed digests, sketches and learned models. Tests
 # compare them with brute-force versions, the library's own results, or held-out labels.
 SQL["op2_ngram_jaccard_join"] = check_sql.component_ids(4, (85, 100))
 SQL["op5_license_scan"] = check_sql.license_scan()
+SQL["op11_prefix_trie"] = check_sql.prefix_trie()
+SQL["op12_fill_in_middle"] = check_sql.fill_in_middle()
