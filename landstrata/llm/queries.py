@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from landstrata.llm import bpe, check_sql, chunk_dedup, fim, langid, licences, minhash, ngram_join, packing, pii, prefix_trie, search, secrets
+from landstrata.llm import bpe, check_sql, chunk_dedup, fim, langid, licences, lm_score, minhash, ngram_join, packing, pii, prefix_trie, search, secrets
 
 # Key of the surrogates in the registered query; a real run brings its own.
 SURROGATE_KEY = "landstrata"
@@ -109,6 +109,14 @@ def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return changed.select("doc_id", "n", "form", "prefix_chars", "middle_chars", *digests)
 
 
+@registered
+def op13_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Learned from the documents that are not held out; a null id counts as no digits."""
+    held_out = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % 7 == 2
+    scored = lm_score.score(documents(spark, sf_dir), ~held_out)
+    return scored.withColumn("held_out", ~F.col("learns")).drop("learns")
+
+
 # The others have no SQL: tokenizers, rolling hashes, keyed digests, sketches and learned models. Tests
 # compare them with brute-force versions, the library's own results, or held-out labels.
 SQL["op2_ngram_jaccard_join"] = check_sql.component_ids(4, (85, 100))
