@@ -1,52 +1,47 @@
 """Exact top-k search with BM25: an inverted index per shard, block-max WAND, one merge.
 
 Statistics (documents, their mean length, document frequencies) are counted over all rows first, so a
-score does not depend on the shard. A shard is a part of a task's rows; its index holds postings of the
-terms that the queries of the block ask for. Queries come in blocks of bounded size, each broadcast
-once, and every shard returns its best k for each query; the best k of those are the best k of all.
-Queries of few terms skip postings by block-max WAND; those of many, such as whole texts, of which
-hardly any posting can be skipped, sum all postings of their terms as arrays.
+score does not depend on the shard. The index is built once and stored: each task writes chunks of
+postings, with places in the order of the keys. Chunks are dealt out to shards, and every block of
+queries is sent to every shard; nothing passes through the driver. A shard's best k of a query, merged
+with those of the other shards, hold the best k of all.
+
+Within a chunk, places are cut into spans. A term's postings of one span are a block with the largest
+impact as its maximum. For a query the maxima of each span's blocks, weighed and summed, bound the
+score of any place there. Spans are scored from the largest bound on until the next bound cannot beat
+the k-th best score so far, which a query takes along from chunk to chunk; postings of spans beyond
+that are never read. It is WAND's test, made for whole spans at a time, so that a query may have any
+number of terms, such as all of a long text.
 """
 
 from __future__ import annotations
 
-import heapq
-from bisect import bisect_left
 from collections.abc import Iterator
 from functools import partial
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from landstrata.llm.text import SLICE_BYTES, slices, utf8, word_hashes
+from landstrata.llm.blobs import packed, packed_sorted, unpacked, unpacked_sorted
+from landstrata.llm.text import SLICE_BYTES, ragged, slices, utf8, word_hashes
 from landstrata.session import materialise, ship
 
 K1, B = 1.2, 0.75
-QUERIES = 50_000  # queries of a block at most
-TERMS = 4_000_000  # and terms of all its queries, of some 16 bytes each; a query is never split
-FEW = 16  # terms up to which a query goes by WAND
-POSTINGS = 2_000_000  # a shard is closed when it holds as many
-SPAN = 64  # postings under one block maximum
+TERMS = 500_000  # terms of the queries of one block, on average; a query is never split
+CHUNK = 2_000_000  # a chunk is closed when it holds as many postings
+SHARD = 64_000_000  # postings of a shard on average; some 2 bytes each are held by its task
+SHARDS = 8  # shards of a small index
+SPAN = 32  # places under one block maximum
+FIRST = 8  # spans scored before the first look at the k-th best; each later step takes twice as many
 
 # Terms are runs of ASCII letters and digits and of bytes beyond ASCII, with A-Z as a-z.
 APART = np.array([c < 128 and not chr(c).isalnum() for c in range(256)])
 
 
-class Block(NamedTuple):
-    """Queries of a block: each has the terms[bounds[i]:bounds[i + 1]] with their weights."""
-
-    ids: np.ndarray
-    bounds: np.ndarray
-    terms: np.ndarray
-    weights: np.ndarray
-    mean: float  # length of a document
-
-
 def statistics(docs: DataFrame, text: str = "text") -> tuple[DataFrame, int, float]:
     """(term, df) in shared storage, the number of documents and their mean length in terms.
 
@@ -82,25 +77,39 @@ def search(docs: DataFrame, asked: DataFrame, mean: float, k: int = 10, key: str
     A row's score is the sum over the query's terms of weight * tf * (K1 + 1) / (tf + K1 * (1 - B + B *
     length / mean)). Ranks go by score, then by the smaller key. Rows without a term of the query are not
     returned. Null texts match nothing, rows with a null key are left out, and a repeated row is found
-    as often as it is there.
+    as often as it is there. A text of any length is one row of its chunk. Without rows or queries the
+    result is empty. Other columns are not looked at.
     """
-    spark = ship(docs.sparkSession)
+    ship(docs.sparkSession)
     rows = docs.select(F.col(key).cast("bigint").alias("doc_id"), F.col(text).alias("text")).where("doc_id is not null")
-    asked = materialise(asked)
-    size = asked.agg(F.count_distinct("query_id").alias("queries"), F.count(F.lit(1)).alias("terms")).first()
-    blocks = max(1, -(-size.queries // QUERIES), -(-size.terms // TERMS))
-    found = None
-    for b in range(blocks):
-        own = asked.where(F.pmod(F.xxhash64("query_id"), F.lit(blocks)) == b).orderBy("query_id", "term").toPandas()
-        ids, starts = np.unique(own["query_id"].to_numpy(), return_index=True)
-        block = Block(ids, np.append(starts, len(own)), own["term"].to_numpy(), own["weight"].to_numpy(), mean)
-        best = rows.mapInArrow(partial(_best, block=spark.sparkContext.broadcast(block), k=k), "query_id long, doc_id long, score double")
-        found = best if found is None else found.unionByName(best)
+    index = materialise(rows.mapInArrow(_indexed, "postings long, " + ", ".join(f"{c} binary" for c in CHUNK_COLUMNS)))
+    postings = index.agg(F.sum("postings")).first()[0] or 0
+    shards = max(SHARDS, -(-postings // SHARD))
+
+    asked = materialise(asked.select("query_id", "term", "weight"))
+    blocks = max(1, -(-asked.count() // TERMS))
+    block = F.pmod(F.xxhash64("query_id"), F.lit(blocks)).alias("at")
+    given = asked.select(block, "query_id", "term", "weight").repartition("at").sortWithinPartitions("at", "query_id", "term")
+    given = given.mapInArrow(_blocks, "at long, " + ", ".join(f"{c} binary" for c in BLOCK_COLUMNS))
+
+    # A shard's chunks come first and stay; blocks of queries follow one by one.
+    none = [F.lit(None).cast("binary")] * (len(CHUNK_COLUMNS) - len(BLOCK_COLUMNS))
+    names = [f"blob{k}" for k in range(len(CHUNK_COLUMNS))]
+    shard = F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(shards)).alias("shard")
+    chunks = index.select(shard, F.lit(-1).cast("bigint").alias("at"), *CHUNK_COLUMNS)
+    every = F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(shards - 1).cast("bigint"))).alias("shard")
+    met = chunks.toDF("shard", "at", *names).unionByName(given.select(every, "at", *BLOCK_COLUMNS, *none).toDF("shard", "at", *names))
+    met = met.repartition(shards, "shard").sortWithinPartitions("shard", "at")
+    found = met.mapInArrow(partial(_searched, mean=mean, k=k), "query_id long, doc_id long, score double")
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "doc_id")
     ranked = found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
     return ranked.select("query_id", "rank", F.col("doc_id").alias(key), "score")
 
 
+CHUNK_COLUMNS = ["terms", "sizes", "places", "tfs", "ids", "lengths"]
+BLOCK_COLUMNS = ["queries", "bounds", "asked", "weights"]
+
+
 # ---- inside a task -------------------------------------------------------------------------------
 
 
@@ -141,7 +150,7 @@ def _frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             total += len(terms)
             kept.append(_counted(terms, bounds)[1])
             held += len(kept[-1])
-            if held > POSTINGS:
+            if held > CHUNK:
                 yield flush()
                 held = 0
     if kept:
@@ -156,145 +165,172 @@ def _query_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([batch.column("query_id").take(pa.array(first + row)), pa.array(term), pa.array(tf)], ["query_id", "term", "tf"])
 
 
-class Postings:
-    """One term's postings in a shard: places ascending, impacts, and the largest impact of each span."""
-
-    def __init__(self, places: np.ndarray, impacts: np.ndarray):
-        self.places, self.impacts = memoryview(places), memoryview(impacts)
-        self.tops = np.maximum.reduceat(impacts, np.arange(0, len(impacts), SPAN)).tolist()
-        self.top = max(self.tops)
+def _table(rows: list[tuple], names: list[str]) -> pa.RecordBatch:
+    kinds = [pa.int64()] + [pa.binary()] * (len(names) - 1)
+    return pa.RecordBatch.from_arrays([pa.array(list(c), type=t) for c, t in zip(zip(*rows), kinds)], names)
 
 
-def best_of(lists: list[tuple[Postings, float]], k: int) -> list[tuple[float, int]]:
-    """The k places of the largest sum of weight * impact, ties to the smaller place: block-max WAND.
+def _indexed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Chunks: (number of postings, sorted terms, their numbers of postings, places and counts by term,
+    keys and lengths by place)."""
+    ids, lengths, parts, docs, held = [], [], [], 0, 0
 
-    Postings are visited place by place. Terms are kept in the order of their next place; the pivot is the
-    first place at which the sum of the terms' maxima can beat the k-th best. If the maxima of the spans
-    that hold the pivot cannot, the terms skip to the end of the nearest of those spans.
-    """
-    heap: list[tuple[float, int]] = []  # (score, -place), the worst first
-    cursors = [[p.places[0], 0, p, w, n] for n, (p, w) in enumerate(lists)]
-    slack = 1 + 1e-9  # bounds are sums in another order than scores
-    while cursors:
-        cursors.sort(key=lambda c: c[0])
-        worst = heap[0][0] if len(heap) == k else -1.0
-        bound, pivot = 0.0, -1
-        for x, c in enumerate(cursors):
-            bound += c[2].top * c[3]
-            if bound * slack > worst:
-                pivot = x
-                break
-        if pivot < 0:
-            break
-        place = cursors[pivot][0]
-        while pivot + 1 < len(cursors) and cursors[pivot + 1][0] == place:
-            pivot += 1
-        bound, until = 0.0, None
-        for c in cursors[: pivot + 1]:
-            if c[0] < place:
-                c[1] = bisect_left(c[2].places, place, c[1])
-            if c[1] < len(c[2].places):
-                bound += c[2].tops[c[1] // SPAN] * c[3]
-                end = min((c[1] // SPAN + 1) * SPAN, len(c[2].places)) - 1
-                until = min(c[2].places[end], until) if until is not None else c[2].places[end]
-        if bound * slack > worst:
-            hit = sorted((c for c in cursors[: pivot + 1] if c[1] < len(c[2].places) and c[2].places[c[1]] == place), key=lambda c: c[4])
-            score = 0.0
-            for c in hit:
-                score += c[2].impacts[c[1]] * c[3]
-                c[1] += 1
-            if hit:
-                if len(heap) < k:
-                    heapq.heappush(heap, (score, -place))
-                elif score > worst:
-                    heapq.heapreplace(heap, (score, -place))
-        else:
-            to = max(until if until is not None else place, place) + 1
-            if pivot + 1 < len(cursors):
-                to = min(to, cursors[pivot + 1][0])
-            for c in cursors[: pivot + 1]:
-                c[1] = bisect_left(c[2].places, to, c[1])
-        kept = []
-        for c in cursors:
-            if c[1] < len(c[2].places):
-                c[0] = c[2].places[c[1]]
-                kept.append(c)
-        cursors = kept
-    return sorted(((s, -p) for s, p in heap), key=lambda x: (-x[0], x[1]))
-
-
-def best_of_sums(places: list[np.ndarray], impacts: list[np.ndarray], weights: list[float], docs: int, k: int) -> list[tuple[float, int]]:
-    """What `best_of` returns, from all postings of all terms; a place's sum is taken in the same order of terms."""
-    if not places:
-        return []
-    scores = np.bincount(np.concatenate(places), np.concatenate([i * w for i, w in zip(impacts, weights)]), minlength=docs)
-    least = np.partition(scores, docs - k)[docs - k] if docs > k else 0.0
-    at = np.flatnonzero((scores >= least) & (scores > 0))
-    at = at[np.lexsort((at, -scores[at]))[:k]]
-    return list(zip(scores[at].tolist(), at.tolist()))
-
-
-class Shard:
-    """Postings of the wanted terms, gathered until the shard is searched."""
-
-    def __init__(self, block: Block):
-        self.block = block
-        self.wanted, self.slots = np.unique(block.terms, return_inverse=True)
-        self.parts: list[tuple] = []
-        self.ids: list[np.ndarray] = []
-        self.docs = self.held = 0
-
-    def add(self, ids: np.ndarray, terms: np.ndarray, bounds: np.ndarray) -> None:
-        lengths = np.diff(bounds)
-        row, term, tf = _counted(terms, bounds)
-        slot = np.minimum(np.searchsorted(self.wanted, term), max(len(self.wanted) - 1, 0))
-        hit = np.flatnonzero(self.wanted[slot] == term) if len(self.wanted) else np.zeros(0, dtype=np.int64)
-        row, slot, tf = row[hit], slot[hit], tf[hit].astype(np.float64)
-        impact = tf * (K1 + 1) / (tf + K1 * (1 - B + B * lengths[row] / self.block.mean))
-        self.parts.append((slot.astype(np.int32), (row + self.docs).astype(np.int32), impact))
-        self.ids.append(ids)
-        self.docs += len(ids)
-        self.held += len(hit)
-
-    def search(self, k: int) -> Iterator[pa.RecordBatch]:
-        if not self.held:
-            return
-        ids = np.concatenate(self.ids)
-        order = np.argsort(ids, kind="stable")  # places ascend with the keys, for ties
-        place_of = np.empty(len(ids), dtype=np.int32)
-        place_of[order] = np.arange(len(ids), dtype=np.int32)
-        slot, row, impact = (np.concatenate(x) for x in zip(*self.parts))
+    def chunk() -> pa.RecordBatch:
+        keys, size = np.concatenate(ids), np.concatenate(lengths)
+        order = np.argsort(keys, kind="stable")  # places ascend with the keys, for ties
+        place_of = np.empty(len(keys), dtype=np.int64)
+        place_of[order] = np.arange(len(keys))
+        row, term, tf = (np.concatenate(x) for x in zip(*parts))
         place = place_of[row]
-        by = np.lexsort((place, slot))
-        slot, place, impact = slot[by], np.ascontiguousarray(place[by]), np.ascontiguousarray(impact[by])
-        edges = np.searchsorted(slot, np.arange(len(self.wanted) + 1))
-        known: dict[int, Postings] = {}
-        rows: list[tuple] = []
-        ids = ids[order]
-        bounds, weights = self.block.bounds.tolist(), self.block.weights.tolist()
-        edges, slots, wide = edges.tolist(), self.slots.tolist(), place.astype(np.intp)
-        for q, query in enumerate(self.block.ids.tolist()):
-            held = [(edges[slots[x]], edges[slots[x] + 1], x) for x in range(bounds[q], bounds[q + 1])]
-            held = [h for h in held if h[0] < h[1]]
-            if len(held) > FEW:
-                best = best_of_sums([wide[a:b] for a, b, _ in held], [impact[a:b] for a, b, _ in held], [weights[x] for _, _, x in held], len(ids), k)
-            else:
-                for a, b, x in held:
-                    if slots[x] not in known:
-                        known[slots[x]] = Postings(place[a:b], impact[a:b])
-                best = best_of([(known[slots[x]], weights[x]) for _, _, x in held], k)
-            rows += [(query, int(ids[p]), score) for score, p in best]
-        for a in range(0, len(rows), 100_000):
-            yield pa.RecordBatch.from_pydict(dict(zip(("query_id", "doc_id", "score"), map(list, zip(*rows[a : a + 100_000])))))
-
-
-def _best(batches: Iterator[pa.RecordBatch], block: Broadcast, k: int) -> Iterator[pa.RecordBatch]:
-    shard = Shard(block.value)
+        by = np.lexsort((place, term))
+        term, place, tf = term[by], place[by], tf[by]
+        starts = np.flatnonzero(np.diff(term, prepend=term[0] - 1 if len(term) else 0)) if len(term) else np.zeros(0, dtype=np.int64)
+        sizes = np.diff(np.append(starts, len(term)))
+        steps = np.diff(place, prepend=0)
+        steps[starts] = place[starts]
+        blobs = (packed_sorted(term[starts].view(np.uint64) + SHIFT), packed(sizes.astype(np.uint32)), packed(steps.astype(np.uint32)), packed(tf.astype(np.uint32)))
+        return _table([(len(term), *blobs, packed(keys[order]), packed(size[order].astype(np.uint32)))], ["postings", *CHUNK_COLUMNS])
+
     for batch in batches:
-        ids = batch.column("doc_id").to_numpy()
+        keys = batch.column("doc_id").to_numpy()
         for first, terms, bounds in _terms(batch.column("text")):
-            shard.add(ids[first : first + len(bounds) - 1], terms, bounds)
-            if shard.held > POSTINGS:
-                yield from shard.search(k)
-                shard = Shard(block.value)
-    yield from shard.search(k)
+            row, term, tf = _counted(terms, bounds)
+            parts.append((row + docs, term, tf))
+            ids.append(keys[first : first + len(bounds) - 1])
+            lengths.append(np.diff(bounds))
+            docs += len(bounds) - 1
+            held += len(row)
+            if held > CHUNK:
+                yield chunk()
+                ids, lengths, parts, docs, held = [], [], [], 0, 0
+    if held:
+        yield chunk()
+
+
+# Terms are signed numbers; as unsigned ones of the same order they can be packed by their differences.
+SHIFT = np.uint64(1 << 63)
+
+
+def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows come sorted by (at, query_id): a row for each run of whole queries of one block."""
+    rest = None
+    for batch in batches:
+        table = pa.Table.from_batches([batch])
+        rest = table if rest is None else pa.concat_tables([rest, table])
+        if len(rest) < TERMS:
+            continue
+        marks = np.stack([rest.column(c).to_numpy() for c in ("at", "query_id")])
+        cuts = np.flatnonzero((marks[:, 1:] != marks[:, :-1]).any(axis=0)) + 1
+        if len(cuts):
+            yield from _runs(rest.slice(0, int(cuts[-1])))
+            rest = rest.slice(int(cuts[-1])).combine_chunks()
+    if rest is not None and len(rest):
+        yield from _runs(rest)
+
+
+def _runs(table: pa.Table) -> Iterator[pa.RecordBatch]:
+    at, query, term, weight = (table.column(c).to_numpy() for c in ("at", "query_id", "term", "weight"))
+    edges = np.append(np.flatnonzero(np.diff(at, prepend=at[0] - 1)), len(at)).tolist()
+    for a, b in zip(edges[:-1], edges[1:]):
+        ids, starts = np.unique(query[a:b], return_index=True)
+        blobs = (packed(ids), packed(np.append(starts, b - a)), packed(term[a:b]), packed(weight[a:b]))
+        yield _table([(int(at[a]), *blobs)], ["at", *BLOCK_COLUMNS])
+
+
+class Chunk:
+    """Postings by term, and the blocks that spans of places cut them into."""
+
+    def __init__(self, blobs: list[bytes], mean: float):
+        terms, sizes, places, tfs, ids, lengths = blobs
+        self.terms = (unpacked_sorted(terms) - SHIFT).view(np.int64)
+        sizes = unpacked(sizes, np.uint32).astype(np.int64)
+        edges = np.concatenate([[0], np.cumsum(sizes)])
+        steps = np.cumsum(unpacked(places, np.uint32).astype(np.int64))
+        before = np.concatenate([[0], steps])[edges[:-1]]
+        self.places = steps - np.repeat(before, sizes)
+        self.ids = unpacked(ids, np.int64)
+        tf, lengths = unpacked(tfs, np.uint32).astype(np.float64), unpacked(lengths, np.uint32).astype(np.float64)
+        self.impacts = tf * (K1 + 1) / (tf + K1 * (1 - B + B * lengths[self.places] / mean))
+        span = self.places // SPAN
+        fresh = np.ones(len(span), dtype=bool)
+        fresh[1:] = span[1:] != span[:-1]
+        fresh[edges[:-1]] = True
+        self.starts = np.flatnonzero(fresh)  # the first posting of each block
+        self.sizes = np.diff(np.append(self.starts, len(span)))
+        self.span = span[self.starts]
+        self.tops = np.maximum.reduceat(self.impacts, self.starts) if len(span) else np.zeros(0)
+        self.edges = np.searchsorted(self.starts, edges)  # the first block of each term
+        self.spans = -(-len(self.ids) // SPAN)
+
+    def slots(self, terms: np.ndarray) -> np.ndarray:
+        """The number of each term in the chunk, or -1."""
+        at = np.minimum(np.searchsorted(self.terms, terms), len(self.terms) - 1)
+        return np.where(self.terms[at] == terms, at, -1)
+
+
+def best_of(chunk: Chunk, slots: np.ndarray, weights: np.ndarray, k: int, scores: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The best k of (`scores`, `ids`) and the chunk's rows, for a query of the terms at `slots`."""
+    counts = chunk.edges[slots + 1] - chunk.edges[slots]
+    blocks = ragged(chunk.edges[slots], counts)
+    weight = np.repeat(weights, counts)
+    span = chunk.span[blocks]
+    bound = np.bincount(span, chunk.tops[blocks] * weight, minlength=chunk.spans)
+    bound *= 1 + 1e-9  # bounds are sums in another order than scores
+    order = np.argsort(-bound, kind="stable")
+    bounds = bound[order]
+    turn = np.empty(chunk.spans, dtype=np.int64)
+    turn[order] = np.arange(chunk.spans)
+    turn = turn[span]
+    done, step = 0, FIRST
+    while done < chunk.spans:
+        worst = scores[-1] if len(scores) == k else 0.0
+        live = int(np.searchsorted(-bounds, -worst, side="left" if worst == 0 else "right"))
+        if live <= done:
+            break
+        until = min(live, done + step)
+        own = np.flatnonzero((turn >= done) & (turn < until))
+        sizes = chunk.sizes[blocks[own]]
+        at = ragged(chunk.starts[blocks[own]], sizes)
+        local = np.repeat(turn[own] - done, sizes) * SPAN + chunk.places[at] % SPAN
+        sums = np.bincount(local, chunk.impacts[at] * np.repeat(weight[own], sizes), minlength=(until - done) * SPAN)
+        hit = np.flatnonzero((sums > 0) & (sums >= worst))
+        place = order[done + hit // SPAN] * SPAN + hit % SPAN
+        scores, ids = np.append(scores, sums[hit]), np.append(ids, chunk.ids[place])
+        if len(scores) > 4 * k:
+            least = np.partition(scores, len(scores) - k)[len(scores) - k]
+            scores, ids = scores[scores >= least], ids[scores >= least]
+        by = np.lexsort((ids, -scores))[:k]
+        scores, ids = scores[by], ids[by]
+        done, step = until, step * 2
+    return scores, ids
+
+
+def _searched(batches: Iterator[pa.RecordBatch], mean: float, k: int) -> Iterator[pa.RecordBatch]:
+    """A shard's chunks, then blocks of queries: the shard's best k of each query."""
+    shard, chunks = None, []
+    for batch in batches:
+        for row in range(batch.num_rows):
+            now, at, *blobs = (batch.column(c)[row].as_py() for c in range(batch.num_columns))
+            if now != shard:
+                shard, chunks = now, []
+            if at < 0:
+                chunks.append(blobs)
+            elif chunks:
+                yield _answers(chunks, blobs, mean, k)
+
+
+def _answers(chunks: list[list[bytes]], blobs: list[bytes], mean: float, k: int) -> pa.RecordBatch:
+    queries, bounds, terms = (unpacked(b, np.int64) for b in blobs[:3])
+    weights = unpacked(blobs[3], np.float64)
+    best = [(np.zeros(0), np.zeros(0, dtype=np.int64))] * len(queries)
+    for held in chunks:
+        chunk = Chunk(held, mean)
+        slots = chunk.slots(terms)
+        for q, (a, b) in enumerate(zip(bounds[:-1].tolist(), bounds[1:].tolist())):
+            own = slots[a:b]
+            there = own >= 0
+            if there.any():
+                best[q] = best_of(chunk, own[there], weights[a:b][there], k, *best[q])
+    sizes = [len(s) for s, _ in best]
+    columns = [np.repeat(queries, sizes), np.concatenate([i for _, i in best]), np.concatenate([s for s, _ in best])]
+    return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["query_id", "doc_id", "score"])

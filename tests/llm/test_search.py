@@ -4,9 +4,10 @@ import sys
 from pathlib import Path
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
-from landstrata.llm import queries, search
+from landstrata.llm import queries, search, text
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 import brute  # noqa: E402
@@ -14,26 +15,54 @@ import brute  # noqa: E402
 SCHEMA = "doc_id long, text string, term string, query_id int"
 
 
-@pytest.mark.parametrize("span", [1, 4, 64])
-def test_wand_is_exact(monkeypatch, span):
+def chunk_of(rng, docs):
+    """A chunk of texts over few words, and each row's term counts."""
+    words = ["".join(rng.choice("abc") for _ in range(rng.randint(1, 3))) for _ in range(12)]
+    ids = rng.sample(range(10 * docs), docs)
+    texts = [" ".join(rng.choice(words) for _ in range(rng.choice([0, 1, 5, 30]))) + " z" for _ in ids]
+    batch = pa.RecordBatch.from_pydict({"doc_id": ids, "text": texts})
+    (found,) = search._indexed(iter([batch]))
+    return search.Chunk([found.column(c)[0].as_py() for c in search.CHUNK_COLUMNS], 7.0)
+
+
+@pytest.mark.parametrize("span", [1, 4, 32])
+def test_pruned_spans_lose_nothing(monkeypatch, span):
+    """Any number of terms, ties, and scores taken along from another chunk."""
     monkeypatch.setattr(search, "SPAN", span)
+    monkeypatch.setattr(search, "FIRST", 2)
     rng = random.Random(span)
-    for _ in range(600):
-        k, docs = rng.choice([1, 3, 10]), rng.choice([20, 500, 2000])
-        lists, scores = [], collections.defaultdict(float)
-        for _ in range(rng.randint(0, 6)):
-            places = np.array(sorted(rng.sample(range(docs), rng.randint(1, docs))), dtype=np.int32)
-            impacts = np.array([rng.choice([0.5, 1.0, rng.random() * 2]) for _ in places])
-            weight = rng.choice([0.1, 1.0, 3.0])
-            lists.append((search.Postings(places, impacts), weight))
-            for place, impact in zip(places.tolist(), impacts.tolist()):
-                scores[place] += impact * weight
-        assert search.best_of(lists, k) == sorted(((s, p) for p, s in scores.items()), key=lambda x: (-x[0], x[1]))[:k]
+    for trial in range(120):
+        k, chunk = rng.choice([1, 3, 10]), chunk_of(rng, rng.choice([1, 20, 300]))
+        slots = np.array(sorted(rng.sample(range(len(chunk.terms)), rng.randint(1, len(chunk.terms)))))
+        weights = np.array([rng.choice([0.1, 1.0, 3.0]) for _ in slots])
+        scores = collections.defaultdict(float)
+        posting = np.repeat(np.arange(len(chunk.terms)), np.diff(np.append(chunk.starts, len(chunk.places))[chunk.edges]))
+        for slot, weight in zip(slots, weights):
+            for at in np.flatnonzero(posting == slot):
+                scores[int(chunk.ids[chunk.places[at]])] += chunk.impacts[at] * weight
+        before = sorted(((s * rng.choice([0.5, 1.0]), -1 - i) for i, s in enumerate(list(scores.values())[:k])), key=lambda x: (-x[0], x[1]))
+        want = sorted([(s, i) for i, s in scores.items()] + before, key=lambda x: (-x[0], x[1]))[:k]
+        got = search.best_of(chunk, slots, weights, k, np.array([s for s, _ in before]), np.array([i for _, i in before], dtype=np.int64))
+        assert list(zip(*(x.tolist() for x in got))) == want
+
+
+def test_spans_are_skipped(monkeypatch):
+    """Postings of spans whose bound cannot beat the k-th best are not read."""
+    rng = random.Random(2)
+    texts = [("rare common" if k < 5 else "common") + " x" * rng.randint(20, 30) for k in range(2000)]
+    (found,) = search._indexed(iter([pa.RecordBatch.from_pydict({"doc_id": list(range(2000)), "text": texts})]))
+    chunk = search.Chunk([found.column(c)[0].as_py() for c in search.CHUNK_COLUMNS], 25.0)
+    read = []
+    plain = search.ragged
+    monkeypatch.setattr(search, "ragged", lambda starts, sizes: read.append(int(sizes.sum())) or plain(starts, sizes))
+    slots = chunk.slots(text.word_hashes(np.frombuffer(b"common rare", dtype=np.uint8), np.array([0, 11]), search.APART)[0].view(np.int64))
+    scores, ids = search.best_of(chunk, slots, np.array([0.1, 5.0]), 3, np.zeros(0), np.zeros(0, dtype=np.int64))
+    assert set(ids.tolist()) <= set(range(5)) and sum(read[1:]) < 500
 
 
 def test_documents(spark, monkeypatch):
-    monkeypatch.setattr(search, "POSTINGS", 500)  # several shards a task
-    monkeypatch.setattr(search, "QUERIES", 4)  # several blocks of queries
+    monkeypatch.setattr(search, "CHUNK", 500)
+    monkeypatch.setattr(search, "TERMS", 40)  # several blocks of queries
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").repartition(5)
     df, n, mean = search.statistics(docs)
     asked = search.telling_terms(docs.where("doc_id % 100 = 0"), df, n)
@@ -58,7 +87,8 @@ def test_documents(spark, monkeypatch):
 
 def test_query_asks_for_whole_texts(spark, monkeypatch):
     """The registered query against brute force over all terms of each query row, in several blocks and shards."""
-    monkeypatch.setattr(search, "POSTINGS", 50_000)
+    monkeypatch.setattr(search, "CHUNK", 20_000)
+    monkeypatch.setattr(search, "SHARD", 10_000)
     monkeypatch.setattr(search, "TERMS", 1000)
     got = collections.defaultdict(list)
     for r in sorted(queries.op8_exact_topk_search(spark, "/root/testdata/sf0.01").collect(), key=lambda r: (r.query_id, r.rank)):
@@ -75,19 +105,6 @@ def test_query_asks_for_whole_texts(spark, monkeypatch):
         assert [s for _, s in got[key]] == pytest.approx([s for _, s in rows])
 
 
-def test_sums_are_what_wand_finds():
-    rng = random.Random(5)
-    for _ in range(300):
-        k, docs = rng.choice([1, 3, 10]), rng.choice([5, 20, 500])
-        places, impacts, weights = [], [], []
-        for _ in range(rng.randint(0, 30)):
-            places.append(np.array(sorted(rng.sample(range(docs), rng.randint(1, docs))), dtype=np.intp))
-            impacts.append(np.array([rng.choice([0.5, 1.0, rng.random() * 2]) for _ in places[-1]]))
-            weights.append(rng.choice([0.1, 1.0, 3.0]))
-        lists = [(search.Postings(p, i), w) for p, i, w in zip(places, impacts, weights)]
-        assert search.best_of_sums(places, impacts, weights, docs, k) == search.best_of(lists, k)
-
-
 def test_odd_rows(spark):
     rows = [(5, "alpha beta"), (3, "Alpha, BETA!"), (7, None), (8, ""), (None, "alpha"), (5, "alpha beta"), (9, "gamma " * 100_000), (10, "...")]
     docs = spark.createDataFrame([(*r, "x", 1) for r in rows], SCHEMA)
