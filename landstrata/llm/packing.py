@@ -55,7 +55,18 @@ def pack(docs: DataFrame, tokenizer: str, end: int = 2, capacity: int = 1024, ke
 
 
 def arrangement(counts: dict[int, int], capacity: int) -> list[tuple[tuple[int, ...], int]]:
-    """(lengths of one sequence, number of such sequences), using every piece once."""
+    """(lengths of one sequence, number of such sequences), using every piece once.
+
+    Exact fillings may spend short pieces that best-fit needs for the gaps of long ones, so plans are made
+    with fillings of up to three, two, one and no other pieces, and the one of fewest sequences is taken.
+    The last is best-fit decreasing by itself, which a plan therefore never exceeds.
+    """
+    plans = (_arrangement(counts, capacity, most) for most in (3, 2, 1, 0))
+    return min(plans, key=lambda plan: sum(copies for _, copies in plan))
+
+
+def _arrangement(counts: dict[int, int], capacity: int, most: int) -> list[tuple[tuple[int, ...], int]]:
+    """Exact fillings of every length's gap by up to `most` pieces, then best-fit of what is left."""
     left = np.zeros(capacity + 1, dtype=np.int64)
     for length, n in counts.items():
         left[length] += n
@@ -75,7 +86,9 @@ def arrangement(counts: dict[int, int], capacity: int) -> list[tuple[tuple[int,
         while left[length]:
             if not gap:
                 take((length,))
-            elif not ((left[gap] and take((length, gap))) or _pair(left, length, gap, take) or _triple(left, length, gap, pairs, take)):
+                continue
+            single = most >= 1 and left[gap] and take((length, gap))
+            if not (single or (most >= 2 and _pair(left, length, gap, take)) or (most >= 3 and _triple(left, length, gap, pairs, take))):
                 break
     return out + _best_fit({x: int(left[x]) for x in np.flatnonzero(left).tolist()}, capacity)
 

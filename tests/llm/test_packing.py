@@ -53,6 +53,37 @@ def test_exact_fillings():
     assert sorted(packing.arrangement({7: 3, 4: 5}, 10)) == [((4,), 1), ((4, 4), 2), ((7,), 3)]
 
 
+def best_fit_decreasing(counts, capacity):
+    """Number of sequences, piece by piece."""
+    gaps = []
+    for length in sorted((n for n, c in counts.items() for _ in range(c)), reverse=True):
+        fitting = [(g, k) for k, g in enumerate(gaps) if g >= length]
+        if fitting:
+            gaps[min(fitting)[1]] -= length
+        else:
+            gaps.append(capacity - length)
+    return len(gaps)
+
+
+@pytest.mark.parametrize("seed", range(12))
+def test_never_more_sequences_than_best_fit_decreasing(seed):
+    rng = random.Random(seed)
+    capacity = rng.choice([10, 100, 1024])
+    counts = {}
+    for _ in range(rng.choice([5, 100, 800])):
+        n = min(capacity, max(1, int(rng.choice([rng.uniform(1, capacity), rng.expovariate(4 / capacity), capacity * 0.45]))))
+        counts[n] = counts.get(n, 0) + 1
+    assert sum(c for _, c in packing.arrangement(counts, capacity)) <= best_fit_decreasing(counts, capacity)
+
+
+def test_sequences_of_the_tables(spark):
+    """964 by best-fit decreasing; no packing has fewer than 962."""
+    rows = packing.pack(spark.read.parquet("/root/testdata/sf0.01/documents.parquet"), PATH)
+    lengths = {r.length: r.n for r in rows.groupBy("length").agg(F.count("*").alias("n")).collect()}
+    used = rows.select("sequence_id").distinct().count()
+    assert used <= best_fit_decreasing(lengths, 1024)
+
+
 def check(rows, texts, capacity=1024):
     library = Tokenizer.from_file(PATH)
     pieces, places = {}, {}
