@@ -1,17 +1,21 @@
 """N-gram Jaccard join by vertical partitioning of the global n-gram order.
 
-The global order is that of the n-grams' 64-bit hashes. It is cut into fragments of equal hash
-ranges, many or few by the size of the sets. Two sets that are similar enough differ in at most k
-n-grams, so of more than k fragments that hold something at least one is the same in both: every
-document sends one digest for each of its fragments, and documents that share one become
-candidates. Candidates meet in groups of bounded blocks, first with the sizes of fragments only:
-the smaller sizes of two sets bound their overlap from above, and who cannot link in a block leaves it.
-The others meet there again with their n-grams; the overlaps are counted fragment by fragment and
-summed for each pair, which decides exactly.
-
-A link is never lost: all pairs of one bucket of equal fragments are pairs of the group of the
-bucket's smallest document. Of a group that fills several blocks, each block is joined in itself
-and with the group's first document; then only documents that this left apart meet the others.
+The global order of n-grams is that of their 64-bit hashes, and it is cut into fragments: ranges of
+hashes. Every fragment is looked at by itself, twice:
+
+1. All documents send a fragment the n-grams that fall into it. The fragment knows in how many
+   different sets each one lies, and keeps those that lie in two at least; no other can be common.
+2. For pairs that may link, each fragment counts the n-grams common to both sets in it; the partial
+   counts are summed for each pair and decide.
+
+Pairs that may link share one of their rarest n-grams: two sets of similarity t have one in common
+among the first n - ceil(t * n) + 1 of each, whatever order is taken (the prefix filter), and by
+frequency a passage that many documents hold comes last. Sizes, and what is left behind the common
+n-gram, rule out most pairs.
+
+A group of near copies is not compared pair by pair. Of the sets that share a rare n-gram, all are
+compared with the smallest first; then only sets that this left in different groups are compared, those
+outside the largest group with the others. What is compared but found equal needs no further pair.
 """
 
 from __future__ import annotations
@@ -21,24 +25,19 @@ from functools import partial
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
+from landstrata.llm.blobs import packed, packed_sorted, unpacked, unpacked_sorted
 from landstrata.llm.components import components
-from landstrata.llm.text import lists, mix, ragged, shingles, slices, utf8, word_hashes
+from landstrata.llm.text import mix, ragged, shingles, slices, utf8, word_hashes
 from landstrata.session import materialise, materialise_observing, ship
 
-# Mean number of documents of one block of a large group, and of one cell of it, two of which meet in one step.
-BLOCK = 96
-CELL = 512
-# Up to so many document ids are broadcast, as sorted 64-bit numbers, to pick out candidates.
-BROADCAST_IDS = 2_000_000
-# Binary logarithms of the numbers of fragments whose sizes bound overlaps, first few, then many for who is left.
-PROFILES = (8, 11)
-FULL = 255
-# Columns of one fragment when overlaps are counted.
-FRAGMENT = 2048
+# N-grams that a task gathers before it sends them to fragments, and those of one fragment on average.
+GROUP = 1 << 21
+FRAGMENT = 1 << 22
+# Binary logarithm of the number of fragments in which the overlap of a pair is counted.
+COUNTED = 4
 
 
 def component_ids(docs: DataFrame, width: int = 5, threshold: tuple[int, int] = (80, 100), key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -51,15 +50,16 @@ def component_ids(docs: DataFrame, width: int = 5, threshold: tuple[int, int] =
 
     Null or empty texts have no shingles and link with nothing. Keys are integers that name one text
     each; a row that is repeated is returned as often. A row whose key is null gets a null component.
-    An empty table gives an empty result. Other columns of `docs` are not looked at.
+    Texts may be of any length. An empty table gives an empty result. Other columns of `docs` are not
+    looked at.
     """
-    spark = ship(docs.sparkSession)
+    ship(docs.sparkSession)
     docs = docs.select(F.col(key).cast("bigint").alias("doc_id"), F.col(text).alias("text"))
-    stats = materialise(docs.mapInArrow(partial(_sizes, width=width), "doc_id long, n_shingles long, digest binary"))
+    stats = docs.mapInArrow(partial(_sizes, width=width), "doc_id long, n_shingles long, digest binary")
+    stats, seen = materialise_observing(stats, n=F.sum("n_shingles"))
     classes = stats.where("n_shingles > 0").groupBy("digest").agg(F.min("doc_id").alias("rep"))
 
-    links = _links(spark, docs.where("doc_id is not null"), stats, classes, width, threshold)
-    found = components(links)
+    found = components(_links(docs.where("doc_id is not null"), seen["n"] or 0, width, threshold))
     named = classes.join(found, F.col("rep") == F.col("node"), "left")
     named = named.select("digest", F.coalesce("component", "rep").alias("component"))
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id"))
@@ -67,83 +67,74 @@ def component_ids(docs: DataFrame, width: int = 5, threshold: tuple[int, int] =
     return out.select(F.col("doc_id").alias(key), "n_shingles", component.alias("component_id"))
 
 
-def _links(spark, docs: DataFrame, stats: DataFrame, classes: DataFrame, width: int, threshold: tuple[int, int]) -> DataFrame:
+def _links(docs: DataFrame, total: int, width: int, threshold: tuple[int, int]) -> DataFrame:
     """Links (a, b) that join what all links join, between the smallest documents of equal sets."""
-    signed = docs.mapInArrow(partial(_signatures, width=width, threshold=threshold), "sig long, doc_id long")
-    first = F.first("doc_id").over(Window.partitionBy("sig").orderBy("doc_id").rowsBetween(Window.unboundedPreceding, 0))
-    met = signed.select("doc_id", first.alias("pivot")).where("doc_id > pivot").distinct()
-
-    reps = stats.where("n_shingles > 0 and doc_id is not null").join(classes, "digest").select("doc_id", "rep").distinct()
-    pairs = met.join(reps, "doc_id").select("pivot", F.col("rep").alias("member"))
-    pairs = pairs.join(reps.withColumnRenamed("doc_id", "pivot"), "pivot").select(F.col("rep").alias("pivot"), "member")
-    pairs, seen = materialise_observing(pairs.where("pivot <> member").distinct(), rows=F.count(F.lit(1)))
-    if not seen["rows"]:
-        return pairs.select(F.col("pivot").alias("a"), F.col("member").alias("b"))
-
-    sizes = pairs.groupBy("pivot").agg(F.count(F.lit(1)).alias("size")).withColumn("blocks", F.ceil(F.col("size") / BLOCK))
-    members = pairs.join(sizes, "pivot").withColumn("block", F.pmod(F.xxhash64("member"), "blocks"))
-    members = materialise(members.select("pivot", "member", "size", "blocks", "block"))
-
-    # Every block in itself, with the group's first document.
-    one = members.select("pivot", F.col("block").alias("i"), F.col("block").alias("j"), F.col("member").alias("doc_id"), F.lit(0).alias("side"))
-    lead = members.select("pivot", F.col("block").alias("i"), F.col("block").alias("j"), F.col("pivot").alias("doc_id"), F.lit(0).alias("side"))
-    linked = materialise(_joined(spark, docs, one.unionByName(lead.distinct()), width, threshold))
-
-    # Of groups with more blocks: those that are apart from the first document meet all others, in larger cells.
-    large = members.where("blocks > 1")
-    if large.isEmpty():
-        return linked
-    label = components(linked)
-    large = large.join(label.withColumnsRenamed({"node": "member", "component": "mine"}), "member", "left")
-    large = large.join(label.withColumnsRenamed({"node": "pivot", "component": "theirs"}), "pivot", "left")
-    apart = ~F.coalesce("mine", "member").eqNullSafe(F.coalesce("theirs", "pivot"))
-    cells = F.ceil(F.col("size") / CELL)
-    large = large.select("pivot", "member", apart.alias("apart"), cells.alias("cells"), F.pmod(F.xxhash64("member"), cells).alias("cell"))
-    large = materialise(large)
-    held = large.where("apart").select("pivot", F.col("cell").alias("i")).distinct()
-    every = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("cells") - 1))
-    left = large.where("apart").withColumn("j", every).selectExpr("pivot", "cell as i", "j", "member as doc_id", "1 as side")
-    right = large.join(held, "pivot").selectExpr("pivot", "i", "cell as j", "member as doc_id", "2 as side")
-    return linked.unionByName(materialise(_joined(spark, docs, left.unionByName(right), width, threshold)))
-
-
-def _with(spark, docs: DataFrame, placed: DataFrame, width: int, bits: int | None = None) -> DataFrame:
-    """`placed` with its documents' n-grams (`hashes`), or with how many they have and the sizes of
-    2**bits fragments (`n`, `profile`).
-
-    The documents' ids are broadcast if there are few; otherwise their texts are found by a join.
-    """
-    ids, seen = materialise_observing(placed.select("doc_id").distinct(), rows=F.count(F.lit(1)))
-    wanted = None
-    if seen["rows"] <= BROADCAST_IDS:
-        wanted = spark.sparkContext.broadcast(np.sort(ids.toPandas()["doc_id"].to_numpy(dtype=np.int64)))
-    else:
-        docs = docs.join(ids, "doc_id", "left_semi")
-    schema = "doc_id long, hashes array<long>" if bits is None else "doc_id long, n int, profile binary"
-    return placed.join(docs.mapInArrow(partial(_arrays, width=width, wanted=wanted, bits=bits), schema), "doc_id")
+    sets = materialise(_sets(docs, total, width, threshold))
+    rare = sets.select("doc_id", "n", "skipped", F.posexplode(F.slice("hashes", F.lit(1), F.col("in_prefix"))).alias("i", "hash"))
+    rare = rare.select("hash", "doc_id", "n", (F.col("skipped") + F.col("i")).alias("place"))
+
+    first = rare.groupBy("hash").agg(F.min(F.struct("doc_id", "n", "place")).alias("p"), F.count(F.lit(1)).alias("sets")).where("sets > 1")
+    met = rare.join(first.select("hash", "p"), "hash").where((F.col("doc_id") > F.col("p.doc_id")) & _may_link("", "p.", threshold))
+    pairs = met.select(F.col("p.doc_id").alias("a"), F.col("doc_id").alias("b"), F.col("p.n").alias("n_a"), F.col("n").alias("n_b"))
+    near = materialise(_verified(sets, pairs.distinct(), threshold))
+
+    label = components(near)
+    rare = rare.join(label.withColumnRenamed("node", "doc_id"), "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id"))
+    rare = materialise(rare)
+    split = rare.groupBy("hash", "component").agg(F.count(F.lit(1)).alias("sets")).groupBy("hash")
+    split = split.agg(F.max_by("component", "sets").alias("main"), F.count(F.lit(1)).alias("groups")).where("groups > 1").select("hash", "main")
+    apart = rare.join(split, "hash")
+    other = apart.select("hash", *(F.col(c).alias(f"o_{c}") for c in ("doc_id", "n", "place", "component")), (F.col("component") == F.col("main")).alias("o_main"))
+    once = F.col("o_main") | (F.col("doc_id") < F.col("o_doc_id"))
+    met = apart.where("component <> main").join(other, "hash")
+    met = met.where((F.col("component") != F.col("o_component")) & once & _may_link("", "o_", threshold))
+    low = F.col("doc_id") < F.col("o_doc_id")
+    pairs = met.select(
+        F.least("doc_id", "o_doc_id").alias("a"), F.greatest("doc_id", "o_doc_id").alias("b"),
+        F.when(low, F.col("n")).otherwise(F.col("o_n")).alias("n_a"), F.when(low, F.col("o_n")).otherwise(F.col("n")).alias("n_b"),
+    )
+    return near.unionByName(materialise(_verified(sets, pairs.distinct(), threshold)))
+
+
+def _may_link(one: str, other: str, threshold: tuple[int, int]) -> Column:
+    """Whether sets with a common n-gram at their places, and none before, may link by their sizes."""
+    num, den = threshold
+    x, y = F.col(f"{one}n"), F.col(f"{other}n")
+    most = 1 + F.least(x - F.col(f"{one}place") - 1, y - F.col(f"{other}place") - 1)
+    return (F.least(x, y) * den >= F.greatest(x, y) * num) & (most * den >= (x + y - most) * num)
 
 
-def _joined(spark, docs: DataFrame, placed: DataFrame, width: int, threshold: tuple[int, int]) -> DataFrame:
-    """Links (a, b) within blocks: what is placed at one (pivot, i, j) meets there and nowhere else."""
-    at = ["pivot", "i", "j"]
+def _verified(sets: DataFrame, pairs: DataFrame, threshold: tuple[int, int]) -> DataFrame:
+    """Those of `pairs` (a, b, n_a, n_b) that link: overlaps are counted fragment by fragment, and summed."""
+    num, den = threshold
+    own = f"transform(sequence(0, {(1 << COUNTED) - 1}), f -> struct(f as fragment, filter(hashes, h -> shiftrightunsigned(h, {64 - COUNTED}) = f) as grams))"
+    cut = sets.select("doc_id", F.explode(F.expr(own)).alias("f")).select("doc_id", "f.fragment", "f.grams").where("size(grams) > 0")
+    left = pairs.join(cut.select(F.col("doc_id").alias("a"), "fragment", F.col("grams").alias("of_a")), "a")
+    both = left.join(cut.select(F.col("doc_id").alias("b"), "fragment", F.col("grams").alias("of_b")), ["b", "fragment"])
+    counted = both.select("a", "b", "n_a", "n_b", F.size(F.array_intersect("of_a", "of_b")).alias("common"))
+    whole = counted.groupBy("a", "b", "n_a", "n_b").agg(F.sum("common").alias("common"))
+    return whole.where(F.col("common") * den >= (F.col("n_a") + F.col("n_b") - F.col("common")) * num).select("a", "b")
+
 
-    def met(rows: DataFrame, use, columns: list[str], schema: str) -> DataFrame:
-        rows = rows.select(*at, "side", "doc_id", *columns).repartition(*at).sortWithinPartitions(*at, "doc_id", "side")
-        return rows.mapInArrow(partial(_by_block, use=partial(use, threshold=threshold)), schema)
+def _sets(docs: DataFrame, total: int, width: int, threshold: tuple[int, int]) -> DataFrame:
+    """(doc_id, n, skipped, in_prefix, hashes) of the sets that may link, one of each group of equal ones.
 
-    for bits in PROFILES:
-        sized = _with(spark, docs, placed, width, bits)
-        placed = materialise(met(sized, _possible, ["n", "profile"], "pivot long, i long, j long, side int, doc_id long"))
-    return met(_with(spark, docs, placed, width), _linked, ["hashes"], "a long, b long")
+    `hashes` are the n-grams that other sets have too, the rarest first; `skipped` others of the n come
+    before them, and the first `in_prefix` of them are among those of which a linked set has one.
+    """
+    bits = int(total // FRAGMENT).bit_length()
+    sent = docs.mapInArrow(partial(_sent, width=width, bits=bits), "fragment long, docs binary, classes binary, sizes binary, hashes binary, owners binary")
+    sent = sent.repartition("fragment").sortWithinPartitions("fragment")
+    shared = sent.mapInArrow(partial(_shared, bits=bits), "bucket long, docs binary, sizes binary, held binary, hashes binary, often binary")
+    shared = shared.repartition("bucket").sortWithinPartitions("bucket")
+    return shared.mapInArrow(partial(_ordered, threshold=threshold), "doc_id long, n long, skipped long, in_prefix int, hashes array<long>")
 
 
 # ---- inside a task -------------------------------------------------------------------------------
 
 
-def _shingled(batch: pa.RecordBatch, width: int, chosen: np.ndarray | None = None) -> Iterator[tuple]:
-    """(ids, hashes, bounds) of slices of a batch; `chosen`: the rows wanted."""
-    if chosen is not None:
-        batch = batch.filter(pa.array(chosen))
+def _shingled(batch: pa.RecordBatch, width: int) -> Iterator[tuple]:
+    """(ids, hashes, bounds) of slices of a batch."""
     data, offsets = utf8(batch.column("text"))
     for a, b in slices(np.diff(offsets)):
         words, bounds = word_hashes(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a])
@@ -169,181 +160,134 @@ def _sizes(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordB
             yield pa.RecordBatch.from_arrays([ids, pa.array(np.diff(edges)), pa.array(digests, pa.binary())], ["doc_id", "n_shingles", "digest"])
 
 
-def _arrays(batches: Iterator[pa.RecordBatch], width: int, wanted, bits: int | None) -> Iterator[pa.RecordBatch]:
-    done: set[int] = set()  # a repeated row is one document
-    for batch in batches:
-        ids = batch.column("doc_id").to_numpy()
-        chosen = np.ones(len(ids), dtype=bool) if wanted is None else np.isin(ids, wanted.value)
-        for k in np.flatnonzero(chosen):
-            chosen[k] = ids[k] not in done
-            done.add(ids[k])
-        for own, hashes, edges in _shingled(batch, width, chosen):
-            if bits is not None:
-                at = np.repeat(np.arange(len(own)) << bits, np.diff(edges)) + (hashes >> np.uint64(64 - bits)).astype(np.int64)
-                counts = np.minimum(np.bincount(at, minlength=len(own) << bits), FULL).astype(np.uint8)
-                rows = [row.tobytes() for row in counts.reshape(len(own), 1 << bits)]
-                sizes = pa.array(np.diff(edges).astype(np.int32))
-                yield pa.RecordBatch.from_arrays([own, sizes, pa.array(rows, pa.binary())], ["doc_id", "n", "profile"])
-            else:
-                yield pa.RecordBatch.from_arrays([own, lists(hashes.view(np.int64), edges, pa.int64())], ["doc_id", "hashes"])
-
-
-def schemes(largest: int, threshold: tuple[int, int]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Classes of set sizes: the smallest size of each, how many n-grams linked sets of it differ in at
-    most, and into how many fragments the order is cut for it."""
-    num, den = threshold
-    low = [1]
-    while low[-1] <= largest * den // num:
-        low.append(max(low[-1] + 1, low[-1] * 3 // 2))
-    low = np.array(low)
-    differ = 2 * (np.append(low[1:], low[-1] * 3 // 2) - 1) * (den - num) // (den + num)
-    return low, differ, np.where(differ == 0, 1, differ + 2 + differ // 50)
-
-
-def signatures(hashes: np.ndarray, edges: np.ndarray, threshold: tuple[int, int]) -> tuple[np.ndarray, np.ndarray]:
-    """Digests of the fragments of every set, and the number of the set each belongs to.
+def _table(rows: list[tuple], names: list[str]) -> pa.RecordBatch:
+    kinds = [pa.int64()] + [pa.binary()] * (len(names) - 1)
+    return pa.RecordBatch.from_arrays([pa.array(list(c), type=t) for c, t in zip(zip(*rows), kinds)], names)
+
+
+def _runs(values: np.ndarray) -> np.ndarray:
+    """Where runs of equal values begin, and the end."""
+    return np.append(np.flatnonzero(np.append(True, values[1:] != values[:-1])[: len(values)]), len(values))
+
+
+def _top(hashes: np.ndarray, bits: int) -> np.ndarray:
+    return (hashes >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(len(hashes), dtype=np.int64)
+
+
+def _sent(batches: Iterator[pa.RecordBatch], width: int, bits: int) -> Iterator[pa.RecordBatch]:
+    """N-grams of a group of documents, by fragment: the documents' ids, classes and sizes, the sorted
+    hashes, and the numbers of the documents they are of. Of equal sets the smallest document's is sent."""
+    names = ["fragment", "docs", "classes", "sizes", "hashes", "owners"]
+    kept: list[tuple] = []
+    held = 0
+
+    def group() -> Iterator[pa.RecordBatch]:
+        ids, hashes, sizes = (np.concatenate(x) for x in zip(*kept))
+        edges = np.concatenate([[0], np.cumsum(sizes)])
+        marks = _digests(hashes, edges)
+        by = np.lexsort((ids, marks[:, 1], marks[:, 0]))
+        fresh = np.append(True, (marks[by[1:]] != marks[by[:-1]]).any(axis=1))[: len(by)]
+        chosen = by[fresh]
+        chosen = np.sort(chosen[sizes[chosen] > 0])
+        if not len(chosen):
+            return
+        grams = hashes[ragged(edges[chosen], sizes[chosen])]
+        owner = np.repeat(np.arange(len(chosen)), sizes[chosen])
+        by = np.argsort(grams)
+        grams, owner = grams[by], owner[by]
+        cuts = _runs(_top(grams, bits))
+        for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
+            there, number = np.unique(owner[a:b], return_inverse=True)
+            docs = chosen[there]
+            own = (packed(ids[docs]), packed(marks[docs, 0]), packed(sizes[docs].astype(np.uint32)), packed_sorted(grams[a:b]), packed(number.astype(np.uint32)))
+            yield _table([(int(_top(grams[a : a + 1], bits)[0]), *own)], names)
 
-    A set speaks in the class of its own size and in every class that a larger linked set may have. If
-    too many of its fragments are empty for one of the others to be sure to agree, empty ones count too.
-    """
-    num, den = threshold
-    sizes = np.diff(edges)
-    if not len(hashes):
-        return np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.int64)
-    low, differ, fragments = schemes(int(sizes.max()), threshold)
-    own = np.searchsorted(low, sizes, side="right") - 1
-    top = np.searchsorted(low, sizes * den // num, side="right") - 1
-    mixed = mix(hashes)
-    signs, owners = [], []
-    for step in range(int((top - own)[sizes > 0].max()) + 1):
-        sets = np.flatnonzero((sizes > 0) & (own + step <= top))
-        kind = own[sets] + step
-        at, who = ragged(edges[sets], sizes[sets]), np.repeat(np.arange(len(sets)), sizes[sets])
-        cut = fragments[kind].astype(np.uint64)
-        part = ((hashes[at] >> np.uint64(32)) * cut[who]) >> np.uint64(32)
-        fresh = np.ones(len(at), dtype=bool)
-        fresh[1:] = (who[1:] != who[:-1]) | (part[1:] != part[:-1])
-        starts = np.flatnonzero(fresh)
-        sums = np.add.reduceat(mixed[at], starts)
-        who, part = who[starts], part[starts]
-        few = np.flatnonzero(np.bincount(who, minlength=len(sets)) <= differ[kind])
-        for k in few:
-            empty = np.setdiff1d(np.arange(cut[k], dtype=np.uint64), part[who == k])
-            sums, who, part = np.append(sums, np.zeros_like(empty)), np.append(who, np.full(len(empty), k)), np.append(part, empty)
-        signs.append(mix(sums + mix(part + np.uint64(1)) * np.uint64(3) + mix(cut[who])))
-        owners.append(sets[who])
-    return np.concatenate(signs), np.concatenate(owners)
-
-
-def _signatures(batches: Iterator[pa.RecordBatch], width: int, threshold: tuple[int, int]) -> Iterator[pa.RecordBatch]:
-    done: set[bytes] = set()  # sets that this task has sent already; equal sets are one class anyway
     for batch in batches:
         for ids, hashes, edges in _shingled(batch, width):
-            fresh = np.zeros(len(ids), dtype=bool)
-            for k, row in enumerate(_digests(hashes, edges)):
-                digest = row.tobytes()
-                fresh[k] = digest not in done
-                done.add(digest)
-            sizes = np.where(fresh, np.diff(edges), 0)
-            at = ragged(edges[:-1], sizes)
-            signs, owners = signatures(hashes[at], np.concatenate([[0], np.cumsum(sizes)]), threshold)
-            for a in range(0, len(signs), 200_000):
-                arrays = [pa.array(signs[a : a + 200_000].view(np.int64)), ids.take(pa.array(owners[a : a + 200_000]))]
-                yield pa.RecordBatch.from_arrays(arrays, ["sig", "doc_id"])
-
-
-def overlaps(hashes: np.ndarray, edges: np.ndarray, left: np.ndarray, right: np.ndarray) -> np.ndarray:
-    """Sizes of the intersections of the sets `left` with other sets `right`, fragment by fragment.
-
-    N-grams of one set only are left out first, so what a set has in common with itself is not told.
-    """
-    owner = np.repeat(np.arange(len(edges) - 1), np.diff(edges))
-    order = np.argsort(hashes, kind="stable")
-    hashes, owner = hashes[order], owner[order]
-    fresh = np.ones(len(hashes), dtype=bool)
-    fresh[1:] = hashes[1:] != hashes[:-1]
-    column = np.cumsum(fresh) - 1
-    shared = (np.bincount(column) > 1)[column] if len(column) else fresh
-    owner, fresh = owner[shared], fresh[shared]
-    column = np.cumsum(fresh) - 1
-    out = np.zeros((len(left), len(right)), dtype=np.float64)
-    for a in range(0, int(column[-1]) + 1 if len(column) else 0, FRAGMENT):
-        x, y = np.searchsorted(column, (a, a + FRAGMENT))
-        held = np.zeros((len(edges) - 1, FRAGMENT), dtype=np.float32)
-        held[owner[x:y], column[x:y] - a] = 1
-        out += held[left] @ held[right].T
-    return out
-
-
-def _by_block(batches: Iterator[pa.RecordBatch], use) -> Iterator[pa.RecordBatch]:
-    """Rows come sorted by (pivot, i, j); `use` gets one such block at a time."""
-    rest = None
+            kept.append((ids.to_numpy(), hashes, np.diff(edges)))
+            held += len(hashes)
+            if held >= GROUP:
+                yield from group()
+                kept, held = [], 0
+    if held:
+        yield from group()
+
+
+def _grouped(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[tuple[int, list[dict]]]:
+    """Neighbouring rows of one key."""
+    now, rows = None, []
     for batch in batches:
-        table = pa.Table.from_batches([batch])
-        if rest is not None:
-            table = pa.concat_tables([rest, table])
-        at = np.stack([table.column(c).to_numpy() for c in ("pivot", "i", "j")])
-        cuts = np.flatnonzero((at[:, 1:] != at[:, :-1]).any(axis=0)) + 1
-        edges = [0, *cuts.tolist()]
-        for a, b in zip(edges[:-1], edges[1:]):
-            yield use(table.slice(a, b - a))
-        rest = table.slice(edges[-1]).combine_chunks()
-    if rest is not None and len(rest):
-        yield use(rest)
-
-
-def _column(block: pa.Table, name: str) -> tuple[np.ndarray, np.ndarray]:
-    """All values of a list column, and where the rows' lists begin and the last ends."""
-    column = block.column(name).combine_chunks()
-    if isinstance(column, pa.ChunkedArray):
-        column = column.chunk(0)
-    edges = column.offsets.to_numpy().astype(np.int64)
-    return column.values.to_numpy()[edges[0] : edges[-1]], edges - edges[0]
-
-
-def _sides(block: pa.Table) -> tuple[np.ndarray, np.ndarray]:
-    """The rows that meet and the rows they meet: all with all, or one block with the other."""
-    side = block.column("side").to_numpy()
-    left = np.flatnonzero(side != 2)
-    return left, (left if not side.any() else np.flatnonzero(side == 2))
-
-
-def _possible(block: pa.Table, threshold: tuple[int, int]) -> pa.RecordBatch:
-    """The rows of a block that may link there, by the sizes of their fragments."""
-    num, den = threshold
-    profiles = np.frombuffer(b"".join(block.column("profile").to_pylist()), dtype=np.uint8).reshape(block.num_rows, -1)
-    profiles = np.where(profiles == FULL, 1 << 30, profiles.astype(np.int32))  # a full byte stands for any size
-    sizes = block.column("n").to_numpy().astype(np.int64)
-    ids, (left, right) = block.column("doc_id").to_numpy(), _sides(block)
-    kept = np.zeros(len(ids), dtype=bool)
-    for x in left.tolist():
-        fit = right[(ids[right] != ids[x]) & (np.minimum(sizes[right], sizes[x]) * den >= np.maximum(sizes[right], sizes[x]) * num)]
-        most = np.minimum(np.minimum(profiles[fit], profiles[x]).sum(axis=1, dtype=np.int64), np.minimum(sizes[fit], sizes[x]))
-        fit = fit[most * den >= (sizes[fit] + sizes[x] - most) * num]
-        kept[fit] = True
-        kept[x] |= len(fit) > 0
-    table = block.select(["pivot", "i", "j", "side", "doc_id"]).filter(pa.array(kept)).combine_chunks()
-    return pa.RecordBatch.from_arrays([c.combine_chunks() for c in table.columns], table.schema.names)
-
-
-def _linked(block: pa.Table, threshold: tuple[int, int]) -> pa.RecordBatch:
-    """Links that connect what the block's links connect: every document with the smallest it reaches."""
+        for k in range(batch.num_rows):
+            row = {name: batch.column(name)[k].as_py() for name in batch.schema.names}
+            if row[key] != now:
+                if rows:
+                    yield now, rows
+                now, rows = row[key], []
+            rows.append(row)
+    if rows:
+        yield now, rows
+
+
+def _shared(batches: Iterator[pa.RecordBatch], bits: int) -> Iterator[pa.RecordBatch]:
+    """The n-grams of a fragment that lie in two different sets at least, with the number of those sets, by
+    buckets of documents."""
+    names = ["bucket", "docs", "sizes", "held", "hashes", "often"]
+    for _, rows in _grouped(batches, "fragment"):
+        grams = np.concatenate([unpacked_sorted(row["hashes"]) for row in rows])
+        docs, classes, sizes, at, before = [], [], [], [], 0
+        for row in rows:
+            docs.append(unpacked(row["docs"], np.int64))
+            classes.append(unpacked(row["classes"], np.uint64))
+            sizes.append(unpacked(row["sizes"], np.uint32))
+            at.append(unpacked(row["owners"], np.uint32).astype(np.int64) + before)
+            before += len(docs[-1])
+        docs, classes, sizes, at = (np.concatenate(x) for x in (docs, classes, sizes, at))
+        by = np.argsort(grams, kind="stable")
+        grams, at = grams[by], at[by]
+        cuts = _runs(grams)
+        several = np.repeat(np.diff(cuts) > 1, np.diff(cuts))
+        grams, at = grams[several], at[several]
+        # Equal sets of several groups: the smallest document stays.
+        by = np.lexsort((docs[at], classes[at], grams))
+        grams, at = grams[by], at[by]
+        fresh = np.append(True, (grams[1:] != grams[:-1]) | (classes[at[1:]] != classes[at[:-1]]))[: len(grams)]
+        grams, at = grams[fresh], at[fresh]
+        counts = np.diff(_runs(grams)) if len(grams) else np.zeros(0, dtype=np.int64)
+        often = np.repeat(counts, counts)
+        grams, at, often = grams[often > 1], at[often > 1], often[often > 1]
+        ids = docs[at]
+        bucket = _top(mix(ids.view(np.uint64)), bits)
+        by = np.lexsort((ids, bucket))
+        grams, ids, often, bucket, size = grams[by], ids[by], often[by], bucket[by], sizes[at[by]]
+        cuts = _runs(bucket)
+        for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
+            own = _runs(ids[a:b])
+            first = a + own[:-1]
+            blobs = (packed(ids[first]), packed(size[first]), packed(np.diff(own).astype(np.uint32)), packed(grams[a:b]), packed(often[a:b].astype(np.uint32)))
+            yield _table([(int(bucket[a]), *blobs)], names)
+
+
+def _ordered(batches: Iterator[pa.RecordBatch], threshold: tuple[int, int]) -> Iterator[pa.RecordBatch]:
+    """The shared n-grams of every document of a bucket, the rarest first, if any is among those that a
+    linked set must have one of."""
     num, den = threshold
-    values, edges = _column(block, "hashes")
-    hashes, sizes = values.view(np.uint64), np.diff(edges)
-    ids, (left, right) = block.column("doc_id").to_numpy(), _sides(block)
-    common = overlaps(hashes, edges, left, right)
-    union = sizes[left][:, None] + sizes[right][None, :] - common
-    x, y = np.nonzero((common * den >= union * num) & (common > 0))
-    x, y = left[x], right[y]
-    label = np.arange(len(ids))
-    while True:
-        now = label.copy()
-        np.minimum.at(now, x, label[y])
-        np.minimum.at(now, y, label[x])
-        now = now[now]
-        if (now == label).all():
-            break
-        label = now
-    out = np.flatnonzero(label != np.arange(len(ids)))
-    return pa.RecordBatch.from_arrays([pa.array(ids[label[out]]), pa.array(ids[out])], ["a", "b"])
+    for _, rows in _grouped(batches, "bucket"):
+        held = np.concatenate([unpacked(row["held"], np.uint32).astype(np.int64) for row in rows])
+        ids, sizes = (np.concatenate([unpacked(row[c], t) for row in rows]) for c, t in (("docs", np.int64), ("sizes", np.uint32)))
+        ids, sizes = np.repeat(ids, held), np.repeat(sizes.astype(np.int64), held)
+        grams, often = (np.concatenate([unpacked(row[c], t) for row in rows]) for c, t in (("hashes", np.uint64), ("often", np.uint32)))
+        by = np.lexsort((grams, often, ids))
+        cuts = _runs(ids[by])
+        first = by[cuts[:-1]]
+        shared, n = np.diff(cuts), sizes[first]
+        skipped = n - shared
+        prefix = np.clip(n - -(-n * num // den) + 1 - skipped, 0, shared)
+        chosen = np.flatnonzero(prefix > 0)
+        grams = grams[by].view(np.int64)
+        # Rows of at most some two million n-grams at a time.
+        for a, b in slices(shared[chosen], GROUP):
+            own = chosen[a:b]
+            values = grams[ragged(cuts[own], shared[own])]
+            lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(shared[own])]).astype(np.int32)), pa.array(values))
+            arrays = [pa.array(ids[first[own]]), pa.array(n[own]), pa.array(skipped[own]), pa.array(prefix[own].astype(np.int32)), lists]
+            yield pa.RecordBatch.from_arrays(arrays, ["doc_id", "n", "skipped", "in_prefix", "hashes"])
