@@ -11,8 +11,8 @@ Counts cover all training texts and grow with them, so the model lies in no sing
 
 1. Tasks encode texts, in groups of some two million tokens, as numbers of the group's own words. This
    is stored, and holds what follows in place of the texts.
-2. A group sends the keys of its distinct n-grams, with its own counts, to shards of the key space.
-   Shards sum them and send back to a group what the others have seen of them.
+2. A group sends the sorted keys of its distinct n-grams, with its own counts, to shards of the key
+   space. Shards sum them and send back to a group, in that order, what the others have seen of them.
 3. A group thus knows the counts of all n-grams that its texts can ask for. It builds the part of the
    automaton that they can reach, and runs its texts through it from left to right.
 
@@ -73,14 +73,14 @@ def score(
     bits = max(0, int(seen.n * order // SHARD).bit_length())
     asked = groups.mapInArrow(partial(_asked, order=order, bits=bits), "shard long, size int, part long, keys binary, counts binary")
     asked = asked.repartition("shard").sortWithinPartitions("shard", "size")
-    told = materialise(asked.mapInArrow(_told, "part long, size int, shard long, keys binary, counts binary, known long"))
+    told = materialise(asked.mapInArrow(_told, "part long, size int, shard long, counts binary, known long"))
     known = told.where("part is null").agg(F.coalesce(F.sum("known"), F.lit(0)).alias("known")).first().known
 
     none = F.lit(None)
-    told = told.where("part is not null").select("part", "size", "shard", "keys", "counts", none.cast("binary").alias("sizes"), none.cast("array<boolean>").alias("learns"), none.cast(f"array<{kind}>").alias("ids"))
-    groups = groups.select("part", F.lit(order + 1).alias("size"), F.lit(0).cast("bigint").alias("shard"), F.col("words").alias("keys"), F.col("tokens").alias("counts"), "sizes", "learns", "ids")
+    told = told.where("part is not null").select("part", "size", "shard", none.cast("binary").alias("words"), F.col("counts").alias("blob"), none.cast("binary").alias("sizes"), none.cast("array<boolean>").alias("learns"), none.cast(f"array<{kind}>").alias("ids"))
+    groups = groups.select("part", F.lit(order + 1).alias("size"), F.lit(0).cast("bigint").alias("shard"), "words", F.col("tokens").alias("blob"), "sizes", "learns", "ids")
     met = told.unionByName(groups).repartition("part").sortWithinPartitions("part", "size", "shard")
-    scored = partial(_scored, order=order, prior=prior, total=float(seen.n_train + known + 1), begun=seen.n_begun)
+    scored = partial(_scored, order=order, bits=bits, prior=prior, total=float(seen.n_train + known + 1), begun=seen.n_begun)
     out = met.mapInArrow(scored, f"doc_id {kind}, learns boolean, n_tokens long, n_known long, base_score double, score double")
     columns = [F.col("doc_id").alias(key), "learns", "n_tokens", "n_known", F.lit(seen.n_train).cast("bigint").alias("train_tokens"), "base_score", "score"]
     return out.select(*columns)
@@ -103,7 +103,8 @@ def _encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         train = pa.concat_arrays(learns)
         own = train.to_numpy(zero_copy_only=False)
         keys = pa.concat_arrays(ids)
-        one = [packed(words[rank]), packed(number[at]), packed(counts.astype(np.uint32))]
+        # Of words as frequent as each other the hashes ascend.
+        one = [packed_sorted(words[rank]), packed(number[at]), packed(counts.astype(np.uint32))]
         lists = [pa.ListArray.from_arrays(pa.array([0, len(x)], type=pa.int32()), x) for x in (train, keys)]
         numbers = [pa.array([int(v)]) for v in (len(every), counts[own].sum(), own.sum())]
         names = ["part", "words", "tokens", "sizes", "learns", "ids", "n", "n_train", "n_begun"]
@@ -167,7 +168,7 @@ def grams(words: np.ndarray, tokens: np.ndarray, sizes: np.ndarray, learns: np.n
 
 def _opened(row: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """The words, tokens and sizes of a group's row."""
-    return unpacked(row["words"], np.uint64), unpacked(row["tokens"], np.uint32).astype(np.int64), unpacked(row["sizes"], np.uint32).astype(np.int64)
+    return unpacked_sorted(row["words"]), unpacked(row["tokens"], np.uint32).astype(np.int64), unpacked(row["sizes"], np.uint32).astype(np.int64)
 
 
 def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
@@ -177,18 +178,24 @@ def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
             yield {name: cell.values if name == "ids" else cell.as_py() for name, cell in cells.items()}
 
 
+def _shards(keys: np.ndarray, bits: int) -> Iterator[tuple[int, int, int]]:
+    """(shard, first, end) of sorted keys."""
+    shard = (keys >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(len(keys), dtype=np.int64)
+    cuts = np.append(np.flatnonzero(np.diff(shard, prepend=-1)), len(keys)).tolist()
+    yield from ((int(shard[x]), x, y) for x, y in zip(cuts[:-1], cuts[1:]))
+
+
 def _asked(batches: Iterator[pa.RecordBatch], order: int, bits: int) -> Iterator[pa.RecordBatch]:
     """The sorted keys and own counts of a group's n-grams, a row for each shard and size."""
     for row in _rows(batches):
         for size, held in enumerate(grams(*_opened(row), np.array(row["learns"], dtype=bool), order), start=1):
             by = np.argsort(held.keys)
             keys, counts = held.keys[by], held.counts[by].astype(np.uint32)
-            shard = (keys >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(len(keys), dtype=np.int64)
-            cuts = np.append(np.flatnonzero(np.diff(shard, prepend=-1)), len(keys))
-            for a in range(0, len(cuts) - 1, 1000):
-                spans = [(x, y) for x, y in zip(cuts[a : a + 1000], cuts[a + 1 : a + 1001])]
-                arrays = [pa.array([int(shard[x]) for x, _ in spans], type=pa.int64()), pa.array([size] * len(spans), type=pa.int32()), pa.array([row["part"]] * len(spans), type=pa.int64())]
-                arrays += [pa.array([packed_sorted(keys[x:y]) for x, y in spans], type=pa.binary()), pa.array([packed(counts[x:y]) for x, y in spans], type=pa.binary())]
+            spans = list(_shards(keys, bits))
+            for a in range(0, len(spans), 1000):
+                own = spans[a : a + 1000]
+                arrays = [pa.array([s for s, _, _ in own], type=pa.int64()), pa.array([size] * len(own), type=pa.int32()), pa.array([row["part"]] * len(own), type=pa.int64())]
+                arrays += [pa.array([packed_sorted(keys[x:y]) for _, x, y in own], type=pa.binary()), pa.array([packed(counts[x:y]) for _, x, y in own], type=pa.binary())]
                 yield pa.RecordBatch.from_arrays(arrays, ["shard", "size", "part", "keys", "counts"])
 
 
@@ -205,10 +212,10 @@ def _runs(rows: Iterator[dict], *names: str) -> Iterator[list[dict]]:
 
 
 def _told(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """For each group what the others have counted of its n-grams, if anything; and the number of
-    distinct words in training, in rows without a group."""
-    names = ["part", "size", "shard", "keys", "counts", "known"]
-    kinds = [pa.int64(), pa.int32(), pa.int64(), pa.binary(), pa.binary(), pa.int64()]
+    """For each group what the others have counted of its n-grams of a shard, in the order of their keys, if
+    anything; and the number of distinct words in training, in rows without a group."""
+    names = ["part", "size", "shard", "counts", "known"]
+    kinds = [pa.int64(), pa.int32(), pa.int64(), pa.binary(), pa.int64()]
     for run in _runs(_rows(batches), "shard", "size"):
         keys = [unpacked_sorted(row["keys"]) for row in run]
         counts = [unpacked(row["counts"], np.uint32).astype(np.int64) for row in run]
@@ -218,11 +225,10 @@ def _told(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row, own, count in zip(run, keys, counts):
             others = total[at[began : began + len(own)]] - count
             began += len(own)
-            heard = others > 0
-            if heard.any():
-                out.append((row["part"], size, shard, packed_sorted(own[heard]), packed(others[heard].astype(np.uint64)), None))
+            if others.any():
+                out.append((row["part"], size, shard, packed(others), None))
         if size == 1:
-            out.append((None, size, shard, None, None, int((total > 0).sum())))
+            out.append((None, size, shard, None, int((total > 0).sum())))
         if out:
             yield pa.RecordBatch.from_arrays([pa.array(list(c), type=t) for c, t in zip(zip(*out), kinds)], names)
 
@@ -322,21 +328,20 @@ def traverse(machine: Automaton, tokens: np.ndarray, sizes: np.ndarray, order: i
     return np.bincount(text, weights=total, minlength=len(sizes))
 
 
-def _scored(batches: Iterator[pa.RecordBatch], order: int, prior: float, total: float, begun: int) -> Iterator[pa.RecordBatch]:
-    others: dict[int, list] = {}
+def _scored(batches: Iterator[pa.RecordBatch], order: int, bits: int, prior: float, total: float, begun: int) -> Iterator[pa.RecordBatch]:
+    others: dict[tuple[int, int], np.ndarray] = {}
     for row in _rows(batches):
         if row["size"] <= order:
-            others.setdefault(row["size"], []).append((unpacked_sorted(row["keys"]), unpacked(row["counts"], np.uint64).astype(np.int64)))
+            others[row["size"], row["shard"]] = unpacked(row["blob"], np.int64)
             continue
-        row |= {"words": row["keys"], "tokens": row["counts"]}
+        row["tokens"] = row["blob"]
         (words, tokens, sizes), learns = _opened(row), np.array(row["learns"], dtype=bool)
         held, counts = grams(words, tokens, sizes, learns, order), []
         for size, own in enumerate(held, start=1):
-            count = own.counts.copy()
-            if size in others:
-                keys, more = (np.concatenate(x) for x in zip(*others[size]))
-                at = np.minimum(np.searchsorted(keys, own.keys), len(keys) - 1)
-                count += np.where(keys[at] == own.keys, more[at], 0)
+            count, by = own.counts.copy(), np.argsort(own.keys)
+            for shard, x, y in _shards(own.keys[by], bits):
+                if (size, shard) in others:
+                    count[by[x:y]] += others[size, shard]
             counts.append(count)
         others = {}
         machine = automaton(held, counts, total, begun, prior)
