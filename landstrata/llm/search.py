@@ -11,7 +11,8 @@ impact as its maximum. For a query the maxima of each span's blocks, weighed and
 score of any place there. Spans are scored from the largest bound on until the next bound cannot beat
 the k-th best score so far, which a query takes along from chunk to chunk; postings of spans beyond
 that are never read. It is WAND's test, made for whole spans at a time, so that a query may have any
-number of terms, such as all of a long text.
+number of terms, such as all of a long text. Where the test leaves more than half of a chunk, its
+lists are read whole, as that is faster than picking spans out of them.
 """
 
 from __future__ import annotations
@@ -35,8 +36,8 @@ TERMS = 500_000  # terms of the queries of one block, on average; a query is nev
 CHUNK = 2_000_000  # a chunk is closed when it holds as many postings
 SHARD = 64_000_000  # postings of a shard on average; some 2 bytes each are held by its task
 SHARDS = 8  # shards of a small index
-SPAN = 32  # places under one block maximum
-FIRST = 8  # spans scored before the first look at the k-th best; each later step takes twice as many
+SPAN = 256  # places under one block maximum
+FIRST = 2  # spans scored before the first look at the k-th best; each later step takes twice as many
 
 # Terms are runs of ASCII letters and digits and of bytes beyond ASCII, with A-Z as a-z.
 APART = np.array([c < 128 and not chr(c).isalnum() for c in range(256)])
@@ -248,6 +249,7 @@ class Chunk:
         steps = np.cumsum(unpacked(places, np.uint32).astype(np.int64))
         before = np.concatenate([[0], steps])[edges[:-1]]
         self.places = steps - np.repeat(before, sizes)
+        self.first = edges  # the first posting of each term
         self.ids = unpacked(ids, np.int64)
         tf, lengths = unpacked(tfs, np.uint32).astype(np.float64), unpacked(lengths, np.uint32).astype(np.float64)
         self.impacts = tf * (K1 + 1) / (tf + K1 * (1 - B + B * lengths[self.places] / mean))
@@ -287,15 +289,22 @@ def best_of(chunk: Chunk, slots: np.ndarray, weights: np.ndarray, k: int, scores
         live = int(np.searchsorted(-bounds, -worst, side="left" if worst == 0 else "right"))
         if live <= done:
             break
-        until = min(live, done + step)
-        own = np.flatnonzero((turn >= done) & (turn < until))
-        sizes = chunk.sizes[blocks[own]]
-        at = ragged(chunk.starts[blocks[own]], sizes)
-        local = np.repeat(turn[own] - done, sizes) * SPAN + chunk.places[at] % SPAN
-        sums = np.bincount(local, chunk.impacts[at] * np.repeat(weight[own], sizes), minlength=(until - done) * SPAN)
-        hit = np.flatnonzero((sums > 0) & (sums >= worst))
-        place = order[done + hit // SPAN] * SPAN + hit % SPAN
-        scores, ids = np.append(scores, sums[hit]), np.append(ids, chunk.ids[place])
+        if done and 2 * live > chunk.spans:  # most spans have to be read: whole lists are read faster
+            sums = _sums(chunk, slots, weights)
+            fresh = np.ones(chunk.spans, dtype=bool)
+            fresh[order[:done]] = False
+            hit = np.flatnonzero((sums > 0) & (sums >= worst) & np.repeat(fresh, SPAN)[: len(sums)])
+            place, sums, until = hit, sums[hit], chunk.spans
+        else:
+            until = min(live, done + step)
+            own = np.flatnonzero((turn >= done) & (turn < until))
+            sizes = chunk.sizes[blocks[own]]
+            at = ragged(chunk.starts[blocks[own]], sizes)
+            local = np.repeat(turn[own] - done, sizes) * SPAN + chunk.places[at] % SPAN
+            sums = np.bincount(local, chunk.impacts[at] * np.repeat(weight[own], sizes), minlength=(until - done) * SPAN)
+            hit = np.flatnonzero((sums > 0) & (sums >= worst))
+            place, sums = order[done + hit // SPAN] * SPAN + hit % SPAN, sums[hit]
+        scores, ids = np.append(scores, sums), np.append(ids, chunk.ids[place])
         if len(scores) > 4 * k:
             least = np.partition(scores, len(scores) - k)[len(scores) - k]
             scores, ids = scores[scores >= least], ids[scores >= least]
@@ -305,6 +314,15 @@ def best_of(chunk: Chunk, slots: np.ndarray, weights: np.ndarray, k: int, scores
     return scores, ids
 
 
+def _sums(chunk: Chunk, slots: np.ndarray, weights: np.ndarray) -> np.ndarray:
+    """The scores of all places; a place's sum is taken in the same order of terms as by spans."""
+    spans = list(zip(chunk.first[slots].tolist(), chunk.first[slots + 1].tolist()))
+    places = np.concatenate([chunk.places[a:b] for a, b in spans])
+    impacts = np.concatenate([chunk.impacts[a:b] for a, b in spans])
+    impacts *= np.repeat(weights, [b - a for a, b in spans])
+    return np.bincount(places, impacts, minlength=len(chunk.ids))
+
+
 def _searched(batches: Iterator[pa.RecordBatch], mean: float, k: int) -> Iterator[pa.RecordBatch]:
     """A shard's chunks, then blocks of queries: the shard's best k of each query."""
     shard, chunks = None, []

@@ -25,7 +25,7 @@ def chunk_of(rng, docs):
     return search.Chunk([found.column(c)[0].as_py() for c in search.CHUNK_COLUMNS], 7.0)
 
 
-@pytest.mark.parametrize("span", [1, 4, 32])
+@pytest.mark.parametrize("span", [1, 4, 32, 256])
 def test_pruned_spans_lose_nothing(monkeypatch, span):
     """Any number of terms, ties, and scores taken along from another chunk."""
     monkeypatch.setattr(search, "SPAN", span)
@@ -50,11 +50,13 @@ def test_spans_are_skipped(monkeypatch):
     """Postings of spans whose bound cannot beat the k-th best are not read."""
     rng = random.Random(2)
     texts = [("rare common" if k < 5 else "common") + " x" * rng.randint(20, 30) for k in range(2000)]
+    monkeypatch.setattr(search, "SPAN", 32)
     (found,) = search._indexed(iter([pa.RecordBatch.from_pydict({"doc_id": list(range(2000)), "text": texts})]))
     chunk = search.Chunk([found.column(c)[0].as_py() for c in search.CHUNK_COLUMNS], 25.0)
     read = []
     plain = search.ragged
     monkeypatch.setattr(search, "ragged", lambda starts, sizes: read.append(int(sizes.sum())) or plain(starts, sizes))
+    monkeypatch.setattr(search, "_sums", None)
     slots = chunk.slots(text.word_hashes(np.frombuffer(b"common rare", dtype=np.uint8), np.array([0, 11]), search.APART)[0].view(np.int64))
     scores, ids = search.best_of(chunk, slots, np.array([0.1, 5.0]), 3, np.zeros(0), np.zeros(0, dtype=np.int64))
     assert set(ids.tolist()) <= set(range(5)) and sum(read[1:]) < 500
