@@ -74,22 +74,26 @@ def repeated_spans(docs: DataFrame, min_words: int = MIN_WORDS, key: str = "doc_
 
 
 def without_repeats(docs: DataFrame, min_words: int = MIN_WORDS, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """`docs` with repeated passages cut out of `text`; all rows and columns stay.
+    """`docs` with repeated passages cut out of `text`; all rows and columns stay, whatever their names.
 
-    Rows without a repeated passage keep their text as it is, nulls included. A row of a document that
-    is repeated as a whole row is cut like the first one. What is left is joined without a filler.
+    Rows without a repeated passage keep their text as it is, nulls included; so do rows with a null key.
+    A row of a document that is repeated as a whole row is cut like the first one. What is left is joined
+    without a filler. Texts may be of any length. An empty table gives an empty result.
     """
     spans = repeated_spans(docs, min_words, key, text)
-    own = spans.groupBy(F.col(key).alias("__key")).agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias("__spans"))
-    columns = docs.columns
-    found = docs.join(own, docs[key].cast("bigint") == F.col("__key"), "left")
-    data = F.col(text).cast("binary")
+    own = spans.groupBy(F.col(key).alias("doc_id")).agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias("spans"))
+    # Other columns travel in one, so that no name of theirs can clash.
+    others = [c for c in docs.columns if c != text]
+    given = docs.select(F.struct(*(F.col(f"`{c}`") for c in others)).alias("given"), F.col(key).cast("bigint").alias("doc_id"), F.col(text).alias("text"))
+    found = given.join(own, "doc_id", "left")
+    data = F.col("text").cast("binary")
     # The parts between the spans: from one span's end to the next one's start.
-    starts = F.concat(F.array(F.lit(0).cast("bigint")), F.col("__spans.end"))
-    ends = F.concat(F.col("__spans.start"), F.array(F.octet_length(F.col(text)).cast("bigint")))
+    starts = F.concat(F.array(F.lit(0).cast("bigint")), F.col("spans.end"))
+    ends = F.concat(F.col("spans.start"), F.array(F.octet_length("text").cast("bigint")))
     held = F.zip_with(starts, ends, lambda a, b: F.substring(data, (a + 1).cast("int"), (b - a).cast("int")))
     left = F.aggregate(held, F.lit(b""), lambda out, part: F.concat(out, part)).cast("string")
-    return found.withColumn(text, F.when(F.col("__spans").isNull(), F.col(text)).otherwise(left)).select(*columns)
+    cut = F.when(F.col("spans").isNull(), F.col("text")).otherwise(left)
+    return found.select(*(cut.alias(c) if c == text else F.col("given").getField(c).alias(c) for c in docs.columns))
 
 
 # ---- inside a task -------------------------------------------------------------------------------

@@ -87,13 +87,14 @@ def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Da
     return docs.select(key, F.char_length(whole).cast("bigint").alias("n_chars"), packed(bins(whole)).alias("fingerprint"))
 
 
-def with_next(docs: DataFrame, key: str, carried: list[str]) -> DataFrame:
+def with_next(docs: DataFrame, key: str, carried: list[str], derived: dict[str, Column] | None = None) -> DataFrame:
     """`docs` with `next_<column>` for each carried column: those of the row with the next larger key.
 
     The last row is followed by the first. Keys must be integers; rows with a null key are left out, and
     equal keys follow each other in the order of their carried columns. Rows are dealt to buckets of
     neighbouring keys, cut at quantiles; each bucket also gets the first row of the next one, so that
     no row looks beyond its bucket. The quantiles, at most BUCKETS numbers, are all the driver sees.
+    Columns `derived` from a row are computed once for each row of a bucket, and may be carried.
     """
     docs = docs.where(F.col(key).isNotNull())
     rows = docs.count()
@@ -115,7 +116,7 @@ def with_next(docs: DataFrame, key: str, carried: list[str]) -> DataFrame:
     before = F.coalesce(F.lag("__bucket").over(line), F.max("__bucket").over(line.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)))
     heads = heads.select("__first", before.alias("__to"))
     guests = docs.join(F.broadcast(heads), F.col(key) == F.col("__first")).withColumn("__bucket", F.col("__to")).withColumn("__guest", F.lit(True))
-    both = dealt.unionByName(guests.select(dealt.columns))
+    both = dealt.unionByName(guests.select(dealt.columns)).withColumns(derived or {})
 
     order = Window.partitionBy("__bucket").orderBy("__guest", key, *carried)
     for name in carried:
@@ -133,7 +134,7 @@ def edited_likeness(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     not looked at.
     """
     rows = docs.select(F.col(key).cast("bigint").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    rows = with_next(rows.withColumn("signature", bins(F.col("text"))), "doc_id", ["text", "signature"])
+    rows = with_next(rows, "doc_id", ["text", "signature"], {"signature": bins(F.col("text"))})
     n = F.char_length("text")
     half = F.floor(n / 2).cast("int")
     edited = F.concat(F.substring(F.col("text"), F.lit(1), n - half), F.substring(F.col("next_text"), F.lit(1), half))

@@ -19,7 +19,7 @@ COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 def test_registered():
     names = [q for q in entry.queries() if re.match(r"op\d+_", q)]
-    assert sorted(int(re.match(r"op(\d+)", q)[1]) for q in names) == list(range(1, 11))
+    assert sorted(int(re.match(r"op(\d+)", q)[1]) for q in names) == list(range(1, 14))
     assert entry.queries()["pipeline"] is corpus_pipeline.run and set(queries.QUERIES) <= set(entry.queries())
     assert [name for name, _ in corpus_pipeline.STAGES] == ["language_id", "ngram_jaccard_join", "substring_dedup", "pii", "best_fit_packing"]
 
@@ -91,7 +91,7 @@ def test_queries_run_over_whole_tables(spark, sf, name):
     assert not re.search("CartesianProduct|BroadcastNestedLoopJoin|BatchEvalPython", plan)
     if name in ("op5_license_scan", "op6_pii_surrogates", "op7_document_fingerprints"):
         assert not re.search("Python|Pandas|Arrow", plan)
-    if name not in ("op3_substring_dedup", "op8_exact_topk_search"):
+    if name not in ("op3_substring_dedup", "op8_exact_topk_search", "op11_prefix_trie"):
         assert out.select("doc_id").distinct().count() == queries.documents(spark, sf).count()
 
 
@@ -102,3 +102,14 @@ def test_clean_documents_stay(spark):
     assert kept.count() == docs.count()
     assert langid.UNKNOWN not in {r.lang for r in docs.select("lang").distinct().collect()}
     assert kept.where(F.col("text").isNull()).isEmpty() and public_tokenizers.path("byte_bpe_50k.json")
+
+
+def test_stages_leave_other_columns_alone(spark, sf):
+    """Names that operators use themselves, whole rows repeated, and an empty table."""
+    names = ["score", "lang_pred", "n_email", "given", "spans", "__key", "__row", "row", "said", "copy", "digest", "n"]
+    docs = queries.documents(spark, sf).where("doc_id < 60").withColumns({n: F.lit(7.0 + k) for k, n in enumerate(names)})
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        assert stage(spark, docs.limit(0), sf).collect() == []
+        out = stage(spark, docs.unionByName(docs), sf)
+        assert out.columns == docs.columns
+        assert out.select(*names).distinct().collect() == [tuple(7.0 + k for k in range(len(names)))]
