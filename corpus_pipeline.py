@@ -23,11 +23,24 @@ def with_lengths(docs: DataFrame, columns: list[str]) -> DataFrame:
     return docs.withColumn("n_chars", F.char_length("text").cast("bigint")).select(*columns)
 
 
+def nested(docs: DataFrame) -> DataFrame:
+    """The texts, and all other columns in one, so that columns which an operator adds replace none."""
+    return docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns if c != "text")).alias("given"), "text")
+
+
+def unnested(docs: DataFrame, columns: list[str]) -> DataFrame:
+    return docs.select(*(F.col("text") if c == "text" else F.col("given").getField(c).alias(c) for c in columns))
+
+
 def identify_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Leaves out documents without a letter, and those whose language is not told with enough certainty."""
+    """Leaves out documents without a letter, and those whose language is not told with enough certainty.
+
+    Null and empty texts have no letter. Documents are judged one by one: repeated rows stay or go
+    together, whatever their keys. Without any labelled document no language is known and all go.
+    """
     model = langid.learn(docs.where(~langid.held_out()))
-    found = langid.predict(docs, model)
-    return found.where((F.col("lang_pred") != langid.UNKNOWN) & (F.col("score") >= LEAST_SCORE)).select(*docs.columns)
+    found = langid.predict(nested(docs), model)
+    return unnested(found.where((F.col("lang_pred") != langid.UNKNOWN) & (F.col("score") >= LEAST_SCORE)), docs.columns)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -47,17 +60,22 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Passages that occur before are cut out of the texts."""
+    """Passages that occur before are cut out of the texts, of which all rows stay.
+
+    A passage stays where the document of the smallest id has it first. Null texts and rows without an
+    id stay as they are; a text may become empty. Empty tables stay empty.
+    """
     return with_lengths(chunk_dedup.without_repeats(docs), docs.columns)
 
 
 def replace_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Personal data give way to surrogates."""
-    return with_lengths(pii.replaced(docs, SURROGATE_KEY), docs.columns)
+    """Personal data give way to surrogates; all rows stay, null and empty texts as they are."""
+    return with_lengths(unnested(pii.replaced(nested(docs), SURROGATE_KEY), docs.columns), docs.columns)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The places of all documents' tokens in sequences of 1024."""
+    """The places of all documents' tokens in sequences of 1024. Null and empty texts hold the end token
+    only; repeated rows are packed each by itself; an empty table gives an empty result."""
     return packing.pack(docs, tokenizer("byte_bpe_50k.json"))
 
 
