@@ -2,13 +2,16 @@
 
 A group ends before the row that would exceed the budget, when it holds `max_rows` rows, or where
 the large features begin; a row over the budget stands alone. Where a group ends depends on where it
-began, so a partition that spans several tasks needs the state each task starts with. That takes
-three passes, none of which holds a partition:
-
-1. every span, in parallel, records for each row at which its first new group could begin what is
-   open at the end of the span (cost, rows, groups begun). Only rows within one budget of the
-   span's start can be such rows;
-2. the records of a partition are followed from span to span, one record at a time;
+began, so a partition that spans several tasks needs the state each task starts with: the row at which
+the open group began, and the cost before it. No step holds a partition:
+
+1. every span, in parallel, learns for each row at which its first new group could begin which group is
+   open at its end. Only rows within one budget of the span's start can be such rows, and neighbours
+   soon lead to the same end, so what a span tells is a list of runs of them, each with one end;
+2. spans are functions from state to state, which the lists describe. A fixed number of neighbours is
+   composed to one function, those again, and so on until one is left a partition; then the states
+   go down the same way, each function handing its first state to its parts. A task sees that number of
+   lists at a time, and rounds grow with the logarithm of the spans;
 3. every span, in parallel, cuts its rows from the state it starts with.
 
 Partitions that lie in one task skip the first two.
@@ -21,11 +24,16 @@ from functools import partial
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from landstrata.operators.ordering import spans_of, with_spans
-from landstrata.session import materialise_observing
+from landstrata.session import materialise, materialise_observing
+
+# Functions that are composed at once.
+FAN = 64
+# A row number beyond all others.
+NEVER = 1 << 62
 
 ENTRY = ["open_cost", "open_rows", "open_large", "groups_before"]
 
@@ -111,75 +119,122 @@ def _columns(batch: pa.RecordBatch, *names: str) -> list[np.ndarray]:
     return [batch.column(name).to_numpy(zero_copy_only=False) for name in names]
 
 
+# A span's or several spans' function: runs of rows at which its first new group may begin, and the group
+# that is then open at the end. `rows` and `costs` say where runs begin and what the partition costs before;
+# `ends` and `end_costs` the same of the open group; `begun` how many groups began.
+_RUNS = ["rows", "costs", "ends", "end_costs", "begun"]
+_RUNS_TYPE = ", ".join(f"{name} array<bigint>" for name in _RUNS)
+_PLACE = ["part", "at"]
+_STATE = ["began", "spent", "groups"]
+_RECORD = [*_PLACE, "lo_row", "hi_row", "lo_cost", "hi_cost", "budget", "flip"]
+
+
+def _merged(runs: list[np.ndarray]) -> list[np.ndarray]:
+    """Neighbouring runs of the same end as one."""
+    _, _, ends, _, begun = runs
+    fresh = np.ones(len(ends), dtype=bool)
+    fresh[1:] = (ends[1:] != ends[:-1]) | (begun[1:] != begun[:-1])
+    return [values[fresh] for values in runs]
+
+
+def _lists(runs: list[np.ndarray]) -> list[pa.Array]:
+    return [pa.ListArray.from_arrays(pa.array([0, len(v)], pa.int32()), pa.array(v, pa.int64())) for v in runs]
+
+
 def _outlooks(batches: Iterator[pa.RecordBatch], max_rows: int) -> Iterator[pa.RecordBatch]:
-    def record(span: int, look: _Outlook) -> pa.RecordBatch:
-        lists = [look.starts, look.costs, look.spent, look.held, look.begun]
-        return pa.RecordBatch.from_arrays(
-            [
-                pa.array([span], pa.int64()),
-                pa.array([look.first_large]),
-                pa.array([look.large]),
-                pa.array([look.rows if look.flip is None else look.flip], pa.int64()),
-                *(pa.ListArray.from_arrays([0, len(v)], pa.array(v, pa.int64())) for v in lists),
-            ],
-            ["first_at", "first_large", "last_large", "flip", *_OUTLOOK_LISTS],
-        )
+    """Pass 1: the function of every span."""
+
+    def record(span: int, look: _Outlook, rows_before: int, cost_before: int) -> pa.RecordBatch:
+        end, end_cost = rows_before + look.rows, cost_before + look.total
+        runs = _merged([look.starts + rows_before, look.costs + cost_before, end - look.held, end_cost - look.spent, look.begun])
+        return pa.RecordBatch.from_arrays([pa.array([span], pa.int64()), *_lists(runs)], ["first_at", *_RUNS])
 
-    span, look = None, None
+    span, look, before = None, None, (0, 0)
     for batch in batches:
-        ids, costs, large, budget, first = _columns(batch, "first_at", "cost", "is_large", "budget", "is_first")
+        ids, costs, large, budget, first, rows_before, cost_before = _columns(
+            batch, "first_at", "cost", "is_large", "budget", "is_first", "rows_before", "cost_before"
+        )
         for a, z in _runs(ids) if len(ids) else ():
             if ids[a] != span:
                 if look is not None:
-                    yield record(span, look)
-                span, look = int(ids[a]), _Outlook(bool(first[a]))
+                    yield record(span, look, *before)
+                span, look, before = int(ids[a]), _Outlook(bool(first[a])), (int(rows_before[a]), int(cost_before[a]))
             look.add(costs[a:z], large[a:z], int(budget[a]), max_rows)
     if look is not None:
-        yield record(span, look)
-
-
-_OUTLOOK_LISTS = ["starts", "costs", "spent", "held", "begun"]
-_OUTLOOK_TYPE = "first_at bigint, first_large boolean, last_large boolean, flip bigint, " + ", ".join(
-    f"{name} array<bigint>" for name in _OUTLOOK_LISTS
-)
-_ENTRY_TYPE = "first_at bigint, open_cost bigint, open_rows bigint, open_large boolean, groups_before bigint"
-
-
-def _follow(batches: Iterator[pa.RecordBatch], max_rows: int) -> Iterator[pa.RecordBatch]:
-    """Pass 2: spans in order; the state each one starts with."""
-    cost, rows, large, groups = 0, 0, False, 0
+        yield record(span, look, *before)
+
+
+class _Span:
+    """One record: where it lies in its partition, and its runs (none for a partition's last span)."""
+
+    def __init__(self, row: dict):
+        self.row = row
+        self.first, self.end, self.cost, self.end_cost = row["lo_row"], row["hi_row"], row["lo_cost"], row["hi_cost"]
+        self.budget, self.flip = row["budget"], row["flip"]
+        self.runs = [np.asarray(row[name] if row[name] is not None else [], dtype=np.int64) for name in _RUNS]
+
+    def passed(self, state: tuple[np.ndarray, np.ndarray, np.ndarray], max_rows: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The states at the end, of states (row and cost at which the open group began, groups so far)."""
+        began, spent, groups = state
+        rows, costs, ends, end_costs, begun = self.runs
+        if not len(rows):
+            return state
+        most = spent + self.budget
+        limit = np.minimum(began + max_rows, np.where(began < self.flip, self.flip, NEVER))
+        # The run of the first row that does not fit: all before a run's first row fit if their cost does.
+        run = np.minimum(np.searchsorted(costs, most, side="right"), np.searchsorted(rows, limit, side="right")) - 1
+        run = np.maximum(run, 0)
+        goes_on = (self.end_cost <= most) & (limit >= self.end)
+        return np.where(goes_on, began, ends[run]), np.where(goes_on, spent, end_costs[run]), np.where(goes_on, groups, groups + begun[run])
+
+
+def _families(batches: Iterator[pa.RecordBatch], fan: int) -> Iterator[list[_Span]]:
+    """Records come sorted by place; those that are composed at once begin at a multiple of `fan`."""
+    held: list[_Span] = []
     for batch in batches:
+        for row in batch.to_pylist():
+            if held and row["at"] % fan == 0:
+                yield held
+                held = []
+            held.append(_Span(row))
+    if held:
+        yield held
+
+
+def _composed(batches: Iterator[pa.RecordBatch], max_rows: int, fan: int) -> Iterator[pa.RecordBatch]:
+    """One function of up to `fan` neighbours. Its first new group may begin in any of them that lies within
+    one budget of the first one's start."""
+    for family in _families(batches, fan):
+        head = family[0]
+        runs = head.runs
+        for span in family[1:]:
+            ends, end_costs, begun = span.passed((runs[2], runs[3], runs[4]), max_rows)
+            runs = [runs[0], runs[1], ends, end_costs, begun]
+            near = (span.runs[1] <= head.cost + head.budget) & (span.runs[0] < head.first + max_rows)
+            if head.row["at"] > 0 and near.any():
+                runs = [np.concatenate([old, new[near]]) for old, new in zip(runs, span.runs)]
+            runs = _merged(runs)
+        kept = {name: value for name, value in head.row.items() if name not in _RUNS}
+        kept |= {"at": head.row["at"] // fan, "hi_row": family[-1].end, "hi_cost": family[-1].end_cost}
+        names = list(kept)
+        arrays = [pa.array([kept[n]]) for n in names]
+        yield pa.RecordBatch.from_arrays([*arrays, *_lists(runs)], [*names, *_RUNS])
+
+
+def _entered(batches: Iterator[pa.RecordBatch], max_rows: int, fan: int) -> Iterator[pa.RecordBatch]:
+    """The state in front of every record of a family, from that in front of the first one."""
+    for family in _families(batches, fan):
+        row = family[0].row
+        state = tuple(np.array([row[name]], dtype=np.int64) for name in _STATE)
         out = []
-        fields = batch.schema.names
-        for row in range(batch.num_rows):
-            span = {name: batch.column(i)[row] for i, name in enumerate(fields)}
-            if span["rows_before"].as_py() == 0:
-                cost, rows, large, groups = 0, 0, False, 0
-            out.append((span["first_at"].as_py(), cost, rows, large, groups))
-            if not span["starts"].is_valid:  # the partition's last span
-                continue
-            starts, costs, spent, held, begun = (span[n].values.to_numpy() for n in _OUTLOOK_LISTS)
-            budget, size = span["budget"].as_py(), span["span_rows"].as_py()
-            first = 0
-            if rows:
-                # The last row whose cost before it still fits is the row that does not.
-                fits = int(np.searchsorted(costs, budget - cost, side="right"))
-                first = max(0, fits - 1)
-                fits_all = cost + span["span_cost"].as_py() <= budget
-                flip = span["flip"].as_py() if span["first_large"].as_py() == large else 0
-                limit = min(max_rows - rows, flip)
-                first = min(size if fits_all else first, limit)
-            if first >= size:
-                cost, rows = cost + span["span_cost"].as_py(), rows + size
+        for span in family:
+            out.append((*(span.row[name] for name in _PLACE), *(int(x[0]) for x in state)))
+            if span.row["lo_row"] == 0 and len(span.runs[0]):  # the partition's first row begins its first group
+                state = tuple(x[:1] for x in span.runs[2:])
             else:
-                cost, rows = int(spent[first]), int(held[first])
-                groups += int(begun[first])
-            large = span["last_large"].as_py()
-        if out:
-            columns = list(zip(*out))
-            types = [pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.int64()]
-            arrays = [pa.array(c, t) for c, t in zip(columns, types)]
-            yield pa.RecordBatch.from_arrays(arrays, ["first_at", *ENTRY])
+                state = span.passed(state, max_rows)
+        arrays = [pa.array(list(c), pa.int64()) for c in zip(*out)]
+        yield pa.RecordBatch.from_arrays(arrays, [*_PLACE, *_STATE])
 
 
 def _cut(batches: Iterator[pa.RecordBatch], max_rows: int, file_cost: int) -> Iterator[pa.RecordBatch]:
@@ -231,8 +286,7 @@ def cut_groups(ordered: DataFrame, keys: list[str], max_rows: int, file_cost: in
     c div `file_cost`, so file numbers grow but may skip.
     """
     grouping = [*keys, "budget"]
-    spans, seen = materialise_observing(spans_of(ordered, grouping, "cost"), going=F.count_if("goes_on"))
-    long = spans.where("goes_on or rows_before > 0")
+    spans, seen = materialise_observing(spans_of(ordered, grouping, "cost", "is_large"), going=F.count_if("goes_on"))
     if not seen["going"]:
         entry = spans.select(
             "first_at", *(F.lit(0).cast("bigint").alias(c) for c in ENTRY[:2]),
@@ -240,16 +294,15 @@ def cut_groups(ordered: DataFrame, keys: list[str], max_rows: int, file_cost: in
         )
     else:
         going = spans.where("goes_on").withColumn("is_first", F.col("rows_before") == 0)
-        rows = with_spans(ordered, going.select(*grouping, "slice", "first_at", "is_first"), grouping)
-        narrow = rows.select("first_at", "cost", "is_large", "budget", "is_first")
-        outlooks = narrow.mapInArrow(partial(_outlooks, max_rows=max_rows), _OUTLOOK_TYPE)
-        chain = (
-            long.join(outlooks, "first_at", "left")
-            .repartition(*grouping)
-            .sortWithinPartitions(*grouping, "slice")
-            .select("first_at", "rows_before", "span_rows", "span_cost", "budget", *_OUTLOOK_TYPE_COLUMNS)
+        rows = with_spans(ordered, going.select(*grouping, "slice", "first_at", "is_first", "rows_before", "cost_before"), grouping)
+        narrow = rows.select("first_at", "cost", "is_large", "budget", "is_first", "rows_before", "cost_before")
+        outlooks = narrow.mapInArrow(partial(_outlooks, max_rows=max_rows), f"first_at bigint, {_RUNS_TYPE}")
+        records = _records(spans, grouping).join(outlooks, "first_at", "left")
+        known = records.select("first_at", *_PLACE, "lo_row", "lo_cost", "flip").join(_entries(materialise(records.drop("first_at")), max_rows), _PLACE)
+        known = known.select(
+            "first_at", (F.col("lo_cost") - F.col("spent")).alias("open_cost"), (F.col("lo_row") - F.col("began")).alias("open_rows"),
+            (F.col("began") >= F.col("flip")).alias("open_large"), F.col("groups").alias("groups_before"),
         )
-        known = chain.mapInArrow(partial(_follow, max_rows=max_rows), _ENTRY_TYPE)
         entry = spans.select("first_at").join(known, "first_at", "left").na.fill(0).na.fill(False)
     state = spans.join(entry, "first_at")
     state = state.select(*grouping, "slice", "first_at", "rows_before", "cost_before", *ENTRY)
@@ -266,7 +319,40 @@ def cut_groups(ordered: DataFrame, keys: list[str], max_rows: int, file_cost: in
     return rows.mapInArrow(partial(_cut, max_rows=max_rows, file_cost=file_cost), schema)
 
 
-_OUTLOOK_TYPE_COLUMNS = ["first_large", "last_large", "flip", *_OUTLOOK_LISTS]
+def _records(spans: DataFrame, grouping: list[str]) -> DataFrame:
+    """Where the spans of partitions in several tasks lie: their partition (named by its first row), their
+    place in it, the rows and costs they reach from and to, and the partition's first large row."""
+    whole, along = Window.partitionBy(*grouping), Window.partitionBy(*grouping).orderBy("slice")
+    small = F.sum("span_small").over(whole)
+    placed = spans.where("goes_on or rows_before > 0").select(
+        "first_at", F.min("first_at").over(whole).alias("part"), (F.row_number().over(along) - 1).cast("bigint").alias("at"),
+        F.col("rows_before").alias("lo_row"), (F.col("rows_before") + F.col("span_rows")).alias("hi_row"),
+        F.col("cost_before").alias("lo_cost"), (F.col("cost_before") + F.col("span_cost")).alias("hi_cost"),
+        "budget", F.when(small < F.sum("span_rows").over(whole), small).otherwise(F.lit(NEVER)).alias("flip"),
+    )
+    return placed
+
+
+def _entries(records: DataFrame, max_rows: int) -> DataFrame:
+    """(part, at, began, spent, groups): pass 2, the state in front of every span."""
+    family = (F.col("at") / FAN).cast("bigint")
+    schema = ", ".join(f"{name} bigint" for name in _RECORD) + f", {_RUNS_TYPE}"
+
+    def by_family(rows: DataFrame) -> DataFrame:
+        return rows.repartition("part", family).sortWithinPartitions("part", "at")
+
+    levels = [records.select(*_RECORD, *_RUNS)]
+    while (levels[-1].agg(F.max("at")).first()[0] or 0) >= FAN:
+        levels.append(materialise(by_family(levels[-1]).mapInArrow(partial(_composed, max_rows=max_rows, fan=FAN), schema)))
+    states = None
+    for level in reversed(levels):
+        if states is None:
+            entered = level.withColumns({name: F.lit(0).cast("bigint") for name in _STATE})
+        else:
+            entered = level.withColumn("family", family).join(states.withColumnRenamed("at", "family"), ["part", "family"]).drop("family")
+        states = by_family(entered).mapInArrow(partial(_entered, max_rows=max_rows, fan=FAN), ", ".join(f"{name} bigint" for name in (*_PLACE, *_STATE)))
+        states = materialise(states)
+    return states
 
 
 def _ddl(df: DataFrame) -> str:

@@ -48,12 +48,13 @@ def in_order(df: DataFrame, order: list[Column]) -> DataFrame:
     return materialise(df.orderBy(*order).withColumn("row_at", F.monotonically_increasing_id()))
 
 
-def spans_of(ordered: DataFrame, keys: list[str], cost: str | None = None) -> DataFrame:
-    """One row per (partition, task): its first row, its rows and cost, and what came before it."""
+def spans_of(ordered: DataFrame, keys: list[str], cost: str | None = None, large: str | None = None) -> DataFrame:
+    """One row per (partition, task): its first row, its rows, cost and rows that are not large, and what came before it."""
     counted = ordered.groupBy(*keys, F.shiftright("row_at", 33).alias("slice")).agg(
         F.min("row_at").alias("first_at"),
         F.count(F.lit(1)).alias("span_rows"),
         (F.sum(cost) if cost else F.lit(0).cast("bigint")).alias("span_cost"),
+        (F.count_if(~F.col(large)) if large else F.count(F.lit(1))).alias("span_small"),
     )
     earlier = Window.partitionBy(*keys).orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
     # One row per task, not per feature: this window is small however many rows a partition has.

@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -33,8 +34,9 @@ def run_cut(spark, rows, budget, max_rows, file_cost=10**9):
     return got
 
 
-@pytest.mark.parametrize("seed", range(6))
-def test_cut_equals_row_by_row(spark, many_tasks, seed):
+@pytest.mark.parametrize("seed, fan", [(0, 64), (1, 2), (2, 3), (3, 64), (4, 2), (5, 4)])
+def test_cut_equals_row_by_row(spark, many_tasks, monkeypatch, seed, fan):
+    monkeypatch.setattr(cuts, "FAN", fan)
     rng = random.Random(seed)
     budget, max_rows = rng.choice([(100, 7), (50, 1000), (37, 5), (1000, 1000), (10, 3), (64, 64)])
     rows = []
@@ -82,6 +84,69 @@ def test_cut_passes_over_blocks():
             assert (look.spent[i], look.held[i]) == (sum(last), len(last))
 
 
+def composed_states(costs, large, edges, budget, max_rows):
+    """The states in front of the spans that `edges` cut a partition into, by composed functions."""
+    prefix = np.concatenate([[0], np.cumsum(costs)])
+    flips = np.flatnonzero(large)
+    rows = []
+    for at, (a, b) in enumerate(zip(edges[:-1], edges[1:])):
+        look = cuts._Outlook(at == 0)
+        look.add(costs[a:b], large[a:b], budget, max_rows)
+        runs = cuts._merged([look.starts + a, look.costs + prefix[a], b - look.held, prefix[b] - look.spent, look.begun])
+        if at == len(edges) - 2:
+            runs = [r[:0] for r in runs]
+        place = {"part": 5, "at": at, "lo_row": a, "hi_row": b, "lo_cost": int(prefix[a]), "hi_cost": int(prefix[b]), "budget": budget}
+        rows.append(place | {"flip": int(flips[0]) if len(flips) else cuts.NEVER} | dict(zip(cuts._RUNS, (r.tolist() for r in runs))))
+
+    def batches(rows):
+        kinds = [(n, pa.int64()) for n in cuts._RECORD] + [(n, pa.list_(pa.int64())) for n in cuts._RUNS]
+        kinds += [(n, pa.int64()) for n in cuts._STATE if n in rows[0]]
+        return iter(pa.Table.from_pylist(rows, pa.schema(kinds)).to_batches(7))
+
+    levels = [rows]
+    while len(levels[-1]) > cuts.FAN:
+        levels.append([r for b in cuts._composed(batches(levels[-1]), max_rows, cuts.FAN) for r in b.to_pylist()])
+    states = {0: dict.fromkeys(cuts._STATE, 0)}
+    for level in reversed(levels):
+        if level is levels[-1]:
+            entered = [r | states[0] for r in level]
+        else:
+            entered = [r | {n: states[r["at"] // cuts.FAN][n] for n in cuts._STATE} for r in level]
+        states = {r["at"]: r for b in cuts._entered(batches(entered), max_rows, cuts.FAN) for r in b.to_pylist()}
+    return states, max(len(r["rows"]) for level in levels for r in level)
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_a_thousand_spans(monkeypatch, seed):
+    """Composed states equal those of one walk over all rows, for spans smaller and larger than a group."""
+    rng = np.random.default_rng(seed)
+    monkeypatch.setattr(cuts, "FAN", [2, 5, 16, 64][seed])
+    n = 6000
+    costs = rng.choice([0, 1, 4, 9, 30, 200], n).astype(np.int64) if seed else np.full(n, 7)
+    large = np.arange(n) >= rng.choice([n, n // 2, n - 3])
+    budget, max_rows = [(100, 7), (60, 50), (500, 1000), (3000, 100)][seed]
+    edges = [0, *np.sort(rng.choice(np.arange(1, n), 999, replace=False)).tolist(), n]
+    states, _ = composed_states(costs, large, edges, budget, max_rows)
+    groups = np.array(slow.cut(costs, large, budget, max_rows))
+    starts = np.flatnonzero(np.diff(groups, prepend=-1))
+    assert len(states) == 1000
+    for at, a in enumerate(edges[1:-1], start=1):
+        open_at = starts[groups[a - 1]]
+        assert (states[at]["began"], states[at]["spent"], states[at]["groups"]) == (open_at, costs[:open_at].sum(), groups[a - 1] + 1), at
+
+
+def test_functions_stay_small():
+    """A list of runs does not grow with the rows that fit the budget: neighbouring starts meet in one end."""
+    rng = np.random.default_rng(3)
+    sizes = []
+    for rows in (200, 1600):  # rows of a group
+        n = rows * 40
+        costs = rng.integers(1, 100, n)
+        _, longest = composed_states(costs, np.zeros(n, dtype=bool), [0, n // 2, n], 50 * rows, 10**9)
+        sizes.append(longest)
+    assert sizes[1] < 2 * sizes[0] + 20 < 400
+
+
 def box_of(row):
     return None if row.bbox.xmin is None else (row.bbox.xmin, row.bbox.ymin, row.bbox.xmax, row.bbox.ymax)
 
