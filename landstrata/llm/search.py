@@ -35,7 +35,7 @@ K1, B = 1.2, 0.75
 TERMS = 500_000  # terms of the queries of one block, on average; a query is never split
 CHUNK = 2_000_000  # a chunk is closed when it holds as many postings
 SHARD = 64_000_000  # postings of a shard on average; some 2 bytes each are held by its task
-SHARDS = 8  # shards of a small index
+SHARDS = 16  # shards of a small index
 SPAN = 256  # places under one block maximum
 FIRST = 2  # spans scored before the first look at the k-th best; each later step takes twice as many
 
@@ -96,11 +96,12 @@ def search(docs: DataFrame, asked: DataFrame, mean: float, k: int = 10, key: str
     # A shard's chunks come first and stay; blocks of queries follow one by one.
     none = [F.lit(None).cast("binary")] * (len(CHUNK_COLUMNS) - len(BLOCK_COLUMNS))
     names = [f"blob{k}" for k in range(len(CHUNK_COLUMNS))]
-    shard = F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(shards)).alias("shard")
+    number = F.monotonically_increasing_id()  # the writing task, and the chunk's place in it
+    shard = F.pmod(F.shiftright(number, 33) + number.bitwiseAND(F.lit((1 << 33) - 1)), F.lit(shards)).alias("shard")
     chunks = index.select(shard, F.lit(-1).cast("bigint").alias("at"), *CHUNK_COLUMNS)
     every = F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(shards - 1).cast("bigint"))).alias("shard")
     met = chunks.toDF("shard", "at", *names).unionByName(given.select(every, "at", *BLOCK_COLUMNS, *none).toDF("shard", "at", *names))
-    met = met.repartition(shards, "shard").sortWithinPartitions("shard", "at")
+    met = met.repartition(8 * shards, "shard").sortWithinPartitions("shard", "at")  # so many that few meet in one task
     found = met.mapInArrow(partial(_searched, mean=mean, k=k), "query_id long, doc_id long, score double")
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "doc_id")
     ranked = found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
