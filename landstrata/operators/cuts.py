@@ -278,6 +278,29 @@ def _cut(batches: Iterator[pa.RecordBatch], max_rows: int, file_cost: int) -> It
         )
 
 
+class Cutter:
+    """The greedy cut of rows that come in order, block by block, from a group's first row on."""
+
+    def __init__(self, budget: int, max_rows: int):
+        self.budget, self.max_rows = budget, max_rows
+        self.spent, self.held, self.large = 0, 0, None
+
+    def starts(self, costs: np.ndarray, large: np.ndarray) -> list[int]:
+        """The rows of the next block at which groups begin."""
+        running, flip = _block(costs, large, self.large)
+        out, at = [] if self.held else [0], 0
+        while True:
+            begins = int(_next_start(running, at, self.spent, np.int64(self.held), self.budget, self.max_rows, flip))
+            if begins >= len(costs):
+                break
+            at, self.spent, self.held = begins, 0, 0
+            out.append(at)
+        self.spent += int(running[-1] - running[at])
+        self.held += len(costs) - at
+        self.large = bool(large[-1])
+        return out
+
+
 def cut_groups(ordered: DataFrame, keys: list[str], max_rows: int, file_cost: int) -> DataFrame:
     """Adds `position`, `group_id` (dense from 0), `file_no` and `group_head` to ordered rows.
 

@@ -189,7 +189,7 @@ def try_layouts(
         cut = cut_groups(mine, [key, "fraction"], options.group_rows, options.file_bytes * unit)
         rows = cut if rows is None else rows.unionByName(cut)
     keys = [key, "attempt"]
-    rows = materialise(rows.drop("curve", "span", "size", "fraction"))
+    rows = materialise(rows.drop("span", "size", "fraction"))
     groups = materialise(aggregates.group_stats(rows, *keys))
     verdicts, seen = materialise_observing(order_check(rows, groups, keys), failing=F.count_if(~F.col("ok")))
     return rows, verdicts, seen["failing"]
@@ -237,4 +237,4 @@ def layout_search(costed: DataFrame, key: str, tie: list[str], options: LayoutOp
         rows = rows.unionByName(more)
     if len(laid) > 1:
         rows = rows.join(side.select(key, "attempt"), [key, "attempt"])
-    return rows.select(key, *tie, "bbox", "cost", "is_large", "position", "group_id", "file_no", "group_head"), side
+    return rows.select(key, *tie, "bbox", "curve", "cost", "is_large", "position", "group_id", "file_no", "group_head"), side

@@ -15,13 +15,14 @@ from landstrata.functions import boxes, hilbert
 from landstrata.session import materialise, small_side
 
 
-def with_curve_key(df: DataFrame, extent: DataFrame, key: str, *carried: str) -> DataFrame:
+def with_curve_key(df: DataFrame, extent: DataFrame, key: str, *carried: str, broadcast: bool = True) -> DataFrame:
     """Adds `curve` (null without a box), `span` (the partition's larger side) and the carried columns.
 
-    `extent` has one row per partition; it is broadcast only after it has been counted.
+    `extent` has one row per partition; it is broadcast only after it has been counted, and if `broadcast`
+    allows it, for which the caller has counted what the carried columns hold.
     """
     named = extent.select(key, *(F.col(s).alias(f"_{s}") for s in boxes.SIDES), *carried)
-    side, _ = small_side(named)
+    side = small_side(named)[0] if broadcast else materialise(named)
     limits = {s: F.col(f"_{s}") for s in boxes.SIDES}
     placed = hilbert.with_curve_index(df.join(side, key), boxes.centre_x(), boxes.centre_y(), limits, "curve")
     return (

@@ -84,7 +84,7 @@ def write_layer(
     expected = planned.agg(F.coalesce(F.sum("files"), F.lit(1))).first()[0]
     tasks = 3 * expected  # several for each file, so that few files share a task by chance
     groups = writer.write_clustered(
-        rows, placed, extent, key, tie, spec.geometry, target, spec.hive_key, options, layer.crs, layer.keep_key, tasks, in_place
+        rows, placed, extent.join(chosen, key), key, tie, spec.geometry, target, spec.hive_key, options, layer.crs, layer.keep_key, tasks, in_place
     )
     read_back = checks.readback_check(groups, planned.withColumnRenamed(key, "part"))
     checks.refuse(read_back.where("not agrees"), f"{spec.id}: written rows or groups differ from the plan")
