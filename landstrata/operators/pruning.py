@@ -2,23 +2,25 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from landstrata.functions import boxes
-from landstrata.session import BROADCAST_ROWS, materialise_observing
+
+# Row groups of one file whose runs are made in one window.
+STRETCH = 4096
 
 
 def _meets(area: tuple[float, float, float, float]):
+    """Null without a box."""
     west, south, east, north = (float(v) for v in area)
-    hit = (F.col("xmax") >= west) & (F.col("xmin") <= east) & (F.col("ymax") >= south) & (F.col("ymin") <= north)
-    return F.coalesce(hit, F.lit(False))
+    return (F.col("xmax") >= west) & (F.col("xmin") <= east) & (F.col("ymax") >= south) & (F.col("ymin") <= north)
 
 
 def probe(groups: DataFrame, area: tuple[float, float, float, float], file: str = "path") -> DataFrame:
     """Per file: all row groups, and those a reader of `area` must fetch. Files without one stay,
-    with zeros. The list of numbers is bounded by the groups of one file."""
-    hit = _meets(area)
+    with zeros. Which row groups those are is told by `probe_runs`."""
+    hit = F.coalesce(_meets(area), F.lit(False))
 
     def chosen(column: str):
         return F.coalesce(F.sum(F.when(hit, F.col(column))), F.lit(0)).cast("bigint")
@@ -29,13 +31,34 @@ def probe(groups: DataFrame, area: tuple[float, float, float, float], file: str
         F.sum("rows").alias("rows"),
         *([sized] if sized is not None else []),
         F.sum("compressed_bytes").alias("column_chunk_bytes"),
-        F.sort_array(F.collect_list(F.when(hit, F.col("group_no")))).alias("selected_row_groups"),
+        F.count_if(hit).alias("selected_groups"),
         chosen("rows").alias("selected_rows"),
         chosen("compressed_bytes").alias("selected_compressed_bytes"),
         chosen("uncompressed_bytes").alias("selected_uncompressed_bytes"),
     )
 
 
+def probe_runs(groups: DataFrame, area: tuple[float, float, float, float], file: str = "path") -> DataFrame:
+    """(file, first_group, groups): the row groups a reader of `area` must fetch, as runs of neighbours.
+
+    Rows of a run share the difference of number and rank. Ranks are taken in stretches of numbers, so
+    that no task sees all groups of a file; only runs that reach a stretch's border, two at most of each,
+    are put together along the file.
+    """
+    hit = groups.where(_meets(area)).select(file, F.col("group_no").cast("bigint").alias("group_no"))
+    hit = hit.withColumn("stretch", F.expr(f"group_no div {STRETCH}"))
+    rank = F.row_number().over(Window.partitionBy(file, "stretch").orderBy("group_no"))
+    runs = hit.withColumn("island", F.col("group_no") - rank).groupBy(file, "stretch", "island")
+    runs = runs.agg(F.min("group_no").alias("first"), F.max("group_no").alias("last"))
+    touches = (F.col("first") % STRETCH == 0) | ((F.col("last") + 1) % STRETCH == 0)
+    along = Window.partitionBy(file).orderBy("first")
+    apart = F.coalesce(F.lag("last").over(along) + 1 < F.col("first"), F.lit(True)).cast("int")
+    border = runs.where(touches).withColumn("apart", apart).withColumn("run", F.sum("apart").over(along))
+    border = border.groupBy(file, "run").agg(F.min("first").alias("first"), F.max("last").alias("last"))
+    whole = runs.where(~touches).select(file, "first", "last").unionByName(border.select(file, "first", "last"))
+    return whole.select(file, F.col("first").alias("first_group"), (F.col("last") - F.col("first") + 1).alias("groups"))
+
+
 def partitions_meeting(items: DataFrame, area: tuple[float, float, float, float]) -> DataFrame:
     """Items whose box meets an area."""
     return items.where(_meets(area))
@@ -44,11 +67,9 @@ def partitions_meeting(items: DataFrame, area: tuple[float, float, float, float]
 def item_pruned(layer: DataFrame, items: DataFrame, key: str, area: tuple[float, float, float, float]) -> DataFrame:
     """Rows of the layer that meet an area, read from the partitions whose item box does.
 
-    The few partition values become a filter on the key, so other files are not listed as input.
-    More values than a filter can hold are joined instead, which also prunes at run time.
+    One plan, however many items there are: the items' values reach the scan at run time, as a
+    filter on its partitions, and no job runs before the query does. Where the planner finds the
+    items too large to broadcast, all partitions are read and joined.
     """
-    values, seen = materialise_observing(partitions_meeting(items, area).select("value").distinct(), rows=F.count(F.lit(1)))
-    if seen["rows"] <= 1000:
-        return layer.where(F.col(key).isin([r.value for r in values.collect()]) & boxes.intersects(area))
-    side = F.broadcast(values) if seen["rows"] <= BROADCAST_ROWS else values
-    return layer.where(boxes.intersects(area)).join(side.withColumnRenamed("value", key), key, "left_semi")
+    values = partitions_meeting(items, area).select(F.col("value").alias(key))
+    return layer.where(boxes.intersects(area)).join(values, key, "left_semi")

@@ -7,6 +7,9 @@ from pyspark.sql import functions as F
 
 from landstrata.functions import boxes
 
+# Keys that a frequency sketch names at most; one with a smaller share of rows than 1 in so many is never hot.
+HOT_KEYS = 1000
+
 
 def money(column: Column | str) -> Column:
     """Exact two-decimal value, so that sums do not depend on the order of rows."""
@@ -28,16 +31,26 @@ def states_explode(df: DataFrame, states: str = "states") -> DataFrame:
     return df.withColumn("state", F.explode(F.split(states, ",")))
 
 
-def downstream_unit(units: DataFrame, code: str, to: str, carried: list[str]) -> DataFrame:
+def downstream_unit(units: DataFrame, code: str, to: str, carried: list[str], tasks: int | None = None) -> DataFrame:
     """Each unit with the unit downstream of it, one hop; null where that is not in the table.
 
-    Codes are unique, so the right side has one row per key. Many units may drain to one; a hot
-    target is split by adaptive execution's skew handling, as only the left side is skewed.
+    Codes are unique, so the right side has one row per key, but many units may drain to one. Targets
+    that hold more than a small share of a task's rows are found by a frequency sketch of bounded size;
+    their units are dealt to a salt each, and the target's one row is given to every salt. `tasks`
+    is the number of tasks to spread over, that of the session's shuffles unless given.
     """
+    tasks = tasks or int(units.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    seen = units.agg(F.count(to).alias("rows"), F.expr(f"approx_top_k(`{to}`, {HOT_KEYS}, {10 * HOT_KEYS})").alias("often")).first()
+    hot = [x["item"] for x in seen["often"] or [] if x["item"] is not None and x["count"] * tasks * 4 > seen["rows"]]
+    salts = 16 * tasks
     below = units.select(F.col(code).alias(to), F.lit(True).alias("downstream_found"), *(F.col(c).alias(f"downstream_{c}") for c in carried))
-    return units.select(code, to, *carried).join(below, to, "left").withColumn(
-        "downstream_found", F.coalesce("downstream_found", F.lit(False))
-    )
+    own = units.select(code, to, *carried)
+    if hot:
+        every = F.explode(F.when(F.col(to).isin(hot), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))).alias("salt")
+        below = below.select("*", every)
+        own = own.withColumn("salt", F.when(F.col(to).isin(hot), F.pmod(F.xxhash64(code), F.lit(salts)).cast("int")).otherwise(0))
+    joined = own.join(below, [to, "salt"] if hot else to, "left").select(code, to, *carried, "downstream_found", *(f"downstream_{c}" for c in carried))
+    return joined.withColumn("downstream_found", F.coalesce("downstream_found", F.lit(False)))
 
 
 def nested_rollup(units: DataFrame, code: str, digits: int, area: str) -> DataFrame:

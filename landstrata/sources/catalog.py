@@ -96,6 +96,12 @@ def scan_manifests(spark: SparkSession, root: str) -> DataFrame:
     return listed.select("dataset", "path", "f.bytes", "f.sha256")
 
 
+def scan_manifest(spark: SparkSession, dataset: str) -> DataFrame:
+    """One row per file of one dataset's manifest."""
+    raw = _documents(spark, f"{dataset}/manifest.json", MANIFEST_TYPE)
+    return raw.select(F.explode("files").alias("path", "f")).select("path", "f.bytes", "f.sha256")
+
+
 def scan_catalogs(spark: SparkSession, root: str) -> DataFrame:
     """Child catalogs by directory."""
     raw = _documents(spark, f"{root}/*/catalog.json", CATALOG_TYPE)

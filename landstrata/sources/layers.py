@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from landstrata.functions import boxes, codes
+from landstrata.sources import catalog, files
 
 
 def scan_layer(df: DataFrame, drop: tuple[str, ...] = (), rename: dict[str, str] | None = None) -> DataFrame:
@@ -13,14 +14,32 @@ def scan_layer(df: DataFrame, drop: tuple[str, ...] = (), rename: dict[str, str]
     return df.drop(*drop).withColumnsRenamed(rename or {})
 
 
-def scan_all(spark: SparkSession, collection: str) -> DataFrame:
-    """The whole collection, without the documents beside its files. The key in the path stays text
-    (`01` must not become 1); the setting for that is read when the paths are listed, right here."""
+def scan_all(spark: SparkSession, collection: str, committed: bool = True) -> DataFrame:
+    """The whole collection, without the documents beside its files.
+
+    Read as its dataset was committed: the files that the manifest beside the collection lists, and no
+    others, so that neither an unfinished build nor files which a late task leaves in a partition's
+    folder are seen. Without a manifest nothing was committed, and reading is refused. `committed=False`
+    reads what lies in the folder, for a layer that is no dataset's.
+
+    The key in the path stays text (`01` must not become 1); the setting for that is read when the
+    paths are listed, right here.
+    """
+    paths = [collection]
+    if committed:
+        dataset, _, name = collection.rstrip("/").rpartition("/")
+        if not files.exists(spark, f"{dataset}/manifest.json"):
+            raise ValueError(f"no build was committed: {dataset} has no manifest")
+        listed = catalog.scan_manifest(spark, dataset).where(F.col("path").startswith(f"{name}/") & F.col("path").endswith(".parquet"))
+        # File names pass through the driver, as they do in every listing that Spark plans a scan from.
+        paths = [f"{dataset}/{row.path}" for row in listed.select("path").sort("path").toLocalIterator()]
+        if not paths:
+            raise ValueError(f"the manifest of {dataset} lists no files of {name}")
     setting = "spark.sql.sources.partitionColumnTypeInference.enabled"
     settled = spark.conf.get(setting)
     spark.conf.set(setting, "false")
     try:
-        return spark.read.option("pathGlobFilter", "*.parquet").parquet(collection)
+        return spark.read.option("pathGlobFilter", "*.parquet").option("basePath", collection).parquet(*paths)
     finally:
         spark.conf.set(setting, settled)
 

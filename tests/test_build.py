@@ -1,4 +1,6 @@
 import json
+import re
+import shutil
 from pathlib import Path
 
 import pyarrow.parquet as pq
@@ -6,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from landstrata.functions import boxes, codes
-from landstrata.operators import checks, pruning
+from landstrata.operators import checks, layout, pruning
 from landstrata.operators.layout import LayoutOptions
 from landstrata.plans import build
 from landstrata.plans.features import features, shaped_features
@@ -114,6 +116,9 @@ def test_probe_covers_matches(spark, built):
     groups = footers.scan_footers(spark, f"{root}/units-1/units")
     report = {r.path: r for r in pruning.probe(groups, area).collect()}
     assert len(report) == done.files.count()
+    selected = {}
+    for r in pruning.probe_runs(groups, area).collect():
+        selected.setdefault(r.path, []).extend(range(r.first_group, r.first_group + r.groups))
     back = layers.scan_all(spark, f"{root}/units-1/units").where(boxes.intersects(area))
     hits = {}
     for r in back.select("fid", F.col("_metadata.file_path").alias("f")).collect():
@@ -121,7 +126,7 @@ def test_probe_covers_matches(spark, built):
     for path, fids in hits.items():
         file = pq.ParquetFile(f"{root}/units-1/units/{path}")
         seen = set()
-        for g in report[path].selected_row_groups:
+        for g in selected[path]:
             seen |= set(file.read_row_group(g, columns=["fid"]).column(0).to_pylist())
         assert fids <= seen
         assert report[path].selected_rows == len(seen)
@@ -160,7 +165,7 @@ def test_watershed_layer(spark, sf, tmp_path):
     out = build.write_layer(layer, str(tmp_path / "hu12"), LayoutOptions(group_bytes=BUDGET), only=["01", "16"], boxless_groups=True)
     labels = {r.value: r.label for r in out.facts.collect()}
     assert labels == {"01": "Region 01 New England", "16": "Region 16 Great Basin"}
-    back = layers.scan_all(spark, str(tmp_path / "hu12"))
+    back = layers.scan_all(spark, str(tmp_path / "hu12"), committed=False)
     assert back.columns == ["tnmid", "huc12", "area_km2", "geometry", "bbox", "huc2"]
     one = back.select("huc12").where("huc2 = '16'").orderBy("huc12").first().huc12
     found = layers.code_lookup(back, "huc2", "huc12", one)
@@ -244,3 +249,35 @@ def test_published_layers_say_their_terms(spark, sf):
     assert build.written_columns(layer).columns == ["tnmid", "huc14", "geometry", "bbox"]
     areas = build.protected_areas(rows.select(F.col("objectid").alias("OBJECTID"), F.lit("UT").alias("State_Nm"), F.col("shape").alias("SHAPE")))
     assert build.written_columns(areas).columns == ["OBJECTID", "State_Nm", "SHAPE", "bbox"] and areas.spec.via
+
+
+def test_reads_what_was_committed(spark, built, tmp_path):
+    """Files that are in a partition's folder but not in the manifest are not read; a folder without a manifest is refused."""
+    root, done = built
+    shutil.copytree(f"{root}/units-1", tmp_path / "units-1")
+    folder = tmp_path / "units-1" / "units"
+    late = folder / done.files.first().path
+    shutil.copy(late, late.with_name("data-late.parquet"))
+    (folder / "part_key=new").mkdir()
+    shutil.copy(late, folder / "part_key=new" / "data.parquet")
+    back = layers.scan_all(spark, str(folder))
+    assert back.count() == 1500 and layers.scan_all(spark, str(folder), committed=False).count() > 1500
+    assert back.where("part_key = '07'").count() == layers.scan_partition(spark, str(folder), "part_key", "07", ["fid"]).count() > 0
+    (tmp_path / "units-1" / "manifest.json").unlink()
+    with pytest.raises(ValueError, match="no build was committed"):
+        layers.scan_all(spark, str(folder))
+
+
+def test_shapes_move_once(spark, sf):
+    """No shuffle between the source's scan and the one to the files' tasks, and the files are the planned ones."""
+    rows = shaped_features(spark, sf).select("fid", "part_key", "geometry")
+    options = LayoutOptions(group_bytes=BUDGET, file_bytes=5_000)
+    measures = layout.measure(rows, "part_key", ["fid"], "geometry")
+    extent = layout.measured_extent(measures, "part_key")
+    placed, chosen = layout.layout_search(layout.costed_rows(measures, extent, "part_key"), "part_key", ["fid"], options)
+    dealt = build.writer._dealt_to_files(rows, placed, extent.join(chosen, "part_key"), "part_key", ["fid"], "geometry")
+    plan = formatted(dealt).split("Subqueries")[0]
+    lines = [line for line in plan.split("(1) ")[0].splitlines() if re.search(r"Exchange|SortMergeJoin", line)]
+    assert all("BroadcastExchange" in line for line in lines), lines
+    got = {r.fid: r._file_no for r in dealt.select("fid", "_file_no").collect()}
+    assert got == {r.fid: r.file_no for r in placed.collect()} and len(set(got.values())) > 1

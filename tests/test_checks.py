@@ -1,5 +1,6 @@
 import hashlib
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -136,8 +137,10 @@ def test_probe_keeps_files_without_a_hit(spark):
     rows = [("a", 0, 5, 10, 20, 0.0, 0.0, 1.0, 1.0), ("a", 1, 5, 10, 20, 5.0, 5.0, 6.0, 6.0), ("b", 0, 5, 10, 20, 9.0, 9.0, 9.5, 9.5), ("a", 2, 1, 1, 2, None, None, None, None)]
     df = spark.createDataFrame(rows, "path string, group_no int, rows bigint, compressed_bytes bigint, uncompressed_bytes bigint, xmin double, ymin double, xmax double, ymax double")
     found = {r.path: r for r in pruning.probe(df, (1.0, 1.0, 5.0, 5.0)).collect()}
-    assert found["a"].selected_row_groups == [0, 1] and found["a"].selected_rows == 10 and found["a"].row_groups == 3
-    assert found["b"].selected_row_groups == [] and found["b"].selected_compressed_bytes == 0
+    assert found["a"].selected_groups == 2 and found["a"].selected_rows == 10 and found["a"].row_groups == 3
+    runs = [tuple(r) for r in pruning.probe_runs(df, (1.0, 1.0, 5.0, 5.0)).collect()]
+    assert runs == [("a", 0, 2)]
+    assert found["b"].selected_groups == 0 and found["b"].selected_compressed_bytes == 0
 
 
 def test_acres_are_counted_once_per_place(spark):
@@ -154,7 +157,7 @@ def test_key_stays_text(spark, tmp_path):
     spark.createDataFrame([("01", 1), ("16", 2)], "huc2 string, v int").write.partitionBy("huc2").parquet(target)
     spark.conf.set("spark.sql.sources.partitionColumnTypeInference.enabled", "true")
     try:
-        back = layers.scan_all(spark, target)
+        back = layers.scan_all(spark, target, committed=False)
         assert sorted(r.huc2 for r in back.collect()) == ["01", "16"]
         assert spark.conf.get("spark.sql.sources.partitionColumnTypeInference.enabled") == "true"
     finally:
@@ -177,3 +180,50 @@ def test_unsafe_keys(spark):
     values = ["UT", "a b", "a/b", "", "a=b", "a%b", "a]b", "a\\b", "a\nb", "a-b_c.d"]
     df = spark.createDataFrame([(v,) for v in values], "k string")
     assert {r.k for r in checks.unsafe_keys(df, "k").collect()} == set(values) - {"UT", "a b", "a-b_c.d"}
+
+
+def test_runs_over_stretches(spark, monkeypatch):
+    """Runs of any length, over borders of stretches, equal those of one walk."""
+    monkeypatch.setattr(pruning, "STRETCH", 8)
+    rng = np.random.default_rng(4)
+    rows, want = [], set()
+    for file, share in (("a", 0.9), ("b", 0.5), ("c", 0.05), ("d", 1.0)):
+        hit = rng.random(100) < share
+        rows += [(file, k, 0.0, 0.0, 1.0, 1.0) if h else (file, k, 5.0, 5.0, 6.0, 6.0) for k, h in enumerate(hit)]
+        edges = np.flatnonzero(np.diff(np.concatenate([[0], hit, [0]])))
+        want |= {(file, int(a), int(b - a)) for a, b in zip(edges[::2], edges[1::2])}
+    df = spark.createDataFrame(rows, "path string, group_no int, xmin double, ymin double, xmax double, ymax double")
+    got = [tuple(r) for r in pruning.probe_runs(df, (0.0, 0.0, 2.0, 2.0)).collect()]
+    assert len(got) == len(want) and set(got) == want
+
+
+@pytest.mark.parametrize("n", [10, 10_000])
+def test_items_prune_partitions_at_run_time(spark, tmp_path, n):
+    """One plan without a job of its own; files of other partitions are not read."""
+    items = spark.range(n).selectExpr("lpad(cast(id as string), 5, '0') as value", "double(id) as xmin", "0e0 as ymin", "double(id) + 0.5 as xmax", "1e0 as ymax")
+    items.write.parquet(str(tmp_path / "items"))
+    rows = spark.range(40).selectExpr("lpad(cast(id % 20 as string), 5, '0') as k", "id", "named_struct('xmin', double(id % 20), 'ymin', 0e0, 'xmax', double(id % 20), 'ymax', 0e0) as bbox")
+    rows.write.partitionBy("k").parquet(str(tmp_path / "layer"))
+    layer = layers.scan_all(spark, str(tmp_path / "layer"), committed=False)
+    found = pruning.item_pruned(layer, spark.read.parquet(str(tmp_path / "items")), "k", (3.0, 0.0, 4.2, 1.0))
+    plan = spark._jvm.PythonSQLUtils.explainString(found._jdf.queryExecution(), "formatted")
+    assert "dynamicpruning" in plan
+    assert sorted((r.k, r.id) for r in found.collect()) == [("00003", 3), ("00003", 23), ("00004", 4), ("00004", 24)]
+
+
+def test_half_of_all_units_drain_to_one(spark, monkeypatch):
+    """No task reads more than twice the median of the salted join's left side, and rows are those of a plain join."""
+    rows = [(f"u{k}", "u1" if k % 2 else f"u{k // 2}" if k % 3 else None, float(k)) for k in range(8000)]
+    units = spark.createDataFrame(rows, "code string, to string, area double")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = readers.downstream_unit(units, "code", "to", ["area"], 8)
+        sizes = sorted(r["count"] for r in joined.where("to is not null").groupBy(F.spark_partition_id()).count().collect())
+        got = {(r.code, r.to, r.downstream_found, r.downstream_area) for r in joined.collect()}
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    area = {c: a for c, _, a in rows}
+    assert got == {(c, t, t in area, area.get(t)) for c, t, _ in rows} and joined.count() == len(rows)
+    assert sizes[-1] <= 2 * sizes[len(sizes) // 2]
