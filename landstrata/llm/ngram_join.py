@@ -35,7 +35,7 @@ from landstrata.session import materialise, materialise_observing, ship
 
 # N-grams that a task gathers before it sends them to fragments, and those of one fragment on average.
 GROUP = 1 << 21
-FRAGMENT = 1 << 22
+FRAGMENT = 1 << 21
 # Binary logarithm of the number of fragments in which the overlap of a pair is counted.
 COUNTED = 4
 
@@ -239,11 +239,13 @@ def _shared(batches: Iterator[pa.RecordBatch], bits: int) -> Iterator[pa.RecordB
             docs.append(unpacked(row["docs"], np.int64))
             classes.append(unpacked(row["classes"], np.uint64))
             sizes.append(unpacked(row["sizes"], np.uint32))
-            at.append(unpacked(row["owners"], np.uint32).astype(np.int64) + before)
+            at.append((unpacked(row["owners"], np.uint32) + np.uint32(before)).astype(np.int32))
             before += len(docs[-1])
+        rows.clear()  # a task holds one copy of a fragment
         docs, classes, sizes, at = (np.concatenate(x) for x in (docs, classes, sizes, at))
-        by = np.argsort(grams, kind="stable")
+        by = np.argsort(grams)
         grams, at = grams[by], at[by]
+        del by
         cuts = _runs(grams)
         several = np.repeat(np.diff(cuts) > 1, np.diff(cuts))
         grams, at = grams[several], at[several]
