@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from landstrata.session import materialise
+from landstrata.sources import split_json
+
 _COLUMN = "struct<name: string, type: string, description: string>"
 ITEM_TYPE = (
     "id string, collection string, bbox array<double>, "
@@ -80,26 +83,52 @@ def scan_collections(spark: SparkSession, dataset: str) -> DataFrame:
     )
 
 
+FILE_TYPE = "map<string, struct<bytes: bigint, sha256: string>>"
+ASSET_TYPE = "map<string, struct<sha256: string, size_bytes: bigint, href: string>>"
+
+
+def _member(kind: str) -> Column:
+    """(name, value) of the text of one member of an object."""
+    return F.explode(F.from_json(F.concat(F.lit("{"), "text", F.lit("}")), kind)).alias("path", "value")
+
+
+def _folder(up: int = 1) -> Column:
+    return F.element_at(F.split("file", "/"), -1 - up)
+
+
 def scan_versions(spark: SparkSession, dataset: str) -> DataFrame:
-    """One row per file of each version of each collection."""
-    raw = _documents(spark, f"{dataset}/*/versions.json", VERSIONS_TYPE)
-    versions = raw.select(_parent().alias("collection"), F.explode("versions").alias("v"))
-    return versions.select("collection", F.col("v.version").alias("version"), F.explode("v.assets").alias("path", "a")).select(
-        "collection", "version", "path", "a.sha256", "a.size_bytes", "a.href"
+    """One row per file of each version of each collection. A document is read by many tasks, entry by entry."""
+    cut = materialise(split_json.pieces(spark, f"{dataset}/*/versions.json"))
+    assets = split_json.entries(cut, 4, "assets").select("file", "parent", _member(ASSET_TYPE))
+    named = split_json.entries(cut, 3, member="version").select("file", F.col("section").alias("parent"), _member("map<string, string>"))
+    named = named.select("file", "parent", F.col("value").alias("version"))
+    return assets.join(named, ["file", "parent"]).select(
+        _folder().alias("collection"), "version", "path", "value.sha256", "value.size_bytes", "value.href"
     )
 
 
+def _listed(spark: SparkSession, pattern: str) -> DataFrame:
+    return split_json.entries(split_json.pieces(spark, pattern), 2, "files").select("file", _member(FILE_TYPE))
+
+
 def scan_manifests(spark: SparkSession, root: str) -> DataFrame:
-    """One row per file of each dataset's manifest."""
-    raw = _documents(spark, f"{root}/*/manifest.json", MANIFEST_TYPE)
-    listed = raw.select(_parent().alias("dataset"), F.explode("files").alias("path", "f"))
-    return listed.select("dataset", "path", "f.bytes", "f.sha256")
+    """One row per file of each dataset's manifest. A manifest is read by many tasks, entry by entry."""
+    return _listed(spark, f"{root}/*/manifest.json").select(_folder().alias("dataset"), "path", "value.bytes", "value.sha256")
 
 
 def scan_manifest(spark: SparkSession, dataset: str) -> DataFrame:
     """One row per file of one dataset's manifest."""
-    raw = _documents(spark, f"{dataset}/manifest.json", MANIFEST_TYPE)
-    return raw.select(F.explode("files").alias("path", "f")).select("path", "f.bytes", "f.sha256")
+    return _listed(spark, f"{dataset}/manifest.json").select("path", "value.bytes", "value.sha256")
+
+
+def committed_files(spark: SparkSession, dataset: str, collection: str) -> list[str]:
+    """Paths of a collection's data files, as the dataset's manifest lists them.
+
+    Planning a scan needs all of them on the driver, so the manifest is parsed there and then, as one record.
+    """
+    raw = _documents(spark, f"{dataset}/manifest.json", f"files {FILE_TYPE}")
+    paths = raw.select(F.explode(F.map_keys("files")).alias("path"))
+    return sorted(r.path for r in paths.where(F.col("path").startswith(f"{collection}/") & F.col("path").endswith(".parquet")).collect())
 
 
 def scan_catalogs(spark: SparkSession, root: str) -> DataFrame:

@@ -20,7 +20,8 @@ def scan_all(spark: SparkSession, collection: str, committed: bool = True) -> Da
     Read as its dataset was committed: the files that the manifest beside the collection lists, and no
     others, so that neither an unfinished build nor files which a late task leaves in a partition's
     folder are seen. Without a manifest nothing was committed, and reading is refused. `committed=False`
-    reads what lies in the folder, for a layer that is no dataset's.
+    reads what lies in the folder, for a layer that is no dataset's. File names pass through the driver, as
+    they do in every listing that Spark plans a scan from.
 
     The key in the path stays text (`01` must not become 1); the setting for that is read when the
     paths are listed, right here.
@@ -30,9 +31,7 @@ def scan_all(spark: SparkSession, collection: str, committed: bool = True) -> Da
         dataset, _, name = collection.rstrip("/").rpartition("/")
         if not files.exists(spark, f"{dataset}/manifest.json"):
             raise ValueError(f"no build was committed: {dataset} has no manifest")
-        listed = catalog.scan_manifest(spark, dataset).where(F.col("path").startswith(f"{name}/") & F.col("path").endswith(".parquet"))
-        # File names pass through the driver, as they do in every listing that Spark plans a scan from.
-        paths = [f"{dataset}/{row.path}" for row in listed.select("path").sort("path").toLocalIterator()]
+        paths = [f"{dataset}/{path}" for path in catalog.committed_files(spark, dataset, name)]
         if not paths:
             raise ValueError(f"the manifest of {dataset} lists no files of {name}")
     setting = "spark.sql.sources.partitionColumnTypeInference.enabled"
