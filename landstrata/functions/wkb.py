@@ -103,7 +103,9 @@ class _Walk:
     """Reads the headers of all shapes of a batch in step: the n-th part or ring of every row at once.
 
     `runs` gathers where rows have points: (row, offset, points, ordinates of a point, little-endian).
-    Rows that are null, malformed, collections, or the last few with many parts are left to `shape_facts`.
+    Each row has a stack of open containers (multi-shapes and collections, nested to any depth), as columns of
+    arrays: how many members are left, and of what kind they must be. A step looks at rows that are still
+    open only. Rows that are null, malformed, or the last few with many parts are left to `shape_facts`.
     """
 
     def __init__(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray):
@@ -114,7 +116,10 @@ class _Walk:
         self.little, self.width = np.zeros(n, bool), np.zeros(n, np.int64)
         self.fit = ends > starts
         self.kind, self.has_z = self._headers(np.flatnonzero(self.fit))
-        self.fit &= (self.kind >= 1) & (self.kind <= 6)
+        self.fit &= (self.kind >= 1) & (self.kind <= 7)
+        self.rings = np.zeros(n, np.int64)
+        self.level = np.zeros(n, np.int64)
+        self.left, self.wanted = np.zeros((2, n), np.int64), np.zeros((2, n), np.int64)
 
     def _numbers(self, rows: np.ndarray) -> np.ndarray:
         """The four-byte number at each row's place, which moves on; rows that end before it are unfit."""
@@ -157,33 +162,43 @@ class _Walk:
         self.at[rows] += np.where(inside, size, 0)
 
     def walk(self) -> None:
-        parts, rings = np.zeros(len(self.at), np.int64), np.zeros(len(self.at), np.int64)
-        inner = np.where(self.kind <= 3, self.kind, self.kind - 3)  # what a part is
-        several = np.flatnonzero(self.fit & (self.kind > 3))
-        parts[several] = self._numbers(several)
-        single = np.flatnonzero(self.fit & (self.kind <= 3))
-        self._begin(single, inner, rings)
+        rows = np.flatnonzero(self.fit)
+        self._begin(rows, self.kind[rows])
         while True:
-            open_ = self.fit & ((parts > 0) | (rings > 0))
-            if open_.sum() < FEW:
-                self.fit &= ~open_
+            rows = rows[self.fit[rows] & ((self.rings[rows] > 0) | (self.level[rows] > 0))]
+            if len(rows) < FEW:
+                self.fit[rows] = False
                 return
-            ring = np.flatnonzero(open_ & (rings > 0))
-            rings[ring] -= 1
+            ring = rows[self.rings[rows] > 0]
+            self.rings[ring] -= 1
             self._run(ring, self._numbers(ring))
-            part = np.flatnonzero(self.fit & (rings == 0) & (parts > 0))
-            parts[part] -= 1
-            kind, _ = self._headers(part)
-            self.fit[part] &= kind[part] == inner[part]
-            self._begin(part[self.fit[part]], inner, rings)
-
-    def _begin(self, rows: np.ndarray, inner: np.ndarray, rings: np.ndarray) -> None:
-        """After a header: a point has its run at once, a line one run to come, a polygon its rings."""
-        point = rows[inner[rows] == 1]
+            inner = rows[(self.rings[rows] == 0) & (self.level[rows] > 0) & self.fit[rows]]
+            top = self.level[inner] - 1
+            full = self.left[top, inner] == 0
+            self.level[inner[full]] -= 1
+            inner, top = inner[~full], top[~full]
+            self.left[top, inner] -= 1
+            kind, _ = self._headers(inner)
+            wanted, kind = self.wanted[top, inner], kind[inner]
+            self.fit[inner] &= ((wanted == 0) | (kind == wanted)) & (kind >= 1) & (kind <= 7)
+            kept = self.fit[inner]
+            self._begin(inner[kept], kind[kept])
+
+    def _begin(self, rows: np.ndarray, kinds: np.ndarray) -> None:
+        """After a header: a point has its run at once, a line one run to come, a polygon its rings; a
+        container is opened."""
+        point = rows[kinds == 1]
         self._run(point, np.ones(len(point), np.int64))
-        rings[rows[inner[rows] == 2]] = 1
-        polygon = rows[inner[rows] == 3]
-        rings[polygon] = self._numbers(polygon)
+        self.rings[rows[kinds == 2]] = 1
+        polygon = rows[kinds == 3]
+        self.rings[polygon] = self._numbers(polygon)
+        several = kinds > 3
+        outer, members = rows[several], np.where(kinds[several] < 7, kinds[several] - 3, 0)
+        count = self._numbers(outer)
+        if len(outer) and self.level[outer].max() == len(self.left):
+            self.left, self.wanted = (np.concatenate([x, np.zeros_like(x)]) for x in (self.left, self.wanted))
+        self.left[self.level[outer], outer], self.wanted[self.level[outer], outer] = count, members
+        self.level[outer] += 1
 
     def boxes(self) -> np.ndarray:
         """Lowest and highest x and y of every row; infinite where it has no point. A point counts if both

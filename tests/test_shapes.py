@@ -168,3 +168,33 @@ def test_multipolygons_are_walked_together(monkeypatch):
     shape = head(6) + struct.pack("<I", 2) + POLYGON + head(3) + struct.pack("<I", 2) + ring(SQUARE) + ring(SQUARE)
     monkeypatch.setattr(wkb, "shape_facts", None)
     assert set(wkb._batch_facts(pa.array([shape] * 100, pa.binary())).field("kind").to_pylist()) == {"MultiPolygon"}
+
+
+def test_nested_collections_in_step():
+    """Collections of any depth, empty ones, wrong members and cut-off ones, as shape by shape."""
+    rng = random.Random(11)
+
+    def point():
+        return struct.pack("<BIdd", 1, 1, rng.choice([rng.random(), float("nan")]), rng.random())
+
+    def line(n):
+        return struct.pack(">BII", 0, 2, n) + struct.pack(f">{2 * n}d", *(rng.random() for _ in range(2 * n)))
+
+    def polygon(n):
+        return struct.pack("<BII", 1, 3, n) + b"".join(struct.pack("<I", 3) + struct.pack("<6d", *(rng.random() for _ in range(6))) for _ in range(n))
+
+    def shape(depth):
+        kind = rng.choice([1, 2, 3, 4, 6, 7, 7] if depth else [1, 2, 3])
+        if kind <= 3:
+            return (point, lambda: line(rng.randint(0, 4)), lambda: polygon(rng.randint(0, 3)))[kind - 1]()
+        members = [shape(depth - 1) if kind == 7 else (point() if kind == 4 else polygon(rng.randint(1, 2))) for _ in range(rng.randint(0, 4))]
+        return struct.pack("<BII", 1, kind, len(members)) + b"".join(members)
+
+    shapes = [shape(rng.randint(0, 7)) for _ in range(400)] + [None]
+    found = wkb._batch_facts(pa.array(shapes, pa.binary())).to_pylist()
+    for given, got in zip(shapes, found):
+        want = wkb.shape_facts(given)
+        names = ["xmin", "ymin", "xmax", "ymax", "kind", "has_z"]
+        assert got == (dict.fromkeys(names) if want is None else dict(zip(names, want)))
+    with pytest.raises(ValueError, match="not a well-known-binary"):
+        wkb._batch_facts(pa.array([shape(5) for _ in range(30)] + [struct.pack("<BII", 1, 7, 2) + point()], pa.binary()))
