@@ -1,9 +1,11 @@
 """Secret scans: named patterns, and sliding-window Shannon entropy over candidate strings.
 
-A candidate is a run of one character class (hexadecimal, or the letters of base64). A window of fixed
-width slides over it; the counts of its characters, and with them its entropy, change by one character
-that leaves and one that enters. Windows at or above the class's threshold are joined to spans. An
-allow-list of patterns names candidates that are known to be harmless.
+A candidate is a run of the letters of base64, in either alphabet. Its class is the smallest that holds
+all its characters: letters of one case or both, with digits or without, base64 or its form for URLs;
+runs of hexadecimal digits within it are a class of their own. A window of fixed width slides over it;
+the counts of its characters, and with them its entropy, change by one character that leaves and one
+that enters. Windows at or above the class's threshold are joined to spans. An allow-list of patterns
+names candidates that are known to be harmless.
 """
 
 from __future__ import annotations
@@ -19,7 +21,13 @@ from pyspark.sql import functions as F
 
 from landstrata.session import ship
 
-KINDS = ("assign", "access", "hex", "entropy_hex", "entropy_base64")
+# Bits a character from which a window of WIDTH characters is dense, by class. Nine in ten random keys of 32
+# characters have such a window; those of words, which use few letters often, do not.
+THRESHOLDS = {
+    "entropy_hex": 3.0, "entropy_lower": 3.6, "entropy_upper": 3.6, "entropy_letters": 3.85, "entropy_lower_digits": 3.7,
+    "entropy_upper_digits": 3.7, "entropy_alnum": 3.9, "entropy_base64": 3.9, "entropy_base64url": 3.9,
+}
+KINDS = ("assign", "access", "hex", *THRESHOLDS)
 BASE = KINDS[:3]
 
 # The patterns of the base kinds.
@@ -31,13 +39,20 @@ ASSIGN_WORDS = ("passw", "secret", "token", "api")  # one of them is in every te
 WIDTH = 20
 CANDIDATE = re.compile(rf"[A-Za-z0-9+/_=-]{{{WIDTH},}}")
 HEX_RUN = re.compile(rf"[0-9A-Fa-f]{{{WIDTH},}}")
-THRESHOLDS = {"entropy_hex": 3.0, "entropy_base64": 3.9}  # bits a character
-
-# Harmless candidates: UUIDs, counting alphabets, placeholders, file paths and snake or kebab names of words.
+CLASSES = tuple(
+    (f"entropy_{name}", re.compile(rf"[{letters}]+=*"))
+    for name, letters in (
+        ("lower", "a-z"), ("upper", "A-Z"), ("letters", "A-Za-z"), ("lower_digits", "a-z0-9"), ("upper_digits", "A-Z0-9"),
+        ("alnum", "A-Za-z0-9"), ("base64", "A-Za-z0-9+/"), ("base64url", "A-Za-z0-9_-"),
+    )
+)
+
+# Harmless candidates: UUIDs, counting alphabets, placeholders, file paths, and snake, kebab or camel names of words.
 ALLOWED = (
     r"[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}",
     r"(?i).*(abcdefghij|0123456789|example|placeholder|changeme|redacted|your[_-]).*",
     r"/?([A-Za-z]{1,14}[0-9]{0,4}[/_=-]+)+[A-Za-z]{0,14}[0-9]{0,4}",
+    r"[a-z]*([A-Z][a-z]{2,})+[0-9]{0,4}",
 )
 
 
@@ -46,9 +61,9 @@ def find(docs: DataFrame, key: str = "doc_id", text: str = "text", allowed: tupl
 
     Positions count code points; the end is exclusive. `assign`, `access` and `hex` are the leftmost
     matches, not overlapping, of their patterns, without those that are too short; they stay whatever
-    the allow-list says. `entropy_hex` and `entropy_base64` are left out where they lie within one of
-    those. A text that is null or empty has no spans. Repeated rows and null keys are kept. Other
-    columns are not looked at.
+    the allow-list says. Spans of the entropy kinds are left out where they lie within one of those. A
+    text that is null or empty has no spans; one may be of any length. Repeated rows and null keys are
+    kept, and an empty table gives an empty result. Other columns are not looked at.
     """
     ship(docs.sparkSession)
     kind = docs.schema[key].dataType.simpleString()
@@ -108,7 +123,7 @@ def dense_windows(run: str, threshold: float, width: int = WIDTH) -> list[tuple[
 
 
 def entropy_spans(run: str, allowed: list[re.Pattern]) -> list[tuple[str, int, int]]:
-    """Dense parts of one candidate. Strings of one case without a digit are words, not keys."""
+    """Dense parts of one candidate. A number is none."""
     if any(p.fullmatch(run) for p in allowed):
         return []
     out, taken = [], []
@@ -116,10 +131,12 @@ def entropy_spans(run: str, allowed: list[re.Pattern]) -> list[tuple[str, int, i
         if any(c.isdigit() for c in m[0]) and not m[0].isdigit():
             taken.append(m.span())
             out += [("entropy_hex", m.start() + a, m.start() + b) for a, b in dense_windows(m[0], THRESHOLDS["entropy_hex"])]
-    if any(c.isdigit() for c in run) and any(c.isalpha() for c in run):
-        for a, b in dense_windows(run, THRESHOLDS["entropy_base64"]):
+    if any(c.isalpha() for c in run):
+        # Letters of both alphabets of base64 in one run: the larger class.
+        kind = next((name for name, letters in CLASSES if letters.fullmatch(run)), "entropy_base64")
+        for a, b in dense_windows(run, THRESHOLDS[kind]):
             if not any(x <= a and b <= y for x, y in taken):
-                out.append(("entropy_base64", a, b))
+                out.append((kind, a, b))
     return out
 
 
