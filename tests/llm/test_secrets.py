@@ -98,8 +98,9 @@ def test_recall_of_random_keys(name):
     for _ in range(400):
         run = "".join(rng.choice(ALPHABETS[name]) for _ in range(32))
         found.append({k for k, a, b in secrets.spans(f"key is {run} here", patterns) if 7 <= a and b <= 39})
+        smallest = next(n for n, letters in ALPHABETS.items() if set(run) <= set(letters))  # a key may lack its class's signs
+        assert found[-1] <= {f"entropy_{smallest}", "entropy_hex", "hex"}
     assert sum(map(bool, found)) >= 360
-    assert sum(bool(f & {f"entropy_{name}", "hex"}) for f in found) >= 300
 
 
 def test_words_are_no_keys(spark):
