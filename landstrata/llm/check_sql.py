@@ -31,34 +31,45 @@ def _quoted(text: str) -> str:
 
 def _terms(text: str) -> str:
     plain = f"regexp_replace(regexp_replace(lower({text}), '[^\\p{{L}}\\p{{N}}.]+', ' ', 'g'), '\\.\\.+', ' ', 'g')"
-    return f"list_distinct(list_filter(list_transform(string_split({plain}, ' '), lambda t: trim(t, '.')), lambda t: t <> ''))"
+    return f"list_filter(list_transform(string_split({plain}, ' '), lambda t: trim(t, '.')), lambda t: t <> '')"
 
 
 def license_scan(threshold: float = licences.THRESHOLD) -> str:
-    """Cosines of all sentences that share a term with a template; directories are walked by their prefixes."""
-    templates = ", ".join(f"({n}, {_quoted(spdx)}, {_quoted(said)})" for n, (spdx, said) in enumerate(licences.TEMPLATES))
+    """Cosines of all units that share a term with a template; directories are walked by their prefixes."""
+    templates = ", ".join(f"({n}, {_quoted(spdx)}, {_quoted(said)}, {paragraph}, {decides})" for n, spdx, said, paragraph, decides in licences.ALL)
+    sentences = "string_split_regex(regexp_replace(coalesce(text, ''), '([.!?;])[ \\t]+', '\\1' || chr(10), 'g'), '[\\n\\r]+')"
+    cleaned = "regexp_replace(coalesce(text, ''), '(?m)^[ \\t]*(?:#+|//+|/?\\*+/?|--+|;+|%+)?[ \\t]*', '', 'g')"
+    anchor = licences.ANCHOR.removeprefix("(?i)")
     return f"""
-WITH templates(template, licence, said) AS (VALUES {templates}),
-wording AS MATERIALIZED (SELECT template, licence, unnest({_terms('said')}) AS term FROM templates),
+WITH templates(template, licence, said, paragraph, decides) AS (VALUES {templates}),
+spelt AS (SELECT template, licence, paragraph, decides, unnest({_terms('said')}) AS term FROM templates),
+wording AS MATERIALIZED (SELECT template, licence, paragraph, decides, term, count(*) AS tf FROM spelt GROUP BY template, licence, paragraph, decides, term),
 files AS MATERIALIZED (
   SELECT doc_id, text, coalesce(source, 'unknown') || '/' || CASE WHEN doc_id >= 100 THEN
            array_to_string(list_transform(range(0, CAST(ceil(length(CAST(doc_id // 100 AS VARCHAR)) / 2) AS BIGINT)), lambda i: substr(CAST(doc_id // 100 AS VARCHAR), CAST(2 * i + 1 AS BIGINT), 2)), '/') || '/' ELSE '' END
-         || CAST(doc_id AS VARCHAR) || '.txt' AS path FROM documents),
+         || CASE WHEN doc_id % 100 = 0 THEN 'LICENSE' ELSE CAST(doc_id AS VARCHAR) || '.txt' END AS path FROM documents),
 held AS (SELECT DISTINCT doc_id, unnest({_terms("coalesce(text, '')")}) AS term FROM files),
 counted AS MATERIALIZED (SELECT term, count(*) AS n FROM held JOIN (SELECT DISTINCT term FROM wording) w USING (term) GROUP BY term),
 total AS (SELECT CAST(count(*) AS DOUBLE) AS n FROM documents),
 weights AS MATERIALIZED (SELECT term, ln(((SELECT n FROM total) + 1) / (coalesce(c.n, 0) + 1)) + 1 AS w FROM (SELECT DISTINCT term FROM wording) v LEFT JOIN counted c USING (term)),
-sentences AS (SELECT DISTINCT doc_id, unnest(string_split_regex(regexp_replace(coalesce(text, ''), '([.!?;])[ \\t]+', '\\1' || chr(10), 'g'), '[\\n\\r]+')) AS s FROM files),
-said AS MATERIALIZED (SELECT doc_id, s, unnest({_terms('s')}) AS term FROM sentences),
-norms AS (SELECT doc_id, s, sqrt(sum(coalesce(w, ln((SELECT n FROM total) + 1) + 1) ** 2)) AS norm FROM said LEFT JOIN weights USING (term) GROUP BY doc_id, s),
-template_norms AS (SELECT template, sqrt(sum(w * w)) AS norm FROM wording JOIN weights USING (term) GROUP BY template),
-dots AS (SELECT doc_id, s, template, licence, sum(w * w) AS dot FROM said JOIN weights USING (term) JOIN wording USING (term) GROUP BY doc_id, s, template, licence),
-near AS (SELECT doc_id, licence, round(dot / (n.norm * t.norm), 9) AS score FROM dots JOIN norms n USING (doc_id, s) JOIN template_norms t USING (template)),
+units AS (SELECT DISTINCT doc_id, false AS paragraph, unnest({sentences}) AS s FROM files
+          UNION SELECT DISTINCT doc_id, true, unnest(list_filter(string_split_regex({cleaned}, '\\n(?:[ \\t\\r]*\\n)+'), lambda p: regexp_matches(p, '{anchor}', 'i'))) FROM files),
+listed AS (SELECT doc_id, paragraph, s, {_terms('s')} AS terms FROM units),
+shares AS (SELECT doc_id, paragraph, s, count(w) AS known, count(*) AS n FROM (SELECT doc_id, paragraph, s, unnest(list_distinct(terms)) AS term FROM listed) q LEFT JOIN weights USING (term) GROUP BY doc_id, paragraph, s),
+likely AS (SELECT listed.* FROM listed JOIN shares USING (doc_id, paragraph, s) WHERE known >= greatest(1, n * {threshold} * {threshold})),
+spread AS (SELECT doc_id, paragraph, s, unnest(terms) AS term FROM likely),
+said AS MATERIALIZED (
+  SELECT doc_id, paragraph, s, term, count(*) * coalesce(any_value(w), ln((SELECT n FROM total) + 1) + 1) AS w FROM spread LEFT JOIN weights USING (term) GROUP BY doc_id, paragraph, s, term),
+norms AS (SELECT doc_id, paragraph, s, sqrt(sum(w ** 2)) AS norm FROM said GROUP BY doc_id, paragraph, s),
+weighed AS (SELECT template, licence, paragraph, decides, term, tf * w AS w FROM wording JOIN weights USING (term)),
+template_norms AS (SELECT template, sqrt(sum(w * w)) AS norm FROM weighed GROUP BY template),
+dots AS (SELECT doc_id, paragraph, s, template, licence, decides, sum(said.w * t.w) AS dot FROM said JOIN weighed t USING (term, paragraph) GROUP BY doc_id, paragraph, s, template, licence, decides),
+near AS (SELECT doc_id, licence, decides, round(dot / (n.norm * t.norm), 9) AS score FROM dots JOIN norms n USING (doc_id, paragraph, s) JOIN template_norms t USING (template)),
 own AS MATERIALIZED (
   SELECT files.doc_id, path, regexp_replace(path, '/[^/]*$', '') AS folder, licence, score
-  FROM files LEFT JOIN (SELECT doc_id, licence, score, row_number() OVER (PARTITION BY doc_id ORDER BY score DESC, licence) AS place FROM near WHERE score >= {threshold}) q
+  FROM files LEFT JOIN (SELECT doc_id, licence, score, row_number() OVER (PARTITION BY doc_id ORDER BY decides DESC, score DESC, licence) AS place FROM near WHERE score >= {threshold}) q
     ON q.doc_id = files.doc_id AND place = 1),
-votes AS (SELECT folder, licence, row_number() OVER (PARTITION BY folder ORDER BY count(*) DESC, licence) AS place FROM own WHERE licence IS NOT NULL GROUP BY folder, licence),
+votes AS (SELECT folder, licence, row_number() OVER (PARTITION BY folder ORDER BY count(*) FILTER (path LIKE '%/LICENSE') DESC, count(*) DESC, licence) AS place FROM own WHERE licence IS NOT NULL GROUP BY folder, licence),
 nearest AS (
   SELECT f.folder, v.folder AS directory, v.licence, row_number() OVER (PARTITION BY f.folder ORDER BY length(v.folder) DESC) AS place
   FROM (SELECT DISTINCT folder FROM own) f JOIN votes v ON v.place = 1 AND (f.folder = v.folder OR starts_with(f.folder, v.folder || '/')))

@@ -1,8 +1,10 @@
 """License scans: sparse TF-IDF cosine of statements to templates, then the nearest directory above, in SQL only.
 
-A text's sentences are compared with the templates' wordings. A term's weight is its inverse document
-frequency over all rows; terms outside the templates weigh as terms of no document, so a sentence that
-says much else is unlike every template. A file without a statement of its own takes the licence of the
+A text's units are compared with the templates: its sentences with wordings that name a licence, and its
+paragraphs, joined over line breaks and without comment marks, with the standard headers and the
+paragraphs of licence files. A term weighs by how often the unit has it and by its inverse document
+frequency over all rows; terms outside the templates weigh as terms of no document, so a unit that says
+much else is unlike every template. A file without a statement of its own takes the licence of the
 nearest directory above it that has one, found by joining its directories' paths.
 """
 
@@ -39,13 +41,55 @@ TEMPLATES = (
     ("CC0-1.0", "Released under the CC0 1.0 Public Domain Dedication"),
     ("Unlicense", "This is free and unencumbered software released into the public domain"),
 )
+# Paragraphs of licence texts and standard headers. A paragraph that only one of several like
+# licences has decides between them.
+PARAGRAPHS = (
+    ("MIT", 'Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions:'),
+    ("ISC", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies."),
+    ("BSD-2-Clause", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:"),
+    ("Zlib", "Permission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it and redistribute it freely, subject to the following restrictions:"),
+    ("Apache-2.0", 'Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the License. You may obtain a copy of the License at'),
+    ("Apache-2.0", 'Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0 Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an "AS IS" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the specific language governing permissions and limitations under the License.'),
+    ("GPL-3.0", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."),
+    ("GPL-2.0", "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version."),
+    ("LGPL-3.0", "This library is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."),
+    ("AGPL-3.0", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."),
+    ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/."),
+    ("Unlicense", "This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any means."),
+    ("GPL-3.0", "GNU GENERAL PUBLIC LICENSE Version 3, 29 June 2007"),
+    ("GPL-2.0", "GNU GENERAL PUBLIC LICENSE Version 2, June 1991"),
+    ("Apache-2.0", "Apache License Version 2.0, January 2004 http://www.apache.org/licenses/"),
+)
+DECIDING = (
+    ("BSD-3-Clause", "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission."),
+    ("BSD-3-Clause", "3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission."),
+)
+# (number, licence, text, whether a paragraph, whether it decides)
+ALL = tuple(
+    (n, licence, said, paragraph, decides)
+    for n, (licence, said, paragraph, decides) in enumerate(
+        [(*t, False, False) for t in TEMPLATES] + [(*t, True, False) for t in PARAGRAPHS] + [(*t, True, True) for t in DECIDING]
+    )
+)
+# Words of which a paragraph must have one to be looked at.
+ANCHOR = r"(?i)licen[cs]e|redistribut|permission|unencumbered|copyright holder"
 _SENTENCE = r"[\n\r]+|(?<=[.!?;])[ \t]+"
 _APART = r"[^\p{L}\p{N}.]+|\.(?![\p{L}\p{N}])|(?<![\p{L}\p{N}])\."
 
 
+_MARK = r"(?m)^[ \t]*(?:#+|//+|/?\*+/?|--+|;+|%+)?[ \t]*"
+_BLANK = r"\n(?:[ \t\r]*\n)+"
+
+
 def terms(text: Column) -> Column:
-    """The distinct terms of a text, in lower case; a dot within a number or name belongs to it."""
-    return F.array_distinct(F.filter(F.split(F.lower(text), _APART), lambda t: t != ""))
+    """The terms of a text, in lower case; a dot within a number or name belongs to it."""
+    return F.filter(F.split(F.lower(text), _APART), lambda t: t != "")
+
+
+def paragraphs(text: Column) -> Column:
+    """The paragraphs of a text that may state a licence, without comment marks; null and empty texts have none."""
+    some = F.filter(F.split(F.regexp_replace(text, _MARK, ""), _BLANK), lambda p: p.rlike(ANCHOR))
+    return F.when(text.rlike(ANCHOR), some).otherwise(F.array().cast("array<string>"))
 
 
 def _let(value: Column, use) -> Column:
@@ -56,18 +100,22 @@ def licences(files: DataFrame, path: Column, key: str = "doc_id", text: str = "t
     """(key, path, licence, score, origin, directory): the licence of every file.
 
     `path` gives a file's path with "/" between its parts. `own`: a sentence of the file is like a
-    template's wording, cosine `threshold` or more; the likest one counts, ties by identifier. A
+    template's wording, or a paragraph like one of a licence or header, with a cosine of `threshold` or
+    more; of these a deciding paragraph counts first, then the likest one, ties by identifier. A unit is
+    looked at if its distinct terms are known to the templates to a share of `threshold` squared. A
     directory has the licence that most of its own files named LICENSE, LICENCE, COPYING or NOTICE
     state, or of all its own files if none of those does; ties by identifier. `inherited`: the file has
     none, and the nearest directory above has it. Otherwise licence, score, origin and directory are null.
 
-    Null and empty texts state nothing. A null path lies in no directory. All rows are returned, repeated
-    ones and null keys too; other columns are not looked at.
+    Null and empty texts state nothing; texts may be of any length. A null path lies in no directory. All
+    rows are returned, repeated ones and null keys too; an empty table gives an empty result. Other
+    columns are not looked at.
     """
     rows = files.select(F.col(key).alias("doc_id"), F.col(text).alias("text"), path.alias("path"))
     spark = files.sparkSession
-    wording = spark.createDataFrame([(n, spdx, said) for n, (spdx, said) in enumerate(TEMPLATES)], "template int, licence string, said string")
-    wording = wording.select("template", "licence", F.explode(terms(F.col("said"))).alias("term"))
+    wording = spark.createDataFrame(list(ALL), "template int, licence string, said string, paragraph boolean, decides boolean")
+    wording = wording.withColumn("term", F.explode(terms(F.col("said")))).groupBy("template", "licence", "paragraph", "decides", "term")
+    wording = wording.agg(F.count(F.lit(1)).alias("tf"))
     vocabulary = sorted(r.term for r in wording.select("term").distinct().collect())  # the fixed templates' terms
     known = F.array(*map(F.lit, vocabulary))
 
@@ -76,28 +124,27 @@ def licences(files: DataFrame, path: Column, key: str = "doc_id", text: str = "t
     seen = {r.term: r.n for r in held.groupBy("term").agg(F.count(F.lit(1)).alias("n")).collect()}
     total = F.lit(float(seen.get("", 0)))
     idf = lambda n: F.log((total + 1) / (n + 1)) + 1
-    weights = spark.createDataFrame([(t, seen.get(t, 0)) for t in vocabulary], "term string, n long").select("term", idf(F.col("n")).alias("w"))
+    weights = F.broadcast(spark.createDataFrame([(t, seen.get(t, 0)) for t in vocabulary], "term string, n long").select("term", idf(F.col("n")).alias("w")))
     most = idf(F.lit(0.0))
-    wording = wording.join(F.broadcast(weights), "term")
+    wording = wording.join(weights, "term").withColumn("w", F.col("tf") * F.col("w"))
     norms = wording.groupBy("template").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
-    wording = F.broadcast(materialise(wording.join(norms, "template").select("template", "licence", "term", "w", (F.col("w") / F.col("norm")).alias("unit"))))
+    wording = wording.join(norms, "template").select("template", "licence", "paragraph", "decides", "term", (F.col("w") / F.col("norm")).alias("unit"))
+    wording = F.broadcast(materialise(wording))
 
-    # A term outside weighs most, so a sentence needs this share of known terms to reach the threshold.
-    def likely(sentence: Column) -> Column:
-        return _let(terms(sentence), lambda t: F.size(F.array_intersect(t, known)) >= F.greatest(F.lit(1.0), F.size(t) * threshold * threshold))
+    def likely(unit: Column) -> Column:
+        return _let(F.array_distinct(terms(unit)), lambda t: F.size(F.array_intersect(t, known)) >= F.greatest(F.lit(1.0), F.size(t) * threshold * threshold))
 
-    some = rows.select("doc_id", "path", F.filter(F.split(F.coalesce("text", F.lit("")), _SENTENCE), likely).alias("said"))
+    sentences = F.filter(F.split(F.coalesce("text", F.lit("")), _SENTENCE), likely)
+    some = rows.select("doc_id", "path", sentences.alias("sentences"), F.filter(paragraphs(F.coalesce("text", F.lit(""))), likely).alias("paragraphs"))
     some = materialise(some.withColumn("row", F.monotonically_increasing_id()))
-    said = some.select("row", F.explode(F.array_distinct("said")).alias("sentence"))
-    said = said.select("row", "sentence", terms(F.col("sentence")).alias("terms"))
-    outside = F.size("terms") - F.size(F.array_intersect("terms", known))
-    said = said.select("row", "sentence", outside.alias("outside"), F.explode("terms").alias("term"))
-    inside = said.join(F.broadcast(weights), "term").withColumn("squares", F.col("w") * F.col("w"))
-    norms = inside.groupBy("row", "sentence").agg((F.sum("squares") + F.first("outside") * most * most).alias("norm2"))
-    dots = inside.drop("w").join(wording, "term").groupBy("row", "sentence", "template", "licence").agg(F.sum(F.col("w") * F.col("unit")).alias("dot"))
-    near = dots.join(norms, ["row", "sentence"]).select("row", "licence", (F.col("dot") / F.sqrt("norm2")).alias("score"))
-    near = near.where(F.round("score", 9) >= threshold)
-    own = near.groupBy("row").agg(F.min(F.struct((-F.round("score", 9)).alias("s"), "licence")).alias("best"))
+    units = [some.select("row", F.lit(kind == "paragraphs").alias("paragraph"), F.explode(F.array_distinct(kind)).alias("said")) for kind in ("sentences", "paragraphs")]
+    at = ["row", "paragraph", "said"]
+    counted = units[0].unionByName(units[1]).select(*at, F.explode(terms(F.col("said"))).alias("term")).groupBy(*at, "term").agg(F.count(F.lit(1)).alias("tf"))
+    counted = counted.join(weights, "term", "left").withColumn("w", F.col("tf") * F.coalesce("w", most))
+    norms = counted.groupBy(*at).agg(F.sum(F.col("w") * F.col("w")).alias("norm2"))
+    dots = counted.join(wording, ["term", "paragraph"]).groupBy(*at, "template", "licence", "decides").agg(F.sum(F.col("w") * F.col("unit")).alias("dot"))
+    near = dots.join(norms, at).select("row", "licence", "decides", F.round(F.col("dot") / F.sqrt("norm2"), 9).alias("score")).where(F.col("score") >= threshold)
+    own = near.groupBy("row").agg(F.min(F.struct((~F.col("decides")).alias("d"), (-F.col("score")).alias("s"), "licence")).alias("best"))
     own = some.select("row", "doc_id", "path").join(own, "row", "left")
     own = own.select("doc_id", "path", F.col("best.licence").alias("own"), (-F.col("best.s")).alias("score"), _directory("path").alias("at"))
     return _inherited(materialise(own), key)

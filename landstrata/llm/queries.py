@@ -53,9 +53,11 @@ def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def document_path() -> Column:
-    """Where a document would lie in a sharded tree: its source, its number's leading pairs of digits."""
+    """Where a document would lie in a sharded tree: its source, its number's leading pairs of digits. The
+    first of a directory is its licence file."""
     pairs = F.regexp_replace(F.expr("cast(doc_id div 100 as string)"), r"(\d\d)(?=\d)", "$1/")
-    return F.concat_ws("/", F.coalesce("source", F.lit("unknown")), F.when(F.col("doc_id") >= 100, pairs), F.concat(F.col("doc_id").cast("string"), F.lit(".txt")))
+    name = F.when(F.col("doc_id") % 100 == 0, F.lit("LICENSE")).otherwise(F.concat(F.col("doc_id").cast("string"), F.lit(".txt")))
+    return F.concat_ws("/", F.coalesce("source", F.lit("unknown")), F.when(F.col("doc_id") >= 100, pairs), name)
 
 
 @registered

@@ -1,3 +1,4 @@
+import collections
 import math
 import random
 import re
@@ -21,27 +22,32 @@ def frame(spark, rows):
 
 
 def plain(rows, threshold=licences.THRESHOLD):
-    """(key, path, licence, origin, directory) by cosines of whole term lists and a walk up the folders."""
-    split = lambda t: {x for x in re.split(r"[^\w.]+|\.(?!\w)|(?<!\w)\.", t.lower().replace("_", " ")) if x}
+    """(key, path, licence, origin, directory) by cosines of whole term counts and a walk up the folders."""
+    split = lambda t: [x for x in re.split(r"[^\w.]+|\.(?!\w)|(?<!\w)\.", t.lower().replace("_", " ")) if x]
     n = len(rows)
-    vocabulary = set().union(*(split(s) for _, s in licences.TEMPLATES))
-    df = {t: sum(t in split(text or "") for _, _, text in rows) for t in vocabulary}
+    templates = [(spdx, collections.Counter(split(said)), paragraph, decides) for _, spdx, said, paragraph, decides in licences.ALL]
+    vocabulary = set().union(*(counts for _, counts, _, _ in templates))
+    df = collections.Counter(t for _, _, text in rows for t in set(split(text or "")) & vocabulary)
     weight = lambda t: math.log((n + 1) / (df.get(t, 0) + 1)) + 1
 
     def cosine(a, b):
-        norm = lambda s: math.sqrt(sum(weight(t) ** 2 for t in s))
-        return sum(weight(t) ** 2 for t in a & b) / (norm(a) * norm(b))
+        norm = lambda s: math.sqrt(sum((c * weight(t)) ** 2 for t, c in s.items()))
+        return sum(a[t] * b[t] * weight(t) ** 2 for t in a.keys() & b.keys()) / (norm(a) * norm(b))
 
     own = []
     for _, _, text in rows:
         best = None
-        for sentence in re.split(r"[\n\r]+|(?<=[.!?;])[ \t]+", text or ""):
-            if terms := split(sentence):
-                for spdx, said in licences.TEMPLATES:
-                    near = round(cosine(terms, split(said)), 9)
-                    if near >= threshold and (best is None or (-near, spdx) < best):
-                        best = (-near, spdx)
-        own.append(best and best[1])
+        units = [(False, u) for u in re.split(r"[\n\r]+|(?<=[.!?;])[ \t]+", text or "")]
+        bare = "\n".join(re.sub(r"^[ \t]*(?:#+|//+|/?\*+/?|--+|;+|%+)?[ \t]*", "", line) for line in (text or "").split("\n"))
+        units += [(True, u) for u in re.split(r"\n(?:[ \t\r]*\n)+", bare) if re.search(licences.ANCHOR, u)]
+        for kind, unit in units:
+            terms = collections.Counter(split(unit))
+            if len(terms.keys() & vocabulary) >= max(1, len(terms) * threshold * threshold):
+                for spdx, said, paragraph, decides in templates:
+                    near = round(cosine(terms, said), 9)
+                    if paragraph == kind and near >= threshold and (best is None or (not decides, -near, spdx) < best):
+                        best = (not decides, -near, spdx)
+        own.append(best and best[2])
     folders = {}
     for (_, path, _), licence in zip(rows, own):
         if path is not None and licence:
@@ -96,3 +102,70 @@ def test_documents_need_no_python(spark, sf):
     texts = {r.doc_id: r.text for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
     assert len(rows) == len(texts)
     assert {r.doc_id for r in rows if r.origin == "own"} == {k for k, t in texts.items() if "icensed under" in t or "Released under" in t}
+
+
+MIT = """MIT License
+
+Copyright (c) 2020 Some Body
+
+Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software.
+"""
+BSD = """Copyright (c) 2019, The Authors. All rights reserved.
+
+Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this
+   list of conditions and the following disclaimer.
+{}
+THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS"
+"""
+THIRD = """
+3. Neither the name of the copyright holder nor the names of its
+   contributors may be used to endorse or promote products derived from
+   this software without specific prior written permission.
+"""
+ISC = """Permission to use, copy, modify, and/or distribute this software for any
+purpose with or without fee is hereby granted, provided that the above
+copyright notice and this permission notice appear in all copies.
+"""
+GPL = """/*
+ * A program.
+ *
+ * This program is free software: you can redistribute it and/or modify
+ * it under the terms of the GNU General Public License as published by
+ * the Free Software Foundation, either version 3 of the License, or
+ * (at your option) any later version.
+ */
+int main() { return 0; }
+"""
+APACHE = """# Licensed under the Apache License, Version 2.0 (the "License");
+# you may not use this file except in compliance with the License.
+# You may obtain a copy of the License at
+#
+#     http://www.apache.org/licenses/LICENSE-2.0
+#
+import os
+"""
+
+
+def test_real_texts_and_what_inherits_from_them(spark):
+    rows = [
+        (1, "m/LICENSE", MIT), (2, "m/src/a.py", "print(1)"), (3, "b3/LICENSE.txt", BSD.format(THIRD)), (4, "b3/x/y.c", ""), (5, "b2/COPYING", BSD.format("")),
+        (6, "b2/z.c", None), (7, "i/LICENCE", ISC), (8, "i/q", "x"), (9, "g/main.c", GPL), (10, "a/b.py", APACHE), (11, "c/d.py", "no licence is granted by permission of anyone"),
+    ]
+    out = got(licences.licences(frame(spark, rows), F.col("path")))
+    assert out == plain(rows)
+    named = {r[0]: (r[2], r[3]) for r in out}
+    assert named == {
+        1: ("MIT", "own"), 2: ("MIT", "inherited"), 3: ("BSD-3-Clause", "own"), 4: ("BSD-3-Clause", "inherited"), 5: ("BSD-2-Clause", "own"),
+        6: ("BSD-2-Clause", "inherited"), 7: ("ISC", "own"), 8: ("ISC", "inherited"), 9: ("GPL-3.0", "own"), 10: ("Apache-2.0", "own"), 11: (None, None),
+    }
