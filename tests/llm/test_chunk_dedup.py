@@ -147,3 +147,61 @@ def test_odd_rows(spark):
     assert len(dict(x for x in got if x[0] is not None)[7]) < 150
     empty = frame(spark, rows).limit(0)
     assert chunk_dedup.repeated_spans(empty).collect() == [] and chunk_dedup.without_repeats(empty).collect() == []
+
+
+def plain_spans(texts, min_words=chunk_dedup.MIN_WORDS):
+    """{(document, start, end, words, documents of first copies)} by the texts of all windows themselves."""
+    inner, windows = chunk_dedup.INNER, {}
+    placed = []
+    for key, text in sorted(texts.items()):
+        data = (text or "").encode()
+        if not data:
+            continue
+        array = np.frombuffer(data, dtype=np.uint8)
+        starts, at = chunk_dedup.cuts(array, np.array([0, len(data)]))
+        dense = set(np.flatnonzero(chunk_dedup.dense(array)).tolist())
+        edges = [*starts.tolist(), len(data)]
+        weights = []  # of each chunk, in parts of a word
+        for a, b in zip(edges[:-1], edges[1:]):
+            said = sum(inner for w in at.tolist() if a <= w < b and w not in dense) + sum(inner // 2 for d in dense if a <= d < b)
+            weights.append(max(said, b - a))
+        for i, a in enumerate(edges[:-1]):
+            total, j = 0, i
+            while j < len(weights) and total < min_words * inner:
+                total, j = total + weights[j], j + 1
+            if total >= min_words * inner:
+                before = sum(weights[:i])
+                placed.append((key, a, edges[j], before // inner, (before + total) // inner, data[a : edges[j]]))
+                windows.setdefault(placed[-1][-1], []).append(key)
+    out, seen = [], set()
+    for key, a, b, before, after, said in placed:  # by document and place
+        if len(windows[said]) > 1 and (windows[said][0] != key or (key, said) in seen):
+            first = windows[said][0]
+            if out and out[-1][0] == key and a <= out[-1][2]:
+                out[-1][2], out[-1][4] = max(b, out[-1][2]), max(after, out[-1][4])
+                out[-1][5].add(first)
+            else:
+                out.append([key, a, b, before, after, {first}])
+        seen.add((key, said))
+    return {(k, a, b, after - before, tuple(sorted(firsts))) for k, a, b, before, after, firsts in out}
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_equals_all_windows(spark, seed):
+    """Every window of every text against every other, on texts that share passages in many ways."""
+    rng = random.Random(seed)
+    shared = [words(rng, rng.randint(5, 40), "abc") for _ in range(12)] + ["日本語の文章を" * 12, "x" * 900]
+    texts = {}
+    for k in range(80):
+        parts = [rng.choice(shared) if rng.random() < 0.5 else words(rng, rng.randint(0, 20), "abcde") for _ in range(rng.randint(0, 6))]
+        texts[k * 3] = rng.choice([" ", "\n", ""]).join(parts)
+    texts |= {500: texts[3], 501: texts[3] * 3, 502: "", 503: None}
+    got = {(r.doc_id, r.start, r.end, r.words, tuple(r.kept_in)) for r in chunk_dedup.repeated_spans(frame(spark, list(texts.items()))).collect()}
+    want = plain_spans(texts)
+    assert got == want and len(want) > 20
+
+
+def test_documents_equal_all_windows(spark, sf):
+    texts = {r.doc_id: r.text for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
+    got = {(r.doc_id, r.start, r.end, r.words, tuple(r.kept_in)) for r in chunk_dedup.repeated_spans(spark.read.parquet(f"{sf}/documents.parquet")).collect()}
+    assert got == plain_spans(texts)

@@ -1,6 +1,7 @@
 import re
 
 import pytest
+import regex
 from pyspark.sql import functions as F
 
 from landstrata.llm import pii
@@ -162,3 +163,24 @@ def test_any_column_names(spark):
     out = pii.replaced(df, "key")
     assert out.columns == ["text", *names, *(f"n_{k}" for k in pii.KINDS)]
     assert list(out.first())[1 : len(names) + 1] == list(range(len(names)))
+
+
+def test_tables_equal_a_plain_replacement(spark):
+    """All documents of sf0.01: the values that the pattern finds, by another engine, and nothing else is
+    replaced; one surrogate a value all over the table, and no two values share one."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    extra = [(-1, "mail x.y@mail.example, +44 20 7946 0958 and 10.0.0.1 or 4111 1111 1111 1111; 123-45-6789"), (-2, "10.0.0.1, x.y@mail.example")]
+    docs = docs.unionByName(spark.createDataFrame(extra, docs.schema))
+    old = {r.doc_id: r.text for r in docs.collect()}
+    rows = {r.doc_id: r for r in pii.replaced(docs, "key").collect()}
+    pattern, made, counted = regex.compile(pii.ANY), {}, 0
+    for key, text in old.items():
+        spans = [m.span() for m in pattern.finditer(text)]
+        edges = [0, *(x for span in spans for x in span), len(text)]
+        parts = [text[a:b] for a, b in zip(edges[::2], edges[1::2])]
+        m = re.fullmatch("(.+?)".join(map(re.escape, parts)), rows[key].text, re.S)
+        assert m and sum(rows[key][f"n_{k}"] for k in pii.KINDS) == len(spans), key
+        for (a, b), surrogate in zip(spans, m.groups()):
+            assert made.setdefault(text[a:b], surrogate) == surrogate
+        counted += len(spans)
+    assert counted > 60 and len(set(made.values())) == len(made) and not set(made.values()) & set(made)
