@@ -33,7 +33,7 @@ from landstrata.session import materialise, ship
 
 K1, B = 1.2, 0.75
 TERMS = 500_000  # terms of the queries of one block, on average; a query is never split
-CHUNK = 2_000_000  # a chunk is closed when it holds as many postings
+CHUNK = 1_000_000  # a chunk is closed when it holds as many postings
 SHARD = 64_000_000  # postings of a shard on average; some 2 bytes each are held by its task
 SHARDS = 16  # shards of a small index
 SPAN = 256  # places under one block maximum
@@ -183,7 +183,9 @@ def _indexed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         place_of = np.empty(len(keys), dtype=np.int64)
         place_of[order] = np.arange(len(keys))
         row, term, tf = (np.concatenate(x) for x in zip(*parts))
+        parts.clear()  # a task holds one copy of a chunk
         place = place_of[row]
+        del row
         by = np.lexsort((place, term))
         term, place, tf = term[by], place[by], tf[by]
         starts = np.flatnonzero(np.diff(term, prepend=term[0] - 1 if len(term) else 0)) if len(term) else np.zeros(0, dtype=np.int64)
@@ -197,7 +199,7 @@ def _indexed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys = batch.column("doc_id").to_numpy()
         for first, terms, bounds in _terms(batch.column("text")):
             row, term, tf = _counted(terms, bounds)
-            parts.append((row + docs, term, tf))
+            parts.append(((row + docs).astype(np.int32), term, tf.astype(np.int32)))
             ids.append(keys[first : first + len(bounds) - 1])
             lengths.append(np.diff(bounds))
             docs += len(bounds) - 1
