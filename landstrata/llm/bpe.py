@@ -29,7 +29,8 @@ def encode_digests(docs: DataFrame, tokenizer: str, key: str = "doc_id", text: s
     """(key, n_tokens, ids_sha256, decoded_sha256) of every row's text; `tokenizer` is the file's path.
 
     Null texts count as empty: no tokens, and the digests of nothing. Repeated rows are returned as
-    often, and null keys are kept. Other columns are not looked at. Rows are independent of each other.
+    often, and null keys are kept. Texts may be of any length; an empty table gives an empty result. Other
+    columns are not looked at. Rows are independent of each other.
     """
     ship(docs.sparkSession)
     rows = docs.select(F.col(key).alias("doc_id"), F.col(text).alias("text"))
