@@ -18,8 +18,8 @@ def _meets(area: tuple[float, float, float, float]):
 
 
 def probe(groups: DataFrame, area: tuple[float, float, float, float], file: str = "path") -> DataFrame:
-    """Per file: all row groups, and those a reader of `area` must fetch. Files without one stay,
-    with zeros. Which row groups those are is told by `probe_runs`."""
+    """Per file: all row groups, and those a reader of `area` must fetch, with their numbers in order.
+    Files without one stay, with zeros and no numbers. `probe_runs` tells the numbers as runs."""
     hit = F.coalesce(_meets(area), F.lit(False))
 
     def chosen(column: str):
@@ -31,6 +31,7 @@ def probe(groups: DataFrame, area: tuple[float, float, float, float], file: str
         F.sum("rows").alias("rows"),
         *([sized] if sized is not None else []),
         F.sum("compressed_bytes").alias("column_chunk_bytes"),
+        F.sort_array(F.collect_list(F.when(hit, F.col("group_no")))).alias("selected_row_groups"),
         F.count_if(hit).alias("selected_groups"),
         chosen("rows").alias("selected_rows"),
         chosen("compressed_bytes").alias("selected_compressed_bytes"),

@@ -102,6 +102,7 @@ HIT = "coalesce(xmax >= -100.0 AND xmin <= -85.0 AND ymax >= 30.0 AND ymin <= 40
     "probe",
     compose(
         f"""SELECT part_key, count(*) AS row_groups, CAST(sum(row_count) AS BIGINT) AS rows, CAST(sum(cost) AS BIGINT) AS column_chunk_bytes,
+            coalesce(string_agg(CAST(group_id AS VARCHAR), ',' ORDER BY group_id) FILTER (WHERE {HIT}), '') AS selected,
             count(*) FILTER (WHERE {HIT}) AS selected_groups,
             CAST(coalesce(sum(row_count) FILTER (WHERE {HIT}), 0) AS BIGINT) AS selected_rows,
             CAST(coalesce(sum(cost) FILTER (WHERE {HIT}), 0) AS BIGINT) AS selected_bytes FROM grouped GROUP BY part_key""",
@@ -111,7 +112,10 @@ HIT = "coalesce(xmax >= -100.0 AND xmin <= -85.0 AND ymax >= 30.0 AND ymin <= 40
 def probe(spark, sf_dir):
     """Row groups a box reader must fetch, per partition, from the planned groups."""
     report = pruning.probe(probed_groups(spark, sf_dir), PROBE_AREA, KEY)
-    return report.select(KEY, "row_groups", "rows", "column_chunk_bytes", "selected_groups", "selected_rows", F.col("selected_compressed_bytes").alias("selected_bytes"))
+    return report.select(
+        KEY, "row_groups", "rows", "column_chunk_bytes", F.concat_ws(",", F.col("selected_row_groups").cast("array<string>")).alias("selected"),
+        "selected_groups", "selected_rows", F.col("selected_compressed_bytes").alias("selected_bytes"),
+    )
 
 
 def probed_groups(spark, sf_dir):

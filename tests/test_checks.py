@@ -4,6 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+import __spark_entry__ as entry
 from landstrata.operators import aggregates, checks, layout, ordering, pruning, readers
 from landstrata.session import small_side
 from landstrata.sources import files, inventory, layers
@@ -143,6 +144,21 @@ def test_probe_keeps_files_without_a_hit(spark):
     assert found["b"].selected_groups == 0 and found["b"].selected_compressed_bytes == 0
 
 
+def test_probe_lists_the_groups_it_selects(spark):
+    """The numbers themselves, in their order and not that of their texts; groups without a box are none of them."""
+    rows = [("a", k, 1, 1, 1, float(k), 0.0, float(k), 0.0) for k in (11, 2, 10, 3, 30)] + [("a", 4, 1, 1, 1, None, None, None, None), ("b", 0, 1, 1, 1, 50.0, 0.0, 50.0, 0.0)]
+    df = spark.createDataFrame(rows, "path string, group_no int, rows bigint, compressed_bytes bigint, uncompressed_bytes bigint, xmin double, ymin double, xmax double, ymax double")
+    found = {r.path: r.selected_row_groups for r in pruning.probe(df, (2.0, 0.0, 20.0, 1.0)).collect()}
+    assert found == {"a": [2, 3, 10, 11], "b": []}
+
+
+@pytest.mark.parametrize("name", ["probe"])
+def test_probe_queries_name_their_groups(spark, sf, name):
+    rows = entry.queries()[name](spark, sf).collect()
+    assert all(r.selected == ",".join(sorted(filter(None, r.selected.split(",")), key=int)) for r in rows)
+    assert sum(r.selected_groups for r in rows) > 0 and all(len(list(filter(None, r.selected.split(",")))) == r.selected_groups for r in rows)
+
+
 def test_acres_are_counted_once_per_place(spark):
     rows = [("UT", "p", "Fee", 2, 10.0), ("UT", "p", "Easement", 1, 7.0), ("UT", "q", "Fee", 3, 5.0), ("NV", "r", "Fee", 4, 1.5)]
     df = spark.createDataFrame(rows, "state string, place string, category string, id int, acres double")
