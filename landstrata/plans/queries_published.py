@@ -215,6 +215,7 @@ def write_clustered(spark, sf_dir):
     "probe_footers",
     compose(
         f"""SELECT {FILE.format('g.part_key')} AS path, count(*) AS row_groups, CAST(sum(row_count) AS BIGINT) AS rows,
+            coalesce(string_agg(CAST(group_id AS VARCHAR), ',' ORDER BY group_id) FILTER (WHERE {CLOSED}), '') AS selected,
             count(*) FILTER (WHERE {CLOSED}) AS selected_groups,
             CAST(coalesce(sum(row_count) FILTER (WHERE {CLOSED}), 0) AS BIGINT) AS selected_rows, true AS sized FROM {KEPT} GROUP BY g.part_key""",
         *LAID,
@@ -224,7 +225,8 @@ def probe_footers(spark, sf_dir):
     """The pruning report of the written files, from their footers only."""
     report = pruning.probe(footers.scan_footers(spark, units(spark, sf_dir)), AREA)
     sized = (F.col("selected_compressed_bytes") <= F.col("column_chunk_bytes")) & (F.col("column_chunk_bytes") < F.col("file_bytes"))
-    return report.select("path", "row_groups", "rows", "selected_groups", "selected_rows", sized.alias("sized"))
+    selected = F.concat_ws(",", F.col("selected_row_groups").cast("array<string>")).alias("selected")
+    return report.select("path", "row_groups", "rows", selected, "selected_groups", "selected_rows", sized.alias("sized"))
 
 
 @query("write_clustered_simple", compose(f"SELECT fid, part_key, huc12, {SIDES} FROM features"))

@@ -152,7 +152,7 @@ def test_probe_lists_the_groups_it_selects(spark):
     assert found == {"a": [2, 3, 10, 11], "b": []}
 
 
-@pytest.mark.parametrize("name", ["probe"])
+@pytest.mark.parametrize("name", ["probe", "probe_footers"])
 def test_probe_queries_name_their_groups(spark, sf, name):
     rows = entry.queries()[name](spark, sf).collect()
     assert all(r.selected == ",".join(sorted(filter(None, r.selected.split(",")), key=int)) for r in rows)
