@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from landstrata.functions import boxes, wkb
+from landstrata.session import materialise, shared
 
 FEATURES_SQL = """
 SELECT fid, part_key, huc12, gap_sts, area_km2, tohuc,
@@ -37,13 +38,25 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+JOINED = "orders JOIN customer ON o_custkey = c_custkey"
+
+
+def orders_of_nations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The orders with their customers' nations, joined once and stored. A build evaluates the features many
+    times, and a join in each would send all customers through the driver as often."""
+
+    def make():
+        orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
+        customers = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey").hint("merge")
+        joined = orders.join(customers, F.col("o_custkey") == F.col("c_custkey"))
+        return materialise(joined.select("o_orderkey", "o_totalprice", "c_nationkey"))
+
+    return shared("orders of nations", spark, sf_dir, make)
+
+
 def features(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The features with their box as a struct."""
-    rows = spark.sql(
-        FEATURES_SQL.replace("FROM orders JOIN customer", "FROM {orders} JOIN {customer}"),
-        orders=table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice"),
-        customer=table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey"),
-    )
+    rows = spark.sql(FEATURES_SQL.replace(JOINED, "{joined}"), joined=orders_of_nations(spark, sf_dir))
     return rows.withColumn("bbox", boxes.box(*(F.col(s) for s in boxes.SIDES))).drop(*boxes.SIDES)
 
 

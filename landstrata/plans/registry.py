@@ -11,7 +11,7 @@ from landstrata.functions import boxes, codes
 from landstrata.operators.layout import LayoutOptions
 from landstrata.plans import build
 from landstrata.plans.features import features, shaped_features
-from landstrata.session import fresh_folder, ship
+from landstrata.session import fresh_folder, shared, ship
 from landstrata.sources.documents import CollectionSpec
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -34,14 +34,6 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
 # What the registered queries over published data share: one build per session and input.
 GROUP_BYTES = 20_000
 KEY, TIE, GEOMETRY = "part_key", ["fid"], "geometry"
-_SHARED: dict[tuple, object] = {}
-
-
-def shared(name: str, spark: SparkSession, sf_dir: str, make: Callable[[], object]):
-    at = (name, spark.sparkContext.applicationId, sf_dir)
-    if at not in _SHARED:
-        _SHARED[at] = make()
-    return _SHARED[at]
 
 
 def units_spec() -> CollectionSpec:

@@ -5,6 +5,7 @@ from __future__ import annotations
 import shutil
 import tempfile
 import uuid
+from collections.abc import Callable
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -88,6 +89,17 @@ def materialise_observing(df: DataFrame, **measures: Column) -> tuple[DataFrame,
     return stored, seen.get
 
 
+_SHARED: dict[tuple, object] = {}
+
+
+def shared(name: str, spark: SparkSession, sf_dir: str, make: Callable[[], object]):
+    """What is made once per session and input."""
+    at = (name, spark.sparkContext.applicationId, sf_dir)
+    if at not in _SHARED:
+        _SHARED[at] = make()
+    return _SHARED[at]
+
+
 def small_side(df: DataFrame, limit: int = BROADCAST_ROWS) -> tuple[DataFrame, bool]:
     """Materialise a summary table; hint a broadcast only if its counted size allows it. A column
     counts as 16 bytes, a text or binary one with its length."""

@@ -268,3 +268,12 @@ def test_odd_partitions(spark):
             assert (picked[key].attempt, picked[key].order_ok) == (attempt, ok), (key, options)
             assert [r.fid for r in placed] == [mine[i].fid for i in order]
             assert [r.group_id for r in placed] == groups
+
+
+def test_features_join_once(spark, sf):
+    """No evaluation of the features joins, or broadcasts, customers; rows are those of the join."""
+    plan = spark._jvm.PythonSQLUtils.explainString(features(spark, sf)._jdf.queryExecution(), "formatted")
+    assert "Join" not in plan and "Exchange" not in plan
+    orders, customers = (spark.read.parquet(f"{sf}/{name}.parquet") for name in ("orders", "customer"))
+    joined = orders.join(customers, F.col("o_custkey") == F.col("c_custkey")).selectExpr("o_orderkey", "lpad(string(c_nationkey), 2, '0')", "o_totalprice")
+    assert sorted(features(spark, sf).select("fid", "part_key", "area_km2").collect()) == sorted(joined.collect())
