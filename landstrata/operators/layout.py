@@ -157,7 +157,7 @@ def order_check(placed: DataFrame, groups: DataFrame, keys: list[str]) -> DataFr
 
 def ordered_rows(costed: DataFrame, key: str, tie: list[str], fraction: float | Column, *more: str) -> DataFrame:
     """Rows in layout order for one large-feature fraction, stored."""
-    flagged = costed.withColumn("is_large", is_large(F.col("size"), F.col("span"), fraction))
+    flagged = costed.withColumn("is_large", is_large(F.col("size"), F.col("span"), fraction)).drop("size", "span")
     return in_order(flagged, layout_order([key, *more], tie))
 
 
@@ -185,11 +185,11 @@ def try_layouts(
         numbered = F.coalesce(*(F.when(F.col("fraction") == f, F.lit(n)) for f, n in numbers.items()))
         mine = ordered.where(F.col("fraction").isin(list(numbers))).withColumns(
             {"attempt": numbered, "budget": F.lit(budget * unit).cast("bigint")}
-        )
-        cut = cut_groups(mine, [key, "fraction"], options.group_rows, options.file_bytes * unit)
+        ).drop("fraction")
+        cut = cut_groups(mine, [key, "attempt"], options.group_rows, options.file_bytes * unit)
         rows = cut if rows is None else rows.unionByName(cut)
     keys = [key, "attempt"]
-    rows = materialise(rows.drop("span", "size", "fraction"))
+    rows = materialise(rows)
     groups = materialise(aggregates.group_stats(rows, *keys))
     verdicts, seen = materialise_observing(order_check(rows, groups, keys), failing=F.count_if(~F.col("ok")))
     return rows, verdicts, seen["failing"]
@@ -199,9 +199,9 @@ def layout_search(costed: DataFrame, key: str, tie: list[str], options: LayoutOp
     """Chooses each partition's layout: (rows with their groups, one verdict per partition).
 
     Attempts are numbered budgets outer (b, b/2, b/4), fractions inner (f, f/2, f/4, f/8); the first
-    that passes the order check is kept, else the first attempt. They are tried in three rounds: the
-    first attempt, the other fractions, the smaller budgets. A round takes only the partitions that
-    have not passed, all together, and only their narrow rows; most partitions need one round.
+    that passes the order check is kept, else the first attempt. They are tried in rounds: the fractions
+    one by one, then all smaller budgets. A round takes only the partitions that have not passed, all
+    together, and only their narrow rows; most partitions need one or two rounds.
     """
     fractions, budgets = options.fractions(), options.budgets()
     attempts = [
@@ -209,11 +209,9 @@ def layout_search(costed: DataFrame, key: str, tie: list[str], options: LayoutOp
         for i, budget in enumerate(budgets)
         for j, fraction in enumerate(fractions)
     ]
-    rounds = [attempts[:1], attempts[1 : len(fractions)], attempts[len(fractions) :]]
+    rounds = [*([attempt] for attempt in attempts[: len(fractions)]), attempts[len(fractions) :]]
     laid, verdicts, open_rows = [], None, costed
     for tried in rounds:
-        if not tried:
-            continue
         rows, found, failing = try_layouts(open_rows, key, tie, options, tried)
         laid.append(rows)
         verdicts = found if verdicts is None else verdicts.unionByName(found)

@@ -270,6 +270,27 @@ def test_odd_partitions(spark):
             assert [r.group_id for r in placed] == groups
 
 
+def test_search_tries_one_fraction_after_the_other(spark, monkeypatch):
+    """A partition that passes at the second attempt is not cut for the later ones."""
+    rng, rows = random.Random(3), []
+    for i in range(100):
+        big = rng.random() < 0.3
+        x, y = (rng.uniform(30, 70), rng.uniform(30, 70)) if big else (rng.uniform(0, 100), rng.uniform(0, 100))
+        w = 45.0 if big else 0.5 * rng.random()
+        rows.append(("a", i, (x - w / 2, y - w / 2, x + w / 2, y + w / 2), "Polygon", 100, 80))
+    measures = spark.createDataFrame(rows, "part_key string, fid bigint, bbox struct<xmin: double, ymin: double, xmax: double, ymax: double>, geometry_kind string, wkb_bytes bigint, attribute_eighths bigint")
+    tried, plain = [], layout.try_layouts
+
+    def recorded(costed, key, tie, options, attempts):
+        tried.append([number for number, _, _ in attempts])
+        return plain(costed, key, tie, options, attempts)
+
+    monkeypatch.setattr(layout, "try_layouts", recorded)
+    costed = layout.costed_rows(measures, layout.measured_extent(measures, "part_key"), "part_key")
+    _, chosen = layout.layout_search(costed, "part_key", ["fid"], layout.LayoutOptions(group_bytes=1600, group_rows=40))
+    assert [(r.attempt, r.order_ok) for r in chosen.collect()] == [(1, True)] and tried == [[0], [1]]
+
+
 def test_features_join_once(spark, sf):
     """No evaluation of the features joins, or broadcasts, customers; rows are those of the join."""
     plan = spark._jvm.PythonSQLUtils.explainString(features(spark, sf)._jdf.queryExecution(), "formatted")
