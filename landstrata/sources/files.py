@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import hashlib
 from collections.abc import Iterator
 from functools import partial
@@ -32,6 +34,16 @@ def digest(system: pafs.FileSystem, path: str) -> tuple[int, str]:
     return total, running.hexdigest()
 
 
+def release_memory() -> None:
+    """Gives what a task's large footers took back to the system. Spark keeps Python workers and lets them
+    take turns, so each would go on holding what the largest file it has met took."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # only glibc keeps freed memory so
+    if trim is not None:
+        trim(0)
+
+
 def write_documents(pieces: DataFrame, root: str) -> DataFrame:
     """Writes pieces (path, section, name, text) as files under `root`; returns (path, bytes).
 

@@ -1,6 +1,8 @@
 import json
 import re
 import shutil
+import subprocess
+import sys
 from pathlib import Path
 
 import pyarrow.parquet as pq
@@ -281,3 +283,30 @@ def test_shapes_move_once(spark, sf):
     assert all("BroadcastExchange" in line for line in lines), lines
     got = {r.fid: r._file_no for r in dealt.select("fid", "_file_no").collect()}
     assert got == {r.fid: r.file_no for r in placed.collect()} and len(set(got.values())) > 1
+
+
+def test_writer_gives_memory_back(tmp_path):
+    """What the footer of a file of many groups takes is not kept by the worker that wrote it."""
+    code = """
+import json, resource, sys
+import numpy as np, pyarrow as pa
+from landstrata.sources import writer
+def resident():
+    return int(open("/proc/self/statm").read().split()[1]) * resource.getpagesize() / 1e6
+def batches(n):
+    about = json.dumps({"geometry_types": ["Polygon"], "xmin": None, "budget": 1})
+    for k in range(n // 1000):
+        box = pa.StructArray.from_arrays([pa.array(np.random.rand(1000))] * 4, ["xmin", "ymin", "xmax", "ymax"])
+        columns = {"id": pa.array(np.arange(1000)), "geometry": pa.array([b"x"] * 1000, pa.binary()), "bbox": box, "_part": ["a"] * 1000, "_file_no": pa.array([0] * 1000),
+            "_large": pa.array([False] * 1000), "_boxless": pa.array([False] * 1000), "_curve": pa.array([0] * 1000), "_cost": pa.array([1] * 1000),
+            "_facts": pa.array([about if k == 0 else None] + [None] * 999, pa.string())}
+        yield pa.RecordBatch.from_pydict(columns)
+write = lambda n: sum(b.num_rows for b in writer._write_files(batches(n), sys.argv[1], "geometry", None, 1, 1000, None))
+assert write(1000) == 1000
+before = resident()
+assert write(6000) == 6000
+print(resident() - before)
+"""
+    root = Path(__file__).resolve().parents[1]
+    done = subprocess.run([sys.executable, "-c", code, str(tmp_path)], cwd=root, capture_output=True, text=True, check=True)
+    assert float(done.stdout) < 30, done.stdout
