@@ -4,12 +4,16 @@ A text's units are compared with the templates: its sentences with wordings that
 paragraphs, joined over line breaks and without comment marks, with the standard headers and the
 paragraphs of licence files. A term weighs by how often the unit has it and by its inverse document
 frequency over all rows; terms outside the templates weigh as terms of no document, so a unit that says
-much else is unlike every template. A file without a statement of its own takes the licence of the
-nearest directory above it that has one, found by joining its directories' paths.
+much else is unlike every template. Units without any of the templates' heaviest terms are left out
+early, as no cosine of theirs is large enough (prefix filtering). A file without a statement of its own
+takes the licence of the nearest directory above it that has one, found by joining its directories' paths.
 """
 
 from __future__ import annotations
 
+import math
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -96,6 +100,39 @@ def _let(value: Column, use) -> Column:
     return F.transform(F.array(value), use)[0]
 
 
+def telling(templates: dict[int, dict[str, float]], threshold: float) -> list[str]:
+    """Terms of which a unit has one if its cosine with any of the templates is `threshold` or more.
+
+    `templates` gives each one's terms with their weights in a vector of length 1. A unit's cosine with a
+    template is at most the length of the part that both share. So the heaviest terms are taken until what
+    is left is shorter than `threshold` (less 1e-6, as scores are rounded): first those already taken for
+    other templates, last those of one or two characters, as they are part of many words.
+    """
+    least = max(threshold - 1e-6, 0.0) ** 2
+    taken: set[str] = set()
+    for _, units in sorted(templates.items()):
+        left = sorted(units, key=lambda t: (t not in taken, len(t) < 3, -units[t], t))
+        while left and math.fsum(units[t] ** 2 for t in left) >= least:
+            taken.add(left.pop(0))
+    return sorted(taken)
+
+
+def _units(rows: DataFrame, vocabulary: list[str], of_sentences: list[str], of_paragraphs: list[str], threshold: float) -> DataFrame:
+    """(doc_id, path, sentences, paragraphs): the units of every row that are looked at and have a telling term."""
+    among = lambda t, some: F.size(F.filter(t, lambda term: term.isin(some)))
+
+    def likely(unit: Column, heavy: list[str]) -> Column:
+        share = lambda t: F.greatest(F.lit(1.0), F.size(t) * threshold * threshold)
+        return _let(F.array_distinct(terms(unit)), lambda t: (among(t, heavy) > 0) & (among(t, vocabulary) >= share(t)))
+
+    def worth_cutting(unit: Column) -> Column:  # a term is part of the text it is cut from
+        return _let(F.lower(unit), lambda low: reduce(lambda a, b: a | b, [F.contains(low, F.lit(t)) for t in of_sentences], F.lit(False)))
+
+    text = F.coalesce("text", F.lit(""))
+    sentences = F.filter(F.split(text, _SENTENCE), lambda s: worth_cutting(s) & likely(s, of_sentences))
+    return rows.select("doc_id", "path", sentences.alias("sentences"), F.filter(paragraphs(text), lambda p: likely(p, of_paragraphs)).alias("paragraphs"))
+
+
 def licences(files: DataFrame, path: Column, key: str = "doc_id", text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
     """(key, path, licence, score, origin, directory): the licence of every file.
 
@@ -130,12 +167,11 @@ def licences(files: DataFrame, path: Column, key: str = "doc_id", text: str = "t
     norms = wording.groupBy("template").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
     wording = wording.join(norms, "template").select("template", "licence", "paragraph", "decides", "term", (F.col("w") / F.col("norm")).alias("unit"))
     wording = F.broadcast(materialise(wording))
+    weighed: dict[bool, dict[int, dict[str, float]]] = {False: {}, True: {}}
+    for r in wording.collect():  # the fixed templates' terms
+        weighed[r.paragraph].setdefault(r.template, {})[r.term] = r.unit
 
-    def likely(unit: Column) -> Column:
-        return _let(F.array_distinct(terms(unit)), lambda t: F.size(F.array_intersect(t, known)) >= F.greatest(F.lit(1.0), F.size(t) * threshold * threshold))
-
-    sentences = F.filter(F.split(F.coalesce("text", F.lit("")), _SENTENCE), likely)
-    some = rows.select("doc_id", "path", sentences.alias("sentences"), F.filter(paragraphs(F.coalesce("text", F.lit(""))), likely).alias("paragraphs"))
+    some = _units(rows, vocabulary, telling(weighed[False], threshold), telling(weighed[True], threshold), threshold)
     some = materialise(some.withColumn("row", F.monotonically_increasing_id()))
     units = [some.select("row", F.lit(kind == "paragraphs").alias("paragraph"), F.explode(F.array_distinct(kind)).alias("said")) for kind in ("sentences", "paragraphs")]
     at = ["row", "paragraph", "said"]

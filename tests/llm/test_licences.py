@@ -169,3 +169,30 @@ def test_real_texts_and_what_inherits_from_them(spark):
         1: ("MIT", "own"), 2: ("MIT", "inherited"), 3: ("BSD-3-Clause", "own"), 4: ("BSD-3-Clause", "inherited"), 5: ("BSD-2-Clause", "own"),
         6: ("BSD-2-Clause", "inherited"), 7: ("ISC", "own"), 8: ("ISC", "inherited"), 9: ("GPL-3.0", "own"), 10: ("Apache-2.0", "own"), 11: (None, None),
     }
+
+
+def test_terms_that_tell_a_statement():
+    rng = random.Random(3)
+    split = lambda t: re.findall(r"[\w-]+(?:\.\w+)*", t.lower())
+    vectors, idf = {}, {}
+    for n, (_, said) in enumerate(licences.TEMPLATES):
+        counts = collections.Counter(split(said))
+        weights = {t: c * idf.setdefault(t, rng.uniform(1, 9)) for t, c in counts.items()}
+        norm = math.sqrt(sum(w * w for w in weights.values()))
+        vectors[n] = {t: w / norm for t, w in weights.items()}
+    for threshold in (0.0, 0.3, 0.75, 1.0):
+        heavy = set(licences.telling(vectors, threshold))
+        for units in vectors.values():  # what shares all other terms with a template is not like it
+            assert math.sqrt(sum(u * u for t, u in units.items() if t not in heavy)) < max(threshold, 1e-9)
+    assert len(licences.telling(vectors, 0.75)) < len(licences.telling(vectors, 0.3)) < len(idf)
+    assert licences.telling(vectors, 1.1) == [] and licences.telling({}, 0.75) == []
+
+
+def test_only_sentences_that_may_be_statements_are_stored(spark, monkeypatch):
+    stored = []
+    monkeypatch.setattr(licences, "materialise", lambda df, keep=licences.materialise: stored.append(keep(df)) or stored[-1])
+    prose = "And of the use. This is by the use of the; to this and to the use by the. Is this in?"
+    rows = [(k, f"a/{k}", prose) for k in range(40)] + [(k, f"b/{k}", f"{prose}\nRELEASED under the MIT license! {prose}") for k in range(40, 43)]
+    assert got(licences.licences(frame(spark, rows), F.col("path"))) == plain(rows)
+    (units,) = [df for df in stored if "sentences" in df.columns]
+    assert {(r.doc_id, *r.sentences) for r in units.collect() if r.sentences} == {(k, "RELEASED under the MIT license!") for k in range(40, 43)}
