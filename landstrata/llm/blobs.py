@@ -13,11 +13,16 @@ def packed(values: np.ndarray) -> bytes:
 
 
 def unpacked(blob: bytes, kind: type) -> np.ndarray:
-    n, size = int.from_bytes(blob[:8], "little"), np.dtype(kind).itemsize
+    n, size = size_of(blob), np.dtype(kind).itemsize
     held = pa.decompress(blob[8:], decompressed_size=n * size, codec="zstd", asbytes=True) if n else b""
     return np.ascontiguousarray(np.frombuffer(held, dtype=np.uint8).reshape(size, n).T).reshape(-1).view(kind)
 
 
+def size_of(blob: bytes) -> int:
+    """How many numbers a blob holds."""
+    return int.from_bytes(blob[:8], "little")
+
+
 def packed_sorted(values: np.ndarray) -> bytes:
     return packed(np.diff(values, prepend=np.uint64(0)))
 

@@ -118,3 +118,52 @@ def test_odd_rows(spark):
     assert search.search(docs.limit(0), asked, mean).collect() == [] and search.search(docs, asked.limit(0), mean).collect() == []
     empty = docs.limit(0)
     assert search.statistics(empty)[1:] == (0, 1.0) and search.telling_terms(empty, df, n).collect() == []
+
+
+def long_queries(rng, words, docs, length, queries, copies=0):
+    """Chunks of texts over `words`, some of them copies, and a block that asks for the first texts' words."""
+    texts = [" ".join(rng.choices(words, [1 / (i + 1) for i in range(len(words))], k=rng.choice([0, 1, length // 2, length]))) for _ in range(docs)]
+    texts[docs - copies :] = rng.choices(texts[:queries], k=copies)
+    ids = [rng.randrange(docs) for _ in texts]  # some keys more than once
+    batches = pa.table({"doc_id": ids, "text": texts}).to_batches(max_chunksize=20)
+    chunks = [[found.column(c)[0].as_py() for c in search.CHUNK_COLUMNS] for found in search._indexed(iter(batches))]
+    rows = []
+    for q in range(queries):
+        terms = " ".join(rng.sample(words, 90)).encode()
+        hashes = text.word_hashes(np.frombuffer(terms, dtype=np.uint8), np.array([0, len(terms)]), search.APART)[0]
+        rows += sorted((0, q, int(t), rng.choice([0.25, 1.0, 3.5])) for t in hashes.view(np.int64))
+    given = pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows)], ["at", "query_id", "term", "weight"])
+    (found,) = search._blocks(iter([given]))
+    return texts, rows, chunks, [found.column(c)[0].as_py() for c in search.BLOCK_COLUMNS]
+
+
+@pytest.mark.parametrize("docs,copies", [(1, 0), (300, 0), (700, 400)])
+def test_matrices_find_what_lists_find(monkeypatch, docs, copies):
+    """To the last bit, over several chunks, units, spans and slices of queries, with equal rows and repeated keys."""
+    rng = random.Random(docs)
+    words = sorted({"".join(rng.choice("abcdefg") for _ in range(4)) for _ in range(400)})
+    for name, value in {"CHUNK": 1000, "UNIT": 2500, "COLUMNS": 10_000, "SPAN": 16, "CELLS": 1500, "COPIES": 4, "RESCORED": 300}.items():
+        monkeypatch.setattr(search, name, value)
+    for dense in (1, 8, 24, 10**6):
+        monkeypatch.setattr(search, "DENSE", dense)
+        _, _, chunks, block = long_queries(rng, words, docs, 60, 25, copies)
+        assert len(chunks) > 2 or docs == 1
+        got = []
+        for many in (0, 10**9):
+            monkeypatch.setattr(search, "MANY", many)
+            got.append(search._answers(chunks, block, 31.0, 10))
+        assert got[0].equals(got[1]) and (got[0].num_rows > 200 or docs == 1)
+
+
+def test_common_terms_are_not_summed_one_by_one(monkeypatch):
+    """Long queries meet nearly all rows by terms that many rows hold; few of these postings are added singly."""
+    rng = random.Random(5)
+    texts, rows, chunks, block = long_queries(rng, [a + b for a in "abcdefghij" for b in "abcdefghij"], 1500, 200, 30)
+    asked = collections.Counter(term for _, _, term, _ in rows)
+    frequency = collections.Counter()
+    for t in texts:
+        frequency.update(set(text.word_hashes(np.frombuffer(t.encode(), dtype=np.uint8), np.array([0, len(t)]), search.APART)[0].view(np.int64).tolist()))
+    summed, plain = [], np.bincount
+    monkeypatch.setattr(search.np, "bincount", lambda x, weights=None, minlength=0: summed.append(0 if weights is None else len(x)) or plain(x, weights, minlength))
+    assert search._answers(chunks, block, 90.0, 10).num_rows == 300
+    assert sum(summed) < sum(n * frequency[t] for t, n in asked.items()) / 10
