@@ -38,6 +38,7 @@ from pyspark.sql.window import Window
 from landstrata.llm.blobs import packed, packed_sorted, size_of, unpacked, unpacked_sorted
 from landstrata.llm.text import SLICE_BYTES, mix, ragged, slices, utf8, word_hashes
 from landstrata.session import materialise, ship
+from landstrata.sources.files import release_memory
 
 K1, B = 1.2, 0.75
 TERMS = 3_000_000  # terms of the queries of one block, on average; a query is never split
@@ -47,7 +48,7 @@ SHARDS = 16  # shards of a small index
 SPAN = 256  # places under one block maximum
 FIRST = 2  # spans scored before the first look at the k-th best; each later step takes twice as many
 MANY = 64  # terms a query, on average, from which a block of queries is answered by matrices
-UNIT = 4_500_000  # postings of the chunks that such a block meets at once
+UNIT = 2_500_000  # postings of the chunks that such a block meets at once
 DENSE = 24  # a term that one document and one query in so many hold is a column of a unit's matrix
 COLUMNS = 24_000_000  # cells of a unit's matrix; beyond, terms stay lists
 CELLS = 4_000_000  # scores of queries and places that are held at once
@@ -357,6 +358,7 @@ def _sums(chunk: Chunk, slots: np.ndarray, weights: np.ndarray) -> np.ndarray:
 def _searched(batches: Iterator[pa.RecordBatch], mean: float, k: int) -> Iterator[pa.RecordBatch]:
     """A shard's chunks, then blocks of queries: the shard's best k of each query."""
     shard, chunks = None, []
+    release_memory()  # what the worker holds from earlier tasks
     for batch in batches:
         for row in range(batch.num_rows):
             now, at = (batch.column(c)[row].as_py() for c in range(2))
@@ -367,6 +369,7 @@ def _searched(batches: Iterator[pa.RecordBatch], mean: float, k: int) -> Iterato
                 chunks.append(blobs)
             elif chunks:
                 yield _answers(chunks, blobs, mean, k)
+                release_memory()
 
 
 class Unit:
@@ -397,24 +400,24 @@ class Unit:
         dense = dense[np.argsort(-counts[dense], kind="stable")][: COLUMNS // max(docs, 1)]
         self.column = np.full(len(asked), -1, dtype=np.int32)
         self.column[dense] = np.arange(len(dense))
-        column = self.column[term]
-        there = column >= 0
-        matrix = np.zeros((docs, len(dense)), dtype=np.float32)
-        matrix[doc[there], column[there]] = impact[there]
-        held = (matrix[:, :SORTED_BY] > 0) @ np.ldexp(1.0, -np.arange(len(dense))[:SORTED_BY])
-        self.docs = np.argsort(held, kind="stable")  # the document of each place
+        there = self.column[term] >= 0
+        at, column = doc[there], self.column[term[there]]
+        common = column < SORTED_BY
+        kind = np.bincount(at[common], np.ldexp(1.0, -column[common]), minlength=docs)
+        self.docs = np.argsort(kind, kind="stable")  # the document of each place
         self.keys, self.marks = keys[self.docs], marks[self.docs]
-        self.matrix = matrix[self.docs]
-        del matrix
-        self.tops = np.maximum.reduceat(self.matrix, np.arange(0, docs, SPAN), axis=0) if docs else self.matrix
-
         place = np.empty(docs, dtype=np.int64)
         place[self.docs] = np.arange(docs)
+        self.matrix = np.zeros((docs, len(dense)), dtype=np.float32)
+        self.matrix[place[at], column] = impact[there]
+        del at, column
+        self.tops = np.maximum.reduceat(self.matrix, np.arange(0, docs, SPAN), axis=0) if docs else self.matrix
+
         rare = ~there
         by = np.argsort(term[rare], kind="stable")  # runs of ascending terms are merged
-        held = place[doc[rare]] << 32
-        held |= impact[rare].view(np.uint32)  # place and impact side by side, as they are read together
-        self.lists = held[by]
+        both = place[doc[rare]] << 32
+        both |= impact[rare].view(np.uint32)  # place and impact side by side, as they are read together
+        self.lists = both[by]
         counts[dense] = 0
         self.first = np.concatenate([[0], np.cumsum(counts)])  # the first posting of each list
         self.margin = (len(dense) + 32) * 2.0**-23  # by which rounding may change a score, as a share of it
@@ -586,3 +589,4 @@ def _by_units(chunks: list[list[bytes]], bounds: np.ndarray, asked: np.ndarray,
             some, b = slice(edges[0], edges[-1]), best[a : a + step]
             best_of_unit(unit, edges - edges[0], terms[some], weights[some], k, b, wide)
             best[a : a + step] = b
+        del unit  # before the next is read
